@@ -1,2 +1,240 @@
-QUERIES = {}
-ORACLE = {}
+"""Registered queries over documents and embeddings."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import clustering as ops
+from tidemark.operators import text
+from tidemark.plans.oracle_views import POINTS, WORDS
+from tidemark.session import materialise, scratch_dir
+from tidemark.sources import adapters
+from tidemark.sources.readers import documents_from_table
+from tidemark.sources.sinks import write_cluster_report
+
+K = 5
+ROUNDS = 3
+FEATURES = 1 << 16
+# Fixed value: seed of the reference run of the own k-means.
+SEED = 20181031
+
+
+def documents_words(spark, sf_dir):
+    docs = documents_from_table(adapters.table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", F.size("words").cast("bigint").alias("n"), F.element_at("words", 1).alias("first"))
+
+
+def term_counts(spark, sf_dir):
+    return text.term_counts(adapters.documents(spark, sf_dir))
+
+
+def idf(spark, sf_dir):
+    docs = adapters.documents(spark, sf_dir)
+    weights = text.idf(text.term_counts(docs), text.document_count(docs))
+    return weights.withColumn("idf", F.round("idf", 6))
+
+
+def tfidf(spark, sf_dir):
+    return text.tfidf_long(adapters.documents(spark, sf_dir)).withColumn("tfidf", F.round("tfidf", 6))
+
+
+def bag_of_words(spark, sf_dir):
+    """Sizes and sums of the word-count vectors over the whole vocabulary."""
+    vectors = text.bag_of_words(adapters.documents(spark, sf_dir), 1 << 20)
+    raw = F.unwrap_udt("features")
+    return vectors.select(
+        "doc_id",
+        F.size(raw["indices"]).cast("bigint").alias("terms"),
+        F.aggregate(raw["values"], F.lit(0.0), lambda a, x: a + x).alias("tokens"),
+    )
+
+
+def hashing_tfidf(spark, sf_dir):
+    vectors = text.tfidf(adapters.documents(spark, sf_dir), FEATURES)
+    raw = F.unwrap_udt("features")
+    return vectors.select("doc_id", F.size(raw["indices"]).alias("terms"))
+
+
+def _lloyd(spark, sf_dir, rounds=ROUNDS):
+    points = adapters.points(spark, sf_dir)
+    return ops.lloyd_kmeans(points, ops.smallest_id_centres(points, K), rounds)
+
+
+def point_centre_distances(spark, sf_dir):
+    points = adapters.points(spark, sf_dir)
+    distances = ops.point_centre_distances(points, ops.smallest_id_centres(points, K))
+    return distances.withColumn("d2", F.round("d2", 6))
+
+
+def assign_nearest(spark, sf_dir):
+    points = adapters.points(spark, sf_dir)
+    nearest = ops.assign_nearest(points, ops.smallest_id_centres(points, K))
+    return nearest.select("id", "cluster", F.round("d2", 6).alias("d2"))
+
+
+def lloyd_kmeans(spark, sf_dir):
+    assigned, _ = _lloyd(spark, sf_dir)
+    return assigned.select("id", "cluster", F.round("d2", 6).alias("d2"))
+
+
+def lloyd_centres(spark, sf_dir):
+    _, centres = _lloyd(spark, sf_dir)
+    at = centres.select("cluster", F.posexplode("vec").alias("pos", "x"))
+    return at.withColumn("x", F.round("x", 6))
+
+
+def cluster_sse(spark, sf_dir):
+    assigned, _ = _lloyd(spark, sf_dir)
+    return ops.cluster_sse(assigned).withColumn("sse", F.round("sse", 5))
+
+
+def _clustered_terms(spark, sf_dir):
+    """Documents take the cluster of the embedding with their id."""
+    assigned, _ = _lloyd(spark, sf_dir)
+    assigned = assigned.withColumnRenamed("id", "doc_id")
+    terms = text.term_counts(adapters.documents(spark, sf_dir))
+    return assigned, ops.cluster_terms(assigned, terms)
+
+
+def cluster_terms(spark, sf_dir):
+    return _clustered_terms(spark, sf_dir)[1]
+
+
+def cluster_top_terms(spark, sf_dir):
+    return ops.top_terms(_clustered_terms(spark, sf_dir)[1])
+
+
+def cluster_top_terms_literal(spark, sf_dir):
+    return ops.top_terms(_clustered_terms(spark, sf_dir)[1], mode="literal")
+
+
+def _flat(report):
+    """[algorithm, wsse, id, size, error, terms]"""
+    one = report.select("algorithm", "wsse", F.explode("clusters").alias("c"))
+    return one.select(
+        "algorithm",
+        F.round("wsse", 5).alias("wsse"),
+        "c.id",
+        "c.size",
+        F.round("c.error", 5).alias("error"),
+        F.array_join("c.terms", " ").alias("terms"),
+    )
+
+
+def cluster_report(spark, sf_dir):
+    """The report, written as JSON and read back."""
+    assigned, terms = _clustered_terms(spark, sf_dir)
+    report = ops.cluster_report(assigned, terms, "K-Means")
+    path = scratch_dir(spark, "report")
+    write_cluster_report(report, path)
+    return _flat(spark.read.schema(report.schema).json(path))
+
+
+def _own_report(docs, algorithm):
+    points = docs.withColumnRenamed("doc_id", "id")
+    assigned, _ = ops.lloyd_kmeans(points, ops.sampled_centres(points, 5, SEED, "features"), 20, vec="features")
+    assigned = materialise(assigned.select("id", "words", "cluster", "d2"), "assigned")
+    return _flat(ops.cluster_report(assigned, ops.words_by_cluster(assigned), algorithm))
+
+
+def lloyd_report_tfidf(spark, sf_dir):
+    return _own_report(materialise(text.tfidf(adapters.documents(spark, sf_dir), FEATURES)), "K-Means T")
+
+
+def lloyd_report_words(spark, sf_dir):
+    docs = text.bag_of_words(adapters.documents(spark, sf_dir), FEATURES)
+    return _own_report(materialise(docs), "K-Means W")
+
+
+def _ml_report(spark, sf_dir, cluster, k, algorithm):
+    features = materialise(text.tfidf(adapters.documents(spark, sf_dir), FEATURES), "features")
+    assigned, _ = cluster(features, k)
+    assigned = materialise(assigned.select("doc_id", "words", "cluster", "d2"), "assigned")
+    return _flat(ops.cluster_report(assigned, ops.words_by_cluster(assigned), algorithm))
+
+
+def kmeans_report_8(spark, sf_dir):
+    return _ml_report(spark, sf_dir, ops.kmeans, 8, "K-Means")
+
+
+def kmeans_report_16(spark, sf_dir):
+    return _ml_report(spark, sf_dir, ops.kmeans, 16, "K-Means")
+
+
+def bisecting_report_8(spark, sf_dir):
+    return _ml_report(spark, sf_dir, ops.bisecting_kmeans, 8, "Bisecting K-Means")
+
+
+def bisecting_report_16(spark, sf_dir):
+    return _ml_report(spark, sf_dir, ops.bisecting_kmeans, 16, "Bisecting K-Means")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        documents_words, term_counts, idf, tfidf, bag_of_words, hashing_tfidf, point_centre_distances,
+        assign_nearest, lloyd_kmeans, lloyd_centres, cluster_sse, cluster_terms, cluster_top_terms,
+        cluster_top_terms_literal, cluster_report, lloyd_report_tfidf, lloyd_report_words,
+        kmeans_report_8, kmeans_report_16, bisecting_report_8, bisecting_report_16,
+    )
+}
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """Long-form k-means, one pair of statements per round."""
+    sql = f"""WITH {POINTS},
+dims AS (SELECT id, CAST(pos - 1 AS INTEGER) AS pos, vec[pos] AS x
+         FROM (SELECT id, vec, unnest(range(1, len(vec) + 1)) AS pos FROM points)),
+c0 AS (SELECT CAST(id AS INTEGER) AS cluster, pos, x FROM dims WHERE id < {K})"""
+    for i in range(rounds + 1):
+        sql += f""",
+d{i} AS (SELECT p.id, c.cluster, sum((p.x - c.x) * (p.x - c.x)) AS d2
+         FROM dims p JOIN c{i} c ON c.pos = p.pos GROUP BY 1, 2),
+a{i} AS (SELECT id, cluster, d2 FROM
+         (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d2, cluster) AS r FROM d{i}) WHERE r = 1)"""
+        if i < rounds:
+            sql += f""",
+c{i + 1} AS (SELECT cluster, pos, avg(x) AS x FROM dims JOIN a{i} USING (id) GROUP BY 1, 2)"""
+    return sql
+
+
+_LLOYD = _lloyd_sql(ROUNDS)
+_MEMBERS = f"""{_LLOYD}, {WORDS},
+members AS (SELECT a.cluster, t.doc_id, t.term, t.tf FROM a{ROUNDS} a JOIN terms t ON t.doc_id = a.id),
+summed AS (SELECT cluster, term, sum(tf) AS n FROM members GROUP BY 1, 2),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY cluster ORDER BY n DESC, term) AS INTEGER) AS rank FROM summed)"""
+
+ORACLE = {
+    "documents_words": f"""WITH {WORDS}
+SELECT d.doc_id, count(w.term) AS n, list_filter(string_split(d.text, ' '), lambda x: x <> '')[1] AS first
+FROM documents d LEFT JOIN words w ON w.doc_id = d.doc_id GROUP BY d.doc_id, d.text""",
+    "term_counts": f"WITH {WORDS} SELECT doc_id, term, tf FROM terms",
+    "idf": f"""WITH {WORDS}
+SELECT term, count(*) AS df, round(ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)), 6) AS idf
+FROM terms GROUP BY term""",
+    "tfidf": f"""WITH {WORDS},
+weights AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) AS idf FROM terms GROUP BY term)
+SELECT doc_id, term, round(tf * idf, 6) AS tfidf FROM terms JOIN weights USING (term)""",
+    "bag_of_words": f"""WITH {WORDS}
+SELECT doc_id, count(*) AS terms, CAST(sum(tf) AS DOUBLE) AS tokens FROM terms GROUP BY doc_id""",
+    "point_centre_distances": f"{_lloyd_sql(0)} SELECT id, cluster, round(d2, 6) AS d2 FROM d0",
+    "assign_nearest": f"{_lloyd_sql(0)} SELECT id, cluster, round(d2, 6) AS d2 FROM a0",
+    "lloyd_kmeans": f"{_LLOYD} SELECT id, cluster, round(d2, 6) AS d2 FROM a{ROUNDS}",
+    "lloyd_centres": f"{_LLOYD} SELECT cluster, pos, round(x, 6) AS x FROM c{ROUNDS}",
+    "cluster_sse": f"""{_LLOYD}
+SELECT cluster, count(*) AS size, round(sum(d2), 5) AS sse FROM a{ROUNDS} GROUP BY cluster
+UNION ALL SELECT -1 AS cluster, count(*) AS size, round(sum(d2), 5) AS sse FROM a{ROUNDS}""",
+    "cluster_terms": f"{_MEMBERS} SELECT cluster, doc_id, term, tf FROM members",
+    "cluster_top_terms": f"{_MEMBERS} SELECT cluster, rank, term, CAST(n AS BIGINT) AS n FROM ranked WHERE rank <= 10",
+    "cluster_top_terms_literal": f"""{_MEMBERS}
+SELECT cluster, rank, term, n FROM
+  (SELECT cluster, term, tf AS n,
+          CAST(row_number() OVER (PARTITION BY cluster ORDER BY tf DESC, term, doc_id) AS INTEGER) AS rank
+   FROM members) WHERE rank <= 10""",
+    "cluster_report": f"""{_MEMBERS},
+best AS (SELECT cluster, string_agg(term, ' ' ORDER BY rank) AS terms FROM ranked WHERE rank <= 10 GROUP BY cluster)
+SELECT 'K-Means' AS algorithm, (SELECT round(sum(d2), 5) FROM a{ROUNDS}) AS wsse,
+       CAST(a.cluster + 1 AS INTEGER) AS id, count(*) AS size, round(sum(a.d2), 5) AS error,
+       coalesce(any_value(best.terms), '') AS terms
+FROM a{ROUNDS} a LEFT JOIN best ON best.cluster = a.cluster GROUP BY a.cluster""",
+}

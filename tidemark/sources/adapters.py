@@ -93,13 +93,13 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tags_of(events: DataFrame) -> DataFrame:
+def tags_of(events: DataFrame, *keep: str) -> DataFrame:
     """Events with their tags: the user, and for every third event its type as well."""
     user_tag = F.concat(F.lit("u"), F.col("user_id").cast("string"))
     tags = F.when(
         F.col("event_id") % 3 == 0, F.array(user_tag, F.col("event_type"))
     ).otherwise(F.array(user_tag))
-    return events.select((F.col("event_id") + 1).alias("seq"), "ts", "event_id", tags.alias("tags"))
+    return events.select((F.col("event_id") + 1).alias("seq"), "ts", "event_id", *keep, tags.alias("tags"))
 
 
 def with_body(tagged: DataFrame, documents: DataFrame) -> DataFrame:

@@ -9,15 +9,19 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import BisectingKMeans, KMeans
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.skew import salted_join
+from tidemark.session import spread
 
 # Centres times dimensions: 512 MB of doubles.
 MAX_MODEL_VALUES = 1 << 26
+# Positions of a centre that travel together while sums are merged.
+BLOCK = 1024
 # Fixed value: terms listed for each cluster.
 TOP_TERMS = 10
 
@@ -117,11 +121,12 @@ def assign_nearest(points: DataFrame, centres: DataFrame | np.ndarray, vec: str
 
 
 def _partial_sums(matrix: np.ndarray):
-    """Per task: coordinate sums and member counts of each cluster, non-zero entries only."""
+    """Per task and cluster: the member count and the coordinate sums, in blocks of positions."""
     k, width = matrix.shape
+    blocks = -(-width // BLOCK)
 
     def sums(batches):
-        total, members = np.zeros((k, width)), np.zeros(k)
+        total, members = np.zeros(k * width), np.zeros(k, dtype=np.int64)
         for batch in batches:
             positions, values = batch.column(0), batch.column(1)
             best = _distances(positions, values, matrix).argmin(axis=1)
@@ -132,16 +137,23 @@ def _partial_sums(matrix: np.ndarray):
                 at = np.tile(np.arange(width), len(values))
             else:
                 at = positions.flatten().to_numpy(zero_copy_only=False)
-            np.add.at(total, (np.repeat(best, counts), at), flat)
-        cluster, pos = np.nonzero(total)
-        full = np.nonzero(members)[0]
+            # One slot per cluster and position; untouched slots cost nothing to send.
+            slot, inverse = np.unique(np.repeat(best, counts) * width + at, return_inverse=True)
+            total[slot] += np.bincount(inverse, flat, minlength=len(slot))
+        padded = np.zeros((k, blocks * BLOCK))
+        padded[:, :width] = total.reshape(k, width)
+        padded = padded.reshape(k, blocks, BLOCK)
+        used = padded.any(axis=2)
+        used[:, 0] |= members > 0
+        cluster, block = np.nonzero(used)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate([cluster, full]), pa.int32()),
-                pa.array(np.concatenate([pos, np.full(len(full), -1)]), pa.int32()),
-                pa.array(np.concatenate([total[cluster, pos], members[full]]), pa.float64()),
+                pa.array(cluster, pa.int32()),
+                pa.array(block, pa.int32()),
+                pa.array(np.where(block == 0, members[cluster], 0), pa.int64()),
+                pa.array(list(padded[cluster, block]), pa.list_(pa.float64())),
             ],
-            ["cluster", "pos", "total"],
+            ["cluster", "block", "members", "sums"],
         )
 
     return sums
@@ -157,20 +169,25 @@ def lloyd_kmeans(
     """
     spark = points.sparkSession
     matrix = _matrix(init)
+    k, width = matrix.shape
     positions, values = _coordinates(points, vec)
-    coordinates = points.select(positions.alias("positions"), values.alias("vals")).persist()
+    coordinates = spread(points.select(positions.alias("positions"), values.alias("vals")))
+    partial_schema = "cluster int, block int, members bigint, sums array<double>"
     try:
         for _ in range(iters):
-            partial = coordinates.mapInArrow(_partial_sums(matrix), "cluster int, pos int, total double")
-            # At most k * (dimensions + 1) rows: the next model.
-            merged = partial.groupBy("cluster", "pos").agg(F.sum("total").alias("total")).toArrow()
-            cluster, pos, total = (merged.column(i).to_numpy() for i in range(3))
-            counts = np.zeros(len(matrix))
-            counted = pos == -1
-            counts[cluster[counted]] = total[counted]
-            means = np.zeros_like(matrix)
-            means[cluster[~counted], pos[~counted]] = total[~counted]
-            fresh = np.where(counts[:, None] > 0, means / np.maximum(counts, 1)[:, None], matrix)
+            partial = coordinates.mapInArrow(_partial_sums(matrix), partial_schema)
+            merged = partial.groupBy("cluster", "block").agg(
+                F.sum("members").alias("members"), Summarizer.sum(array_to_vector("sums")).alias("sums")
+            )
+            # At most k rows per block: the next model.
+            model = merged.select("cluster", "block", "members", vector_to_array("sums").alias("sums")).toArrow()
+            cluster, block, members = (model.column(i).to_numpy() for i in range(3))
+            counts, totals = np.zeros(k), np.zeros((k, -(-width // BLOCK), BLOCK))
+            np.add.at(counts, cluster, members)
+            if len(cluster):
+                totals[cluster, block] = np.stack(model.column(3).to_numpy())
+            means = totals.reshape(k, -1)[:, :width] / np.maximum(counts, 1)[:, None]
+            fresh = np.where(counts[:, None] > 0, means, matrix)
             if np.array_equal(fresh, matrix):
                 break
             matrix = fresh
@@ -183,7 +200,9 @@ def lloyd_kmeans(
 
 
 def _fit(estimator, points: DataFrame, vec: str) -> tuple[DataFrame, np.ndarray]:
-    model = estimator.setFeaturesCol(vec).setPredictionCol("cluster").fit(points)
+    kept = spread(points.select(vec))
+    model = estimator.setFeaturesCol(vec).setPredictionCol("cluster").fit(kept)
+    kept.unpersist()
     matrix = np.array([np.asarray(c) for c in model.clusterCenters()])
     return assign_nearest(points, matrix, vec), matrix
 

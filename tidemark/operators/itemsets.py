@@ -10,7 +10,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.relational import local_threshold, min_support
+from tidemark.operators.relational import local_threshold, min_support, union_all
 from tidemark.operators.skew import HOT_KEYS, HOT_ROWS, salted_join
 from tidemark.session import materialise
 
@@ -56,36 +56,83 @@ def local_frequent_items(
     return local.select(F.array("item").alias("items")).distinct()
 
 
-def baskets_containing(rows: DataFrame, candidates: DataFrame) -> DataFrame:
-    """[items, key]: the baskets that hold every item of a candidate.
+def _wide_keys(pairs: DataFrame, wide: int) -> DataFrame | None:
+    """[key] of the baskets with more than `wide` items, None if there is none."""
+    sizes = pairs.groupBy("key").agg(F.count("*").alias("_n"))
+    keys = sizes.where(F.col("_n") > wide).select("key")
+    return keys if keys.limit(1).count() else None
 
-    A candidate is looked up by its rarest item first and then item by item on
-    (key, item), so the work follows the rarest item and no key gathers the rows.
-    """
-    pairs = basket_items(rows)
-    counts = pairs.groupBy("item").agg(F.count("*").alias("_n"))
-    ranked = (
-        candidates.select("items", F.explode("items").alias("item"))
-        .join(counts, "item")
-        .groupBy("items")
-        .agg(F.array_sort(F.collect_list(F.struct("_n", "item"))).alias("_steps"))
-        .where(F.size("_steps") == F.size("items"))
-        .select("items", F.col("_steps.item").alias("_steps"))
+
+def _walk_narrow(pairs: DataFrame, levels: dict[int, DataFrame]) -> list[DataFrame]:
+    """Follow the candidates' prefixes through the sorted items of each basket."""
+    found = []
+    state = (
+        pairs.groupBy("key")
+        .agg(F.array_sort(F.collect_list("item")).alias("rest"))
+        .select("key", F.array().cast("array<string>").alias("items"), "rest")
     )
-    sizes = [row[0] for row in candidates.select(F.size("items")).distinct().collect()]
+    for prefixes in levels.values():
+        step = (
+            state.select("key", "items", "rest", F.posexplode("rest").alias("_at", "_item"))
+            .select(
+                "key",
+                F.concat("items", F.array("_item")).alias("items"),
+                F.expr("slice(rest, _at + 2, size(rest))").alias("rest"),
+            )
+            .join(prefixes, "items")
+        )
+        found.append(step.where("whole").select("items", "key"))
+        state = step.where("open").select("key", "items", "rest")
+    return found
+
+
+def _walk_wide(pairs: DataFrame, levels: dict[int, DataFrame]) -> list[DataFrame]:
+    """Follow the candidates item by item with lookups on (key, item), so that no basket
+    meets in one task."""
     found = []
-    for size in sizes:
-        step = ranked.where(F.size("items") == size)
-        hits = step.withColumn("item", F.col("_steps")[0]).join(pairs, "item").drop("item")
-        for at in range(1, size):
-            hits = hits.withColumn("item", F.col("_steps")[at]).join(pairs, ["key", "item"]).drop("item")
-        found.append(hits.select("items", "key"))
-    if not found:
-        return ranked.select("items").join(pairs.select("key"), F.lit(False))
-    result = found[0]
-    for other in found[1:]:
-        result = result.unionByName(other)
-    return result
+    state = pairs.select("key", F.array().cast("array<string>").alias("_head")).distinct()
+    for size, prefixes in levels.items():
+        if size == 1:
+            step = pairs.select("key", F.array("item").alias("items")).join(prefixes, "items")
+        else:
+            children = prefixes.select(
+                F.slice("items", 1, size - 1).alias("_head"), "items", "whole", "open",
+                F.element_at("items", -1).alias("item"),
+            )
+            step = state.join(children, "_head").join(pairs, ["key", "item"], "left_semi")
+        found.append(step.where("whole").select("items", "key"))
+        state = step.where("open").select("key", F.col("items").alias("_head"))
+    return found
+
+
+def baskets_containing(rows: DataFrame, candidates: DataFrame, wide: int = WIDE_BASKET) -> DataFrame:
+    """[items, key]: the baskets that hold every item of a candidate.
+
+    Candidates are followed prefix by prefix: inside the basket where it has at most
+    `wide` items that matter, and by key lookups where it has more.
+    """
+    wanted = candidates.select(F.array_sort("items").alias("items")).distinct()
+    sizes = sorted(row[0] for row in wanted.select(F.size("items")).distinct().collect())
+    levels = {}
+    for size in range(1, sizes[-1] + 1 if sizes else 1):
+        reaching = wanted.where(F.size("items") >= size)
+        levels[size] = reaching.groupBy(F.slice("items", 1, size).alias("items")).agg(
+            F.bool_or(F.size("items") == size).alias("whole"), F.bool_or(F.size("items") > size).alias("open")
+        )
+    items = wanted.select(F.explode("items").alias("item")).distinct()
+    pairs = materialise(basket_items(rows).join(items, "item", "left_semi"), "matching")
+    keys = _wide_keys(pairs, wide)
+    if keys is None:
+        walks = [_walk_narrow(pairs, levels)]
+    else:
+        walks = [
+            _walk_narrow(pairs.join(keys, "key", "left_anti"), levels),
+            _walk_wide(pairs.join(keys, "key", "left_semi"), levels),
+        ]
+    hits = [found[size - 1] for found in walks for size in sizes]
+    if not hits:
+        return pairs.select(F.array("item").alias("items"), "key").limit(0)
+    return union_all(*hits)
 
 
 def local_frequent_sets(
@@ -262,10 +309,7 @@ def son_frequent_itemsets(
                 grown.join(level.select("head", "last"), ["head", "last"], "left_semi"), "occurrences"
             )
         size += 1
-    result = levels[0]
-    for level in levels[1:]:
-        result = result.unionByName(level)
-    return result
+    return union_all(*levels)
 
 
 def fpgrowth_itemsets(rows: DataFrame, support: int) -> DataFrame:

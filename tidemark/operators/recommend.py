@@ -80,6 +80,12 @@ def corated_pairs(ratings: DataFrame, flag: str | None = None) -> DataFrame:
     )
 
 
+def heavy_items(ratings: DataFrame, heavy_raters: int = HEAVY_RATERS) -> DataFrame | None:
+    """[item, raters] of the items with at least `heavy_raters` raters, None if there is none."""
+    heavy = item_degrees(ratings).where(F.col("raters") >= heavy_raters)
+    return heavy if heavy.limit(1).count() else None
+
+
 def _pair_sums(pairs: DataFrame) -> DataFrame:
     u, v = F.col("r_u"), F.col("r_v")
     return pairs.groupBy("u", "v").agg(
@@ -99,12 +105,12 @@ def _add_shared(stats: DataFrame, shared: Column, r_u: Column, r_v: Column) -> D
 
 
 def pair_stats(
-    ratings: DataFrame, users: DataFrame | None = None, heavy_raters: int = HEAVY_RATERS
+    ratings: DataFrame, users: DataFrame | None = None, heavy: DataFrame | None = None
 ) -> DataFrame:
     """[u, v, n, sum_u, sum_v, sum_uv, sum_u2, sum_v2, mean_u, mean_v] for every pair
     u < v that co-rated at least two items; with `users`, at least one of them is there.
 
-    A pair with two common items still meets on the rarer one when each user's most
+    `heavy` are the items of `heavy_items`. A pair with two common items still meets on the rarer one when each user's most
     common item is left out of the self-join. So a heavy item never lists all pairs of
     its raters: a user whose most common item is heavy drops that one item, and it is
     added back to the pairs found, by key.
@@ -115,8 +121,7 @@ def pair_stats(
         flag = "wanted"
         marks = users.select("user").distinct().withColumn(flag, F.lit(True))
         base = base.join(marks, "user", "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
-    heavy = item_degrees(ratings).where(F.col("raters") >= heavy_raters)
-    if heavy.limit(1).count() == 0:
+    if heavy is None:
         stats = _pair_sums(corated_pairs(base, flag))
     else:
         dropped = materialise(
@@ -177,10 +182,10 @@ def pearson_weight(stats: DataFrame, mode: str = "pearson") -> DataFrame:
 
 def directed_weights(weights: DataFrame) -> DataFrame:
     """[user, v, w, mean_v] in both directions, without the zero weights."""
+    there = F.struct(F.col("u").alias("user"), F.col("v").alias("v"), F.col("mean_v").alias("mean_v"))
+    back = F.struct(F.col("v").alias("user"), F.col("u").alias("v"), F.col("mean_u").alias("mean_v"))
     useful = weights.where(F.col("w") != 0)
-    there = useful.select(F.col("u").alias("user"), "v", "w", "mean_v")
-    back = useful.select(F.col("v").alias("user"), F.col("u").alias("v"), "w", F.col("mean_u").alias("mean_v"))
-    return there.unionByName(back)
+    return useful.select("w", F.inline(F.array(there, back))).select("user", "v", "w", "mean_v")
 
 
 # --- neighbourhood prediction --------------------------------------------------------
@@ -198,7 +203,7 @@ def attach_pair_stats(neighbours: DataFrame, weights: DataFrame) -> DataFrame:
 
 
 def neighbour_ratings(
-    test: DataFrame, ratings: DataFrame, weights: DataFrame, heavy_raters: int = HEAVY_RATERS
+    test: DataFrame, ratings: DataFrame, weights: DataFrame, heavy: DataFrame | None = None
 ) -> DataFrame:
     """[user, item, v, r_v, w, mean_v]: the weighted neighbours of every test pair.
 
@@ -206,9 +211,9 @@ def neighbour_ratings(
     user are looked up among the raters instead, so test pairs and raters of one item
     are never multiplied.
     """
-    heavy = item_degrees(ratings).where(F.col("raters") >= heavy_raters).select("item")
-    if heavy.limit(1).count() == 0:
+    if heavy is None:
         return attach_pair_stats(candidate_neighbours(test, ratings), weights)
+    heavy = heavy.select("item")
     light_test, heavy_test = test.join(heavy, "item", "left_anti"), test.join(heavy, "item", "left_semi")
     by_item = attach_pair_stats(candidate_neighbours(light_test, ratings), weights)
     raters = ratings.select("item", F.col("user").alias("v"), F.col("rating").alias("r_v"))
@@ -275,15 +280,20 @@ def user_cf(
     the prediction, 0 when they cancel or carry no weight; pairs without any neighbour
     get the user's mean, and vanish when the user has none.
     """
+    pairs = materialise(test.select("user", "item").distinct(), "pairs")
     every = dedupe_ratings(train)
-    pairs = test.select("user", "item").distinct()
-    known = subtract_pairs(every, pairs)
+    if mode == "literal":
+        every = materialise(every, "every")
+        known = subtract_pairs(every, pairs)
+    else:
+        known = materialise(subtract_pairs(every, pairs), "known")
     means = user_mean(known)
     hot_users = hot_keys(pairs, "user")
     ratings = every if mode == "literal" else known
-    stats = pair_stats(ratings, pairs, heavy_raters)
+    heavy = heavy_items(ratings, heavy_raters)
+    stats = pair_stats(ratings, pairs, heavy)
     weights = directed_weights(pearson_weight(stats, mode))
-    scored = weighted_prediction(neighbour_ratings(pairs, ratings, weights, heavy_raters))
+    scored = weighted_prediction(neighbour_ratings(pairs, ratings, weights, heavy))
     share = F.col("num") / F.col("den")
     if mode == "literal":
         met = has_neighbour(pairs, ratings).join(scored, ["user", "item"], "left")
@@ -328,7 +338,7 @@ def als_fit_predict(
     """[user, item, prediction] for the test pairs whose user and item were trained."""
     # The factors are checkpointed every few iterations in the shared folder.
     scratch_dir(train.sparkSession, "als")
-    both = train.select("user", "item").unionByName(test.select("user", "item"))
+    both = materialise(train.select("user", "item").unionByName(test.select("user", "item")), "ids")
     users, items = id_encode(both, "user", "user_id"), id_encode(both, "item", "item_id")
     hot_items = hot_keys(both, "item")
     hot_users = hot_keys(both, "user")
@@ -349,7 +359,7 @@ def als_fit_predict(
 
 def recommend_with_fallback(train: DataFrame, test: DataFrame, **als) -> DataFrame:
     """[user, item, prediction, source]: ALS where it can, else the user's or the global mean."""
-    pairs = test.select("user", "item").distinct()
+    pairs = materialise(test.select("user", "item").distinct(), "pairs")
     known = materialise(subtract_pairs(dedupe_ratings(train), pairs), "known")
     predicted = materialise(als_fit_predict(known, pairs, **als), "predicted")
     rest = fallback(

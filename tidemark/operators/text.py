@@ -6,7 +6,7 @@ from pyspark.ml.feature import IDF, CountVectorizer, HashingTF
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import hot_keys, salted_join
+from tidemark.operators.skew import HOT_KEYS, HOT_ROWS, hot_keys, salted_join
 
 # Width of the hashed feature space unless a query asks for less.
 HASH_FEATURES = 1 << 20
@@ -30,11 +30,19 @@ def idf(terms: DataFrame, n_docs: Column | int) -> DataFrame:
     return frequency.select("term", "df", F.log((n + 1) / (F.col("df") + 1)).alias("idf"))
 
 
+def heavy_documents(docs: DataFrame) -> list:
+    """Ids of the longest documents, by their own length; at most HOT_KEYS of them."""
+    long = docs.select("doc_id", F.size("words").alias("_n")).where(F.col("_n") >= HOT_ROWS)
+    return [row[0] for row in long.orderBy(F.desc("_n"), "doc_id").limit(HOT_KEYS).select("doc_id").collect()]
+
+
 def tfidf_long(docs: DataFrame) -> DataFrame:
     """[doc_id, term, tfidf] on the exact terms. A term found in most documents is salted."""
     terms = term_counts(docs)
     weights = idf(terms, document_count(docs)).select("term", "idf")
-    joined = salted_join(terms, weights, "term", hot=hot_keys(terms, "term"))
+    # A term has at most one row per document, so a smaller corpus has no heavy term.
+    many = docs.select("doc_id").count() >= HOT_ROWS
+    joined = salted_join(terms, weights, "term", hot=hot_keys(terms, "term") if many else [])
     return joined.select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 

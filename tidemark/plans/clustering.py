@@ -92,8 +92,8 @@ def _clustered_terms(spark, sf_dir):
     """Documents take the cluster of the embedding with their id."""
     assigned, _ = _lloyd(spark, sf_dir)
     assigned = assigned.withColumnRenamed("id", "doc_id")
-    terms = text.term_counts(adapters.documents(spark, sf_dir))
-    return assigned, ops.cluster_terms(assigned, terms)
+    docs = adapters.documents(spark, sf_dir)
+    return assigned, ops.cluster_terms(assigned, text.term_counts(docs), text.heavy_documents(docs))
 
 
 def cluster_terms(spark, sf_dir):

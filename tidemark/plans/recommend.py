@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import recommend as ops
-
 from tidemark.plans.oracle_views import RATINGS
 from tidemark.session import materialise, scratch_dir
 from tidemark.sources import adapters
 from tidemark.sources.readers import read_ratings
-from tidemark.sources.sinks import prediction_lines as lines_of
 from tidemark.sources.sinks import write_predictions
 
 # Forces the handling of heavy items on tables that have none.
-FEW_RATERS = 30
+FEW_RATERS = 36
 
 
 def _known(spark, sf_dir):
-    train, test = adapters.train_test(spark, sf_dir)
-    return ops.subtract_pairs(ops.dedupe_ratings(train), test), test
+    """(training ratings without the test pairs, test ratings)"""
+    every = materialise(adapters.ratings(spark, sf_dir), "ratings")
+    test = every.where("is_test").drop("is_test")
+    return ops.subtract_pairs(ops.dedupe_ratings(every), test), test
 
 
 def _rounded(predictions):
@@ -56,7 +56,8 @@ def item_mean(spark, sf_dir):
 
 
 def _stats(spark, sf_dir, heavy_raters=ops.HEAVY_RATERS):
-    return ops.pair_stats(_known(spark, sf_dir)[0], heavy_raters=heavy_raters)
+    known = materialise(_known(spark, sf_dir)[0], "known")
+    return ops.pair_stats(known, heavy=ops.heavy_items(known, heavy_raters))
 
 
 def _pair_columns(stats):

@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Small enough that a table written by few tasks is still read by many.
+ROW_GROUP_BYTES = 8 << 20
 
 
 def local_session(cpus: int | str = "*", name: str = "tidemark", memory: str = "12g") -> SparkSession:
@@ -50,5 +54,23 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Persist input that is read again and again, evenly over the cores.
+
+    Rows are only moved when the fullest partition holds more than twice its share.
+    """
+    kept = df.persist()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    profile = kept.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).select("n")
+    sizes = [row.n for row in profile.collect()]
+    partitions = max(cores, len(sizes))
+    if not sizes or max(sizes) <= 2 * sum(sizes) / partitions + 1:
+        return kept
+    even = kept.repartition(partitions).persist()
+    even.count()
+    kept.unpersist()
+    return even

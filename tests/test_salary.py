@@ -1,0 +1,161 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions.hashing import bloom_bits, bloom_sizing, java_hash
+from tidemark.functions.scalars import clean_country, saturating_int, two_decimals, words
+from tidemark.operators import salary
+from tidemark.operators.relational import local_threshold, peek, sort_by_key
+from tidemark.sources.readers import drop_header, read_baskets, read_documents, read_ratings, read_survey
+from tidemark.sources.sinks import write_csv_single
+
+
+def survey(spark, rows):
+    return spark.createDataFrame(rows, "country_raw string, salary_raw string, period_raw string")
+
+
+def stats(spark, rows, mode="plain"):
+    found = salary.salary_stats(salary.annual_salaries(survey(spark, rows)), mode).collect()
+    return {r.country: (r.n, r.min, r.max, r.avg) for r in found}
+
+
+def test_missing_salaries_are_dropped_and_zero_texts_kept(spark):
+    rows = [("A", raw, "Yearly") for raw in ("NA", "0", " ", "0.0", "0.00", "5")]
+    assert stats(spark, rows) == {"A": (3, 0, 5, 5 / 3)}
+
+
+def test_periods_and_separators(spark):
+    rows = [("A", "1,000", "Weekly"), ("A", '"2,000.50"', "Monthly"), ("A", "3", "NA"), ("A", "4", "Hourly")]
+    assert stats(spark, rows) == {"A": (3, 3, 52000, (52000 + 24006 + 3) / 3)}
+
+
+def test_rejects_are_counted(spark):
+    rows = [("A", "abc", "Yearly"), ("A", "7", "Hourly"), ("A", "7", "Daily"), ("A", "8", "Yearly")]
+    found = {r.reason: r.n for r in salary.salary_rejects(survey(spark, rows)).collect()}
+    assert found == {"malformed salary": 1, "unknown period": 2}
+
+
+def test_saturation_needs_two_rows(spark):
+    rows = [("one", "3000000000", "Yearly"), ("two", "1500000000", "Yearly"), ("two", "1500000000", "Yearly")]
+    found = stats(spark, rows, "saturating")
+    assert found["one"] == (1, 2147483647, 2147483647, 3e9)
+    assert found["two"] == (2, 1500000000, 1500000000, 2147483647 / 2)
+
+
+def test_total_comes_first(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), ("Zed",)], "country string")
+    found = [(r.country, r.n) for r in salary.count_by_group(df, "country").collect()]
+    assert found == [("Total", 4), ("Zed", 1), ("a", 1), ("b", 2)]
+
+
+def test_number_texts_round_half_even(spark):
+    df = spark.createDataFrame([(x,) for x in (0.125, 0.135, 0.5, 1234.5, 0.375)], "x double")
+    assert [r[0] for r in df.select(two_decimals(F.col("x"))).collect()][2:] == [".50", "1234.50", ".38"]
+    assert df.select(two_decimals(F.col("x"))).first()[0] == ".12"
+
+
+def test_saturating_int(spark):
+    df = spark.createDataFrame([(-3.9,), (3.9,), (1e12,), (-1e12,), (float("nan"),)], "x double")
+    assert [r[0] for r in df.select(saturating_int(F.col("x"))).collect()] == [-3, 3, 2147483647, -2147483648, 0]
+
+
+def test_country_is_trimmed_before_unquoting(spark):
+    df = spark.createDataFrame([('\t "X" ',), ('" X"',)], "c string")
+    assert [r[0] for r in df.select(clean_country(F.col("c"))).collect()] == ["X", " X"]
+
+
+def reference_hash(text):
+    units = text.encode("utf-16-be")
+    h = 0
+    for i in range(0, len(units), 2):
+        h = (31 * h + int.from_bytes(units[i : i + 2], "big")) % 2**32
+    return h - 2**32 if h >= 2**31 else h
+
+
+def test_java_hash(spark):
+    rng = random.Random(1)
+    texts = ["", "a", "Aa", "BB", "Ελλάδα", "snow ☃", "emoji 😀!"]
+    texts += ["".join(chr(rng.randrange(32, 0x2000)) for _ in range(rng.randrange(30))) for _ in range(100)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(java_hash(F.col("t"))).collect()] == [reference_hash(t) for t in texts]
+
+
+def test_bloom_bits_stay_in_range(spark):
+    df = spark.range(500).select(F.concat(F.lit("t"), "id").alias("t"))
+    for m, k, family in ((100, 3, "mod"), (1000, 7, "xxhash"), (1 << 40, 5, "xxhash")):
+        bits = df.select(bloom_bits(F.col("t"), m, k, family).alias("b"))
+        assert bits.where(f"size(b) <> {k} or exists(b, x -> x < 0 or x >= {m})").count() == 0
+    with pytest.raises(ValueError):
+        bloom_bits(F.col("t"), 64, 3)
+
+
+def test_bloom_sizing(spark):
+    k, rate = bloom_sizing(F.col("n"), 1000)
+    row = spark.createDataFrame([(100,)], "n int").select(k.alias("k"), rate.alias("p")).first()
+    assert row.k == 7 and abs(row.p - 0.00819) < 1e-4
+
+
+def test_partition_profile(spark):
+    df = spark.createDataFrame([(c,) for c in ["x"] * 50 + ["y", "z"]], "c string").repartition(3)
+    logical = {r.pid: r.rows for r in salary.partition_profile(df, "c", 4).collect()}
+    expected = dict.fromkeys(range(4), 0)
+    for c, n in (("x", 50), ("y", 1), ("z", 1)):
+        expected[reference_hash(c) % 4] += n
+    assert logical == expected
+    physical = salary.partition_profile(df, "c", 4, physical=True)
+    assert sum(r.rows for r in physical.collect()) == 52
+    text = salary.partition_profile_text(salary.partition_profile(df, "c", 4), "partition").first()
+    assert text.sizes == "[" + ",".join(str(expected[i]) for i in range(4)) + "]"
+
+
+def test_sums_land_in_the_asked_partitions(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 5)], "k string, v int")
+    sums = salary.sum_by_group(df, "k", "v", partitions=2)
+    assert sums.rdd.getNumPartitions() == 2
+    assert sorted((r.k, r.total) for r in sums.collect()) == [("a", 3), ("b", 5)]
+
+
+def test_survey_file(spark, tmp_path):
+    header = ",".join(f"c{i}" for i in range(54))
+    def line(country, pay, period):
+        return ",".join([*"012", country, *["x"] * 48, pay, period])
+    body = [line('"Congo, Republic of the..."', '"1,234.50"', "NA"), line("Peru", "0", "Weekly")]
+    (tmp_path / "s.csv").write_text("\n".join([header, *body]) + "\n")
+    found = [tuple(r) for r in read_survey(spark, str(tmp_path / "s.csv")).collect()]
+    assert found == [("Congo, Republic of the...", "1,234.50", "NA"), ("Peru", "0", "Weekly")]
+    broken = [header, line('"two\nlines"', "5", "Yearly")]
+    (tmp_path / "m.csv").write_text("\n".join(broken) + "\n")
+    assert read_survey(spark, str(tmp_path / "m.csv"), multi_line=True).first().country == "two\nlines"
+
+
+def test_plain_files(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("u,i,r\na,x,4\nb,y,2.5\n")
+    assert [tuple(r) for r in read_ratings(spark, str(tmp_path / "r.csv")).collect()] == [("a", "x", 4.0), ("b", "y", 2.5)]
+    (tmp_path / "b.txt").write_text("k1,apple,9\nk1,pear\n")
+    assert [tuple(r) for r in read_baskets(spark, str(tmp_path / "b.txt")).collect()] == [("k1", "apple"), ("k1", "pear")]
+    (tmp_path / "d.txt").write_text("a  b a\n\nc\n")
+    docs = read_documents(spark, str(tmp_path / "d.txt")).collect()
+    assert [r.words for r in docs] == [["a", "b", "a"], [], ["c"]]
+    assert len({r.doc_id for r in docs}) == 3
+    lines = drop_header(spark.read.text(str(tmp_path / "r.csv")))
+    assert [r.value for r in lines.collect()] == ["a,x,4", "b,y,2.5"]
+
+
+def test_single_csv_and_its_large_form(spark, tmp_path):
+    df = spark.range(50).select(F.format_string("k%03d", "id").alias("k"), "id").repartition(4)
+    for rows, files in ((1000, 1), (10, None)):
+        path = tmp_path / f"out{rows}"
+        write_csv_single(df, str(path), "k", max_rows=rows)
+        parts = sorted(path.glob("part-*"))
+        assert files is None or len(parts) == files
+        lines = [line for part in parts for line in part.read_text().split()]
+        assert lines == [f"k{i:03d},{i}" for i in range(50)]
+
+
+def test_small_helpers(spark):
+    df = spark.createDataFrame([("b  c ",), ("a",)], "t string")
+    assert [r[0] for r in df.select(words(F.col("t"))).collect()] == [["b", "c"], ["a"]]
+    assert [r.t for r in sort_by_key(df, "t").collect()] == ["a", "b  c "]
+    assert peek(df, 1).count() == 1
+    assert local_threshold(3, 8) == 1 and local_threshold(60, 8) == 7

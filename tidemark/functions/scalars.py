@@ -64,7 +64,7 @@ def saturating_int(c: Column) -> Column:
 
 def two_decimals(c: Column) -> Column:
     """Text with two decimals, half-even, no grouping and no leading zero."""
-    return F.format_number(c, "#.00")
+    return F.call_function("format_number", c, F.lit("#.00"))
 
 
 def error_bucket(abs_err: Column) -> Column:

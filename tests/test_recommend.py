@@ -184,3 +184,14 @@ def test_ids_are_dense(spark):
     df = spark.createDataFrame([(x,) for x in "banana"], "letter string")
     ids = ops.id_encode(df, "letter", "id").orderBy("letter").collect()
     assert [(r.letter, r.id) for r in ids] == [("a", 0), ("b", 1), ("n", 2)]
+
+
+@pytest.mark.parametrize("heavy", [10_000, 10, 1])
+def test_neighbours_of_open_pairs(spark, heavy):
+    train, test = fixture(13, density=0.05)
+    train = {k: r for k, r in train.items() if k not in test}
+    test = {**test, **{(f"u{u}", f"i{i}"): 1.0 for u in range(30) for i in range(2, 25)}}
+    pairs, by_item = brute_pairs(train)
+    expected = {(u, i) for u, i in test if any(v != u and (u, v) in pairs for v in by_item.get(i, {}))}
+    found = ops.has_neighbour(frame(spark, test), frame(spark, train), heavy).collect()
+    assert len(found) == len(expected) and {(r.user, r.item) for r in found} == expected

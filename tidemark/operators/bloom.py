@@ -122,7 +122,7 @@ def bloom_probe(
         for i in range(k):
             bit = F.col("_bits")[i]
             # shiftright wants a plain number of places, so divide by the power of two.
-            word = words.getItem(F.floor(bit / WORD).cast("int"))
+            word = words[F.floor(bit / WORD).cast("int")]
             hits = hits & (F.floor(word / F.pow(F.lit(2.0), bit % WORD)).cast("bigint") % 2 == 1)
         return df.withColumn("_bits", bits).withColumn("maybe", hits).drop("_bits")
     values = df.select(F.col(col).alias("_value")).distinct()

@@ -200,6 +200,9 @@ def lloyd_kmeans(
 
 
 def _fit(estimator, points: DataFrame, vec: str) -> tuple[DataFrame, np.ndarray]:
+    first = points.select(vec).first()
+    if first is not None and estimator.getK() * first[0].size > MAX_MODEL_VALUES:
+        raise ValueError("the centres exceed the model limit; hash to fewer features")
     kept = spread(points.select(vec))
     model = estimator.setFeaturesCol(vec).setPredictionCol("cluster").fit(kept)
     kept.unpersist()

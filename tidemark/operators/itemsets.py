@@ -17,6 +17,8 @@ from tidemark.session import materialise
 # Baskets up to this many frequent items have their subsets listed directly.
 WIDE_BASKET = 64
 MAX_BROADCAST_ROWS = 1_000_000
+# Frequent items up to this many are mined with trees.
+MAX_TREE_ITEMS = 100_000
 
 
 def basket_items(rows: DataFrame) -> DataFrame:
@@ -312,14 +314,18 @@ def son_frequent_itemsets(
     return union_all(*levels)
 
 
-def fpgrowth_itemsets(rows: DataFrame, support: int) -> DataFrame:
+def fpgrowth_itemsets(rows: DataFrame, support: int, max_items: int = MAX_TREE_ITEMS) -> DataFrame:
     """The same itemsets from the built-in miner.
 
-    Baskets are cut to their frequent items first; an array can't exceed the number of
-    frequent items, which the support bounds.
+    Baskets are cut to their frequent items first, so no array exceeds their number. The
+    miner keeps these items on the driver; beyond `max_items` of them the level-wise
+    method takes over.
     """
     pairs = materialise(basket_items(rows), "baskets")
-    singles = min_support(pairs.groupBy("item").agg(F.count("*").alias("support")), support)
+    counts = pairs.groupBy("item").agg(F.count("*").alias("support"))
+    singles = materialise(min_support(counts, support), "singles")
+    if singles.count() > max_items:
+        return son_frequent_itemsets(pairs, support)
     baskets = materialise(
         salted_join(pairs, singles.select("item"), "item")
         .groupBy("key")

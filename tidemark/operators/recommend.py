@@ -16,6 +16,8 @@ from tidemark.session import materialise, scratch_dir
 
 # An item with at least this many raters is kept out of the pair listing where possible.
 HEAVY_RATERS = 10_000
+# A user with at least this many ratings is matched by user instead of by item.
+HEAVY_RATINGS = 10_000
 
 PAIR_SUMS = ("n", "sum_u", "sum_v", "sum_uv", "sum_u2", "sum_v2")
 
@@ -229,8 +231,13 @@ def weighted_prediction(neighbours: DataFrame) -> DataFrame:
     )
 
 
-def has_neighbour(test: DataFrame, ratings: DataFrame) -> DataFrame:
-    """[user, item]: test pairs whose item was rated by someone who shares an item with the user."""
+def has_neighbour(test: DataFrame, ratings: DataFrame, heavy_ratings: int = HEAVY_RATINGS) -> DataFrame:
+    """[user, item]: test pairs whose item was rated by someone who shares an item with the user.
+
+    Only pairs outside the ratings need a search. It goes through the other items of the
+    item's raters; a rater with very many ratings is matched with the users it shares an
+    item with instead, so its items are never multiplied.
+    """
     pairs = test.select("user", "item").distinct()
     rated = ratings.select("user", "item")
     shared = item_degrees(ratings).where(F.col("raters") >= 2).select("item")
@@ -238,10 +245,24 @@ def has_neighbour(test: DataFrame, ratings: DataFrame) -> DataFrame:
     own = pairs.join(rated, ["user", "item"], "left_semi").join(shared, "item", "left_semi")
     # Not rated: look for an item of the user among the items rated together with it.
     open_pairs = pairs.join(rated, ["user", "item"], "left_anti")
+    degree = rated.groupBy("user").agg(F.count("*").alias("_n"))
+    heavy = degree.where(F.col("_n") >= heavy_ratings).select("user")
+    by_heavy = None
+    light = rated
+    if heavy.limit(1).count():
+        light = rated.join(heavy, "user", "left_anti")
+        of_heavy = rated.join(heavy, "user", "left_semi").withColumnRenamed("user", "v")
+        linked_to = rated.join(of_heavy, "item").select("user", "v").distinct()
+        by_heavy = (
+            open_pairs.join(of_heavy, "item")
+            .where(F.col("user") != F.col("v"))
+            .join(linked_to, ["user", "v"], "left_semi")
+            .select("user", "item")
+        )
     together = (
-        rated.join(open_pairs.select("item").distinct(), "item", "left_semi")
+        light.join(open_pairs.select("item").distinct(), "item", "left_semi")
         .withColumnRenamed("item", "target")
-        .join(rated, "user")
+        .join(light, "user")
         .select("target", "item")
         .distinct()
     )
@@ -250,8 +271,10 @@ def has_neighbour(test: DataFrame, ratings: DataFrame) -> DataFrame:
         .join(together, "target")
         .join(rated, ["user", "item"], "left_semi")
         .select("user", F.col("target").alias("item"))
-        .distinct()
     )
+    if by_heavy is not None:
+        linked = linked.unionByName(by_heavy)
+    linked = linked.distinct()
     return own.unionByName(linked)
 
 

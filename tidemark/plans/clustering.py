@@ -15,7 +15,7 @@ from tidemark.sources.sinks import write_cluster_report
 K = 5
 ROUNDS = 3
 FEATURES = 1 << 16
-# Fixed value: seed of the reference run of the own k-means.
+# Fixed value: seed of the sampled centres.
 SEED = 20181031
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import clamp, error_bucket
 from tidemark.operators.relational import anti_by_key, union_all
-from tidemark.operators.skew import hot_keys, number_rows, salted_join
+from tidemark.operators.skew import HOT_KEYS, HOT_ROWS, hot_keys, number_rows, salted_join
 from tidemark.session import materialise, scratch_dir
 
 # An item with at least this many raters is kept out of the pair listing where possible.
@@ -85,7 +85,13 @@ def corated_pairs(ratings: DataFrame, flag: str | None = None) -> DataFrame:
 def heavy_items(ratings: DataFrame, heavy_raters: int = HEAVY_RATERS) -> DataFrame | None:
     """[item, raters] of the items with at least `heavy_raters` raters, None if there is none."""
     heavy = item_degrees(ratings).where(F.col("raters") >= heavy_raters)
-    return heavy if heavy.limit(1).count() else None
+    return materialise(heavy, "heavy") if heavy.limit(1).count() else None
+
+
+def _heaviest(heavy: DataFrame) -> list:
+    """The heavy items that joins must salt."""
+    top = heavy.where(F.col("raters") >= HOT_ROWS).orderBy(F.desc("raters"), "item").limit(HOT_KEYS)
+    return [row.item for row in top.select("item").collect()]
 
 
 def _pair_sums(pairs: DataFrame) -> DataFrame:
@@ -122,12 +128,12 @@ def pair_stats(
     if users is not None:
         flag = "wanted"
         marks = users.select("user").distinct().withColumn(flag, F.lit(True))
-        base = base.join(marks, "user", "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+        base = salted_join(base, marks, "user", "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
     if heavy is None:
         stats = _pair_sums(corated_pairs(base, flag))
     else:
         dropped = materialise(
-            ratings.join(heavy, "item")
+            salted_join(ratings, heavy, "item", hot=_heaviest(heavy))
             .groupBy("user")
             .agg(F.max_by(F.struct("item", "rating"), F.struct("raters", "item")).alias("top"))
             .select("user", "top.*"),
@@ -215,8 +221,9 @@ def neighbour_ratings(
     """
     if heavy is None:
         return attach_pair_stats(candidate_neighbours(test, ratings), weights)
-    heavy = heavy.select("item")
-    light_test, heavy_test = test.join(heavy, "item", "left_anti"), test.join(heavy, "item", "left_semi")
+    marks = heavy.select("item", F.lit(True).alias("_heavy"))
+    marked = salted_join(test.select("user", "item"), marks, "item", "left", _heaviest(heavy))
+    light_test, heavy_test = marked.where(F.col("_heavy").isNull()), marked.where("_heavy")
     by_item = attach_pair_stats(candidate_neighbours(light_test, ratings), weights)
     raters = ratings.select("item", F.col("user").alias("v"), F.col("rating").alias("r_v"))
     by_user = heavy_test.select("user", "item").join(weights, "user").join(raters, ["v", "item"])

@@ -24,8 +24,7 @@ def _draw():
 
 def _messages(spark, sf_dir):
     """[seq, len, tags]"""
-    messages = adapters.messages(spark, sf_dir)
-    return messages.select("seq", F.length("body").cast("bigint").alias("len"), "tags")
+    return adapters.message_lengths(spark, sf_dir).select("seq", "len", "tags")
 
 
 def java_hash(spark, sf_dir):
@@ -134,7 +133,8 @@ def reservoir_snapshot_last(spark, sf_dir):
 
 
 def avg_text_length(spark, sf_dir):
-    return reservoir.avg_text_length(adapters.messages(spark, sf_dir)).withColumn("avg_len", F.round("avg_len", 6))
+    turns = adapters.table(spark, sf_dir, "conversations")
+    return reservoir.avg_text_length(turns, "text").withColumn("avg_len", F.round("avg_len", 6))
 
 
 def tag_counts(spark, sf_dir):
@@ -163,9 +163,9 @@ def stream_reservoir(spark, sf_dir):
     stream = adapters.tags_of(_event_stream(spark, sf_dir))
     query = jobs.reservoir_stream(stream, state, f"{state}/offsets", K, _draw())
     held = jobs.reservoir_state(spark, state, jobs.last_batch(query))
-    texts = adapters.with_body(held, adapters.table(spark, sf_dir, "documents"))
-    lengths = texts.select("seq", F.length("body").cast("bigint").alias("len"))
-    return held.select("slot", "seq").join(lengths, "seq").select("slot", "seq", "len")
+    documents = adapters.table(spark, sf_dir, "documents")
+    lengths = adapters.with_text(held, documents, adapters.text_length(), "len").select("seq", "len")
+    return held.select("slot", "seq").join(lengths, "seq")
 
 
 def _tag_stream(spark, sf_dir):
@@ -301,7 +301,7 @@ changes AS (SELECT seq, len - coalesce(lag(len) OVER (PARTITION BY slot ORDER BY
 SELECT seq, CAST(sum(change) OVER (ORDER BY seq) AS BIGINT) AS total_len FROM changes""",
     "reservoir_snapshot": _SNAPSHOTS,
     "reservoir_snapshot_last": _last_snapshot(_DOCUMENT_LENGTHS),
-    "avg_text_length": f"WITH {MESSAGES} SELECT round(avg(body_len), 6) AS avg_len FROM messages",
+    "avg_text_length": "SELECT round(avg(length(text)), 6) AS avg_len FROM conversations",
     "tag_counts": f"{_ENTERED}, {TAGS} SELECT tag, count(*) AS n FROM held JOIN tags USING (seq) GROUP BY tag",
     "top_tags": f"""WITH {TAGS}, counts AS (SELECT tag, count(*) AS n FROM tags GROUP BY tag)
 SELECT CAST(row_number() OVER (ORDER BY n DESC, tag) AS INTEGER) AS rank, tag, n FROM counts

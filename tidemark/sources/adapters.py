@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import words
@@ -102,20 +102,25 @@ def tags_of(events: DataFrame, *keep: str) -> DataFrame:
     return events.select((F.col("event_id") + 1).alias("seq"), "ts", "event_id", *keep, tags.alias("tags"))
 
 
-def with_body(tagged: DataFrame, documents: DataFrame) -> DataFrame:
-    """[seq, ts, body, tags]: the text of a message is a document, taken round robin."""
+def with_text(tagged: DataFrame, documents: DataFrame, text: Column, name: str) -> DataFrame:
+    """[seq, ts, tags, name]: the text of a message is a document, taken round robin.
+
+    `text` is worked out before the join, so a length doesn't carry the texts along.
+    """
     n_docs = documents.agg(F.count("*")).scalar()
-    lookup = documents.select(F.col("doc_id").alias("_doc"), F.col("text").alias("body"))
-    return (
-        tagged.withColumn("_doc", F.col("event_id") % n_docs)
-        .join(lookup, "_doc")
-        .select("seq", "ts", "body", "tags")
-    )
+    lookup = documents.select(F.col("doc_id").alias("_doc"), text.alias(name))
+    joined = tagged.withColumn("_doc", F.col("event_id") % n_docs).join(lookup, "_doc")
+    return joined.select("seq", "ts", "tags", name)
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """[seq, ts, body, tags]"""
-    return with_body(tags_of(table(spark, sf_dir, "events")), table(spark, sf_dir, "documents"))
+def text_length() -> Column:
+    return F.length("text").cast("bigint")
+
+
+def message_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """[seq, ts, tags, len]"""
+    tagged = tags_of(table(spark, sf_dir, "events"))
+    return with_text(tagged, table(spark, sf_dir, "documents"), text_length(), "len")
 
 
 def message_tags(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ def _known(spark, sf_dir):
     """(training ratings without the test pairs, test ratings)"""
     every = materialise(adapters.ratings(spark, sf_dir), "ratings")
     test = every.where("is_test").drop("is_test")
-    return ops.subtract_pairs(ops.dedupe_ratings(every), test), test
+    return materialise(ops.subtract_pairs(every.drop("is_test"), test), "known"), test
 
 
 def _rounded(predictions):
@@ -56,7 +56,7 @@ def item_mean(spark, sf_dir):
 
 
 def _stats(spark, sf_dir, heavy_raters=ops.HEAVY_RATERS):
-    known = materialise(_known(spark, sf_dir)[0], "known")
+    known = _known(spark, sf_dir)[0]
     return ops.pair_stats(known, heavy=ops.heavy_items(known, heavy_raters))
 
 

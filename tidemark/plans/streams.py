@@ -191,7 +191,7 @@ def stream_report(spark, sf_dir):
     tagged = adapters.tags_of(events, "len")
     query = jobs.write_stream_report(tagged, state, f"{state}/reports", f"{state}/offsets", K, _draw())
     jobs.last_batch(query)
-    reports = spark.read.parquet(f"{state}/reports/batch-*")
+    reports = spark.read.parquet(f"{state}/reports")
     return _report_text(reports.select("n", "top_tags", "avg_len"))
 
 

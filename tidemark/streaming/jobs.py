@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import bloom, reservoir
@@ -66,7 +65,8 @@ def write_stream_report(
     draw: Column | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """One report row [batch, n, top_tags, avg_len] per micro-batch of [seq, len, tags]."""
+    """One report row [n, top_tags, avg_len] per micro-batch of [seq, len, tags], in a folder
+    of its own; read together they also have the column `batch`."""
     state = LatestState(f"{state_dir}/reservoir")
     reports = LatestState(report_dir)
 
@@ -77,8 +77,7 @@ def write_stream_report(
         if held is not None:
             entered = held.unionByName(entered)
         held = state.put(reservoir.latest_per_slot(entered), batch_id)
-        report = reservoir.held_report(held).withColumn("batch", F.lit(batch_id))
-        reports.put(report, batch_id)
+        reports.put(reservoir.held_report(held), batch_id)
 
     return start(stream, step, checkpoint, trigger)
 
@@ -137,5 +136,5 @@ def _new_tags(tags: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def stream_flags(spark, state_dir: str, table: str = "flags") -> DataFrame:
-    """The flags of all batches so far."""
-    return spark.read.parquet(f"{state_dir}/{table}/batch-*")
+    """The flags of all batches so far, with the number of the `batch`."""
+    return spark.read.parquet(f"{state_dir}/{table}")

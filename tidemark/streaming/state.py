@@ -19,10 +19,10 @@ class BatchState:
         self.path, self.schema, self.every = path, schema, compact_every
 
     def _batch(self, batch_id: int) -> str:
-        return f"{self.path}/batch-{batch_id}"
+        return f"{self.path}/batch={batch_id}"
 
     def _base(self, batch_id: int) -> str:
-        return f"{self.path}/base-{batch_id}"
+        return f"{self.path}/base={batch_id}"
 
     def _read(self, spark: SparkSession, base: int, until: int) -> DataFrame:
         paths = [self._base(base)] if base else []
@@ -55,8 +55,8 @@ class LatestState:
         return self.at(spark, batch_id - 1) if batch_id else None
 
     def at(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/batch-{batch_id}")
+        return spark.read.parquet(f"{self.path}/batch={batch_id}")
 
     def put(self, df: DataFrame, batch_id: int) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.path}/batch-{batch_id}")
+        df.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
         return self.at(df.sparkSession, batch_id)

@@ -2,7 +2,6 @@ import random
 from itertools import combinations
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.operators import itemsets as ops
 from tidemark.operators.relational import candidate_intersect, candidate_union, sort_itemsets

@@ -3,7 +3,6 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 import oracle
 from tidemark.operators import clustering, recommend, salary

@@ -4,7 +4,6 @@ from collections import defaultdict
 
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.sql import functions as F
 
 from tidemark.operators import recommend as ops
 

@@ -9,7 +9,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import clamp, error_bucket
+from tidemark.functions.scalars import clamp, error_bucket, not_self_pair
 from tidemark.operators.relational import anti_by_key, union_all
 from tidemark.operators.skew import HOT_KEYS, HOT_ROWS, hot_keys, number_rows, salted_join
 from tidemark.session import materialise, scratch_dir
@@ -202,7 +202,7 @@ def directed_weights(weights: DataFrame) -> DataFrame:
 def candidate_neighbours(test: DataFrame, ratings: DataFrame) -> DataFrame:
     """[user, item, v, r_v]: who else rated the item of a test pair."""
     others = ratings.select("item", F.col("user").alias("v"), F.col("rating").alias("r_v"))
-    return test.select("user", "item").join(others, "item").where(F.col("user") != F.col("v"))
+    return test.select("user", "item").join(others, "item").where(not_self_pair(F.col("user"), F.col("v")))
 
 
 def attach_pair_stats(neighbours: DataFrame, weights: DataFrame) -> DataFrame:

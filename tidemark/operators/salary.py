@@ -13,6 +13,7 @@ from tidemark.functions.scalars import (
     clean_country,
     clean_salary,
     saturating_int,
+    two_decimals,
     valid_salary,
 )
 
@@ -84,6 +85,11 @@ def salary_stats(df: DataFrame, mode: str = "plain") -> DataFrame:
     )
 
 
+def salary_report(stats: DataFrame) -> DataFrame:
+    """The statistics with the average as text of two decimals."""
+    return stats.withColumn("avg", two_decimals(F.col("avg")))
+
+
 def assemble_by_join(
     largest: DataFrame, smallest: DataFrame, counts: DataFrame, averages: DataFrame, on: str
 ) -> DataFrame:

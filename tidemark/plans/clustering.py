@@ -9,7 +9,7 @@ from tidemark.operators import text
 from tidemark.plans.oracle_views import POINTS, WORDS
 from tidemark.session import materialise, scratch_dir
 from tidemark.sources import adapters
-from tidemark.sources.readers import documents_from_table
+from tidemark.sources.readers import documents_from_table, read_documents
 from tidemark.sources.sinks import write_cluster_report
 
 K = 5
@@ -21,7 +21,16 @@ SEED = 20181031
 
 def documents_words(spark, sf_dir):
     docs = documents_from_table(adapters.table(spark, sf_dir, "documents"))
-    return docs.select("doc_id", F.size("words").cast("bigint").alias("n"), F.element_at("words", 1).alias("first"))
+    return docs.select("doc_id", F.size("words").cast("bigint").alias("n"), F.get("words", F.lit(0)).alias("first"))
+
+
+def documents_text(spark, sf_dir):
+    """The documents as a text file, one to a line, written and read back."""
+    path = scratch_dir(spark, "documents")
+    lines = adapters.table(spark, sf_dir, "documents").select(F.translate("text", "\r\n", "  ").alias("value"))
+    lines.write.text(path)
+    docs = read_documents(spark, path)
+    return docs.select(F.size("words").cast("bigint").alias("n"), F.get("words", F.lit(0)).alias("first"))
 
 
 def term_counts(spark, sf_dir):
@@ -172,7 +181,7 @@ def bisecting_report_16(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        documents_words, term_counts, idf, tfidf, bag_of_words, hashing_tfidf, point_centre_distances,
+        documents_words, documents_text, term_counts, idf, tfidf, bag_of_words, hashing_tfidf, point_centre_distances,
         assign_nearest, lloyd_kmeans, lloyd_centres, cluster_sse, cluster_terms, cluster_top_terms,
         cluster_top_terms_literal, cluster_report, lloyd_report_tfidf, lloyd_report_words,
         kmeans_report_8, kmeans_report_16, bisecting_report_8, bisecting_report_16,
@@ -208,6 +217,10 @@ ORACLE = {
     "documents_words": f"""WITH {WORDS}
 SELECT d.doc_id, count(w.term) AS n, list_filter(string_split(d.text, ' '), lambda x: x <> '')[1] AS first
 FROM documents d LEFT JOIN words w ON w.doc_id = d.doc_id GROUP BY d.doc_id, d.text""",
+    "documents_text": """WITH split AS (
+  SELECT list_filter(string_split(replace(replace(text, chr(10), ' '), chr(13), ' '), ' '), lambda x: x <> '') AS w
+  FROM documents)
+SELECT len(w) AS n, w[1] AS first FROM split""",
     "term_counts": f"WITH {WORDS} SELECT doc_id, term, tf FROM terms",
     "idf": f"""WITH {WORDS}
 SELECT term, count(*) AS df, round(ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)), 6) AS idf

@@ -8,7 +8,9 @@ from tidemark.functions.scalars import contains_all
 from tidemark.operators import itemsets as ops
 from tidemark.operators import relational as rel
 from tidemark.plans.oracle_views import BASKETS
+from tidemark.session import scratch_dir
 from tidemark.sources import adapters
+from tidemark.sources.readers import read_baskets
 from tidemark.sources.sinks import format_itemsets
 
 CHUNKS = 8
@@ -26,6 +28,13 @@ def _text(df):
     return df.withColumn("items", F.array_join("items", ","))
 
 
+def baskets_csv_roundtrip(spark, sf_dir):
+    """Headerless basket lines with a further column, written and read back."""
+    path = scratch_dir(spark, "baskets")
+    adapters.basket_rows(spark, sf_dir).withColumn("extra", F.lit("x")).write.csv(path)
+    return read_baskets(spark, path)
+
+
 def baskets(spark, sf_dir):
     return _text(ops.build_baskets(adapters.basket_rows(spark, sf_dir)))
 
@@ -101,7 +110,7 @@ def candidate_union(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        baskets, son_local_items, son_local_pairs, apriori_candidates, global_support, son_itemsets,
+        baskets_csv_roundtrip, baskets, son_local_items, son_local_pairs, apriori_candidates, global_support, son_itemsets,
         son_itemsets_wide, fpgrowth_itemsets, itemset_lines, baskets_with_itemset, candidate_union,
     )
 }
@@ -132,6 +141,8 @@ _PAIRS3 = f"""pairs AS (SELECT x.item AS a, y.item AS b
        GROUP BY 1, 2 HAVING count(*) >= 3 * {_S})"""
 
 ORACLE = {
+    "baskets_csv_roundtrip": """SELECT CAST(l.l_orderkey AS VARCHAR) AS key, p.p_brand AS item
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
     "baskets": f"""WITH {BASKETS}
 SELECT key, CAST(0 AS BIGINT) AS part, string_agg(item, ',' ORDER BY item) AS items FROM rows_ GROUP BY key""",
     "son_local_items": f"""WITH {BASKETS}

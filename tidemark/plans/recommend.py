@@ -8,7 +8,7 @@ from tidemark.operators import recommend as ops
 from tidemark.plans.oracle_views import RATINGS
 from tidemark.session import materialise, scratch_dir
 from tidemark.sources import adapters
-from tidemark.sources.readers import read_ratings
+from tidemark.sources.readers import drop_header, read_ratings
 from tidemark.sources.sinks import write_predictions
 
 # Forces the handling of heavy items on tables that have none.
@@ -32,6 +32,14 @@ def ratings_csv_roundtrip(spark, sf_dir):
     return read_ratings(spark, path)
 
 
+def ratings_lines(spark, sf_dir):
+    """The lines of the rating file without its header line."""
+    path = scratch_dir(spark, "lines")
+    whole = F.col("rating").cast("bigint").alias("rating")
+    adapters.ratings(spark, sf_dir).select("user", "item", whole).write.option("header", True).csv(path)
+    return drop_header(spark.read.text(path))
+
+
 def ratings_dedup(spark, sf_dir):
     lines = adapters.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = adapters.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -151,7 +159,7 @@ def als_metrics(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        ratings_csv_roundtrip, ratings_dedup, train_minus_test, user_mean, item_mean, corated_pairs,
+        ratings_csv_roundtrip, ratings_lines, ratings_dedup, train_minus_test, user_mean, item_mean, corated_pairs,
         corated_pairs_heavy, pearson_weight, user_cf_predict, user_cf_heavy, user_cf_literal,
         fallback_predict, mean_error_histogram, mean_rmse, cf_error_histogram, cf_rmse,
         prediction_lines, id_encode, als_predict, als_metrics,
@@ -217,6 +225,9 @@ GROUP BY b.bucket"""
 ORACLE = {
     "ratings_csv_roundtrip": f"""WITH {RATINGS}
 SELECT CAST("user" AS VARCHAR) AS "user", CAST(item AS VARCHAR) AS item, rating FROM ratings""",
+    "ratings_lines": f"""WITH {RATINGS}
+SELECT CAST("user" AS VARCHAR) || ',' || CAST(item AS VARCHAR) || ',' || CAST(CAST(rating AS BIGINT) AS VARCHAR) AS value
+FROM ratings""",
     "ratings_dedup": f'WITH {RATINGS} SELECT "user", item, rating FROM ratings',
     "train_minus_test": f'WITH {RATINGS} SELECT "user", item, rating FROM train',
     "user_mean": f'WITH {RATINGS} SELECT "user", round(avg(rating), 6) AS mean FROM train GROUP BY "user"',

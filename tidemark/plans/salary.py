@@ -121,13 +121,21 @@ def salary_csv_single(spark, sf_dir):
 
 
 
+def salary_report(spark, sf_dir):
+    """The saturating statistics as the single CSV file of the report, read back."""
+    annual = ops.annual_salaries(adapters.survey(spark, sf_dir))
+    path = scratch_dir(spark, "salaries")
+    write_csv_single(ops.salary_report(ops.salary_stats(annual, "saturating")), path, "country")
+    return spark.read.schema("country string, n bigint, min int, max int, avg string").csv(path)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         survey_csv_roundtrip, valid_salary, salary_clean_annual, salary_rejects, salary_count_total,
         salary_stats, salary_stats_saturating, salary_stats_by_join, salary_sum,
         salary_sum_partitioned, salary_union_periods, partition_profile, partition_profile_text,
-        salary_csv_single,
+        salary_csv_single, salary_report,
     )
 }
 
@@ -172,4 +180,9 @@ SELECT country, count(*) AS n FROM annual WHERE annual IS NOT NULL GROUP BY coun
     "partition_profile_text": f"""{_PLACED}
 SELECT 'partition' AS type, '[' || string_agg(CAST(rows AS VARCHAR), ',' ORDER BY pid) || ']' AS sizes FROM profile""",
     "salary_csv_single": _COUNTS,
+    "salary_report": f"""WITH {SURVEY}
+SELECT country, count(*) AS n, {_TRUNC_MIN} AS min, {_TRUNC_MAX} AS max,
+       regexp_replace(printf('%.2f', CASE WHEN count(*) > 1 THEN least(sum(annual), 2147483647)
+         ELSE sum(annual) END / count(*)), '^0[.]', '.') AS avg
+FROM annual WHERE annual IS NOT NULL GROUP BY country""",
 }

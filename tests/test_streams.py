@@ -55,14 +55,14 @@ def test_confusion_and_report(spark):
     assert report.best_k == 35 and 0 < report.expected_fpp < 1
 
 
-@pytest.mark.parametrize("limit", [1 << 26, 0])
+@pytest.mark.parametrize("limit,hot", [(1 << 26, None), (0, None), (0, ["k3"])])
 @pytest.mark.parametrize("m,k,family", [(100, 3, "mod"), (2048, 5, "xxhash")])
-def test_probe_has_no_false_negatives(spark, limit, m, k, family):
+def test_probe_has_no_false_negatives(spark, limit, hot, m, k, family):
     inside = spark.range(60).select(F.concat(F.lit("k"), "id").alias("v"))
     words = bloom.bloom_build(inside, "v", m, k, family)
     probe = spark.range(400).select(F.concat(F.lit("k"), "id").alias("v"), "id")
     probe = probe.unionByName(probe.where("id = 3"))
-    found = bloom.bloom_probe(probe, "v", words, m, k, family, max_broadcast_bits=limit).collect()
+    found = bloom.bloom_probe(probe, "v", words, m, k, family, max_broadcast_bits=limit, hot=hot).collect()
     assert len(found) == 401 and all(r.maybe for r in found if r.id < 60)
     rows = [(0, f"k{i}") for i in range(400)]
     bits = bits_of(spark, rows, m, k, family)

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import bloom_bits, bloom_sizing
-from tidemark.operators.skew import salted_join
+from tidemark.operators.skew import hot_keys, salted_join
+from tidemark.session import materialise
 
 WORD = 32
 # Filters up to this size (16 MB of words) travel to the tasks as one array.
@@ -107,6 +108,7 @@ def bloom_probe(
     k: int = 3,
     family: str = "mod",
     max_broadcast_bits: int = MAX_BROADCAST_BITS,
+    hot: list | None = None,
 ) -> DataFrame:
     """The rows with `maybe`; false means the value isn't in the filter.
 
@@ -133,4 +135,10 @@ def bloom_probe(
         F.floor(F.col("bits") / F.pow(F.lit(2.0), F.col("bit") % WORD)).cast("bigint") % 2 == 1, F.lit(False)
     )
     answers = found.groupBy("_value").agg(F.bool_and(is_set).alias("maybe"))
-    return salted_join(df, answers.withColumnRenamed("_value", col), col).select(*df.columns, "maybe")
+    rows, hot = df, hot_keys(df, col) if hot is None else hot
+    if hot:
+        # Copies of one row get different salts. The ids repeat in a second run of a task,
+        # because they follow the order of the rows in the written files.
+        rows = materialise(df, "probed").withColumn("_row", F.monotonically_increasing_id())
+    back = salted_join(rows, answers.withColumnRenamed("_value", col), col, hot=hot)
+    return back.select(*df.columns, "maybe")

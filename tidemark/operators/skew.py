@@ -32,7 +32,8 @@ def salted_join(
     """Equi-join on `key` whose hot keys spread over `salts` tasks.
 
     `right` is meant to be unique on `key`: its hot rows, at most HOT_KEYS of them,
-    are repeated once per salt. `how` is "inner" or "left".
+    are repeated once per salt. `how` is "inner" or "left". The salt comes from the other
+    columns of a row, so copies equal in all columns should be collapsed or numbered first.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join takes inner or left")

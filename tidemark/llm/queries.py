@@ -5,13 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import secret_scan, sharding
+from tidemark.llm import secret_scan, sentencepiece_codec, sharding, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_token_files(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    return token_files.read_token_files(manifest).withColumnRenamed("id", "doc_id")
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _vocabulary("piece_bpe_32k.model")
+    encoded = sentencepiece_codec.encode_pieces(_table(spark, sf_dir, "documents"), model)
+    return sentencepiece_codec.decode_pieces(encoded, model).select(
+        F.col("id").alias("doc_id"),
+        "n_tokens",
+        "ids_crc32",
+        F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        "parity",
+    )
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(_table(spark, sf_dir, "documents"))
     # The first three kinds are those of the base patterns.
@@ -44,6 +69,8 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
+    "op5_sentencepiece": op5_sentencepiece,
     "op7_secret_scan": op7_secret_scan,
     "op9_vector_packing": op9_vector_packing,
 }

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import secret_scan, sentencepiece_codec, sharding, token_files
+from tidemark.llm import (
+    html_content,
+    pii,
+    quality_cnn,
+    secret_scan,
+    sentencepiece_codec,
+    sharding,
+    token_files,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +32,24 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest).withColumnRenamed("id", "doc_id")
 
 
+def op2_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_content.extract_text(_table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return texts.select(
+        F.col("k0").alias("page_id"), F.col("k1").alias("url"), "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
+def op4_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_cnn.train(docs, _table(spark, sf_dir, "labels"))
+    return quality_cnn.score(docs, model).select(
+        F.col("id").alias("doc_id"),
+        quality_cnn.is_held_out(F.col("id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _vocabulary("piece_bpe_32k.model")
     encoded = sentencepiece_codec.encode_pieces(_table(spark, sf_dir, "documents"), model)
@@ -37,23 +63,37 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _span_counts(kinds: tuple[str, ...]) -> list[Column]:
+    def count(rank: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["rank"] == rank)).cast("long")
+
+    return [count(rank).alias(f"n_{kind}") for rank, kind in enumerate(kinds)]
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(_table(spark, sf_dir, "documents"))
     # The first three kinds are those of the base patterns.
     base = F.filter("spans", lambda s: s["rank"] < 3)
-
-    def count(rank: int) -> Column:
-        return F.size(F.filter("spans", lambda s: s["rank"] == rank)).cast("long")
-
-    counts = [count(rank).alias(f"n_{kind}") for rank, kind in enumerate(secret_scan.KINDS)]
     return found.select(
         F.col("id").alias("doc_id"),
-        *counts,
+        *_span_counts(secret_scan.KINDS),
         F.sha2(secret_scan.digest(base), 256).alias("base_sha256"),
         secret_scan.digest(F.col("spans")).alias("spans"),
     )
 
 
+def op8_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(_table(spark, sf_dir, "documents"))
+    # The first four kinds are those of the base patterns.
+    base = F.filter("spans", lambda s: s["rank"] < 4)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *_span_counts(pii.KINDS),
+        F.sha2(pii.digest(base), 256).alias("base_sha256"),
+        pii.digest(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(_table(spark, sf_dir, "documents"), shards=24)
     return placed.select(
@@ -70,8 +110,11 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_html_content": op2_html_content,
+    "op4_byte_cnn": op4_byte_cnn,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_secret_scan": op7_secret_scan,
+    "op8_disclosure": op8_disclosure,
     "op9_vector_packing": op9_vector_packing,
 }
 

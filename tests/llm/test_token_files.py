@@ -62,11 +62,19 @@ def test_files_hold_equal_sequences_and_masks(spark):
 
 
 def test_a_full_table_starts_anew():
-    from tidemark.llm.chunk_encoder import ChunkEncoder, in_slices
-
-    encoder = ChunkEncoder(lambda chunks: [[len(c), ord(c[0])] * len(c) for c in chunks], limit=5)
-    for texts in ([["ab", "c"], [], ["ab"]], [["d", "e", "f", "g"]], [[]], [[str(i) for i in range(9)]]):
-        ids, lengths = encoder.encode(texts)
-        want = [[x for c in t for x in [len(c), ord(c[0])] * len(c)] for t in texts]
-        assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
-    assert list(in_slices(["a" * 5, "b" * 5, "c"], 6)) == [(0, 1), (1, 3)] and list(in_slices([])) == []
+    from tidemark.llm.chunk_encoder import ChunkEncoder, Ids, in_calls, in_slices
+
+    def own(chunk):
+        return [len(chunk), *map(ord, chunk)]
+
+    def encode_many(chunks):
+        chunks = chunks[::-1]
+        flat, lengths = in_calls(lambda some: [own(c) for c in some], chunks)
+        return chunks, Ids(flat, lengths, np.array(["a" in c for c in chunks], dtype=bool))
+
+    encoder = ChunkEncoder(encode_many, limit=5)
+    for chunks in (["ab", "c", "ab"], ["d", "e", "f", "", "ab"], [], [str(i) for i in range(9)]):
+        ids = encoder.encode(pa.array(chunks, pa.string()))
+        assert ids.flat.tolist() == [x for c in chunks for x in own(c)]
+        assert ids.lengths.tolist() == [len(own(c)) for c in chunks] and ids.marks.tolist() == ["a" in c for c in chunks]
+    assert list(in_slices([5, 5, 1], 6)) == [(0, 1), (1, 3)] and list(in_slices([])) == []

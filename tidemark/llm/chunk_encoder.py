@@ -8,16 +8,45 @@ of chunks; when it is full it starts anew, which changes the time and never the
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from itertools import chain
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+
+# Chunks that go to a library in one call; its results are objects, far larger than the ids.
+CALL = 20_000
+
+
+@dataclass
+class Ids:
+    """Ids of some chunks in one array, the number of each chunk, and a mark of each chunk."""
+
+    flat: np.ndarray
+    lengths: np.ndarray
+    marks: np.ndarray
+
+
+def in_calls(encode: Callable[[list[str]], list[list[int]]], chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and lengths from a library that returns lists, a bounded number of chunks at a time."""
+    flat, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+    for at in range(0, len(chunks), CALL):
+        lists = encode(chunks[at : at + CALL])
+        lengths.append(np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)))
+        flat.append(np.fromiter((i for ids in lists for i in ids), dtype=np.uint32, count=int(lengths[-1].sum())))
+    return np.concatenate(flat), np.concatenate(lengths)
+
+
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    while size > len(array):
+        array = np.concatenate([array, np.zeros_like(array)])
+    return array
 
 
 class ChunkEncoder:
-    """`encode_many` gives the ids of each of a list of distinct chunks."""
+    """`encode_many` takes distinct chunks and gives them, in an order of its own, with their ids."""
 
-    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], limit: int = 400_000):
+    def __init__(self, encode_many: Callable[[list[str]], tuple[list[str], Ids]], limit: int = 400_000):
         self.encode_many = encode_many
         self.limit = limit
         self._clear()
@@ -28,51 +57,60 @@ class ChunkEncoder:
         self.used = 0
         self.starts = np.zeros(1 << 14, dtype=np.int64)
         self.lengths = np.zeros(1 << 14, dtype=np.int64)
+        self.marks = np.zeros(1 << 14, dtype=bool)
 
     def _learn(self, missing: list[str]) -> None:
-        encoded = self.encode_many(missing)
-        lengths = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
-        ids = np.fromiter(chain.from_iterable(encoded), dtype=np.uint32, count=int(lengths.sum()))
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        known = len(self.table)
-        while known + len(missing) > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.starts[known : known + len(missing)] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[known : known + len(missing)] = lengths
-        self.used += len(ids)
-        self.table.update(zip(missing, range(known, known + len(missing)), strict=True))
-
-    def encode(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, given as lists of chunks, in one array; number of ids of each text."""
-        distinct = set().union(*texts)
-        missing = distinct.difference(self.table)
+        chunks, ids = self.encode_many(missing)
+        known, end = len(self.table), len(self.table) + len(chunks)
+        self.flat = _room(self.flat, self.used + len(ids.flat))
+        self.starts, self.lengths, self.marks = (_room(x, end) for x in (self.starts, self.lengths, self.marks))
+        self.flat[self.used : self.used + len(ids.flat)] = ids.flat
+        self.starts[known:end] = self.used + np.cumsum(ids.lengths) - ids.lengths
+        self.lengths[known:end] = ids.lengths
+        self.marks[known:end] = ids.marks
+        self.used += len(ids.flat)
+        self.table.update(zip(chunks, range(known, end), strict=True))
+
+    def encode(self, chunks: pa.Array) -> Ids:
+        """Ids of an array of chunks."""
+        coded = chunks.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        missing = [c for c in distinct if c not in self.table]
         if len(self.table) + len(missing) > self.limit:
             self._clear()
             missing = distinct
         if missing:
-            self._learn(list(missing))
-        counts = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-        total = int(counts.sum())
-        at = np.fromiter(map(self.table.__getitem__, chain.from_iterable(texts)), dtype=np.int64, count=total)
+            self._learn(missing)
+        places = np.fromiter(map(self.table.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+        at = places[coded.indices.to_numpy()]
         lengths = self.lengths[at]
-        ends = np.cumsum(lengths)
-        shift = self.starts[at] - (ends - lengths)
-        ids = self.flat[np.repeat(shift, lengths) + np.arange(int(lengths.sum()))]
-        marks = np.concatenate([[0], np.cumsum(counts)])
-        ends = np.concatenate([[0], ends])
-        return ids, np.diff(ends[marks])
+        shift = self.starts[at] - (np.cumsum(lengths) - lengths)
+        total = int(lengths.sum())
+        return Ids(self.flat[np.repeat(shift, lengths) + np.arange(total)], lengths, self.marks[at])
+
 
+def per_text(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of a value of each chunk over the chunks of each text."""
+    ends = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    edges = np.concatenate([[0], np.cumsum(counts)])
+    return np.diff(ends[edges])
 
-def in_slices(texts: list[str], characters: int = 4_000_000):
-    """(first, last) of runs of texts with about so many characters; a longer text has its own."""
+
+def in_slices(sizes: list[int] | np.ndarray, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """(first, last) of runs of texts of about so many bytes; a longer text has its own."""
     first, size = 0, 0
-    for i, text in enumerate(texts):
-        if i > first and size + len(text) > characters:
+    for i, n in enumerate(sizes):
+        if i > first and size + n > most:
             yield first, i
             first, size = i, 0
-        size += len(text)
-    if texts:
-        yield first, len(texts)
+        size += n
+    if len(sizes):
+        yield first, len(sizes)
+
+
+def text_slices(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, pa.Array]]:
+    """(first, texts) of slices of a column; nulls become empty texts."""
+    texts = texts.cast(pa.large_string()).fill_null("")
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    for first, last in in_slices(np.diff(offsets).tolist(), most):
+        yield first, texts.slice(first, last - first)

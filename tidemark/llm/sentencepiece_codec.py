@@ -20,15 +20,17 @@ from __future__ import annotations
 
 import re
 import struct
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunk_encoder import ChunkEncoder, in_slices
+from tidemark.llm.chunk_encoder import ChunkEncoder, Ids, in_calls, in_slices, per_text, text_slices
 
 # Fixed values of the model format: the marker, types of pieces, types of models.
 MARKER = "▁"
@@ -152,7 +154,6 @@ class Codec:
             self.model = parse_model(file.read())
         self.tokenizer = build_tokenizer(self.model)
         self.judge = SentencePieceProcessor(model_file=path)
-        self.different: set[str] = set()
         # Chunks are cut before the normaliser, so only an identical one lets them stand alone.
         self.by_chunk = (
             splits_at_marker(self.model)
@@ -162,36 +163,58 @@ class Codec:
         )
         self.encoder = ChunkEncoder(self._encode_many)
 
-    def chunks(self, text: str) -> list[str]:
-        """Parts of a text that are encoded alone, each without its first marker."""
-        if not text or not self.by_chunk:
-            return [text] if text else []
-        if MARKER not in text and "  " not in text and text[0] != " ":
-            return text.split(" ")
-        return [c[1:] for c in _CHUNKS.findall(MARKER + text.replace(" ", MARKER))]
+    def chunks(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Parts of the texts that are encoded alone, each without its first marker; parts of each text."""
+        if not self.by_chunk:
+            return texts, np.ones(len(texts), dtype=np.int64)
+        odd = pc.match_substring_regex(texts, f"{MARKER}|  |^ ")
+        if pc.any(odd).as_py():
+            lists = [
+                [c[1:] for c in _CHUNKS.findall(MARKER + t.replace(" ", MARKER))] if o else t.split(" ")
+                for t, o in zip(texts.to_pylist(), odd.to_pylist(), strict=True)
+            ]
+            split = pa.array(lists, pa.list_(pa.large_string()))
+        else:
+            split = pc.split_pattern(texts, " ")
+        # An empty text is no marker either.
+        empty = pc.equal(texts, "")
+        counts = np.where(empty, 0, pc.list_value_length(split).to_numpy())
+        return pc.if_else(empty, pa.scalar(None, split.type), split).flatten(), counts
 
-    def _encode_many(self, chunks: list[str]) -> list[list[int]]:
+    def _encode_many(self, chunks: list[str]) -> tuple[list[str], Ids]:
         # An empty chunk is a lone marker: a blank with nothing behind it.
-        alone = self.tokenizer.token_to_id(MARKER)
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        wanted = self.judge.encode(chunks)
-        for i, chunk in enumerate(chunks):
-            if chunk == "" and alone is not None:
-                ids[i] = [alone]
-            elif ids[i] != wanted[i]:
-                self.different.add(chunk)
-                ids[i] = wanted[i]
-        return ids
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
+        alone = self.tokenizer.token_to_id(MARKER) if self.by_chunk else None
+        agreed: list[bool] = []
+
+        def encode(some: list[str]) -> list[list[int]]:
+            out = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            for i, wanted in enumerate(self.judge.encode(some)):
+                lone = some[i] == "" and alone is not None
+                agreed.append(lone or out[i] == wanted)
+                if lone:
+                    out[i] = [alone]
+                elif not agreed[-1]:
+                    out[i] = wanted
+            return out
+
+        flat, lengths = in_calls(encode, chunks)
+        return chunks, Ids(flat, lengths, ~np.array(agreed, dtype=bool))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids in one array, the number of each text, and whether the libraries agreed on it."""
-        parts = [self.chunks(t) for t in texts]
-        ids, lengths = self.encoder.encode(parts)
-        agreed = [not self.different or self.different.isdisjoint(p) for p in parts]
-        if len(self.different) > self.encoder.limit:
-            self.encoder._clear()
-            self.different.clear()
-        return ids, lengths, agreed
+        parts, counts = self.chunks(texts)
+        ids = self.encoder.encode(parts)
+        return ids.flat, per_text(ids.lengths, counts), per_text(ids.marks, counts) == 0
+
+    def decode(self, ids: np.ndarray, lengths: np.ndarray) -> list[str]:
+        """Texts of ids laid one after the other."""
+        ends = np.cumsum(lengths).tolist()
+        out = []
+        # A slice at a time, so that few ids are Python numbers at once.
+        for first, last in in_slices(lengths.tolist(), 500_000):
+            lists = [ids[e - n : e].tolist() for e, n in zip(ends[first:last], lengths[first:last].tolist(), strict=True)]
+            out += self.tokenizer.decode_batch(lists, skip_special_tokens=False)
+        return out
 
 
 def codec(path: str) -> Codec:
@@ -202,58 +225,70 @@ def codec(path: str) -> Codec:
 
 
 def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """[id, text, ids, parity]: piece ids of every whole text."""
+    """[id, ids, parity]: piece ids of every whole text."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = codec(model)
         for rows in batches:
-            texts = rows.column(1).to_pylist()
-            for first, last in in_slices([t or "" for t in texts]):
-                ids, lengths, agreed = pieces.encode([t or "" for t in texts[first:last]])
+            for first, texts in text_slices(rows.column(1)):
+                ids, lengths, agreed = pieces.encode(texts)
                 offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(rows.column(i).slice(first, last - first) for i in (0, 1)),
+                        rows.column(0).slice(first, len(texts)),
                         pa.ListArray.from_arrays(offsets, ids.astype(np.int32)),
                         pa.array(agreed),
                     ],
-                    names=["id", "text", "ids", "parity"],
+                    names=["id", "ids", "parity"],
                 )
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(encode, "id long, text string, ids array<int>, parity boolean")
+    return rows.mapInArrow(encode, "id long, ids array<int>, parity boolean")
+
+
+def decode_pieces(encoded: DataFrame, model: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
+    """[id, text] of rows with piece ids; null ids are an empty text."""
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = codec(model)
+        for rows in batches:
+            lists = rows.column(1)
+            lengths = pc.list_value_length(lists).fill_null(0).to_numpy().astype(np.int64)
+            texts = pieces.decode(lists.flatten().to_numpy(), lengths)
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(texts, pa.string())], names=["id", "text"])
+
+    rows = encoded.select(F.col(id_col).cast("long").alias("id"), F.col(ids_col).alias("ids"))
+    return rows.mapInArrow(decode, "id long, text string")
 
 
-def decode_pieces(encoded: DataFrame, model: str) -> DataFrame:
-    """[id, text, parity, n_tokens, ids_crc32, decoded] of rows with ids; the ids stay behind.
+def round_trips(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """[id, n_tokens, ids_crc32, decoded_crc32, round_trip, parity] of every row.
 
-    The checksum is that of the ids as little-endian unsigned 32-bit integers.
+    Encodes and decodes in one task, so that no ids travel. The checksums are those of the ids as
+    little-endian unsigned 32-bit integers and of the decoded text.
     """
-    import zlib
 
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = codec(model).tokenizer
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = codec(model)
         for rows in batches:
-            lists = rows.column("ids")
-            lengths = np.diff(lists.offsets.to_numpy())
-            flat = lists.flatten().to_numpy()
-            ends = np.cumsum(lengths).tolist()
-            each = [flat[e - n : e] for e, n in zip(ends, lengths.tolist(), strict=True)]
-            # Piece by piece of the batch, so that no list of all its ids is held.
-            decoded = []
-            for first, last in in_slices(each, 1_000_000):
-                decoded += tokenizer.decode_batch([x.tolist() for x in each[first:last]], skip_special_tokens=False)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column("id"),
-                    rows.column("text"),
-                    rows.column("parity"),
-                    pa.array(lengths, pa.int64()),
-                    pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in each], pa.int64()),
-                    pa.array(decoded, pa.string()),
-                ],
-                names=["id", "text", "parity", "n_tokens", "ids_crc32", "decoded"],
-            )
-
-    schema = "id long, text string, parity boolean, n_tokens long, ids_crc32 long, decoded string"
-    return encoded.select("id", "text", "ids", "parity").mapInArrow(decode, schema)
+            for first, texts in text_slices(rows.column(1)):
+                ids, lengths, agreed = pieces.encode(texts)
+                decoded = pa.array(pieces.decode(ids, lengths), pa.large_string())
+                ends = np.cumsum(lengths).tolist()
+                little = ids.astype("<u4")
+                checks = [zlib.crc32(little[e - n : e]) for e, n in zip(ends, lengths.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        rows.column(0).slice(first, len(texts)),
+                        pa.array(lengths, pa.int64()),
+                        pa.array(checks, pa.int64()),
+                        pa.array([zlib.crc32(t.as_buffer()) for t in decoded], pa.int64()),
+                        pc.equal(decoded, texts),
+                        pa.array(agreed),
+                    ],
+                    names=["id", "n_tokens", "ids_crc32", "decoded_crc32", "round_trip", "parity"],
+                )
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    schema = "id long, n_tokens long, ids_crc32 long, decoded_crc32 long, round_trip boolean, parity boolean"
+    return rows.mapInArrow(check, schema)

@@ -25,12 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunk_encoder import ChunkEncoder, in_slices
+from tidemark.llm.chunk_encoder import ChunkEncoder, Ids, in_calls, per_text, text_slices
 from tidemark.session import materialise, scratch_dir
 
 SEQUENCE = 2048
@@ -40,9 +41,10 @@ END_ID = 1
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 # Latin letters, digits and signs that lower-casing and splitting treat alike here and in the
-# library; an apostrophe can begin a suffix of its own, so words with one go the library's way.
-_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:-@\[-`{-~]*\Z")
-_PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+# library. An apostrophe can begin a suffix, and < a special token, so words with one go the
+# library's way.
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:;=-@\[-`{-~]+\Z")
+_PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:;=-@\[-`{-~]+|\n")
 
 
 def word_encoder(path: str) -> ChunkEncoder:
@@ -60,27 +62,38 @@ def word_encoder(path: str) -> ChunkEncoder:
         model.normalizer = None
         model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         special = [t.content for t in whole.get_added_tokens_decoder().values()]
+        if any(_PLAIN.match(s) for s in special):
+            raise ValueError("special tokens of plain characters aren't covered")
 
         def ids(tokenizer):
             return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-        pieces = ChunkEncoder(ids(model))
+        def encode_pieces(pieces: list[str]) -> tuple[list[str], Ids]:
+            # The mark is that of the line feed between two words, which has no ids.
+            flat, lengths = in_calls(lambda some: [[] if p == "\n" else i for p, i in zip(some, ids(model)(some))], pieces)
+            return pieces, Ids(flat, lengths, np.array([p == "\n" for p in pieces]))
 
-        def encode_many(words: list[str]) -> list[list[int]]:
-            plain = [bool(_PLAIN.match(w)) and not any(s in w for s in special) for w in words]
-            split = [_PIECES.findall(w.lower()) for w, p in zip(words, plain, strict=True) if p]
-            flat, lengths = pieces.encode(split)
-            ends = np.cumsum(lengths)
-            simple = (flat[e - n : e].tolist() for e, n in zip(ends.tolist(), lengths.tolist(), strict=True))
-            other = iter(ids(whole)([w for w, p in zip(words, plain, strict=True) if not p]))
-            return [next(simple) if p else next(other) for p in plain]
+        pieces = ChunkEncoder(encode_pieces)
+
+        def encode_many(words: list[str]) -> tuple[list[str], Ids]:
+            plain = list(filter(_PLAIN.match, words))
+            other = [w for w in words if not _PLAIN.match(w)] if len(plain) < len(words) else []
+            parts = pieces.encode(pa.array(_PIECES.findall("\n".join(plain).lower()), pa.string()))
+            word = np.cumsum(parts.marks)
+            lengths = np.bincount(word, parts.lengths, len(plain)).astype(np.int64) if plain else parts.lengths
+            flat, more = in_calls(ids(whole), other)
+            lengths = np.concatenate([lengths, more])
+            return plain + other, Ids(np.concatenate([parts.flat, flat]), lengths, np.zeros(len(lengths), bool))
 
         _ENCODERS[path] = ChunkEncoder(encode_many)
     return _ENCODERS[path]
 
 
-def _words(text: str | None) -> list[str]:
-    return [w for w in (text or "").replace("\n", " ").split(" ") if w]
+def encode_texts(encoder: ChunkEncoder, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in one array, number of ids of each text."""
+    words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+    ids = encoder.encode(words.flatten())
+    return ids.flat, per_text(ids.lengths, pc.list_value_length(words).to_numpy())
 
 
 def _open(uri: str):
@@ -159,14 +172,13 @@ def write_token_files(
         wide = Tokenizer.from_file(tokenizer).get_vocab_size() > 1 << 16 or end_id >= 1 << 16
         writer = None
         for rows in batches:
-            texts = rows.column(1).to_pylist()
-            for first, last in in_slices([t or "" for t in texts]):
-                ids, lengths = encoder.encode([_words(t) for t in texts[first:last]])
+            for first, texts in text_slices(rows.column(1)):
+                ids, lengths = encode_texts(encoder, texts)
                 # The end id goes behind the last id of each document.
                 ids = np.insert(ids, np.cumsum(lengths), end_id)
                 if writer is None:
                     writer = _Writer(folder, "uint32" if wide else "uint16", sequence, batch)
-                writer.add(rows.column(0).slice(first, last - first), ids, lengths + 1)
+                writer.add(rows.column(0).slice(first, len(texts)), ids, lengths + 1)
         if writer is not None:
             writer.close()
             part = TaskContext.get().partitionId()

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.chunk_encoder import in_slices
+
 BLOCK = 8
 CHUNK = 2 * BLOCK
 LAGS = 24
@@ -214,23 +216,34 @@ def train(
     return fit([text for text, _ in sample], known, counts[1] / total)
 
 
+def _scores(texts: list[str | None], model: Network | Prior) -> np.ndarray:
+    if isinstance(model, Prior):
+        return np.full(len(texts), model.share)
+    data = [t.encode() if t else b"" for t in texts]
+    parts = [np.zeros(0)]
+    for first, last in in_slices([len(t) for t in data]):
+        parts.append(model.probability(pool(data[first:last], model).astype(np.float64)))
+    return np.concatenate(parts)
+
+
 def score(docs: DataFrame, model: Network | Prior, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """[id, score] of every row: probability of label 1."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            texts = [t.encode() if t else b"" for t in rows.column(1).to_pylist()]
-            scores = np.full(len(texts), model.share if isinstance(model, Prior) else 0.0)
-            if not isinstance(model, Prior):
-                at = 0
-                while at < len(texts):
-                    end, size = at, 0
-                    while end < len(texts) and (end == at or size + len(texts[end]) < 4_000_000):
-                        size += len(texts[end])
-                        end += 1
-                    scores[at:end] = model.probability(pool(texts[at:end], model).astype(np.float64))
-                    at = end
+            scores = _scores(rows.column(1).to_pylist(), model)
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(scores, pa.float64())], names=["id", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(apply, "id long, score double")
+
+
+def keep_good(docs: DataFrame, model: Network | Prior, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` with a score of at least `least`, all columns unchanged."""
+    place = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            yield rows.filter(pa.array(_scores(rows.column(place).to_pylist(), model) >= least))
+
+    return docs.mapInArrow(keep, docs.schema)

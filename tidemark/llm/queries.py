@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     html_content,
+    latent_decontam,
+    partenum,
     pii,
     quality_cnn,
     secret_scan,
     sentencepiece_codec,
     sharding,
     token_files,
+    vector_neardup,
 )
 
 
@@ -39,6 +42,11 @@ def op2_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = partenum.join_sets(_table(spark, sf_dir, "documents"))
+    return joined.withColumnsRenamed({"id": "doc_id", "component": "component_id"})
+
+
 def op4_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality_cnn.train(docs, _table(spark, sf_dir, "labels"))
@@ -52,14 +60,17 @@ def op4_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _vocabulary("piece_bpe_32k.model")
-    encoded = sentencepiece_codec.encode_pieces(_table(spark, sf_dir, "documents"), model)
-    return sentencepiece_codec.decode_pieces(encoded, model).select(
-        F.col("id").alias("doc_id"),
-        "n_tokens",
-        "ids_crc32",
-        F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
-        "parity",
+    found = sentencepiece_codec.round_trips(_table(spark, sf_dir, "documents"), model)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op6_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_neardup.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.95)
+    return found.select(
+        F.col("id").alias("vec_id"),
+        "n_links",
+        F.col("component").alias("component_id"),
+        (F.col("id") == F.col("component")).alias("kept"),
     )
 
 
@@ -108,14 +119,82 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_latent_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = latent_decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_html_content": op2_html_content,
+    "op3_partenum": op3_partenum,
     "op4_byte_cnn": op4_byte_cnn,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_rotation_codes": op6_rotation_codes,
     "op7_secret_scan": op7_secret_scan,
     "op8_disclosure": op8_disclosure,
     "op9_vector_packing": op9_vector_packing,
+    "op10_latent_retrieval": op10_latent_retrieval,
 }
 
-ORACLE: dict[str, str] = {}
+# Shingles as strings, links by brute force over the sets that share one.
+_OP3_SQL = """
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') AS words
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, list_distinct(CASE
+        WHEN len(words) = 0 THEN []
+        WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingles
+    FROM w
+),
+grams AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets WHERE doc_id IS NOT NULL),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM grams a JOIN grams b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+reach AS (
+    SELECT doc_id AS id, doc_id AS met FROM sets
+    UNION
+    SELECT reach.id, links.b FROM reach JOIN links ON reach.met = links.a
+),
+least AS (SELECT id, min(met) AS component_id FROM reach GROUP BY id)
+SELECT sets.doc_id, len(shingles)::BIGINT AS n_shingles, component_id
+FROM sets LEFT JOIN least ON least.id = sets.doc_id
+"""
+
+# Vectors and links by brute force over all pairs.
+_OP6_SQL = """
+WITH RECURSIVE v AS (
+    SELECT row_number() OVER () AS row_id, vec_id, embedding::DOUBLE[] AS e,
+           len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AND vec_id IS NOT NULL AS sound
+    FROM embeddings
+),
+links AS (
+    SELECT a.row_id, a.vec_id AS a, b.vec_id AS b
+    FROM v a JOIN v b ON a.sound AND b.sound AND a.row_id <> b.row_id AND len(a.e) = len(b.e)
+    WHERE CASE WHEN a.sound AND b.sound AND len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.95 END
+),
+reach AS (
+    SELECT vec_id AS id, vec_id AS met FROM v
+    UNION
+    SELECT reach.id, links.b FROM reach JOIN links ON reach.met = links.a
+),
+least AS (SELECT id, min(met) AS component_id FROM reach GROUP BY id),
+counts AS (SELECT row_id, count(*) AS n FROM links GROUP BY row_id)
+SELECT v.vec_id, coalesce(counts.n, 0)::BIGINT AS n_links, least.component_id,
+       v.vec_id = least.component_id AS kept
+FROM v LEFT JOIN counts USING (row_id) LEFT JOIN least ON least.id = v.vec_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_partenum": _OP3_SQL,
+    "op6_rotation_codes": _OP6_SQL,
+}

@@ -70,12 +70,13 @@ def _found(text: str, pattern: str, rank: int) -> tuple[Column, Column]:
     return matches, spans
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """[id, base, runs]: base spans that hold, and runs of key characters outside them.
+def _with_scan(docs: DataFrame, text: Column) -> DataFrame:
+    """`docs` with `base`, the base spans that hold, and `runs` of key characters outside them.
 
-    Offsets are code points, the end is exclusive.
+    Offsets are code points, the end is exclusive. All columns of `docs` are put into `row`, so
+    that no name can clash.
     """
-    out = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    out = docs.select(F.struct("*").alias("row"), F.coalesce(text, F.lit("")).alias("_text"))
     for rank, (name, pattern) in enumerate((("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("run", RUN))):
         matches, spans = _found("_text", pattern, rank)
         out = out.withColumn(f"_{name}", matches).withColumn(f"_{name}", spans(F.col(f"_{name}")))
@@ -87,7 +88,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         "_run",
         lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])),
     )
-    return out.select("id", "base", apart.alias("runs"))
+    return out.select("row", "base", apart.alias("runs"))
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """[id, base, runs] of every row."""
+    return _with_scan(docs.select(id_col, text_col), F.col(text_col)).select(F.col(f"row.{id_col}").alias("id"), "base", "runs")
 
 
 def _samples(scanned: DataFrame) -> DataFrame:
@@ -156,6 +162,19 @@ def log_likelihood_ratio(value: Column, ratio: list[float]) -> Column:
     return F.aggregate(F.split(value, ""), start, step, lambda state: state["sum"])
 
 
+def _spans(scanned: DataFrame, ratio: list[float], min_llr: float) -> DataFrame:
+    """`scanned` with `spans` in place of `base` and `runs`."""
+    long_runs = F.filter(
+        "runs",
+        lambda r: (F.length(r["value"]) >= MIN_RUN) & r["value"].rlike("[0-9]") & r["value"].rlike("[A-Za-z]"),
+    )
+    likely = scanned.withColumn("runs", long_runs).withColumn(
+        "runs", F.filter("runs", lambda r: log_likelihood_ratio(r["value"], ratio) >= min_llr)
+    )
+    every = F.array_sort(F.concat("base", "runs"))
+    return likely.withColumn("spans", F.transform(every, lambda s: s.dropFields("value"))).drop("base", "runs")
+
+
 def find_secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_llr: float = MIN_LLR
 ) -> DataFrame:
@@ -165,16 +184,17 @@ def find_secrets(
     folder between the training and the scoring.
     """
     scanned = materialise(scan(docs, id_col, text_col), "secrets")
-    ratio = train(scanned)
-    long_runs = F.filter(
-        "runs",
-        lambda r: (F.length(r["value"]) >= MIN_RUN) & r["value"].rlike("[0-9]") & r["value"].rlike("[A-Za-z]"),
-    )
-    likely = scanned.withColumn("runs", long_runs).withColumn(
-        "runs", F.filter("runs", lambda r: log_likelihood_ratio(r["value"], ratio) >= min_llr)
-    )
-    every = F.array_sort(F.concat("base", "runs"))
-    return likely.select("id", F.transform(every, lambda s: s.dropFields("value")).alias("spans"))
+    return _spans(scanned, train(scanned), min_llr)
+
+
+def redact_secrets(docs: DataFrame, text_col: str = "text", min_llr: float = MIN_LLR) -> DataFrame:
+    """`docs` with every secret in `text_col` replaced by a mark; the models are trained on them first."""
+    scanned = _with_scan(docs, F.col(text_col))
+    ratio = train(materialise(scanned.select("base", "runs"), "secrets"))
+    found = _spans(scanned, ratio, min_llr)
+    columns = [F.col("row").getField(c) for c in docs.columns]
+    clean = {text_col: redact(F.col("row").getField(text_col), F.col("spans"))}
+    return found.select(*[clean.get(c, column).alias(c) for c, column in zip(docs.columns, columns, strict=True)])
 
 
 def digest(spans: Column) -> Column:

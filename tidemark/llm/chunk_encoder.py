@@ -74,7 +74,7 @@ class ChunkEncoder:
     def encode(self, chunks: pa.Array) -> Ids:
         """Ids of an array of chunks."""
         coded = chunks.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         missing = [c for c in distinct if c not in self.table]
         if len(self.table) + len(missing) > self.limit:
             self._clear()

@@ -73,7 +73,7 @@ def word_encoder(path: str) -> ChunkEncoder:
             flat, lengths = in_calls(lambda some: [[] if p == "\n" else i for p, i in zip(some, ids(model)(some))], pieces)
             return pieces, Ids(flat, lengths, np.array([p == "\n" for p in pieces]))
 
-        pieces = ChunkEncoder(encode_pieces)
+        pieces = ChunkEncoder(encode_pieces, limit=1_000_000)
 
         def encode_many(words: list[str]) -> tuple[list[str], Ids]:
             plain = list(filter(_PLAIN.match, words))
@@ -85,7 +85,8 @@ def word_encoder(path: str) -> ChunkEncoder:
             lengths = np.concatenate([lengths, more])
             return plain + other, Ids(np.concatenate([parts.flat, flat]), lengths, np.zeros(len(lengths), bool))
 
-        _ENCODERS[path] = ChunkEncoder(encode_many)
+        # Pieces are fewer and come back more often than words, so only they are remembered.
+        _ENCODERS[path] = ChunkEncoder(encode_many, limit=0)
     return _ENCODERS[path]
 
 

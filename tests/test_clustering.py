@@ -61,8 +61,6 @@ def test_ties_and_empty_clusters(spark):
     assert [r.cluster for r in ops.assign_nearest(points, init).orderBy("id").collect()] == [0, 0, 1]
     _, centres = ops.lloyd_kmeans(points, init, 3)
     assert [r.vec for r in centres.orderBy("cluster").collect()] == [[0.5], [2.0], [99.0]]
-    distances = ops.point_centre_distances(points, init).where("cluster = 2").orderBy("id").collect()
-    assert [r.d2 for r in distances] == [99.0**2, 98.0**2, 97.0**2]
 
 
 def test_documents_without_words(spark):
@@ -92,12 +90,32 @@ def test_term_weights(spark):
     found = {r.term: (r.df, r.idf) for r in text.idf(text.term_counts(docs), 4).collect()}
     assert found["a"] == (2, pytest.approx(np.log(5 / 3))) and found["c"][1] == pytest.approx(np.log(5 / 2))
     assert text.tfidf_long(docs).count() == 5
-    assert text.heavy_documents(docs) == []
     hashed = text.tfidf(docs, 1 << 20).select(F.unwrap_udt("features").alias("f")).collect()
     exact = {round(r.tfidf, 9) for r in text.tfidf_long(docs).collect()}
     assert {round(v, 9) for r in hashed for v in r.f["values"]} == exact
-    bag = text.bag_of_words(docs, 100).orderBy("doc_id").collect()
-    assert [sum(r.features.toArray()) for r in bag] == [3, 2, 0, 3]
+    bag = {(r.doc_id, r.term): (r.position, r.tf) for r in text.bag_of_words(docs).collect()}
+    assert bag == {(0, "a"): (0, 2), (0, "b"): (1, 1), (1, "a"): (0, 1), (1, "c"): (2, 1), (3, "b"): (1, 3)}
+    plan = text.term_counts(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+
+
+def test_long_form_k_means_against_a_dense_one(spark):
+    rng = np.random.default_rng(12)
+    matrix = rng.poisson(0.7, size=(60, 25)).astype(float)
+    matrix[7] = 0
+    rows = [(i, f"t{j}", x) for i, row in enumerate(matrix.tolist()) for j, x in enumerate(row) if x]
+    ids = spark.range(60).withColumnRenamed("id", "doc_id")
+    assigned, centres = ops.lloyd_terms(ids, spark.createDataFrame(rows, "doc_id bigint, term string, x double"), 4, 3)
+    dense = matrix[:4].copy()
+    for _ in range(3):
+        d2 = ((matrix[:, None] - dense) ** 2).sum(axis=2).round(6)
+        best = d2.argmin(axis=1)
+        dense = np.array([matrix[best == c].mean(axis=0) if (best == c).any() else dense[c] for c in range(4)])
+    d2 = ((matrix[:, None] - dense) ** 2).sum(axis=2).round(6)
+    got = {r.doc_id: (r.cluster, r.d2) for r in assigned.collect()}
+    assert {i: c for i, (c, _) in got.items()} == dict(enumerate(d2.argmin(axis=1).tolist()))
+    assert all(abs(got[i][1] - d2[i].min()) < 2e-6 for i in got)
+    assert centres.select("cluster").distinct().count() == 4
 
 
 def test_top_terms_and_their_literal_form(spark):
@@ -123,7 +141,7 @@ def test_report(spark, tmp_path, cluster):
     assert sum(c["error"] for c in found["clusters"]) == pytest.approx(found["wsse"])
     words = Counter(t for c in found["clusters"] for t in c["terms"])
     assert set(words) == {"apple", "pear", "dog", "cat", "sun"}
-    joined = ops.cluster_terms(assigned, text.term_counts(docs), hot=[0])
+    joined = ops.cluster_terms(assigned, text.term_counts(docs))
     again = ops.cluster_report(assigned, joined, "K-Means").first()
     assert [c.terms for c in again.clusters] == [c["terms"] for c in found["clusters"]]
     totals = {r.cluster: (r["size"], r.sse) for r in ops.cluster_sse(assigned).collect()}

@@ -6,8 +6,11 @@ rows: they travel to the tasks with the function, and `MAX_MODEL_VALUES` bounds
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -15,8 +18,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import salted_join
-from tidemark.session import spread
+from tidemark.session import materialise, spread
+
+# The functions that run in Python workers travel whole: these need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Centres times dimensions: 512 MB of doubles.
 MAX_MODEL_VALUES = 1 << 26
@@ -90,18 +95,6 @@ def _distances(positions: pa.Array, values: pa.Array, matrix: np.ndarray) -> np.
     return np.stack(sums, axis=1)
 
 
-def point_centre_distances(points: DataFrame, centres: DataFrame, vec: str = "vec") -> DataFrame:
-    """[id, cluster, d2] for every point and centre."""
-    matrix = _matrix(centres)
-
-    @F.arrow_udf("array<double>")
-    def to_all(positions: pa.Array, values: pa.Array) -> pa.Array:
-        return pa.array(list(_distances(positions, values, matrix)), pa.list_(pa.float64()))
-
-    distances = to_all(*_coordinates(points, vec))
-    return points.select("id", F.posexplode(distances).alias("cluster", "d2"))
-
-
 def assign_nearest(points: DataFrame, centres: DataFrame | np.ndarray, vec: str = "vec") -> DataFrame:
     """The points with `cluster` and `d2`: the nearest centre, the lowest cluster on ties."""
     matrix = _matrix(centres) if isinstance(centres, DataFrame) else centres
@@ -196,6 +189,63 @@ def lloyd_kmeans(
     return assign_nearest(points, matrix, vec), centres_frame(spark, matrix)
 
 
+# --- k-means on terms -----------------------------------------------------------------
+
+
+def _centre_table(centres: DataFrame, k: int) -> DataFrame:
+    """[term, x0 .. x(k-1)] of centres [cluster, term, x]: the k values of a term in one row."""
+    values = [F.sum(F.when(F.col("cluster") == c, F.col("x"))).alias(f"x{c}") for c in range(k)]
+    return centres.groupBy("term").agg(*values)
+
+
+def _assign_terms(norms: DataFrame, terms: DataFrame, centres: DataFrame, k: int) -> DataFrame:
+    """[doc_id, cluster, d2] of every document, the lowest cluster on ties (to six decimals)."""
+    table = materialise(_centre_table(centres, k), "centres")
+    squares = [F.coalesce(F.sum(F.col(f"x{c}") * F.col(f"x{c}")), F.lit(0.0)).alias(f"c{c}") for c in range(k)]
+    sizes = table.agg(*squares).first()
+    dots = terms.join(table, "term").groupBy("doc_id").agg(
+        *[F.sum(F.col("x") * F.col(f"x{c}")).alias(f"dot{c}") for c in range(k)]
+    )
+    met = norms.join(dots, "doc_id", "left")
+    each = [
+        F.greatest(F.round(F.col("p2") + sizes[c] - 2 * F.coalesce(f"dot{c}", F.lit(0.0)), 6), F.lit(0.0)) for c in range(k)
+    ]
+    best = F.array_min(F.array(*[F.struct(d.alias("d2"), F.lit(c).alias("cluster")) for c, d in enumerate(each)]))
+    return met.select("doc_id", best.alias("b")).select("doc_id", "b.cluster", "b.d2")
+
+
+def lloyd_terms(ids: DataFrame, terms: DataFrame, k: int, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """([doc_id, cluster, d2], centres [cluster, term, x]) of documents in long form.
+
+    `ids` are all documents, `terms` is [doc_id, term, x]. Centres begin at the documents with the
+    smallest ids and are a table as long as their terms, which only meets the
+    documents by a join on the term: the vocabulary has no limit and never reaches the
+    driver. An empty cluster keeps its centre.
+    """
+    terms = materialise(terms, "weighted-terms")
+    squares = terms.groupBy("doc_id").agg(F.sum(F.col("x") * F.col("x")).alias("p2"))
+    norms = ids.join(squares, "doc_id", "left").select("doc_id", F.coalesce("p2", F.lit(0.0)).alias("p2"))
+    norms = materialise(norms, "norms")
+    start = norms.select("doc_id").orderBy("doc_id").limit(k)
+    start = start.withColumn("cluster", (F.row_number().over(Window.orderBy("doc_id")) - 1).cast("int"))
+    start = materialise(start, "start")
+    # Fewer documents than clusters make as many clusters as documents.
+    k = max(1, start.count())
+    centres = materialise(terms.join(start, "doc_id").select("cluster", "term", "x"), "centres")
+    for _ in range(rounds):
+        assigned = materialise(_assign_terms(norms, terms, centres, k), "assigned")
+        # At most k rows.
+        members = {row[0]: row[1] for row in assigned.groupBy("cluster").count().collect()}
+        if not members:
+            break
+        count = F.element_at(F.create_map(*[F.lit(v) for pair in members.items() for v in pair]), F.col("cluster"))
+        sums = terms.join(assigned.select("doc_id", "cluster"), "doc_id").groupBy("cluster", "term")
+        moved = sums.agg(F.sum("x").alias("x")).select("cluster", "term", (F.col("x") / count).alias("x"))
+        kept = centres.where(~F.col("cluster").isin(list(members)))
+        centres = materialise(moved.unionByName(kept), "centres")
+    return materialise(_assign_terms(norms, terms, centres, k), "assigned"), centres
+
+
 # --- ML clustering -------------------------------------------------------------------
 
 
@@ -237,10 +287,9 @@ def cluster_sse(assigned: DataFrame) -> DataFrame:
     return total.select(label.cast("int").alias("cluster"), "size", "sse")
 
 
-def cluster_terms(assigned: DataFrame, terms: DataFrame, hot: list | None = None) -> DataFrame:
+def cluster_terms(assigned: DataFrame, terms: DataFrame) -> DataFrame:
     """[cluster, doc_id, term, tf]: the term counts of each cluster's documents."""
-    membership = assigned.select("doc_id", "cluster")
-    return salted_join(terms, membership, "doc_id", hot=hot).select("cluster", "doc_id", "term", "tf")
+    return terms.join(assigned.select("doc_id", "cluster"), "doc_id").select("cluster", "doc_id", "term", "tf")
 
 
 def top_terms(terms: DataFrame, k: int = TOP_TERMS, mode: str = "summed") -> DataFrame:

@@ -2,20 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF
+from pyspark.ml.feature import IDF, HashingTF
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import HOT_KEYS, HOT_ROWS, hot_keys, salted_join
+from tidemark.operators.skew import number_rows
+from tidemark.session import materialise
 
-# Width of the hashed feature space unless a query asks for less.
+# Width of the hashed feature space.
 HASH_FEATURES = 1 << 20
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """[doc_id, term, tf]"""
-    terms = docs.select("doc_id", F.explode("words").alias("term")).where(F.col("term") != "")
-    return terms.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
+    """[doc_id, term, tf], counted inside each document's row, so nothing is exchanged."""
+    ordered = docs.select("doc_id", F.array_sort(F.filter("words", lambda w: w != "")).alias("w"))
+    places = F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0)))
+    first = F.filter(places, lambda i: (i < F.size("w")) & ((i == 0) | (F.get("w", i) != F.get("w", i - 1))))
+    runs = ordered.withColumn("first", first)
+    counts = F.transform(
+        "first",
+        lambda at, j: F.struct(
+            F.get("w", at).alias("term"),
+            (F.coalesce(F.get("first", j + 1), F.size("w")) - at).cast("bigint").alias("tf"),
+        ),
+    )
+    return runs.select("doc_id", F.explode(counts).alias("c")).select("doc_id", "c.term", "c.tf")
 
 
 def document_count(docs: DataFrame) -> Column:
@@ -30,20 +41,14 @@ def idf(terms: DataFrame, n_docs: Column | int) -> DataFrame:
     return frequency.select("term", "df", F.log((n + 1) / (F.col("df") + 1)).alias("idf"))
 
 
-def heavy_documents(docs: DataFrame) -> list:
-    """Ids of the longest documents, by their own length; at most HOT_KEYS of them."""
-    long = docs.select("doc_id", F.size("words").alias("_n")).where(F.col("_n") >= HOT_ROWS)
-    return [row[0] for row in long.orderBy(F.desc("_n"), "doc_id").limit(HOT_KEYS).select("doc_id").collect()]
-
-
 def tfidf_long(docs: DataFrame) -> DataFrame:
-    """[doc_id, term, tfidf] on the exact terms. A term found in most documents is salted."""
+    """[doc_id, term, tfidf] on the exact terms.
+
+    The weights are a written table, so the join splits the rows of a term that most documents hold.
+    """
     terms = term_counts(docs)
-    weights = idf(terms, document_count(docs)).select("term", "idf")
-    # A term has at most one row per document, so a smaller corpus has no heavy term.
-    many = docs.select("doc_id").count() >= HOT_ROWS
-    joined = salted_join(terms, weights, "term", hot=hot_keys(terms, "term") if many else [])
-    return joined.select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    weights = materialise(idf(terms, document_count(docs)).select("term", "idf"), "idf")
+    return terms.join(weights, "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def hashing_tf(docs: DataFrame, num_features: int = HASH_FEATURES) -> DataFrame:
@@ -58,7 +63,11 @@ def tfidf(docs: DataFrame, num_features: int = HASH_FEATURES) -> DataFrame:
     return model.transform(tf).select("doc_id", "words", "features")
 
 
-def bag_of_words(docs: DataFrame, vocab_size: int = 1 << 18, min_df: float = 1.0) -> DataFrame:
-    """[doc_id, words, features]: word counts over the `vocab_size` most frequent words."""
-    counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=vocab_size, minDF=min_df)
-    return counter.fit(docs).transform(docs).select("doc_id", "words", "features")
+def bag_of_words(docs: DataFrame) -> DataFrame:
+    """[doc_id, term, position, tf]: word counts over all words of the corpus.
+
+    Words are numbered 0, 1, 2, ... in their order; no word is left out and none is on the driver.
+    """
+    terms = term_counts(docs)
+    vocabulary = number_rows(terms.select("term").distinct(), "term", name="position")
+    return terms.join(vocabulary, "term").select("doc_id", "term", (F.col("position") - 1).alias("position"), "tf")

@@ -14,9 +14,6 @@ from tidemark.sources.sinks import write_cluster_report
 
 K = 5
 ROUNDS = 3
-FEATURES = 1 << 16
-# Fixed value: seed of the sampled centres.
-SEED = 20181031
 
 
 def documents_words(spark, sf_dir):
@@ -25,12 +22,14 @@ def documents_words(spark, sf_dir):
 
 
 def documents_text(spark, sf_dir):
-    """The documents as a text file, one to a line, written and read back."""
+    """The documents as text files, one to a line in the order of their ids, written and read back."""
     path = scratch_dir(spark, "documents")
-    lines = adapters.table(spark, sf_dir, "documents").select(F.translate("text", "\r\n", "  ").alias("value"))
-    lines.write.text(path)
+    docs = adapters.table(spark, sf_dir, "documents").orderBy("doc_id")
+    docs.select(F.translate("text", "\r\n", "  ").alias("value")).write.text(path)
     docs = read_documents(spark, path)
-    return docs.select(F.size("words").cast("bigint").alias("n"), F.get("words", F.lit(0)).alias("first"))
+    return docs.select(
+        "doc_id", F.size("words").cast("bigint").alias("n"), F.get("words", F.lit(0)).alias("first")
+    )
 
 
 def term_counts(spark, sf_dir):
@@ -48,18 +47,11 @@ def tfidf(spark, sf_dir):
 
 
 def bag_of_words(spark, sf_dir):
-    """Sizes and sums of the word-count vectors over the whole vocabulary."""
-    vectors = text.bag_of_words(adapters.documents(spark, sf_dir), 1 << 20)
-    raw = F.unwrap_udt("features")
-    return vectors.select(
-        "doc_id",
-        F.size(raw["indices"]).cast("bigint").alias("terms"),
-        F.aggregate(raw["values"], F.lit(0.0), lambda a, x: a + x).alias("tokens"),
-    )
+    return text.bag_of_words(adapters.documents(spark, sf_dir))
 
 
 def hashing_tfidf(spark, sf_dir):
-    vectors = text.tfidf(adapters.documents(spark, sf_dir), FEATURES)
+    vectors = text.tfidf(adapters.documents(spark, sf_dir))
     raw = F.unwrap_udt("features")
     return vectors.select("doc_id", F.size(raw["indices"]).alias("terms"))
 
@@ -69,12 +61,6 @@ def _lloyd(spark, sf_dir, rounds=ROUNDS):
     return ops.lloyd_kmeans(points, ops.smallest_id_centres(points, K), rounds)
 
 
-def point_centre_distances(spark, sf_dir):
-    points = adapters.points(spark, sf_dir)
-    distances = ops.point_centre_distances(points, ops.smallest_id_centres(points, K))
-    return distances.withColumn("d2", F.round("d2", 6))
-
-
 def assign_nearest(spark, sf_dir):
     points = adapters.points(spark, sf_dir)
     nearest = ops.assign_nearest(points, ops.smallest_id_centres(points, K))
@@ -97,12 +83,28 @@ def cluster_sse(spark, sf_dir):
     return ops.cluster_sse(assigned).withColumn("sse", F.round("sse", 5))
 
 
-def _clustered_terms(spark, sf_dir):
-    """Documents take the cluster of the embedding with their id."""
-    assigned, _ = _lloyd(spark, sf_dir)
-    assigned = assigned.withColumnRenamed("id", "doc_id")
+def _clustered(spark, sf_dir, weigh):
+    """(assigned, term counts by cluster) of all documents, by their own terms."""
     docs = adapters.documents(spark, sf_dir)
-    return assigned, ops.cluster_terms(assigned, text.term_counts(docs), text.heavy_documents(docs))
+    assigned, _ = ops.lloyd_terms(docs.select("doc_id"), weigh(docs), K, ROUNDS)
+    return assigned, ops.cluster_terms(assigned, text.term_counts(docs))
+
+
+def _by_tfidf(docs):
+    return text.tfidf_long(docs).withColumnRenamed("tfidf", "x")
+
+
+def _by_count(docs):
+    return text.term_counts(docs).select("doc_id", "term", F.col("tf").cast("double").alias("x"))
+
+
+def _clustered_terms(spark, sf_dir):
+    return _clustered(spark, sf_dir, _by_tfidf)
+
+
+def cluster_documents(spark, sf_dir):
+    assigned, _ = _clustered_terms(spark, sf_dir)
+    return assigned.select("doc_id", "cluster", F.round("d2", 2).alias("d2"))
 
 
 def cluster_terms(spark, sf_dir):
@@ -122,10 +124,10 @@ def _flat(report):
     one = report.select("algorithm", "wsse", F.explode("clusters").alias("c"))
     return one.select(
         "algorithm",
-        F.round("wsse", 5).alias("wsse"),
+        F.round("wsse", 2).alias("wsse"),
         "c.id",
         "c.size",
-        F.round("c.error", 5).alias("error"),
+        F.round("c.error", 2).alias("error"),
         F.array_join("c.terms", " ").alias("terms"),
     )
 
@@ -139,24 +141,16 @@ def cluster_report(spark, sf_dir):
     return _flat(spark.read.schema(report.schema).json(path))
 
 
-def _own_report(docs, algorithm):
-    points = docs.withColumnRenamed("doc_id", "id")
-    assigned, _ = ops.lloyd_kmeans(points, ops.sampled_centres(points, 5, SEED, "features"), 20, vec="features")
-    assigned = materialise(assigned.select("id", "words", "cluster", "d2"), "assigned")
-    return _flat(ops.cluster_report(assigned, ops.words_by_cluster(assigned), algorithm))
-
-
 def lloyd_report_tfidf(spark, sf_dir):
-    return _own_report(materialise(text.tfidf(adapters.documents(spark, sf_dir), FEATURES)), "K-Means T")
+    return _flat(ops.cluster_report(*_clustered(spark, sf_dir, _by_tfidf), "K-Means T"))
 
 
 def lloyd_report_words(spark, sf_dir):
-    docs = text.bag_of_words(adapters.documents(spark, sf_dir), FEATURES)
-    return _own_report(materialise(docs), "K-Means W")
+    return _flat(ops.cluster_report(*_clustered(spark, sf_dir, _by_count), "K-Means W"))
 
 
 def _ml_report(spark, sf_dir, cluster, k, algorithm):
-    features = materialise(text.tfidf(adapters.documents(spark, sf_dir), FEATURES), "features")
+    features = materialise(text.tfidf(adapters.documents(spark, sf_dir)), "features")
     assigned, _ = cluster(features, k)
     assigned = materialise(assigned.select("doc_id", "words", "cluster", "d2"), "assigned")
     return _flat(ops.cluster_report(assigned, ops.words_by_cluster(assigned), algorithm))
@@ -181,7 +175,7 @@ def bisecting_report_16(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        documents_words, documents_text, term_counts, idf, tfidf, bag_of_words, hashing_tfidf, point_centre_distances,
+        documents_words, documents_text, term_counts, idf, tfidf, bag_of_words, hashing_tfidf, cluster_documents,
         assign_nearest, lloyd_kmeans, lloyd_centres, cluster_sse, cluster_terms, cluster_top_terms,
         cluster_top_terms_literal, cluster_report, lloyd_report_tfidf, lloyd_report_words,
         kmeans_report_8, kmeans_report_16, bisecting_report_8, bisecting_report_16,
@@ -208,19 +202,58 @@ c{i + 1} AS (SELECT cluster, pos, avg(x) AS x FROM dims JOIN a{i} USING (id) GRO
 
 
 _LLOYD = _lloyd_sql(ROUNDS)
-_MEMBERS = f"""{_LLOYD}, {WORDS},
-members AS (SELECT a.cluster, t.doc_id, t.term, t.tf FROM a{ROUNDS} a JOIN terms t ON t.doc_id = a.id),
+
+
+def _lloyd_terms_sql(x: str) -> str:
+    """Long-form k-means on the terms of all documents, weighted by the expression `x`."""
+    sql = f"""WITH {WORDS},
+weights AS MATERIALIZED (SELECT term, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) AS idf FROM terms GROUP BY term),
+w AS MATERIALIZED (SELECT doc_id, term, {x} AS x FROM terms JOIN weights USING (term)),
+norms AS MATERIALIZED (SELECT d.doc_id, coalesce(sum(x * x), 0) AS p2 FROM documents d LEFT JOIN w USING (doc_id) GROUP BY d.doc_id),
+s AS (SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS INTEGER) AS cluster FROM documents QUALIFY cluster < {K}),
+c0 AS MATERIALIZED (SELECT cluster, term, x FROM w JOIN s USING (doc_id))"""
+    for i in range(ROUNDS + 1):
+        sql += f""",
+n{i} AS (SELECT s.cluster, coalesce(sum(c.x * c.x), 0) AS c2 FROM s LEFT JOIN c{i} c USING (cluster) GROUP BY s.cluster),
+t{i} AS (SELECT w.doc_id, c.cluster, sum(w.x * c.x) AS dot FROM w JOIN c{i} c USING (term) GROUP BY 1, 2),
+d{i} AS (SELECT p.doc_id, n.cluster, greatest(round(p2 + c2 - 2 * coalesce(dot, 0), 6), 0) AS d2
+         FROM norms p CROSS JOIN n{i} n LEFT JOIN t{i} t ON t.doc_id = p.doc_id AND t.cluster = n.cluster),
+a{i} AS MATERIALIZED (SELECT doc_id, cluster, d2 FROM
+         (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY d2, cluster) AS r FROM d{i}) WHERE r = 1)"""
+        if i < ROUNDS:
+            sql += f""",
+g{i} AS (SELECT cluster, count(*) AS members FROM a{i} GROUP BY cluster),
+c{i + 1} AS MATERIALIZED (
+  SELECT a.cluster, w.term, sum(w.x) / any_value(g.members) AS x
+  FROM a{i} a JOIN w USING (doc_id) JOIN g{i} g ON g.cluster = a.cluster GROUP BY 1, 2
+  UNION ALL SELECT cluster, term, x FROM c{i} WHERE cluster NOT IN (SELECT cluster FROM g{i}))"""
+    return f"""{sql},
+members AS (SELECT a.cluster, t.doc_id, t.term, t.tf FROM a{ROUNDS} a JOIN terms t USING (doc_id)),
 summed AS (SELECT cluster, term, sum(tf) AS n FROM members GROUP BY 1, 2),
-ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY cluster ORDER BY n DESC, term) AS INTEGER) AS rank FROM summed)"""
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY cluster ORDER BY n DESC, term) AS INTEGER) AS rank FROM summed),
+best AS (SELECT cluster, string_agg(term, ' ' ORDER BY rank) AS terms FROM ranked WHERE rank <= 10 GROUP BY cluster)"""
+
+
+_MEMBERS = _lloyd_terms_sql("tf * idf")
+
+
+def _report_sql(sql: str, algorithm: str) -> str:
+    return f"""{sql}
+SELECT '{algorithm}' AS algorithm, (SELECT round(sum(d2), 2) FROM a{ROUNDS}) AS wsse,
+       CAST(a.cluster + 1 AS INTEGER) AS id, count(*) AS size, round(sum(a.d2), 2) AS error,
+       coalesce(any_value(best.terms), '') AS terms
+FROM a{ROUNDS} a LEFT JOIN best ON best.cluster = a.cluster GROUP BY a.cluster"""
+
 
 ORACLE = {
     "documents_words": f"""WITH {WORDS}
 SELECT d.doc_id, count(w.term) AS n, list_filter(string_split(d.text, ' '), lambda x: x <> '')[1] AS first
 FROM documents d LEFT JOIN words w ON w.doc_id = d.doc_id GROUP BY d.doc_id, d.text""",
     "documents_text": """WITH split AS (
-  SELECT list_filter(string_split(replace(replace(text, chr(10), ' '), chr(13), ' '), ' '), lambda x: x <> '') AS w
+  SELECT row_number() OVER (ORDER BY doc_id) - 1 AS doc_id,
+         list_filter(string_split(replace(replace(text, chr(10), ' '), chr(13), ' '), ' '), lambda x: x <> '') AS w
   FROM documents)
-SELECT len(w) AS n, w[1] AS first FROM split""",
+SELECT doc_id, len(w) AS n, w[1] AS first FROM split""",
     "term_counts": f"WITH {WORDS} SELECT doc_id, term, tf FROM terms",
     "idf": f"""WITH {WORDS}
 SELECT term, count(*) AS df, round(ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)), 6) AS idf
@@ -228,9 +261,9 @@ FROM terms GROUP BY term""",
     "tfidf": f"""WITH {WORDS},
 weights AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) AS idf FROM terms GROUP BY term)
 SELECT doc_id, term, round(tf * idf, 6) AS tfidf FROM terms JOIN weights USING (term)""",
-    "bag_of_words": f"""WITH {WORDS}
-SELECT doc_id, count(*) AS terms, CAST(sum(tf) AS DOUBLE) AS tokens FROM terms GROUP BY doc_id""",
-    "point_centre_distances": f"{_lloyd_sql(0)} SELECT id, cluster, round(d2, 6) AS d2 FROM d0",
+    "bag_of_words": f"""WITH {WORDS},
+vocabulary AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS position FROM (SELECT DISTINCT term FROM terms))
+SELECT doc_id, term, position, tf FROM terms JOIN vocabulary USING (term)""",
     "assign_nearest": f"{_lloyd_sql(0)} SELECT id, cluster, round(d2, 6) AS d2 FROM a0",
     "lloyd_kmeans": f"{_LLOYD} SELECT id, cluster, round(d2, 6) AS d2 FROM a{ROUNDS}",
     "lloyd_centres": f"{_LLOYD} SELECT cluster, pos, round(x, 6) AS x FROM c{ROUNDS}",
@@ -244,10 +277,8 @@ SELECT cluster, rank, term, n FROM
   (SELECT cluster, term, tf AS n,
           CAST(row_number() OVER (PARTITION BY cluster ORDER BY tf DESC, term, doc_id) AS INTEGER) AS rank
    FROM members) WHERE rank <= 10""",
-    "cluster_report": f"""{_MEMBERS},
-best AS (SELECT cluster, string_agg(term, ' ' ORDER BY rank) AS terms FROM ranked WHERE rank <= 10 GROUP BY cluster)
-SELECT 'K-Means' AS algorithm, (SELECT round(sum(d2), 5) FROM a{ROUNDS}) AS wsse,
-       CAST(a.cluster + 1 AS INTEGER) AS id, count(*) AS size, round(sum(a.d2), 5) AS error,
-       coalesce(any_value(best.terms), '') AS terms
-FROM a{ROUNDS} a LEFT JOIN best ON best.cluster = a.cluster GROUP BY a.cluster""",
+    "cluster_report": _report_sql(_MEMBERS, "K-Means"),
+    "lloyd_report_tfidf": _report_sql(_MEMBERS, "K-Means T"),
+    "lloyd_report_words": _report_sql(_lloyd_terms_sql("CAST(tf AS DOUBLE)"), "K-Means W"),
+    "cluster_documents": f"{_MEMBERS} SELECT doc_id, cluster, round(d2, 2) AS d2 FROM a{ROUNDS}",
 }

@@ -68,6 +68,9 @@ def test_probe_has_no_false_negatives(spark, limit, hot, m, k, family):
     bits = bits_of(spark, rows, m, k, family)
     full = {b for i in range(60) for b in bits[f"k{i}"]}
     assert {(r.v, r.maybe) for r in found} == {(t, set(b) <= full) for t, b in bits.items()}
+    holes = spark.createDataFrame([("k1",), (None,), (None,)], "v string")
+    kept = bloom.bloom_probe(holes, "v", words, m, k, family, max_broadcast_bits=limit, hot=hot).collect()
+    assert sorted((r.v or "", r.maybe) for r in kept) == [("", None), ("", None), ("k1", True)]
 
 
 def draw():
@@ -174,6 +177,10 @@ def test_streams_go_on_after_a_restart(spark, tmp_path):
         report = jobs.write_stream_report(stream, f"{state}/r", f"{state}/reports", f"{state}/o3", 10, draw())
         jobs.last_batch(report)
     assert last == 2
+    # A start without new messages leaves the state where it was.
+    assert jobs.last_batch(jobs.reservoir_stream(stream, state, f"{state}/o1", 10, draw())) == -1
+    again = {r.slot: r.seq for r in jobs.reservoir_state(spark, state).collect()}
+    assert again == dict(enumerate(sequential_reservoir(600, 10)[0]))
     held = {r.slot: r.seq for r in jobs.reservoir_state(spark, state, last).collect()}
     assert held == dict(enumerate(sequential_reservoir(600, 10)[0]))
     flags = jobs.stream_flags(spark, state).select("seq", "tag", "maybe", "seen")

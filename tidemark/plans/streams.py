@@ -152,9 +152,24 @@ def top_tags(spark, sf_dir):
     return reservoir.top_tags(reservoir.tag_counts(tags))
 
 
+# Micro-batches that the events are dealt out to.
+BATCHES = 4
+
+
 def _event_stream(spark, sf_dir):
-    schema = adapters.table(spark, sf_dir, "events").schema
-    return read_messages_stream(spark, sf_dir, schema, pattern="events.parquet")
+    """The events as a stream of several micro-batches, in their order.
+
+    They are first written as one folder of files per range of ids, one range after the other, as
+    messages would arrive.
+    """
+    events = adapters.table(spark, sf_dir, "events")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    path, width = scratch_dir(spark, "events"), (high - low) // BATCHES + 1
+    for i in range(BATCHES):
+        first = low + i * width
+        part = events.where(F.col("event_id").between(first, first + width - 1))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return read_messages_stream(spark, path, events.schema)
 
 
 def stream_reservoir(spark, sf_dir):
@@ -190,8 +205,8 @@ def stream_report(spark, sf_dir):
     events = _event_stream(spark, sf_dir).withColumn("len", F.length("props").cast("bigint"))
     tagged = adapters.tags_of(events, "len")
     query = jobs.write_stream_report(tagged, state, f"{state}/reports", f"{state}/offsets", K, _draw())
-    jobs.last_batch(query)
-    reports = spark.read.parquet(f"{state}/reports")
+    last = jobs.last_batch(query)
+    reports = spark.read.parquet(f"{state}/reports").where(F.col("batch") == last)
     return _report_text(reports.select("n", "top_tags", "avg_len"))
 
 

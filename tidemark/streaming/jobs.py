@@ -24,10 +24,9 @@ def start(
 
 
 def last_batch(query: StreamingQuery) -> int:
-    """Wait for the end; the number of the last batch, -1 if there was none."""
+    """Wait for the end; the number of the last batch with rows in this run, -1 if there was none."""
     query.awaitTermination()
-    progress = query.lastProgress
-    return -1 if progress is None else progress["batchId"]
+    return max((p["batchId"] for p in query.recentProgress if p["numInputRows"]), default=-1)
 
 
 def reservoir_stream(
@@ -52,8 +51,10 @@ def reservoir_stream(
     return start(stream, step, checkpoint, trigger)
 
 
-def reservoir_state(spark, state_dir: str, batch_id: int) -> DataFrame:
-    return LatestState(f"{state_dir}/reservoir").at(spark, batch_id)
+def reservoir_state(spark, state_dir: str, batch_id: int = -1) -> DataFrame:
+    """The reservoir after a batch; -1, as after a run without new rows, is the last that exists."""
+    state = LatestState(f"{state_dir}/reservoir")
+    return state.at(spark, batch_id if batch_id >= 0 else state.last(spark))
 
 
 def write_stream_report(

@@ -54,6 +54,10 @@ class LatestState:
     def before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         return self.at(spark, batch_id - 1) if batch_id else None
 
+    def last(self, spark: SparkSession) -> int:
+        """The number of the last batch that was written."""
+        return spark.read.parquet(self.path).selectExpr("max(batch)").first()[0]
+
     def at(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return spark.read.parquet(f"{self.path}/batch={batch_id}")
 

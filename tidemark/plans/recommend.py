@@ -17,9 +17,9 @@ FEW_RATERS = 36
 
 def _known(spark, sf_dir):
     """(training ratings without the test pairs, test ratings)"""
-    every = materialise(adapters.ratings(spark, sf_dir), "ratings")
+    every = adapters.ratings(spark, sf_dir)
     test = every.where("is_test").drop("is_test")
-    return materialise(ops.subtract_pairs(every.drop("is_test"), test), "known"), test
+    return ops.subtract_pairs(every.drop("is_test"), test), test
 
 
 def _rounded(predictions):
@@ -64,7 +64,7 @@ def item_mean(spark, sf_dir):
 
 
 def _stats(spark, sf_dir, heavy_raters=ops.HEAVY_RATERS):
-    known = _known(spark, sf_dir)[0]
+    known = materialise(_known(spark, sf_dir)[0], "known")
     return ops.pair_stats(known, heavy=ops.heavy_items(known, heavy_raters))
 
 

@@ -35,7 +35,7 @@ def test_every_oracle_has_its_query(spark):
     assert ENTRY.entry(spark).count() > 0
 
 
-LAZY = ["salary_stats", "salary_count_total", "salary_sum", "valid_salary", "partition_profile", "term_counts",
+LAZY = ["salary_stats", "salary_count_total", "salary_sum", "valid_salary", "term_counts",
         "bloom_replay", "exact_seen", "reservoir_sample", "reservoir_snapshot", "bloom_probe", "top_tags"]
 
 

@@ -8,7 +8,7 @@ from tidemark.functions.scalars import clean_country, saturating_int, two_decima
 from tidemark.operators import salary
 from tidemark.operators.relational import local_threshold, peek, sort_by_key
 from tidemark.sources.readers import drop_header, read_baskets, read_documents, read_ratings, read_survey
-from tidemark.sources.sinks import write_csv_single
+from tidemark.sources.sinks import write_csv_sorted
 
 
 def survey(spark, rows):
@@ -96,19 +96,6 @@ def test_bloom_sizing(spark):
     assert row.k == 7 and abs(row.p - 0.00819) < 1e-4
 
 
-def test_partition_profile(spark):
-    df = spark.createDataFrame([(c,) for c in ["x"] * 50 + ["y", "z"]], "c string").repartition(3)
-    logical = {r.pid: r.rows for r in salary.partition_profile(df, "c", 4).collect()}
-    expected = dict.fromkeys(range(4), 0)
-    for c, n in (("x", 50), ("y", 1), ("z", 1)):
-        expected[reference_hash(c) % 4] += n
-    assert logical == expected
-    physical = salary.partition_profile(df, "c", 4, physical=True)
-    assert sum(r.rows for r in physical.collect()) == 52
-    text = salary.partition_profile_text(salary.partition_profile(df, "c", 4), "partition").first()
-    assert text.sizes == "[" + ",".join(str(expected[i]) for i in range(4)) + "]"
-
-
 def test_sums_land_in_the_asked_partitions(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 5)], "k string, v int")
     sums = salary.sum_by_group(df, "k", "v", partitions=2)
@@ -126,7 +113,27 @@ def test_survey_file(spark, tmp_path):
     assert found == [("Congo, Republic of the...", "1,234.50", "NA"), ("Peru", "0", "Weekly")]
     broken = [header, line('"two\nlines"', "5", "Yearly")]
     (tmp_path / "m.csv").write_text("\n".join(broken) + "\n")
-    assert read_survey(spark, str(tmp_path / "m.csv"), multi_line=True).first().country == "two\nlines"
+    assert read_survey(spark, str(tmp_path / "m.csv"), multi_line=True).first().country_raw == "two\nlines"
+
+
+def test_from_the_file_to_the_statistics(spark, tmp_path):
+    header = ",".join(f"c{i}" for i in range(54))
+    def line(country, pay, period):
+        return ",".join([*"012", country, *["x"] * 48, pay, period])
+    rows = [("Peru", '"1,000"', "Monthly"), ("Peru", "500", "Weekly"), ("Peru", "", "Weekly"), ("Peru", "many", "Yearly")]
+    (tmp_path / "s.csv").write_text("\n".join([header, *(line(*r) for r in rows)]) + "\n")
+    survey = read_survey(spark, str(tmp_path / "s.csv"))
+    stats = salary.salary_stats(salary.annual_salaries(survey)).first()
+    assert (stats.country, stats.n, stats.min, stats.max) == ("Peru", 2, 12000, 26000)
+    # An empty salary is a reject like any malformed one.
+    assert [tuple(r) for r in salary.salary_rejects(survey).collect()] == [("malformed salary", 2)]
+
+
+def test_equal_lines_stay_separate_documents(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("x y\nx y\nz\n")
+    (tmp_path / "b.txt").write_text("x y\n")
+    docs = read_documents(spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.words) for r in docs] == [(0, ["x", "y"]), (1, ["x", "y"]), (2, ["z"]), (3, ["x", "y"])]
 
 
 def test_plain_files(spark, tmp_path):
@@ -142,15 +149,11 @@ def test_plain_files(spark, tmp_path):
     assert [r.value for r in lines.collect()] == ["a,x,4", "b,y,2.5"]
 
 
-def test_single_csv_and_its_large_form(spark, tmp_path):
+def test_sorted_csv(spark, tmp_path):
     df = spark.range(50).select(F.format_string("k%03d", "id").alias("k"), "id").repartition(4)
-    for rows, files in ((1000, 1), (10, None)):
-        path = tmp_path / f"out{rows}"
-        write_csv_single(df, str(path), "k", max_rows=rows)
-        parts = sorted(path.glob("part-*"))
-        assert files is None or len(parts) == files
-        lines = [line for part in parts for line in part.read_text().split()]
-        assert lines == [f"k{i:03d},{i}" for i in range(50)]
+    write_csv_sorted(df, str(tmp_path / "out"), "k")
+    lines = [line for part in sorted((tmp_path / "out").glob("part-*")) for line in part.read_text().split()]
+    assert lines == [f"k{i:03d},{i}" for i in range(50)]
 
 
 def test_small_helpers(spark):

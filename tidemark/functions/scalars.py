@@ -24,8 +24,9 @@ def java_trim(c: Column) -> Column:
 
 
 def valid_salary(raw: Column) -> Column:
-    """True for a reported salary; compared on the untrimmed text."""
-    return ~raw.isin(*MISSING_SALARIES)
+    """True for a reported salary; compared on the untrimmed text. An empty field isn't null:
+    it counts as reported and malformed."""
+    return F.coalesce(~raw.isin(*MISSING_SALARIES), F.lit(True))
 
 
 def clean_country(raw: Column) -> Column:

@@ -110,7 +110,7 @@ def bloom_probe(
     max_broadcast_bits: int = MAX_BROADCAST_BITS,
     hot: list | None = None,
 ) -> DataFrame:
-    """The rows with `maybe`; false means the value isn't in the filter.
+    """The rows with `maybe`; false means the value isn't in the filter, null that there is none.
 
     A filter of up to `max_broadcast_bits` is looked up in place. A larger one is joined
     by word with the distinct values, and the answers go back by value.
@@ -126,8 +126,9 @@ def bloom_probe(
             # shiftright wants a plain number of places, so divide by the power of two.
             word = words[F.floor(bit / WORD).cast("int")]
             hits = hits & (F.floor(word / F.pow(F.lit(2.0), bit % WORD)).cast("bigint") % 2 == 1)
-        return df.withColumn("_bits", bits).withColumn("maybe", hits).drop("_bits")
-    values = df.select(F.col(col).alias("_value")).distinct()
+        known = F.when(F.col(col).isNotNull(), hits)
+        return df.withColumn("_bits", bits).withColumn("maybe", known).drop("_bits")
+    values = df.select(F.col(col).alias("_value")).where(F.col("_value").isNotNull()).distinct()
     bits = bloom_bits(F.col("_value").cast("string"), m, k, family)
     probes = values.select("_value", F.explode(bits).alias("bit")).withColumn("word", F.floor(F.col("bit") / WORD))
     found = probes.join(filter_words, "word", "left")
@@ -140,5 +141,5 @@ def bloom_probe(
         # Copies of one row get different salts. The ids repeat in a second run of a task,
         # because they follow the order of the rows in the written files.
         rows = materialise(df, "probed").withColumn("_row", F.monotonically_increasing_id())
-    back = salted_join(rows, answers.withColumnRenamed("_value", col), col, hot=hot)
+    back = salted_join(rows, answers.withColumnRenamed("_value", col), col, "left", hot=hot)
     return back.select(*df.columns, "maybe")

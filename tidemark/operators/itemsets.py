@@ -17,8 +17,6 @@ from tidemark.session import materialise
 # Baskets up to this many frequent items have their subsets listed directly.
 WIDE_BASKET = 64
 MAX_BROADCAST_ROWS = 1_000_000
-# Frequent items up to this many are mined with trees.
-MAX_TREE_ITEMS = 100_000
 
 
 def basket_items(rows: DataFrame) -> DataFrame:
@@ -26,21 +24,22 @@ def basket_items(rows: DataFrame) -> DataFrame:
     return rows.select("key", "item").distinct()
 
 
-def build_baskets(rows: DataFrame, max_items: int = 10_000) -> DataFrame:
-    """[key, part, items]: the distinct items of each basket, sorted.
+def build_baskets(rows: DataFrame) -> DataFrame:
+    """[key, items]: the distinct items of each basket, sorted, for baskets that fit a row.
 
-    A basket of more than `max_items` items is spread by item over several parts of
-    about that size; any other basket is one row with part 0.
+    Questions about baskets of any size are answered on the long form: see `baskets_with`.
     """
-    pairs = basket_items(rows)
-    sizes = pairs.groupBy("key").agg(F.count("*").alias("_n")).where(F.col("_n") > max_items)
-    wide = sizes.select("key", F.ceil(F.col("_n") / max_items).alias("_parts"))
-    part = F.pmod(F.xxhash64("item"), F.coalesce("_parts", F.lit(1)))
-    return (
-        pairs.join(wide, "key", "left")
-        .groupBy("key", part.alias("part"))
-        .agg(F.array_sort(F.collect_list("item")).alias("items"))
-    )
+    return basket_items(rows).groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("items"))
+
+
+def baskets_with(rows: DataFrame, *items: str) -> DataFrame:
+    """[key]: the baskets that hold all of the given items, whatever their size.
+
+    Each basket counts the wanted items it holds, so no basket is ever one row.
+    """
+    wanted = sorted(set(items))
+    held = basket_items(rows).where(F.col("item").isin(wanted)).groupBy("key").agg(F.count("*").alias("_n"))
+    return held.where(F.col("_n") == len(wanted)).select("key")
 
 
 def chunk_of(chunks: int, key: Column | None = None) -> Column:
@@ -214,14 +213,15 @@ def _wide_limit(sizes: DataFrame, support: int, wide: int) -> tuple[int, int]:
     return limit << step, above
 
 
-def _extend(occurrences: DataFrame, partitions: int) -> DataFrame:
+def _extend(occurrences: DataFrame) -> DataFrame:
     """[chunk, key, head, last] of the sets one item larger, basket by basket.
 
-    Everything up to the local counts is partitioned by chunk, so it is one exchange.
-    The lists hold at most the wide-basket limit of items.
+    Rows are dealt out by basket, so any number of tasks share a chunk; the local counts are
+    summed in each task before they meet by chunk. The lists hold at most the wide-basket
+    limit of items.
     """
     ends = (
-        occurrences.repartition(partitions, "chunk")
+        occurrences.repartition("chunk", "key")
         .groupBy("chunk", "key", "head")
         .agg(F.array_sort(F.collect_list("last")).alias("ends"))
         .where(F.size("ends") > 1)
@@ -285,7 +285,7 @@ def son_frequent_itemsets(
     local = local_threshold(support - n_wide, chunks)
     size = 2
     while max_size is None or size <= max_size:
-        grown = _extend(occurrences, chunks)
+        grown = _extend(occurrences)
         counts = grown.groupBy("chunk", "head", "last").agg(F.count("*").alias("n"))
         candidates = counts.where(F.col("n") >= local).select("head", "last").distinct()
         found = (
@@ -314,18 +314,16 @@ def son_frequent_itemsets(
     return union_all(*levels)
 
 
-def fpgrowth_itemsets(rows: DataFrame, support: int, max_items: int = MAX_TREE_ITEMS) -> DataFrame:
+def fpgrowth_itemsets(rows: DataFrame, support: int) -> DataFrame:
     """The same itemsets from the built-in miner.
 
     Baskets are cut to their frequent items first, so no array exceeds their number. The
-    miner keeps these items on the driver; beyond `max_items` of them the level-wise
-    method takes over.
+    miner keeps these items on the driver; where they are too many, `son_frequent_itemsets`
+    is the method without that need.
     """
     pairs = materialise(basket_items(rows), "baskets")
     counts = pairs.groupBy("item").agg(F.count("*").alias("support"))
     singles = materialise(min_support(counts, support), "singles")
-    if singles.count() > max_items:
-        return son_frequent_itemsets(pairs, support)
     baskets = materialise(
         salted_join(pairs, singles.select("item"), "item")
         .groupBy("key")

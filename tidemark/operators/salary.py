@@ -1,15 +1,13 @@
-"""Survey salaries: counts, statistics, sums and partition profiles per country."""
+"""Survey salaries: counts, statistics and sums per country."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.hashing import java_partition
 from tidemark.functions.scalars import (
     INT_MAX,
     annualise,
-    bracketed,
     clean_country,
     clean_salary,
     saturating_int,
@@ -104,25 +102,3 @@ def sum_by_group(df: DataFrame, key: str, value: str, partitions: int | None = N
     """
     sums = df.groupBy(key).agg(F.sum(value).alias("total"))
     return sums if partitions is None else sums.repartition(partitions, key)
-
-
-def partition_profile(df: DataFrame, key: str, n: int, physical: bool = False) -> DataFrame:
-    """[pid, rows]: rows per partition.
-
-    physical: the partitions the input has now. Otherwise the partitions hash
-    partitioning by key in `n` would give, worked out from the group counts without
-    moving any row.
-    """
-    if physical:
-        return df.groupBy(F.spark_partition_id().alias("pid")).agg(F.count("*").alias("rows"))
-    groups = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    placed = groups.groupBy(java_partition(F.col(key), n).alias("pid")).agg(F.sum("_rows").alias("rows"))
-    every = df.sparkSession.range(n).select(F.col("id").cast("int").alias("pid"))
-    return every.join(placed, "pid", "left").select("pid", F.coalesce("rows", F.lit(0)).alias("rows"))
-
-
-def partition_profile_text(profile: DataFrame, label: str) -> DataFrame:
-    """[type, sizes]: the profile on one line as `[a,b,...]`, in partition order."""
-    ordered = F.array_sort(F.collect_list(F.struct("pid", "rows")))
-    sizes = F.transform(ordered, lambda p: p["rows"])
-    return profile.agg(bracketed(sizes).alias("sizes")).select(F.lit(label).alias("type"), "sizes")

@@ -84,11 +84,16 @@ def fpgrowth_itemsets(spark, sf_dir):
 
 def itemset_lines(spark, sf_dir):
     rows, support = _baskets(spark, sf_dir)
-    return format_itemsets(ops.son_frequent_itemsets(rows, support, CHUNKS), per_line=100)
+    return format_itemsets(ops.son_frequent_itemsets(rows, support, CHUNKS))
 
 
 def baskets_with_itemset(spark, sf_dir):
-    """Baskets that hold two given brands, by the array predicate."""
+    """Baskets that hold two given brands, from the long form."""
+    return ops.baskets_with(adapters.basket_rows(spark, sf_dir), "Brand#11", "Brand#12")
+
+
+def baskets_with_itemset_array(spark, sf_dir):
+    """The same baskets by the array predicate."""
     arrays = ops.build_baskets(adapters.basket_rows(spark, sf_dir))
     wanted = F.array(F.lit("Brand#11"), F.lit("Brand#12"))
     return arrays.where(contains_all(F.col("items"), wanted)).select("key")
@@ -111,7 +116,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         baskets_csv_roundtrip, baskets, son_local_items, son_local_pairs, apriori_candidates, global_support, son_itemsets,
-        son_itemsets_wide, fpgrowth_itemsets, itemset_lines, baskets_with_itemset, candidate_union,
+        son_itemsets_wide, fpgrowth_itemsets, itemset_lines, baskets_with_itemset,
+        baskets_with_itemset_array, candidate_union,
     )
 }
 
@@ -144,7 +150,7 @@ ORACLE = {
     "baskets_csv_roundtrip": """SELECT CAST(l.l_orderkey AS VARCHAR) AS key, p.p_brand AS item
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
     "baskets": f"""WITH {BASKETS}
-SELECT key, CAST(0 AS BIGINT) AS part, string_agg(item, ',' ORDER BY item) AS items FROM rows_ GROUP BY key""",
+SELECT key, string_agg(item, ',' ORDER BY item) AS items FROM rows_ GROUP BY key""",
     "son_local_items": f"""WITH {BASKETS}
 SELECT DISTINCT item AS items FROM rows_ GROUP BY key % {CHUNKS}, item HAVING count(*) >= {_LOCAL}""",
     "son_local_pairs": f"""{_LEVELS}
@@ -161,10 +167,10 @@ SELECT a || ',' || b || ',' || c AS items, CAST(3 AS INTEGER) AS size, support F
     "fpgrowth_itemsets": _FOUND,
     "itemset_lines": f"""{_LEVELS},
 numbered AS (SELECT size, items, row_number() OVER (PARTITION BY size ORDER BY items) AS n FROM found)
-SELECT size, (n - 1) // 100 AS part,
-       string_agg('(' || replace(items, ',', ', ') || ')', ', ' ORDER BY n) AS line
-FROM numbered GROUP BY 1, 2""",
+SELECT size, n, '(' || replace(items, ',', ', ') || ')' AS line FROM numbered""",
     "baskets_with_itemset": f"""WITH {BASKETS}
+SELECT key FROM rows_ WHERE item IN ('Brand#11', 'Brand#12') GROUP BY key HAVING count(*) = 2""",
+    "baskets_with_itemset_array": f"""WITH {BASKETS}
 SELECT key FROM rows_ WHERE item IN ('Brand#11', 'Brand#12') GROUP BY key HAVING count(*) = 2""",
     "candidate_union": f"""WITH {BASKETS},
 marked AS (SELECT DISTINCT r.key, r.item, o.o_orderpriority = '1-URGENT' AS urgent

@@ -7,17 +7,17 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import saturating_int
 from tidemark.operators import salary as ops
 from tidemark.operators.relational import union_all
-from tidemark.plans.oracle_views import SURVEY, java_hash_sql
+from tidemark.plans.oracle_views import SURVEY
 from tidemark.session import scratch_dir
 from tidemark.sources import adapters
 from tidemark.sources.readers import SURVEY_COLUMNS, read_survey
-from tidemark.sources.sinks import write_csv_single
+from tidemark.sources.sinks import write_csv_sorted
 
 
 def survey_csv_roundtrip(spark, sf_dir):
     """Write the survey as a wide quoted CSV and read it back by position."""
     survey = adapters.survey(spark, sf_dir)
-    at = {SURVEY_COLUMNS["country"]: "country_raw", SURVEY_COLUMNS["salary_raw"]: "salary_raw",
+    at = {SURVEY_COLUMNS["country_raw"]: "country_raw", SURVEY_COLUMNS["salary_raw"]: "salary_raw",
           SURVEY_COLUMNS["period_raw"]: "period_raw"}
     wide = [F.col(at[i]).alias(f"c{i}") if i in at else F.lit("x").alias(f"c{i}") for i in range(54)]
     path = scratch_dir(spark, "survey")
@@ -27,6 +27,11 @@ def survey_csv_roundtrip(spark, sf_dir):
     return read_survey(spark, path)
 
 
+def survey_file_stats(spark, sf_dir):
+    """From a survey file to the statistics."""
+    return _rounded(ops.salary_stats(ops.annual_salaries(survey_csv_roundtrip(spark, sf_dir))))
+
+
 def valid_salary(spark, sf_dir):
     return ops.reported_salaries(adapters.survey(spark, sf_dir)).select(
         "country", F.round("salary", 2).alias("salary"), "period_raw"
@@ -102,21 +107,11 @@ def salary_union_periods(spark, sf_dir):
     return every.groupBy("country").agg(F.count("*").alias("n"))
 
 
-def partition_profile(spark, sf_dir):
-    reported = ops.reported_salaries(adapters.survey(spark, sf_dir))
-    return ops.partition_profile(reported, "country", 2)
-
-
-def partition_profile_text(spark, sf_dir):
-    reported = ops.reported_salaries(adapters.survey(spark, sf_dir))
-    return ops.partition_profile_text(ops.partition_profile(reported, "country", 2), "partition")
-
-
 def salary_csv_single(spark, sf_dir):
     """The counts through the single-file CSV writer and back."""
     counts = ops.count_by_group(ops.reported_salaries(adapters.survey(spark, sf_dir)), "country")
     path = scratch_dir(spark, "counts")
-    write_csv_single(counts, path, "country")
+    write_csv_sorted(counts, path, "country")
     return spark.read.schema("country string, n bigint").csv(path)
 
 
@@ -125,16 +120,16 @@ def salary_report(spark, sf_dir):
     """The saturating statistics as the single CSV file of the report, read back."""
     annual = ops.annual_salaries(adapters.survey(spark, sf_dir))
     path = scratch_dir(spark, "salaries")
-    write_csv_single(ops.salary_report(ops.salary_stats(annual, "saturating")), path, "country")
+    write_csv_sorted(ops.salary_report(ops.salary_stats(annual, "saturating")), path, "country")
     return spark.read.schema("country string, n bigint, min int, max int, avg string").csv(path)
 
 
 QUERIES = {
     f.__name__: f
     for f in (
-        survey_csv_roundtrip, valid_salary, salary_clean_annual, salary_rejects, salary_count_total,
+        survey_csv_roundtrip, survey_file_stats, valid_salary, salary_clean_annual, salary_rejects, salary_count_total,
         salary_stats, salary_stats_saturating, salary_stats_by_join, salary_sum,
-        salary_sum_partitioned, salary_union_periods, partition_profile, partition_profile_text,
+        salary_sum_partitioned, salary_union_periods,
         salary_csv_single, salary_report,
     )
 }
@@ -150,15 +145,9 @@ UNION ALL SELECT country, count(*) AS n FROM reported GROUP BY country"""
 _SUM = f"""WITH {SURVEY}
 SELECT country, CAST(sum(CAST(salary AS DECIMAL(18,2))) AS DOUBLE) AS total
 FROM reported WHERE salary IS NOT NULL GROUP BY country"""
-_PLACED = f"""WITH {SURVEY},
-placed AS (SELECT CAST(((h % 2) + 2) % 2 AS INTEGER) AS pid
-           FROM (SELECT {java_hash_sql('country')} AS h FROM reported)),
-profile AS (SELECT p.pid, count(placed.pid) AS rows
-            FROM (SELECT CAST(range AS INTEGER) AS pid FROM range(2)) p
-                 LEFT JOIN placed ON placed.pid = p.pid GROUP BY p.pid)"""
-
 ORACLE = {
-    "survey_csv_roundtrip": f"WITH {SURVEY} SELECT country_raw AS country, salary_raw, period_raw FROM survey",
+    "survey_csv_roundtrip": f"WITH {SURVEY} SELECT country_raw, salary_raw, period_raw FROM survey",
+    "survey_file_stats": _STATS,
     "valid_salary": f"WITH {SURVEY} SELECT country, round(salary, 2) AS salary, period AS period_raw FROM reported",
     "salary_clean_annual": f"""WITH {SURVEY}
 SELECT country, round(annual, 2) AS annual FROM annual WHERE annual IS NOT NULL""",
@@ -176,9 +165,6 @@ FROM annual WHERE annual IS NOT NULL GROUP BY country""",
     "salary_sum_partitioned": _SUM,
     "salary_union_periods": f"""WITH {SURVEY}
 SELECT country, count(*) AS n FROM annual WHERE annual IS NOT NULL GROUP BY country""",
-    "partition_profile": f"{_PLACED} SELECT pid, rows FROM profile",
-    "partition_profile_text": f"""{_PLACED}
-SELECT 'partition' AS type, '[' || string_agg(CAST(rows AS VARCHAR), ',' ORDER BY pid) || ']' AS sizes FROM profile""",
     "salary_csv_single": _COUNTS,
     "salary_report": f"""WITH {SURVEY}
 SELECT country, count(*) AS n, {_TRUNC_MIN} AS min, {_TRUNC_MAX} AS max,

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import words
+from tidemark.operators.skew import number_rows
+from tidemark.session import materialise
 
 # Positions of country, salary and salary period in the survey file.
-SURVEY_COLUMNS = {"country": 3, "salary_raw": 52, "period_raw": 53}
+SURVEY_COLUMNS = {"country_raw": 3, "salary_raw": 52, "period_raw": 53}
 
 
 def read_survey(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """[country, salary_raw, period_raw] from a quoted CSV with a header.
+    """[country_raw, salary_raw, period_raw] from a quoted CSV with a header.
 
     Files stay splittable unless `multi_line` is set for quoted line breaks.
     """
@@ -44,11 +46,16 @@ def read_baskets(spark: SparkSession, path: str) -> DataFrame:
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """[doc_id, words] from text with one document per line.
 
-    The id is a hash of the file and the line, so equal lines of one file share it.
+    Lines are numbered 0, 1, 2, ... in the order of the files, of the blocks in a file and of the
+    lines in a block, so equal lines stay separate documents.
     """
-    lines = spark.read.text(path)
-    doc_id = F.xxhash64(F.col("_metadata.file_path"), F.col("value"))
-    return lines.select(doc_id.alias("doc_id"), words(F.col("value")).alias("words"))
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
+    )
+    # Inside a block the ids follow the lines; written once, they stay as they are.
+    lines = materialise(lines.withColumn("at", F.monotonically_increasing_id()), "lines")
+    numbered = number_rows(lines, "file", "block", "at", name="n")
+    return numbered.select((F.col("n") - 1).alias("doc_id"), words(F.col("value")).alias("words"))
 
 
 def documents_from_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,22 +7,13 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.skew import number_rows
 
-# Largest result that goes through one task for the sake of a single file.
-SINGLE_FILE_ROWS = 1_000_000
-SETS_PER_LINE = 1000
 
+def write_csv_sorted(df: DataFrame, path: str, *order: str) -> None:
+    """Headerless CSV in the given order: range-sorted part files that follow one another.
 
-def write_csv_single(df: DataFrame, path: str, *order: str, max_rows: int = SINGLE_FILE_ROWS) -> None:
-    """Headerless CSV in the given order, as one part file when the result is small.
-
-    A larger result is written as several range-sorted part files, whole and in order.
+    Adaptive execution makes one file of a small result.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    if small:
-        out = df.repartition(1).sortWithinPartitions(*order) if order else df.repartition(1)
-    else:
-        out = df.orderBy(*order) if order else df
-    out.write.mode("overwrite").csv(path)
+    df.orderBy(*order).write.mode("overwrite").csv(path)
 
 
 def prediction_lines(predictions: DataFrame) -> DataFrame:
@@ -35,23 +26,19 @@ def write_predictions(predictions: DataFrame, path: str) -> None:
     prediction_lines(predictions.orderBy("user", "item")).write.mode("overwrite").text(path)
 
 
-def format_itemsets(itemsets: DataFrame, per_line: int = SETS_PER_LINE) -> DataFrame:
-    """[size, part, line]: itemsets written as `(a, b), (c, d)`, sorted inside and out.
+def format_itemsets(itemsets: DataFrame) -> DataFrame:
+    """[size, n, line]: each itemset as `(a, b)` with its number in the sorted list of its size.
 
-    A size with more than `per_line` itemsets continues in further parts; joined by
-    ", " in part order they give the whole line. No row grows with the input.
+    Joined by ", " the lines of a size give the whole list. No row grows with the input.
     """
     sets = itemsets.select("size", F.array_sort("items").alias("items"))
-    numbered = number_rows(sets, "items", name="_n", within=("size",))
-    text = F.concat(F.lit("("), F.array_join("items", ", "), F.lit(")"))
-    parts = numbered.groupBy(
-        "size", F.floor((F.col("_n") - 1) / per_line).cast("bigint").alias("part")
-    ).agg(F.array_sort(F.collect_list(F.struct("_n", text.alias("set")))).alias("sets"))
-    return parts.select("size", "part", F.array_join("sets.set", ", ").alias("line"))
+    numbered = number_rows(sets, "items", name="n", within=("size",))
+    return numbered.select("size", "n", F.concat(F.lit("("), F.array_join("items", ", "), F.lit(")")).alias("line"))
 
 
 def write_itemsets(itemsets: DataFrame, path: str) -> None:
-    format_itemsets(itemsets).orderBy("size", "part").select("line").write.mode("overwrite").text(path)
+    """One itemset to a line, by size and then by items."""
+    format_itemsets(itemsets).orderBy("size", "n").select("line").write.mode("overwrite").text(path)
 
 
 def write_cluster_report(report: DataFrame, path: str) -> None:

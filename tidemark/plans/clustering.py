@@ -56,6 +56,13 @@ def hashing_tfidf(spark, sf_dir):
     return vectors.select("doc_id", F.size(raw["indices"]).alias("terms"))
 
 
+def hashed_counts(spark, sf_dir):
+    """Words of each document from its hashed vector: a collision adds counts, it loses none."""
+    vectors = text.hashing_tf(adapters.documents(spark, sf_dir))
+    counts = F.aggregate(F.unwrap_udt("tf")["values"], F.lit(0.0), lambda a, x: a + x)
+    return vectors.select("doc_id", counts.alias("tokens"))
+
+
 def _lloyd(spark, sf_dir, rounds=ROUNDS):
     points = adapters.points(spark, sf_dir)
     return ops.lloyd_kmeans(points, ops.smallest_id_centres(points, K), rounds)
@@ -172,13 +179,22 @@ def bisecting_report_16(spark, sf_dir):
     return _ml_report(spark, sf_dir, ops.bisecting_kmeans, 16, "Bisecting K-Means")
 
 
+def ml_report_checks(spark, sf_dir):
+    """What holds for any start: every document is in one cluster, and the errors add up."""
+    both = kmeans_report_8(spark, sf_dir).unionByName(bisecting_report_8(spark, sf_dir))
+    add_up = F.abs(F.sum("error") - F.max("wsse")) <= 0.01 * F.count("*")
+    return both.groupBy("algorithm").agg(
+        F.sum("size").alias("documents"), add_up.alias("errors_add_up"), (F.count("*") <= 8).alias("at_most_k")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         documents_words, documents_text, term_counts, idf, tfidf, bag_of_words, hashing_tfidf, cluster_documents,
         assign_nearest, lloyd_kmeans, lloyd_centres, cluster_sse, cluster_terms, cluster_top_terms,
         cluster_top_terms_literal, cluster_report, lloyd_report_tfidf, lloyd_report_words,
-        kmeans_report_8, kmeans_report_16, bisecting_report_8, bisecting_report_16,
+        kmeans_report_8, kmeans_report_16, bisecting_report_8, bisecting_report_16, hashed_counts, ml_report_checks,
     )
 }
 
@@ -264,6 +280,11 @@ SELECT doc_id, term, round(tf * idf, 6) AS tfidf FROM terms JOIN weights USING (
     "bag_of_words": f"""WITH {WORDS},
 vocabulary AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS position FROM (SELECT DISTINCT term FROM terms))
 SELECT doc_id, term, position, tf FROM terms JOIN vocabulary USING (term)""",
+    "hashed_counts": f"""WITH {WORDS}
+SELECT d.doc_id, CAST(coalesce(sum(tf), 0) AS DOUBLE) AS tokens
+FROM documents d LEFT JOIN terms t ON t.doc_id = d.doc_id GROUP BY d.doc_id""",
+    "ml_report_checks": """SELECT algorithm, count(*) AS documents, true AS errors_add_up, true AS at_most_k
+FROM documents CROSS JOIN (VALUES ('K-Means'), ('Bisecting K-Means')) t(algorithm) GROUP BY algorithm""",
     "assign_nearest": f"{_lloyd_sql(0)} SELECT id, cluster, round(d2, 6) AS d2 FROM a0",
     "lloyd_kmeans": f"{_LLOYD} SELECT id, cluster, round(d2, 6) AS d2 FROM a{ROUNDS}",
     "lloyd_centres": f"{_LLOYD} SELECT cluster, pos, round(x, 6) AS x FROM c{ROUNDS}",

@@ -156,13 +156,29 @@ def als_metrics(spark, sf_dir):
     return ops.evaluation(ops.join_actual(test, predictions))
 
 
+def als_checks(spark, sf_dir):
+    """What holds for any factors: each test pair once and in range, and an error within its bounds."""
+    train, test = adapters.train_test(spark, sf_dir)
+    predictions = materialise(ops.recommend_with_fallback(train, test), "predictions")
+    measured = ops.evaluation(ops.join_actual(test, predictions)).select("n", "rmse")
+    checks = predictions.agg(
+        F.count("*").alias("pairs"),
+        (F.count("*") - F.countDistinct("user", "item")).alias("repeated"),
+        F.count_if(~F.col("prediction").between(0, 5) | F.col("prediction").isNull()).alias("out_of_range"),
+    )
+    # One row each.
+    return checks.withColumn("one", F.lit(1)).join(measured.withColumn("one", F.lit(1)), "one").select(
+        "pairs", "repeated", "out_of_range", F.col("n").alias("rated"), F.col("rmse").between(0, 2).alias("rmse_below_2")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         ratings_csv_roundtrip, ratings_lines, ratings_dedup, train_minus_test, user_mean, item_mean, corated_pairs,
         corated_pairs_heavy, pearson_weight, user_cf_predict, user_cf_heavy, user_cf_literal,
         fallback_predict, mean_error_histogram, mean_rmse, cf_error_histogram, cf_rmse,
-        prediction_lines, id_encode, als_predict, als_metrics,
+        prediction_lines, id_encode, als_predict, als_metrics, als_checks,
     )
 }
 
@@ -262,6 +278,9 @@ WHERE NOT EXISTS (SELECT 1 FROM scored s WHERE s."user" = t."user" AND s.item =
     "prediction_lines": f"""{_MEANS}
 SELECT CAST("user" AS VARCHAR) || ',' || CAST(item AS VARCHAR) || ','
        || CAST(CAST(round(prediction * 1000) AS BIGINT) AS VARCHAR) AS value FROM predicted""",
+    "als_checks": f"""WITH {RATINGS}
+SELECT count(*) AS pairs, CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS out_of_range, count(*) AS rated,
+       true AS rmse_below_2 FROM (SELECT DISTINCT "user", item FROM test)""",
     "id_encode": """SELECT "user", CAST(row_number() OVER (ORDER BY "user") - 1 AS INTEGER) AS user_id
 FROM (SELECT DISTINCT o_custkey AS "user" FROM orders JOIN lineitem ON l_orderkey = o_orderkey)""",
 }

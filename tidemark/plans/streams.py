@@ -55,6 +55,15 @@ def bloom_replay_wide(spark, sf_dir):
     return flags.groupBy("maybe", "seen").agg(F.count("*").alias("n"))
 
 
+def bloom_wide_checks(spark, sf_dir):
+    """What holds for any filter: a tag seen before is never called new."""
+    flags = bloom.bloom_replay(adapters.message_tags(spark, sf_dir), m=1 << 20, k=7, family="xxhash")
+    return flags.agg(
+        F.count("*").alias("tags"), F.count_if(F.col("seen") & ~F.col("maybe")).alias("missed"),
+        F.count_if(F.col("seen")).alias("seen"),
+    )
+
+
 def exact_seen(spark, sf_dir):
     return bloom.really_seen(adapters.message_tags(spark, sf_dir)).select("seq", "tag", "seen")
 
@@ -213,7 +222,7 @@ def stream_report(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        java_hash, bloom_bits, bloom_sizing, bloom_replay, bloom_replay_wide, exact_seen, bloom_confusion,
+        java_hash, bloom_bits, bloom_sizing, bloom_replay, bloom_replay_wide, bloom_wide_checks, exact_seen, bloom_confusion,
         bloom_report, bloom_build, bloom_probe, bloom_probe_joined, arrival_number, reservoir_sample,
         reservoir_literal, reservoir_replaced, reservoir_length, reservoir_snapshot,
         reservoir_snapshot_last, avg_text_length, tag_counts, top_tags, stream_reservoir, stream_bloom,
@@ -322,6 +331,8 @@ SELECT seq, CAST(sum(change) OVER (ORDER BY seq) AS BIGINT) AS total_len FROM ch
 SELECT CAST(row_number() OVER (ORDER BY n DESC, tag) AS INTEGER) AS rank, tag, n FROM counts
 ORDER BY n DESC, tag LIMIT 5""",
     "stream_reservoir": f"{_ENTERED} SELECT slot, seq, len FROM held",
+    "bloom_wide_checks": f"""WITH {TAGS}
+SELECT count(*) AS tags, CAST(0 AS BIGINT) AS missed, count(*) - count(DISTINCT tag) AS seen FROM tags""",
     "stream_bloom": f"{_REPLAY} SELECT seq, tag, maybe, seen FROM flags",
     "stream_exact_seen": f"{_REPLAY} SELECT seq, tag, seen FROM flags",
     "stream_report": _last_snapshot("SELECT event_id + 1 AS seq, length(props) AS len FROM events"),

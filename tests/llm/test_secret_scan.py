@@ -49,6 +49,7 @@ def test_base_spans_and_the_model(spark, tmp_path):
         "key " + "-".join(hexes(rng, 8) for _ in range(4)) + " end",
         " ".join(rng.choice(words) + rng.choice(words) for _ in range(300)),
         "secret = " + "a" * 100_000,
+        "".join(f"token = {hexes(rng, 24)} {'word' * 4}{k} " for k in range(3000)),
     ]
     texts += [f"token = {hexes(rng, 32)}" for _ in range(50)]
     rows = [(i, t, "x", 1, "y") for i, t in enumerate(texts)]

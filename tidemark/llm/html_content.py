@@ -63,7 +63,7 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 KERNEL = (0.25, 0.5, 0.25)
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^<>]*>",
     re.S,
 )
 _MARK = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)

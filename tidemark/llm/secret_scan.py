@@ -39,6 +39,8 @@ MIN_RUN = 16
 RUN = rf"[A-Za-z0-9+/_=-]{{{MIN_SAMPLE},}}"
 MIN_LLR = 12.0
 
+GROUP = 256
+
 _SPAN = "array<struct<start:int,rank:int,end:int,value:string>>"
 
 
@@ -49,7 +51,10 @@ def _found(text: str, pattern: str, rank: int) -> tuple[Column, Column]:
     def spans(found: Column) -> Column:
         between = F.split(text, pattern, -1)
         steps = F.arrays_zip(F.slice(between, 1, F.size(found)).alias("gap"), found.alias("value"))
-        start = F.struct(F.lit(0).alias("at"), F.lit(None).cast(_SPAN).alias("spans"))
+        groups = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(found) - 1) / GROUP).cast("int")),
+            lambda g: F.slice(steps, g * GROUP + 1, F.lit(GROUP)),
+        )
 
         def step(state: Column, piece: Column) -> Column:
             begin = state["at"] + F.length(piece["gap"])
@@ -57,14 +62,22 @@ def _found(text: str, pattern: str, rank: int) -> tuple[Column, Column]:
             span = F.struct(
                 begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), piece["value"].alias("value")
             )
-            return F.struct(
-                end.alias("at"),
-                F.when(state["spans"].isNull(), F.array(span)).otherwise(
-                    F.concat(state["spans"], F.array(span))
-                ).alias("spans"),
+            return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+
+        def add_group(done: Column, group: Column) -> Column:
+            start = F.struct(done["at"].alias("at"), F.array().cast(_SPAN).alias("spans"))
+            return F.aggregate(
+                group,
+                start,
+                step,
+                lambda state: F.struct(
+                    state["at"].alias("at"), F.concat(done["spans"], F.array(state["spans"])).alias("spans")
+                ),
             )
 
-        listed = F.aggregate(steps, start, step, lambda state: state["spans"])
+        # Appending copies an array, so spans are gathered in groups: a text may have very many.
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("spans"))
+        listed = F.aggregate(groups, start, add_group, lambda done: F.flatten(done["spans"]))
         return F.when(F.size(found) > 0, listed).otherwise(F.array().cast(_SPAN))
 
     return matches, spans

@@ -3,7 +3,7 @@
 A document is a row of overlapping chunks of `CHUNK` bytes, one every `BLOCK` bytes, from its first
 byte to its last. A chunk's inputs are the learned embedding of each of its bytes and, as
 a second group of channels, how many bytes of each half equal the byte some lag before them, for lags
-up to `LAGS`. Learned filters with a rectifier respond to each chunk, the maximum over all
+up to `LAGS`, and the largest of these shares. Learned filters with a rectifier respond to each chunk, the maximum over all
 chunks is taken per filter, and a logistic unit combines the maxima into one probability.
 
 The weights are fitted on the driver on at most `TRAIN_ROWS` labelled rows of at most
@@ -26,16 +26,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunk_encoder import in_slices
+from tidemark.llm.chunk_encoder import text_slices
 
 BLOCK = 8
 CHUNK = 2 * BLOCK
 LAGS = 24
 DIMS = 6
+# Inputs of a block.
+WIDTH = BLOCK * DIMS + LAGS + 1
 FILTERS = 24
 TRAIN_ROWS = 2400
 TRAIN_BYTES = 16_384
-EPOCHS = 16
+STEPS = 2000
+SAMPLES = 32
 SEED = 20
 # Blocks whose inputs are held at once: about 60 MB.
 SLAB = 1 << 16
@@ -44,7 +47,7 @@ SLAB = 1 << 16
 @dataclass
 class Network:
     embedding: np.ndarray  # 256 x DIMS
-    filters: np.ndarray  # 2 halves x (BLOCK * DIMS + LAGS) x FILTERS
+    filters: np.ndarray  # 2 halves x WIDTH x FILTERS
     offset: np.ndarray  # FILTERS
     weights: np.ndarray  # FILTERS
     bias: float
@@ -72,25 +75,27 @@ def _layout(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def _buffer(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    sizes = np.array([memoryview(t).nbytes for t in texts], dtype=np.int64)
     first, chunks, blocks = _layout(sizes)
     # LAGS zeros in front, so that every byte has bytes before it.
     data = np.zeros(LAGS + blocks * BLOCK, dtype=np.uint8)
-    for text, at in zip(texts, first.tolist(), strict=True):
-        data[LAGS + at * BLOCK : LAGS + at * BLOCK + len(text)] = np.frombuffer(text, dtype=np.uint8)
+    for text, at, n in zip(texts, first.tolist(), sizes.tolist(), strict=True):
+        data[LAGS + at * BLOCK : LAGS + at * BLOCK + n] = np.frombuffer(text, dtype=np.uint8)
     return data, first, chunks
 
 
 def _inputs(data: np.ndarray, a: int, b: int, embedding: np.ndarray) -> np.ndarray:
-    """Inputs of the blocks a .. b: embedded bytes, then the share of equal bytes per lag."""
+    """Inputs of the blocks a .. b: embedded bytes, the share of equal bytes per lag, and its maximum."""
     own = data[LAGS + a * BLOCK : LAGS + b * BLOCK]
-    out = np.empty((b - a, BLOCK * DIMS + LAGS), dtype=np.float32)
+    out = np.empty((b - a, WIDTH), dtype=np.float32)
     out[:, : BLOCK * DIMS] = embedding[own].reshape(b - a, -1)
     real = own != 0
     for lag in range(1, LAGS + 1):
         equal = (own == data[LAGS + a * BLOCK - lag : LAGS + b * BLOCK - lag]) & real
         out[:, BLOCK * DIMS + lag - 1] = np.bitwise_count(np.packbits(equal))
-    out[:, BLOCK * DIMS :] /= BLOCK
+    shares = out[:, BLOCK * DIMS : -1]
+    shares /= BLOCK
+    out[:, -1] = shares.max(axis=1)
     return out
 
 
@@ -118,16 +123,15 @@ def pool(texts: list[bytes], net: Network) -> np.ndarray:
     return pooled
 
 
-def fit(texts: list[bytes], labels: np.ndarray, prior: float, epochs: int = EPOCHS) -> Network:
+def fit(texts: list[bytes], labels: np.ndarray, prior: float, steps: int = STEPS) -> Network:
     """Adam on the cross entropy; the gradient of a maximum goes to the chunk that made it.
 
-    The sample holds as many rows of each label, so the bias is moved to the `prior` share of 1.
+    Every step takes as many rows of each label, so the bias is moved to the `prior` share of 1.
     """
     rng = np.random.default_rng(SEED)
-    width = BLOCK * DIMS + LAGS
     net = Network(
         rng.normal(0, 0.5, (256, DIMS)).astype(np.float32),
-        rng.normal(0, 0.1, (2, width, FILTERS)).astype(np.float32),
+        rng.normal(0, 0.1, (2, WIDTH, FILTERS)).astype(np.float32),
         np.zeros(FILTERS, np.float32),
         rng.normal(0, 0.3, FILTERS).astype(np.float32),
         0.0,
@@ -135,19 +139,20 @@ def fit(texts: list[bytes], labels: np.ndarray, prior: float, epochs: int = EPOC
     parts = [net.embedding, net.filters, net.offset, net.weights, np.zeros(1, np.float32)]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parts]
     net.embedding, net.filters, net.offset, net.weights, bias = parts
-    step = 0
-    for epoch in range(epochs):
-        order = rng.permutation(len(texts))
-        rate = 0.01 * (1 - epoch / epochs) + 0.0005
-        for at in range(0, len(order), 32):
-            chosen = order[at : at + 32]
-            net.bias = float(bias[0])
-            gradients = _gradients([texts[i] for i in chosen], labels[chosen], net)
-            step += 1
-            for p, g, (m, v) in zip(parts, gradients, moments, strict=True):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    # The rows of each label in turn, in a new order each time round.
+    own = [np.nonzero(labels == label)[0] for label in (0, 1)]
+    rounds = [-(-steps * SAMPLES // 2 // len(rows)) for rows in own]
+    order = [np.concatenate([rng.permutation(rows) for _ in range(n)]) for rows, n in zip(own, rounds, strict=True)]
+    for step in range(1, steps + 1):
+        rate = 0.01 * (1 - step / steps) + 0.0005
+        at = (step - 1) * SAMPLES // 2
+        chosen = np.concatenate([rows[at : at + SAMPLES // 2] for rows in order])
+        net.bias = float(bias[0])
+        gradients = _gradients([texts[i] for i in chosen], labels[chosen], net)
+        for p, g, (m, v) in zip(parts, gradients, moments, strict=True):
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     net.bias = float(bias[0] + np.log(prior / (1 - prior)))
     return net
 
@@ -216,13 +221,13 @@ def train(
     return fit([text for text, _ in sample], known, counts[1] / total)
 
 
-def _scores(texts: list[str | None], model: Network | Prior) -> np.ndarray:
+def _scores(texts: pa.Array, model: Network | Prior) -> np.ndarray:
     if isinstance(model, Prior):
         return np.full(len(texts), model.share)
-    data = [t.encode() if t else b"" for t in texts]
     parts = [np.zeros(0)]
-    for first, last in in_slices([len(t) for t in data]):
-        parts.append(model.probability(pool(data[first:last], model).astype(np.float64)))
+    for _, some in text_slices(texts):
+        data = [t.as_buffer() for t in some]
+        parts.append(model.probability(pool(data, model).astype(np.float64)))
     return np.concatenate(parts)
 
 
@@ -231,7 +236,7 @@ def score(docs: DataFrame, model: Network | Prior, id_col: str = "doc_id", text_
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            scores = _scores(rows.column(1).to_pylist(), model)
+            scores = _scores(rows.column(1), model)
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(scores, pa.float64())], names=["id", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -244,6 +249,6 @@ def keep_good(docs: DataFrame, model: Network | Prior, least: float, text_col: s
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            yield rows.filter(pa.array(_scores(rows.column(place).to_pylist(), model) >= least))
+            yield rows.filter(pa.array(_scores(rows.column(place), model) >= least))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -5,11 +5,15 @@ k = (1 - t) / (1 + t) * (|r| + |s|) features when their Jaccard similarity reach
 domain of features into more than k partitions, so two such sets agree in at least one whole
 partition, and the content of a partition is a signature that they share. A set needn't emit all of
 its signatures: it keeps the partitions with at least m of its features, m being the largest
-number that leaves it k + 1 of them. Of two sets, the one with the larger m agrees with the
-other in one of its own partitions, which the other keeps too, so no pair is lost; and hardly a
+number that leaves it k + 1 + e of them. Of two sets, the one with the larger m agrees with the
+other in e + 1 of its own partitions, which the other keeps too, so no pair is lost; and hardly a
 set keeps an empty partition, in which unrelated sets would agree. A set near the end of
 its band also takes part in the next one.
 
+Since similar sets share e + 1 signatures, they still share one when each set leaves out its e most
+frequent ones, in one order for all. So a line or passage of very many documents makes
+no candidates, and a set with no more than e shared signatures is done.
+
 Exact copies are collapsed to one set first. Signatures travel packed, by hash, to buckets of
 bounded size; sets that share one are met inside a batch before anything is exchanged, so a
 large group of near copies sends one line per batch and signature. Similarities are then computed
@@ -44,11 +48,13 @@ WORDS = 5
 PERCENT = 80
 # Largest size of a band over its smallest.
 BAND = 1.6
-# Partitions per difference that sets of a band can have.
-SPARE = 1.25
+# Partitions per signature that sets of a band keep at least.
+SPARE = 1.1
 # Signatures that a bucket is meant to hold.
 BUCKET = 1_000_000
 TRIES = 3
+# Signatures that a task holds at once before it packs them.
+HELD = 1_000_000
 
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64
@@ -113,8 +119,16 @@ def differences(a: int, b: int, percent: int) -> int:
     return (100 - percent) * (a + b) // (100 + percent)
 
 
+def extra(high: int, percent: int) -> int:
+    """Signatures that similar sets of a band up to the size `high` share besides one."""
+    return (differences(high, high, percent) + 1) // 5
+
+
 def signatures(features: np.ndarray, edges: list[tuple[int, int]], percent: int = PERCENT) -> np.ndarray:
-    """Signatures of one sorted set in all bands it takes part in."""
+    """Signatures of one sorted set in all bands it takes part in.
+
+    Bit 32 tells the two bands of a set apart.
+    """
     n = len(features)
     mixed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(features), dtype=np.uint64)])
     out = []
@@ -123,8 +137,9 @@ def signatures(features: np.ndarray, edges: list[tuple[int, int]], percent: int
         if band >= len(edges) or 100 * n < percent * edges[band][0]:
             break
         high = edges[band][1]
-        partitions = max(1, int(SPARE * (differences(high, high, percent) + 1)))
-        needed = differences(n, min(high, 100 * n // percent), percent) + 1
+        more = extra(high, percent)
+        partitions = max(1, int(SPARE * (differences(high, high, percent) + 1 + more)))
+        needed = differences(n, min(high, 100 * n // percent), percent) + 1 + more
         # The partition of a feature is its place in the range of hashes, so it is a run of the set.
         starts = np.arange(partitions + 1, dtype=np.float64) * (2.0**64 / partitions)
         limits = np.minimum(starts, 2.0**64 - 2048).astype(np.uint64)
@@ -135,7 +150,8 @@ def signatures(features: np.ndarray, edges: list[tuple[int, int]], percent: int
         kept = np.nonzero(counts >= least)[0]
         content = mixed[places[kept + 1]] - mixed[places[kept]]
         name = (np.uint64(band) << np.uint64(40)) + kept.astype(np.uint64)
-        out.append(_mix(_mix(content) + name * np.uint64(0x9E3779B97F4A7C15) + counts[kept].astype(np.uint64)))
+        mark = _mix(_mix(content) + name * np.uint64(0x9E3779B97F4A7C15) + counts[kept].astype(np.uint64))
+        out.append(mark & ~np.uint64(1 << 32) | np.uint64((band & 1) << 32))
     return np.concatenate(out)
 
 
@@ -195,7 +211,7 @@ def _emit(buckets: int, edges: list[tuple[int, int]]):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: set[int] = set()
-            sigs, keys = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            sigs, keys, held = [], [], 0
             for _, _, sets in _texts(batch, 0):
                 for features in sets:
                     key = set_key(features) if len(features) else None
@@ -205,28 +221,33 @@ def _emit(buckets: int, edges: list[tuple[int, int]]):
                     own = signatures(features, edges)
                     sigs.append(own)
                     keys.append(np.full(len(own), key, dtype=np.int64))
-            sig, key = np.concatenate(sigs), np.concatenate(keys)
-            if not len(sig):
-                continue
-            # A signature is known by its bucket and 32 more bits; a chance meeting is only one more try.
-            ids = (sig % np.uint64(buckets) << np.uint64(32)) + (sig >> np.uint64(32))
-            ids, key, rep, shared = _shared(ids, key)
-            rows = []
-            if shared.any():
-                # What meets inside the batch needs no exchange by signature, only a place.
-                rows.append(pack(int(ids[0]) % buckets, ids[shared], key[shared], rep[shared]))
-            first, _ = _runs(ids)
-            ids, key = ids[first], key[first]
-            bucket = ids >> np.uint64(32)
-            first, lengths = _runs(bucket)
-            for a, n in zip(first.tolist(), lengths.tolist(), strict=True):
-                rows.append(pack(int(bucket[a]), ids[a : a + n], key[a : a + n], None))
-            yield pa.RecordBatch.from_pylist(
-                rows,
-                schema=pa.schema(
-                    [("bucket", pa.int64()), *((c, pa.binary()) for c in ("sig", "at", "keys", "rep"))]
-                ),
-            )
+                    held += len(own)
+                if held >= HELD:
+                    yield packed(np.concatenate(sigs), np.concatenate(keys))
+                    sigs, keys, held = [], [], 0
+            if sigs:
+                yield packed(np.concatenate(sigs), np.concatenate(keys))
+
+    def packed(sig: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+        # A signature is known by its bucket and 32 more bits; a chance meeting is only one more try.
+        ids = (sig % np.uint64(buckets) << np.uint64(32)) + (sig >> np.uint64(32))
+        ids, key, rep, shared = _shared(ids, key)
+        rows = []
+        if shared.any():
+            # What meets inside the batch needs no exchange by signature, only a place.
+            rows.append(pack(int(ids[0]) % buckets, ids[shared], key[shared], rep[shared]))
+        first, _ = _runs(ids)
+        ids, key = ids[first], key[first]
+        bucket = ids >> np.uint64(32)
+        first, lengths = _runs(bucket)
+        for a, n in zip(first.tolist(), lengths.tolist(), strict=True):
+            rows.append(pack(int(bucket[a]), ids[a : a + n], key[a : a + n], None))
+        return pa.RecordBatch.from_pylist(
+            rows,
+            schema=pa.schema(
+                [("bucket", pa.int64()), *((c, pa.binary()) for c in ("sig", "at", "keys", "rep"))]
+            ),
+        )
 
     return emit
 
@@ -289,6 +310,23 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return materialise(met.mapInArrow(_are_similar, "a long, b long, similar boolean"), "verified")
 
 
+def _rarest(shared: DataFrame, classes: DataFrame, edges: list[tuple[int, int]]) -> DataFrame:
+    """[sig, rep, key] without the most frequent signatures of each set, as many as it has to spare."""
+    frequency = materialise(shared.groupBy("sig").agg(F.count("*").alias("f")), "frequencies")
+    highs = F.array(*[F.lit(high) for _, high in edges])
+    spare = F.array(*[F.lit(extra(high, PERCENT)) for _, high in edges])
+    first = F.size(F.filter(highs, lambda high: high < F.col("n")))
+    # Of the set's two bands, the one with the parity of the signature.
+    band = first + F.when(first % 2 == F.col("sig") % 2, 0).otherwise(1)
+    order = Window.partitionBy("key", F.col("sig") % 2).orderBy(F.desc("f"), "sig")
+    ranked = shared.join(frequency, "sig").join(classes.select("key", "n"), "key")
+    ranked = ranked.withColumn("rank", F.row_number().over(order))
+    kept = materialise(ranked.where(F.col("rank") > F.get(spare, band)).select("sig", "key"), "kept-signatures")
+    reps = kept.groupBy("sig").agg(F.min("key").alias("rep"), F.count("*").alias("f")).where("f > 1")
+    reps = materialise(reps.select("sig", "rep"), "reps")
+    return materialise(kept.join(reps, "sig").select("sig", "rep", "key"), "candidates")
+
+
 def _unresolved(shared: DataFrame, tree: DataFrame) -> DataFrame:
     """[sig, key, component] of the signatures that several components hold."""
     labelled = shared.join(tree.withColumnRenamed("id", "key"), "key", "left")
@@ -315,8 +353,10 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         met.select("sig", "key").unionByName(met.select("sig", F.col("rep").alias("key"))).distinct(), "shared"
     )
 
-    classes = described.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep_id"))
-    classes = materialise(classes, "classes")
+    classes = described.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key")
+    classes = materialise(classes.agg(F.min("id").alias("rep_id"), F.first("n").alias("n")), "classes")
+    met = _rarest(shared, classes, edges)
+    shared = met.select("sig", "key")
     wanted = materialise(shared.select("key").distinct().join(classes, "key").select("key", F.col("rep_id").alias("id")), "wanted")
     # An id may stand for several texts, so the key of each text decides.
     sets = rows.join(wanted, "id").select("key", "text").mapInArrow(_whole_sets, "key long, features binary")
@@ -353,7 +393,7 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     named = member.join(classes, "key")
     least = materialise(named.groupBy("root").agg(F.min("rep_id").alias("component")), "least")
     labels = named.join(least, "root").select("key", "component")
-    labels = classes.join(labels, "key", "left").select("key", F.coalesce("component", "rep_id").alias("component"))
+    labels = classes.select("key", "rep_id").join(labels, "key", "left").select("key", F.coalesce("component", "rep_id").alias("component"))
     labels = materialise(labels, "labels")
     return described.join(labels, "key", "left").select(
         "id",

@@ -59,6 +59,10 @@ class ChunkEncoder:
         self.lengths = np.zeros(1 << 14, dtype=np.int64)
         self.marks = np.zeros(1 << 14, dtype=bool)
 
+    def forget(self) -> None:
+        """Give the table's memory back, for the tasks that use this worker next."""
+        self._clear()
+
     def _learn(self, missing: list[str]) -> None:
         chunks, ids = self.encode_many(missing)
         known, end = len(self.table), len(self.table) + len(chunks)

@@ -241,6 +241,7 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
                     ],
                     names=["id", "ids", "parity"],
                 )
+        pieces.encoder.forget()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(encode, "id long, ids array<int>, parity boolean")
@@ -288,6 +289,7 @@ def round_trips(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: s
                     ],
                     names=["id", "n_tokens", "ids_crc32", "decoded_crc32", "round_trip", "parity"],
                 )
+        pieces.encoder.forget()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     schema = "id long, n_tokens long, ids_crc32 long, decoded_crc32 long, round_trip boolean, parity boolean"

@@ -25,13 +25,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunk_encoder import ChunkEncoder, Ids, per_text, text_slices
+from tidemark.llm.chunk_encoder import per_text, text_slices
 from tidemark.session import materialise
 
 FEATURES = 1 << 17
@@ -44,35 +44,26 @@ WINDOW = 2 * HOP
 # Longest passage of an item; longer items are several.
 PASSAGE = 64
 # Cosine from which a window is a candidate.
-COSINE = 0.3
+COSINE = 0.4
 # Share of an item's words in order, alone and together with that of its answer's words.
 VERBATIM, LOOSE, ANSWER = 0.7, 0.5, 0.8
 MAX_QUERY_BYTES = 64 << 20
 
-_NOT_WORD = re.compile(r"[\W_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
-def _word_ids() -> ChunkEncoder:
-    """32-bit hashes of what a run without blanks holds of letters and digits, lower-cased."""
-    if "words" not in _ENCODERS:
-
-        def hash_many(runs: list[str]) -> tuple[list[str], Ids]:
-            words = [_NOT_WORD.sub("", run.lower()) for run in runs]
-            lengths = np.array([1 if w else 0 for w in words], dtype=np.int64)
-            ids = [xxhash.xxh32_intdigest(w) for w in words if w]
-            return runs, Ids(np.array(ids, dtype=np.uint32), lengths, np.zeros(len(runs), bool))
-
-        _ENCODERS["words"] = ChunkEncoder(hash_many)
-    return _ENCODERS["words"]
-
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Word ids of all texts in one array, number of words of each."""
+    """Word ids of all texts in one array, number of words of each.
+
+    A word is what a run without blanks holds of letters and digits, lower-cased; its id is a 32-bit
+    hash. Each distinct run of a slice is hashed once.
+    """
     runs = pc.ascii_split_whitespace(texts)
-    ids = _word_ids().encode(runs.flatten())
-    return ids.flat, per_text(ids.lengths, pc.list_value_length(runs).to_numpy())
+    coded = runs.flatten().dictionary_encode()
+    words = pc.replace_substring_regex(pc.utf8_lower(coded.dictionary), r"[^\p{L}\p{N}]+", "")
+    hashes = pd.util.hash_array(words.to_numpy(zero_copy_only=False), categorize=False).astype(np.uint32)
+    at = coded.indices.to_numpy()
+    real = pc.not_equal(words, "").to_numpy(zero_copy_only=False)[at]
+    return hashes[at[real]], per_text(real, pc.list_value_length(runs).to_numpy())
 
 
 def _feature(ids: np.ndarray) -> np.ndarray:
@@ -276,45 +267,51 @@ def candidate_windows(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, first word in the text, passage, cosine) of the windows near a passage.
 
-    A window is two neighbouring blocks of HOP words, or the only block of a text. Its vector adds up
-    the weights of its words, so its length is taken word by word.
+    A window is two neighbouring blocks of HOP words, or the only block of a text. A word counts
+    once per block, so a text that repeats one word looks like that word and not like more of it.
     """
-    feature = _feature(ids)
-    weight = index.idf[feature]
-    row = index.rows[feature]
     blocks = -(-counts // HOP)
     first_word = np.cumsum(counts) - counts
     first_block = np.cumsum(blocks) - blocks
     text = np.repeat(np.arange(len(counts)), blocks)
     number = np.arange(len(text)) - np.repeat(first_block, blocks)
-    start = np.repeat(first_word, blocks) + number * HOP
-    end = np.minimum(start + WINDOW, np.repeat(first_word + counts, blocks))
+    # The words of each block in a row, in the order of their features.
+    at = (np.repeat(first_word, blocks) + number * HOP)[:, None] + np.arange(HOP)
+    inside = at < np.repeat(first_word + counts, blocks)[:, None]
+    feature = np.where(inside, _feature(ids)[np.minimum(at, max(len(ids) - 1, 0))], -1) if len(ids) else at
+    feature.sort(axis=1)
+    fresh = feature >= 0
+    fresh[:, 1:] &= feature[:, 1:] != feature[:, :-1]
+    weight = np.where(fresh, index.idf[feature], np.float32(0))
+    row = index.rows[feature]
+    known = fresh & (row >= 0)
+    squares = (weight**2).sum(axis=1)
+    shared = (np.where(known, weight, 0) ** 2).sum(axis=1)
     # The last block of a longer text lies in the window before it.
-    real = (number == 0) | (number < np.repeat(blocks, blocks) - 1)
-    text, start, end = text[real], start[real], end[real]
-    squares = np.concatenate([[0.0], np.cumsum(weight.astype(np.float64) ** 2)])
-    shared = np.concatenate([[0.0], np.cumsum(np.where(row >= 0, weight, 0).astype(np.float64) ** 2)])
-    length = squares[end] - squares[start]
+    own = np.repeat(blocks, blocks)
+    real = np.nonzero((number == 0) | (number < own - 1))[0]
+    paired = own[real] > 1
+    second = np.where(paired, real + 1, real)
+    length = squares[real] + np.where(paired, squares[second], 0)
+    mass = shared[real] + np.where(paired, shared[second], 0)
     # Only what a window shares with the benchmark's words can lie in the space.
-    near = np.nonzero(shared[end] - shared[start] >= least**2 * length)[0]
-    found = []
+    near = np.nonzero((mass >= least**2 * length) & (mass > 0))[0]
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
     for a in range(0, len(near), 4096):
-        own = near[a : a + 4096]
-        sizes = end[own] - start[own]
-        at = np.repeat(start[own] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-        window = np.repeat(np.arange(len(own)), sizes)
-        known = row[at] >= 0
-        at, window = at[known], window[known]
-        vectors = index.basis[row[at]] * weight[at, None]
-        folded = np.zeros((len(own), index.basis.shape[1]), dtype=np.float32)
-        edges = np.nonzero(np.concatenate([[True], window[1:] != window[:-1]]))[0] if len(window) else window
-        if len(edges):
-            folded[window[edges]] = np.add.reduceat(vectors, edges, axis=0)
-        cosines = folded @ index.queries.T / np.sqrt(length[own])[:, None]
+        windows = near[a : a + 4096]
+        left, right = real[windows], second[windows]
+        used = np.union1d(left, right)
+        folded = np.zeros((len(used), index.basis.shape[1]), dtype=np.float32)
+        block, place = np.nonzero(known[used])
+        edges = np.nonzero(np.concatenate([[True], block[1:] != block[:-1]]))[0]
+        vectors = index.basis[row[used[block], place]]
+        vectors *= weight[used[block], place][:, None]
+        folded[block[edges]] = np.add.reduceat(vectors, edges, axis=0)
+        sums = folded[np.searchsorted(used, left)]
+        sums += folded[np.searchsorted(used, right)] * paired[windows][:, None]
+        cosines = sums @ index.queries.T / np.sqrt(length[windows])[:, None]
         w, p = np.nonzero(cosines >= least)
-        found.append((text[own[w]], (start - first_word[text])[own[w]], p, cosines[w, p]))
-    if not found:
-        return tuple(np.zeros(0, dtype=t) for t in (int, int, int, float))
+        found.append((text[left[w]], number[left[w]] * HOP, p, cosines[w, p]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 

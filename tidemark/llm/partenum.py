@@ -17,10 +17,9 @@ no candidates, and a set with no more than e shared signatures is done.
 Exact copies are collapsed to one set first. Signatures travel packed, by hash, to buckets of
 bounded size; sets that share one are met inside a batch before anything is exchanged, so a
 large group of near copies sends one line per batch and signature. Similarities are then computed
-exactly, from the whole sets. Pairs are tried in three rounds: every set with the set
-it shares most signatures with; every set with up to `TRIES` members of each other component that it
-shares a signature with; and last all pairs of different components that share one. What the
-first two link need not be tried pair by pair, and what they don't is tried in full.
+exactly, from the whole sets, in two rounds: every set with the set it shares most signatures
+with; then all pairs of different components that share a signature, in cells of bounded size
+that give links and not pairs.
 
 Defined results: without words or text the set is empty, links with nothing and is its own
 component. With fewer words than a shingle the whole sequence is the one shingle. Rows with a null
@@ -52,7 +51,9 @@ BAND = 1.6
 SPARE = 1.1
 # Signatures that a bucket is meant to hold.
 BUCKET = 1_000_000
-TRIES = 3
+# Features of a block of sets that are compared in one go, and columns of a slice of them.
+BLOCK = 300_000
+FEATURES = 8192
 # Signatures that a task holds at once before it packs them.
 HELD = 1_000_000
 
@@ -336,6 +337,87 @@ def _unresolved(shared: DataFrame, tree: DataFrame) -> DataFrame:
     return materialise(labelled.join(mixed, "sig"), "unresolved")
 
 
+def _forests(table: pa.Table) -> pa.Table:
+    """[a, b]: each set of a cell that is similar to another, and the first set that it reaches.
+
+    Intersections are counted exactly, over the features that several sets of the cell hold, a
+    slice of features at a time.
+    """
+    keys = table.column("key").to_numpy()
+    held = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in table.column("features")]
+    sizes = np.array([len(x) for x in held])
+    names, column, often = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(held)), sizes)
+    place = np.cumsum(often > 1) - 1
+    some = often[column] > 1
+    row, column = row[some], place[column[some]]
+    both = np.zeros((len(held), len(held)), dtype=np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for low in range(0, int((often > 1).sum()), FEATURES):
+        first, last = np.searchsorted(column, (low, low + FEATURES))
+        part = np.zeros((len(held), FEATURES), dtype=np.float32)
+        part[row[first:last], column[first:last] - low] = 1
+        both += part @ part.T
+    union = sizes[:, None] + sizes[None, :] - both
+    x, y = np.nonzero(np.triu(100 * both >= PERCENT * union, 1))
+    root = np.arange(len(held))
+    while True:
+        before = root.copy()
+        np.minimum.at(root, x, root[y])
+        np.minimum.at(root, y, root[x])
+        root = root[root]
+        if (root == before).all():
+            break
+    moved = root != np.arange(len(held))
+    return pa.table({"a": keys[moved], "b": keys[root[moved]]})
+
+
+def _open_pairs(open_sigs: DataFrame, nearest: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links [a, b] among the sets of the signatures that several components hold.
+
+    Sets belong to the family of the set they share most signatures with, and families are
+    cut into blocks of about BLOCK features, a large component into blocks of its own. A cell is a pair of blocks
+    of two families that share an open signature, unless one component fills both. So every pair of
+    different components that shares a signature lies in a cell, no pair is a row, and no cell
+    grows with its family.
+    """
+    member = open_sigs.select("key", "component").distinct().join(nearest.withColumnRenamed("rep", "family"), "key", "left")
+    member = member.join(classes.select("key", "n"), "key")
+    member = member.select("key", "component", "n", F.coalesce("family", "key").alias("family"))
+    member = materialise(member, "open-sets")
+    # A small set weighs as much as a thousandth of a block, which bounds the number of sets in a block.
+    weight = member.groupBy("family", "component").agg(F.sum(F.greatest("n", F.lit(BLOCK // 1000))).alias("w"))
+    weight = materialise(weight, "family-weights")
+    small = weight.where(F.col("w") <= BLOCK).groupBy("family").agg(F.sum("w").alias("rest"))
+    weight = weight.join(small, "family", "left").withColumn("large", F.col("w") > BLOCK)
+    weight = materialise(weight, "weights")
+    # The first part of a block's name is its one component, or 0 in a block of small ones.
+    parts = F.ceil(F.when(F.col("large"), F.col("w")).otherwise(F.col("rest")) / BLOCK)
+    whole = F.when(F.col("large"), F.col("component")).otherwise(F.lit(0).cast("long"))
+    spread = F.when(F.col("large"), F.xxhash64("key")).otherwise(F.xxhash64("component"))
+    placed = member.join(weight, ["family", "component"]).select(
+        "key", "family", "component", whole.alias("whole"), F.pmod(spread, parts).alias("part")
+    )
+    placed = materialise(placed, "blocks")
+    blocks = materialise(placed.select("family", "whole", "part").distinct(), "block-names")
+    seen = open_sigs.select("sig", "key").join(placed.select("key", "family"), "key").select("sig", "family").distinct()
+    seen = materialise(seen, "families")
+    other = seen.withColumnRenamed("family", "f2")
+    near = seen.join(other, "sig").where("family <= f2").select("family", "f2").distinct()
+    second = blocks.select(F.col("family").alias("f2"), F.col("whole").alias("w2"), F.col("part").alias("p2"))
+    cells = materialise(near, "near-families").join(blocks, "family").join(second, "f2")
+    cells = cells.where("family < f2 OR whole < w2 OR (whole = w2 AND part <= p2)").where("whole = 0 OR whole <> w2")
+    cells = materialise(cells, "cells").withColumn("cell", F.xxhash64("family", "whole", "part", "f2", "w2", "p2"))
+    sides = cells.select("cell", "family", "whole", "part").unionByName(
+        cells.select("cell", F.col("f2").alias("family"), F.col("w2").alias("whole"), F.col("p2").alias("part"))
+    )
+    filled = sides.distinct().join(placed.select("key", "family", "whole", "part"), ["family", "whole", "part"])
+    filled = filled.select("cell", "key").join(sets, "key")
+    links = filled.groupBy("cell").applyInArrow(_forests, "a long, b long")
+    return materialise(links.distinct(), "cell-links")
+
+
 def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """[id, n_shingles, component] of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -363,29 +445,12 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     sets = materialise(sets.dropDuplicates(["key"]), "features")
 
     often = met.where("rep <> key").groupBy("key", "rep").agg(F.count("*").alias("n"))
-    nearest = often.groupBy("key").agg(F.max_by("rep", F.struct("n", "rep")).alias("rep"))
+    nearest = materialise(often.groupBy("key").agg(F.max_by("rep", F.struct("n", "rep")).alias("rep")), "nearest")
     tried = _verify(nearest.select(F.col("rep").alias("a"), F.col("key").alias("b")), sets)
     tree = components(tried.where("similar").select("a", "b"))
 
-    open_sigs = _unresolved(shared, tree)
-    ends = open_sigs.groupBy("sig", "component").agg(
-        F.min_by("key", F.xxhash64("key", "sig")).alias("p"), F.max_by("key", F.xxhash64("key", "sig")).alias("q")
-    )
-    ends = ends.select("sig", F.col("component").alias("other"), F.explode(F.array_distinct(F.array("p", "q"))).alias("b"))
-    ends = materialise(ends, "ends")
-    near = open_sigs.join(ends, "sig").where("component <> other").groupBy(F.col("key").alias("a"), "other", "b")
-    rank = Window.partitionBy("a", "other").orderBy(F.desc("n"), "b")
-    near = near.agg(F.count("*").alias("n")).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= TRIES)
-    again = _verify(near.select("a", "b"), sets)
-    links = tried.unionByName(again)
-    tree = components(links.where("similar").select("a", "b"))
-
-    open_sigs = _unresolved(shared, tree)
-    other = open_sigs.select("sig", F.col("key").alias("b"), F.col("component").alias("other"))
-    rest = open_sigs.withColumnRenamed("key", "a").join(other, "sig").where("component < other")
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    last = _verify(rest.join(links.select("a", "b"), ["a", "b"], "left_anti"), sets)
-    tree = components(links.unionByName(last).where("similar").select("a", "b"))
+    rest = _open_pairs(_unresolved(shared, tree), nearest, classes, sets)
+    tree = components(tried.where("similar").select("a", "b").unionByName(rest))
 
     # From keys back to ids: the smallest id of each component, then of each row.
     member = tree.select(F.col("id").alias("key"), F.col("component").alias("root"))

@@ -470,8 +470,8 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component, that of the smallest id; rows with a null id stay."""
     joined = join_sets(docs, id_col, text_col).where("id = component")
-    kept = materialise(joined.select(F.col("id").alias("_kept")).distinct(), "kept-ids")
-    own = docs.join(kept, docs[id_col] == F.col("_kept"), "left_semi")
+    kept = materialise(joined.select(F.col("id").alias(id_col)).distinct(), "kept-ids")
+    own = docs.join(kept, id_col, "left_semi")
     # Of rows with one id, which are one vertex, the first in the order of their columns stays.
     others = F.struct(*[c for c in docs.columns if c != id_col])
     one = own.groupBy(id_col).agg(F.min(others).alias("_row"))

@@ -92,3 +92,32 @@ def _next(row, x, b):
     for j, y in enumerate(b):
         out.append(row[j] + 1 if x == y else max(row[j + 1], out[j]))
     return out
+
+
+def _prose(rng, n, kinds=4000):
+    return " ".join(f"w{min(int(rng.paretovariate(0.7)), kinds)}x{rng.randrange(4)}" for _ in range(n))
+
+
+def test_exact_copies_of_thousands_of_items(spark, tmp_path):
+    rng = random.Random(4)
+    items = [(i, _prose(rng, 30)) for i in range(2100)]
+    docs = [(i, f"{_prose(rng, rng.randrange(40))} {text} {_prose(rng, rng.randrange(40))}") for i, text in items[::6]]
+    got = queries.op10_latent_retrieval(spark, _write(spark, tmp_path, docs, items)).collect()
+    found = {(r.doc_id, r.item_id) for r in got}
+    want = {(d, i) for d, text in docs for i, own in items if f" {own} " in f" {text} "}
+    assert len(want) >= 350 and want <= found
+
+
+def test_blocks_of_a_large_benchmark(spark, monkeypatch):
+    rng = random.Random(6)
+    prose = lambda n: " ".join(f"v{rng.randrange(3000)}" for _ in range(n))
+    monkeypatch.setattr(latent_decontam, "RANK", 20)
+    monkeypatch.setattr(latent_decontam, "PARTS", 2)
+    items = [(i, prose(25)) for i in range(50)] + [(200, prose(1000))]
+    docs = [(i, f"{prose(50)} {text}") for i, text in items] + [(300, prose(100))]
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    indexes = list(latent_decontam.build_index(docs, items))
+    assert len(indexes) > 1 and all(len(x.items) <= 20 for block in indexes for x in block)
+    got = sorted((r.id, r.item_id) for r in latent_decontam.find_leaks(docs, items).collect())
+    assert got == [(i, i) for i in (*range(50), 200)]
+    assert [r.doc_id for r in latent_decontam.drop_leaks(docs, items).collect()] == [300]

@@ -10,8 +10,10 @@ words with the item decides, and for looser matches also whether the words of th
 item's answer are there, so that reordered or reworded copies are found.
 
 The search reads each document once, in place, and compares windows with a stated set of queries in
-blocks; nothing is exchanged by document. What tasks receive is bounded by FEATURES * RANK numbers, the
-item texts apart, and those by `MAX_QUERY_BYTES`, above which the benchmark is searched in parts.
+blocks; nothing is exchanged by document. The benchmark is cut into parts of at most RANK passages, each with
+a space of its own that holds all of them whole, so a copy loses nothing however many passages there are. A task
+holds about PARTS parts at one time, and item texts up to `MAX_QUERY_BYTES`; larger benchmarks are searched block by
+block.
 
 Defined results: documents and items without words match nothing. Every row is searched, so
 repeated rows and rows with equal or null ids are reported one by one. Items with equal texts are
@@ -23,6 +25,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,10 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.chunk_encoder import per_text, text_slices
+from tidemark.operators.skew import number_rows
 from tidemark.session import materialise
 
 FEATURES = 1 << 17
+# Passages that share a space, which has as many directions; parts that a task holds at one time.
 RANK = 208
+PARTS = 16
 OVERSAMPLING = 16
 POWER = 2
 # Words of a window and between the beginnings of two windows.
@@ -210,41 +216,46 @@ class Index:
     answers: list[set]
 
 
-def build_index(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id") -> list[Index]:
-    """Indexes over parts of the benchmark; one, unless its texts pass MAX_QUERY_BYTES."""
+def _index(own: DataFrame, idf: np.ndarray) -> Index:
+    """Index over at most RANK passages, which lie in their space with all of their weight."""
+    listed = own.orderBy("item", "words").toArrow().to_pylist()
+    features, basis = latent_space(own, idf)
+    rows = np.full(FEATURES, -1, dtype=np.int32)
+    rows[features] = np.arange(len(features))
+    queries = np.zeros((len(listed), basis.shape[1]))
+    for q, row in enumerate(listed):
+        f, x = _weighted(row["words"], idf)
+        queries[q] = x @ basis[rows[f]]
+    lengths = np.linalg.norm(queries, axis=1, keepdims=True)
+    return Index(
+        idf,
+        rows,
+        basis.astype(np.float32),
+        (queries / np.maximum(lengths, 1e-12)).astype(np.float32),
+        [row["item"] for row in listed],
+        [np.array(row["whole"], dtype=np.uint32) for row in listed],
+        [set(row["answer"]) for row in listed],
+    )
+
+
+def build_index(
+    docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id"
+) -> Iterator[list[Index]]:
+    """Indexes over the parts of the benchmark, block by block; all passages of an item are in one block."""
     idf = inverse_frequencies(docs, text_col)
     passages = benchmark_passages(items, item_col, "text")
-    size = passages.agg(F.sum(F.size("words") + F.size("whole") + F.size("answer"))).first()[0]
-    if not size:
-        return []
-    parts = 1 + 8 * size // MAX_QUERY_BYTES
-    part = F.pmod(F.xxhash64("item"), F.lit(parts))
-    out = []
-    for i in range(parts):
-        own = passages.where(part == i)
-        listed = own.orderBy("item", "words").toArrow().to_pylist()
-        if not listed:
-            continue
-        features, basis = latent_space(own, idf)
-        rows = np.full(FEATURES, -1, dtype=np.int32)
-        rows[features] = np.arange(len(features))
-        queries = np.zeros((len(listed), basis.shape[1]))
-        for q, row in enumerate(listed):
-            f, x = _weighted(row["words"], idf)
-            queries[q] = x @ basis[rows[f]]
-        lengths = np.linalg.norm(queries, axis=1, keepdims=True)
-        out.append(
-            Index(
-                idf,
-                rows,
-                basis.astype(np.float32),
-                (queries / np.maximum(lengths, 1e-12)).astype(np.float32),
-                [row["item"] for row in listed],
-                [np.array(row["whole"], dtype=np.uint32) for row in listed],
-                [set(row["answer"]) for row in listed],
-            )
-        )
-    return out
+    sizes = F.sum(F.size("words") + F.size("whole") + F.size("answer"))
+    n, size = passages.agg(F.count("*"), sizes).first()
+    if not n:
+        yield []
+        return
+    blocks = 1 + max(n // (PARTS * RANK), 8 * size // MAX_QUERY_BYTES)
+    dealt = passages.withColumn("block", F.pmod(F.xxhash64("item", "whole"), F.lit(blocks)))
+    numbered = materialise(number_rows(dealt, "item", "words", within=("block",)), "numbered-passages")
+    held = dict(numbered.groupBy("block").agg(F.count("*")).collect())
+    for block in sorted(held):
+        cuts = range(0, held[block], RANK)
+        yield [_index(numbered.where((F.col("block") == block) & (F.col("n") > a) & (F.col("n") <= a + RANK)), idf) for a in cuts]
 
 
 def common_subsequence(item: list[int], region: list[int]) -> int:
@@ -343,30 +354,44 @@ def find_leaks(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id"
 ) -> DataFrame:
     """[id, item_id, cosine, lcs, answer]: documents that hold a benchmark item."""
-    known = docs.sparkSession.sparkContext.broadcast(build_index(docs, items, text_col, item_col))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, texts in text_slices(batch.column(1)):
-                leaks = search(texts, known.value)
-                ids = batch.column(0).take(pa.array([first + t for t, *_ in leaks], pa.int64()))
-                columns = [pa.array([x[i] for x in leaks], t) for i, t in ((1, pa.int64()), *((j, pa.float64()) for j in (2, 3, 4)))]
-                yield pa.RecordBatch.from_arrays([ids, *columns], names=["id", "item_id", "cosine", "lcs", "answer"])
+    def searched(indexes: list[Index]) -> DataFrame:
+        known = docs.sparkSession.sparkContext.broadcast(indexes)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(find, "id long, item_id long, cosine double, lcs double, answer double")
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for first, texts in text_slices(batch.column(1)):
+                    leaks = search(texts, known.value)
+                    ids = batch.column(0).take(pa.array([first + t for t, *_ in leaks], pa.int64()))
+                    columns = [pa.array([x[i] for x in leaks], t) for i, t in ((1, pa.int64()), *((j, pa.float64()) for j in (2, 3, 4)))]
+                    yield pa.RecordBatch.from_arrays([ids, *columns], names=["id", "item_id", "cosine", "lcs", "answer"])
+
+        return rows.mapInArrow(find, "id long, item_id long, cosine double, lcs double, answer double")
+
+    return reduce(DataFrame.unionByName, map(searched, build_index(docs, items, text_col, item_col)))
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """The rows of `docs` that hold no benchmark item, all columns unchanged."""
-    known = docs.sparkSession.sparkContext.broadcast(build_index(docs, items, text_col, item_col))
+    """The rows of `docs` that hold no benchmark item, all columns unchanged.
+
+    Between the blocks of a large benchmark the rows that are left are written.
+    """
     place = docs.columns.index(text_col)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            clean = np.ones(batch.num_rows, dtype=bool)
-            for first, texts in text_slices(batch.column(place)):
-                clean[[first + t for t, *_ in search(texts, known.value)]] = False
-            yield batch.filter(pa.array(clean))
+    def without(rows: DataFrame, indexes: list[Index]) -> DataFrame:
+        known = docs.sparkSession.sparkContext.broadcast(indexes)
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                clean = np.ones(batch.num_rows, dtype=bool)
+                for first, texts in text_slices(batch.column(place)):
+                    clean[[first + t for t, *_ in search(texts, known.value)]] = False
+                yield batch.filter(pa.array(clean))
+
+        return rows.mapInArrow(keep, docs.schema)
 
-    return docs.mapInArrow(keep, docs.schema)
+    left = None
+    for indexes in build_index(docs, items, text_col, item_col):
+        left = without(docs if left is None else materialise(left, "without-leaks"), indexes)
+    return left

@@ -121,3 +121,13 @@ def test_blocks_of_a_large_benchmark(spark, monkeypatch):
     got = sorted((r.id, r.item_id) for r in latent_decontam.find_leaks(docs, items).collect())
     assert got == [(i, i) for i in (*range(50), 200)]
     assert [r.doc_id for r in latent_decontam.drop_leaks(docs, items).collect()] == [300]
+
+
+def test_partial_copies_of_a_long_item(spark, tmp_path):
+    rng = random.Random(8)
+    item = _prose(rng, 400).split()
+    docs = [(a, f"{_prose(rng, 70)} {' '.join(item[a : a + 100])} {_prose(rng, 70)}") for a in range(0, 301, 25)]
+    docs += [(1000, _prose(rng, 400))]
+    got = queries.op10_latent_retrieval(spark, _write(spark, tmp_path, docs, [(7, " ".join(item))])).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(a, 7) for a in range(0, 301, 25)]
+    assert all(r.lcs == 1 for r in got)

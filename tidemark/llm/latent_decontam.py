@@ -6,8 +6,9 @@ whose products over passages run in Spark tasks, finds its directions. Every doc
 into overlapping windows of words, each window is folded into the space and compared by
 cosine with all benchmark passages; what the space can't express of a window counts into its length.
 Pairs above the threshold are candidates. Around each, the longest common subsequence of
-words with the item decides, and for looser matches also whether the words of the
-item's answer are there, so that reordered or reworded copies are found.
+words with the passage decides, and for looser matches also whether the words of the
+item's answer are there, so that reordered or reworded copies are found. An item is reported when any of
+its passages is there, with the figures of the best one.
 
 The search reads each document once, in place, and compares windows with a stated set of queries in
 blocks; nothing is exchanged by document. The benchmark is cut into parts of at most RANK passages, each with
@@ -22,6 +23,7 @@ all reported. An empty table gives an empty result. Extra columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -51,7 +53,7 @@ WINDOW = 2 * HOP
 PASSAGE = 64
 # Cosine from which a window is a candidate.
 COSINE = 0.4
-# Share of an item's words in order, alone and together with that of its answer's words.
+# Share of a passage's words in order, alone and together with that of its answer's words.
 VERBATIM, LOOSE, ANSWER = 0.7, 0.5, 0.8
 MAX_QUERY_BYTES = 64 << 20
 
@@ -115,11 +117,11 @@ def _passages(ids: np.ndarray) -> list[np.ndarray]:
 
 
 def benchmark_passages(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """[item, words, answer]: word ids of every passage; the answer is that of the item."""
+    """[item, words, whole, answer]: word ids of every passage; `whole` tells items apart, the answer is that of the item."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {"item": [], "words": [], "whole": [], "answer": []}
+            out: dict[str, list] = {"item": [], "words": [], "answer": [], "whole": []}
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 text = text or ""
                 # An answer follows the question; without one the last sentence stands for it.
@@ -128,15 +130,18 @@ def benchmark_passages(items: DataFrame, id_col: str = "item_id", text_col: str
                 answer = asked[2] if asked[1] and asked[2].strip() else (sentences or [""])[-1]
                 whole = words_of(pa.array([text], pa.large_string()))[0]
                 own = words_of(pa.array([answer], pa.large_string()))[0]
+                key = hashlib.blake2b(whole.tobytes(), digest_size=16).digest()
                 for passage in _passages(whole):
-                    for name, value in (("item", item), ("words", passage), ("whole", whole), ("answer", own)):
-                        out[name].append(value.astype(np.int64).tolist() if name != "item" else value)
+                    out["item"].append(item)
+                    out["whole"].append(key)
+                    for name, value in (("words", passage), ("answer", own)):
+                        out[name].append(value.astype(np.int64).tolist())
             longs = pa.list_(pa.int64())
-            types = {"item": pa.int64(), "words": longs, "whole": longs, "answer": longs}
+            types = {"item": pa.int64(), "words": longs, "answer": longs, "whole": pa.binary()}
             yield pa.RecordBatch.from_arrays([pa.array(out[c], t) for c, t in types.items()], names=list(types))
 
     rows = items.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).alias("text"))
-    schema = "item long, words array<long>, whole array<long>, answer array<long>"
+    schema = "item long, words array<long>, answer array<long>, whole binary"
     return materialise(rows.mapInArrow(split, schema), "passages")
 
 
@@ -212,7 +217,8 @@ class Index:
     basis: np.ndarray
     queries: np.ndarray  # passages x rank, unit vectors
     items: list  # item id of each passage
-    whole: list[np.ndarray]
+    words: list[list[int]]
+    whole: list[bytes]
     answers: list[set]
 
 
@@ -233,7 +239,8 @@ def _index(own: DataFrame, idf: np.ndarray) -> Index:
         basis.astype(np.float32),
         (queries / np.maximum(lengths, 1e-12)).astype(np.float32),
         [row["item"] for row in listed],
-        [np.array(row["whole"], dtype=np.uint32) for row in listed],
+        [row["words"] for row in listed],
+        [row["whole"] for row in listed],
         [set(row["answer"]) for row in listed],
     )
 
@@ -244,7 +251,7 @@ def build_index(
     """Indexes over the parts of the benchmark, block by block; all passages of an item are in one block."""
     idf = inverse_frequencies(docs, text_col)
     passages = benchmark_passages(items, item_col, "text")
-    sizes = F.sum(F.size("words") + F.size("whole") + F.size("answer"))
+    sizes = F.sum(F.size("words") + F.size("answer"))
     n, size = passages.agg(F.count("*"), sizes).first()
     if not n:
         yield []
@@ -333,11 +340,11 @@ def search(texts: pa.Array, indexes: list[Index]) -> list[tuple[int, int | None,
     leaks: dict[tuple[int, int, int], tuple[float, float, float]] = {}
     for part, index in enumerate(indexes):
         for text, start, passage, cosine in zip(*(x.tolist() for x in candidate_windows(ids, counts, index)), strict=True):
-            item = index.whole[passage]
-            # The item can begin before the window and end behind it.
-            low, high = max(0, start - len(item)), min(int(counts[text]), start + WINDOW + len(item))
+            own = index.words[passage]
+            # The passage can begin before the window and end behind it.
+            low, high = max(0, start - len(own)), min(int(counts[text]), start + WINDOW + len(own))
             region = ids[first_word[text] + low : first_word[text] + high].tolist()
-            lcs = common_subsequence(item.tolist(), region) / len(item)
+            lcs = common_subsequence(own, region) / len(own)
             answer = index.answers[passage]
             share = len(answer.intersection(region)) / len(answer) if answer else 1.0
             if lcs >= VERBATIM or (lcs >= LOOSE and share >= ANSWER):
@@ -345,7 +352,7 @@ def search(texts: pa.Array, indexes: list[Index]) -> list[tuple[int, int | None,
                 leaks[key] = max(leaks.get(key, (0.0, 0.0, 0.0)), (lcs, share, cosine))
     best: dict[tuple[int, int | None, bytes], tuple[float, float, float]] = {}
     for (text, part, passage), value in leaks.items():
-        key = (text, indexes[part].items[passage], indexes[part].whole[passage].tobytes())
+        key = (text, indexes[part].items[passage], indexes[part].whole[passage])
         best[key] = max(best.get(key, value), value)
     return [(text, item, cosine, lcs, share) for (text, item, _), (lcs, share, cosine) in sorted(best.items(), key=str)]
 

@@ -131,3 +131,26 @@ def test_partial_copies_of_a_long_item(spark, tmp_path):
     got = queries.op10_latent_retrieval(spark, _write(spark, tmp_path, docs, [(7, " ".join(item))])).collect()
     assert sorted((r.doc_id, r.item_id) for r in got) == [(a, 7) for a in range(0, 301, 25)]
     assert all(r.lcs == 1 for r in got)
+
+
+def test_short_items_among_rarer_words_and_loose_copies_of_long_ones(spark, tmp_path):
+    rng = random.Random(10)
+    rare = lambda n: " ".join(f"r{rng.randrange(10**9)}" for _ in range(n))
+    word = lambda: f"k{rng.randrange(300)}"
+    items = [(n, " ".join(word() for _ in range(n))) for n in (4, 5, 6, 7, 8, 10, 12, 14)]
+    docs, want = [], set()
+    for n, text in items:
+        for before in range(32, 48):
+            docs.append((100 * n + before, f"{rare(before)} {text} {rare(50)}"))
+            want.add((100 * n + before, n))
+    for n in (55, 60, 64):
+        own = [word() for _ in range(n)]
+        # The answer is whole, of the other words every second one is another.
+        items.append((n, f"{' '.join(own[:-5])}? {' '.join(own[-5:])}"))
+        kept = [w if k % 2 == 0 or k >= n - 5 else rare(1) for k, w in enumerate(own)]
+        for before in range(32, 48):
+            docs.append((100 * n + before, f"{rare(before)} {' '.join(kept)} {rare(50)}"))
+            want.add((100 * n + before, n))
+    docs += [(10_000 + i, " ".join(word() for _ in range(60))) for i in range(300)]
+    got = {(r.doc_id, r.item_id) for r in queries.op10_latent_retrieval(spark, _write(spark, tmp_path, docs, items)).collect()}
+    assert want <= got

@@ -3,9 +3,10 @@
 Words are hashed to features; document frequencies are counted over all documents. The benchmark's
 passages, weighted by them, span the latent space: a randomised SVD with power iterations,
 whose products over passages run in Spark tasks, finds its directions. Every document is cut
-into overlapping windows of words, each window is folded into the space and compared by
-cosine with all benchmark passages; what the space can't express of a window counts into its length.
-Pairs above the threshold are candidates. Around each, the longest common subsequence of
+into overlapping windows of words, each window is folded into the space and multiplied with the unit vectors
+of all benchmark passages. A pair is a candidate from a share of what a verbatim copy of the passage has in its best
+window, however it lies to the windows; so short passages are found among any other words and long ones by their parts.
+The cosine, in which what the space can't express of a window counts into its length, is reported. Around each candidate, the longest common subsequence of
 words with the passage decides, and for looser matches also whether the words of the
 item's answer are there, so that reordered or reworded copies are found. An item is reported when any of
 its passages is there, with the figures of the best one.
@@ -51,10 +52,12 @@ HOP = 16
 WINDOW = 2 * HOP
 # Longest passage of an item; longer items are several.
 PASSAGE = 64
-# Cosine from which a window is a candidate.
-COSINE = 0.4
+# Share of a verbatim copy's product from which a window is a candidate; below LOOSE, as words lost can weigh more.
+LEAST = 0.3
 # Share of a passage's words in order, alone and together with that of its answer's words.
 VERBATIM, LOOSE, ANSWER = 0.7, 0.5, 0.8
+# One, but for rounding.
+ENOUGH = 1 - 1e-4
 MAX_QUERY_BYTES = 64 << 20
 
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -160,6 +163,19 @@ def _weighted(words: list[int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return features, weights / np.linalg.norm(weights)
 
 
+def verbatim_product(words: list[int], idf: np.ndarray) -> float:
+    """Least product of a passage's unit vector with the best window of a copy, over all places of block borders."""
+    own = _feature(np.array(words, dtype=np.uint32))
+    features, unit = _weighted(words, idf)
+    products = []
+    for shift in range(HOP):
+        # A word counts once per block.
+        block, feature = np.divmod(np.unique((np.arange(len(own)) + shift) // HOP * FEATURES + own), FEATURES)
+        sums = np.bincount(block, idf[feature] * unit[np.searchsorted(features, feature)])
+        products.append((sums[:-1] + sums[1:]).max() if len(sums) > 1 else sums[0])
+    return float(min(products))
+
+
 def latent_space(passages: DataFrame, idf: np.ndarray, rank: int = RANK) -> tuple[np.ndarray, np.ndarray]:
     """Features that the passages hold, and their rows of the right singular vectors.
 
@@ -215,7 +231,9 @@ class Index:
     idf: np.ndarray
     rows: np.ndarray  # row of `basis` of each feature, -1 without one
     basis: np.ndarray
-    queries: np.ndarray  # passages x rank, unit vectors
+    queries: np.ndarray  # passages x rank, unit vectors divided by `least`
+    least: np.ndarray  # product from which a window is a candidate of each passage
+    most: np.ndarray  # of each feature, its largest share of `least` in a window
     items: list  # item id of each passage
     words: list[list[int]]
     whole: list[bytes]
@@ -232,12 +250,18 @@ def _index(own: DataFrame, idf: np.ndarray) -> Index:
     for q, row in enumerate(listed):
         f, x = _weighted(row["words"], idf)
         queries[q] = x @ basis[rows[f]]
-    lengths = np.linalg.norm(queries, axis=1, keepdims=True)
+    least = LEAST * np.array([verbatim_product(row["words"], idf) for row in listed])
+    most = np.zeros(FEATURES, dtype=np.float32)
+    for row, enough in zip(listed, least, strict=True):
+        f, x = _weighted(row["words"], idf)
+        most[f] = np.maximum(most[f], idf[f] * x / enough)
     return Index(
         idf,
         rows,
         basis.astype(np.float32),
-        (queries / np.maximum(lengths, 1e-12)).astype(np.float32),
+        (queries / least[:, None]).astype(np.float32),
+        least,
+        most,
         [row["item"] for row in listed],
         [row["words"] for row in listed],
         [row["whole"] for row in listed],
@@ -281,7 +305,7 @@ def common_subsequence(item: list[int], region: list[int]) -> int:
 
 
 def candidate_windows(
-    ids: np.ndarray, counts: np.ndarray, index: Index, least: float = COSINE
+    ids: np.ndarray, counts: np.ndarray, index: Index
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, first word in the text, passage, cosine) of the windows near a passage.
 
@@ -304,16 +328,15 @@ def candidate_windows(
     row = index.rows[feature]
     known = fresh & (row >= 0)
     squares = (weight**2).sum(axis=1)
-    shared = (np.where(known, weight, 0) ** 2).sum(axis=1)
+    shares = np.where(fresh, index.most[feature], np.float32(0)).sum(axis=1)
     # The last block of a longer text lies in the window before it.
     own = np.repeat(blocks, blocks)
     real = np.nonzero((number == 0) | (number < own - 1))[0]
     paired = own[real] > 1
     second = np.where(paired, real + 1, real)
     length = squares[real] + np.where(paired, squares[second], 0)
-    mass = shared[real] + np.where(paired, shared[second], 0)
-    # Only what a window shares with the benchmark's words can lie in the space.
-    near = np.nonzero((mass >= least**2 * length) & (mass > 0))[0]
+    # No passage's product is larger than the sum of the largest shares of the window's words.
+    near = np.nonzero(shares[real] + np.where(paired, shares[second], 0) >= ENOUGH)[0]
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
     for a in range(0, len(near), 4096):
         windows = near[a : a + 4096]
@@ -327,9 +350,10 @@ def candidate_windows(
         folded[block[edges]] = np.add.reduceat(vectors, edges, axis=0)
         sums = folded[np.searchsorted(used, left)]
         sums += folded[np.searchsorted(used, right)] * paired[windows][:, None]
-        cosines = sums @ index.queries.T / np.sqrt(length[windows])[:, None]
-        w, p = np.nonzero(cosines >= least)
-        found.append((text[left[w]], number[left[w]] * HOP, p, cosines[w, p]))
+        products = sums @ index.queries.T
+        w, p = np.nonzero(products >= ENOUGH)
+        cosines = products[w, p] * index.least[p] / np.sqrt(length[windows[w]])
+        found.append((text[left[w]], number[left[w]] * HOP, p, cosines))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 

@@ -108,3 +108,23 @@ def test_sanitised_text(spark):
     out = docs.join(found, docs.doc_id == found.id).select("doc_id", pii.sanitise(F.col("text"), F.col("spans")).alias("t"))
     text = dict(map(tuple, out.collect()))
     assert text[0] == "  [EMAIL]  [IP] há" and text[9] == "no 0" and text[50] is None
+
+
+def test_rare_entities_on_the_supplied_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    got = {r.doc_id: r for r in queries.op8_disclosure(spark, "/root/testdata/sf0.01").collect()}
+    assert len(got) == len(texts)
+    for (i, text), added in zip(texts.items(), _direct(list(texts.values())), strict=True):
+        spans = sorted(plain(text) + added)
+        assert got[i].spans == ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+    assert sum(r.n_reveal for r in got.values()) > 0 and sum(r.n_hint for r in got.values()) > 0
+
+
+def test_a_unique_name_far_from_its_entity(spark, tmp_path):
+    filler = "common words here " * 100
+    texts = [f"Zorro {filler} a@b.cd {filler} zorro", *[f"{filler} {i}" for i in range(50)]]
+    got = {r.doc_id: r.spans for r in queries.op8_disclosure(spark, _write(spark, tmp_path, enumerate(texts))).collect()}
+    n = len(texts[0])
+    assert got[0].startswith("reveal:0:5,email:") and got[0].endswith(f"reveal:{n - 5}:{n}") and got[0].count("reveal") == 2
+    assert not any(got[i] for i in range(1, 51))

@@ -1,11 +1,16 @@
 """Personal data: fixed patterns plus information-theoretic sanitisation of the words around them.
 
-Patterns find the protected entities (`email`, `ip`, `card`, `phone`). A word beside an entity
+Patterns find the protected entities (`email`, `ip`, `card`, `phone`). A word in a document of an entity
 reveals it as far as the corpus says so: with document counts n over all N documents, the
 pointwise mutual information log(n(word, entity) N / (n(word) n(entity))) is compared with
 the information content log(N / n(entity)) of the entity. From `REMOVE` of that content on a
 word nearly names the entity and is removed, from `GENERALISE` on it narrows it down
-and is generalised. Such words are spans of the kinds `reveal` and `hint`.
+and is generalised. Such words are spans of the kinds `reveal` and `hint`, wherever they are in the entity's documents.
+
+All entities count, those of one document too: a word that only this document has names them as surely as
+the corpus can say. Counts aren't smoothed. A word of n(word) documents can only be telling for an entity if it would be
+with n(word, entity) = min(n(word), n(entity)), so other pairs are never formed; entities of the same documents are
+one (by a 128-bit hash of the documents).
 
 Defined results: a null or empty text has no spans; repeated rows are separate documents, as
 are rows with equal or null ids; an empty table gives an empty result. Extra columns of the
@@ -27,12 +32,9 @@ from tidemark.session import materialise
 KINDS = ("email", "ip", "card", "phone", "reveal", "hint")
 MARKS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "", "[WORD]")
 
-WINDOW = 5
-# Words seen with an entity in fewer documents say nothing certain about it.
-MIN_DOCUMENTS = 3
+# Documents that hold a word and an entity from which the pair counts: every pair does.
+MIN_DOCUMENTS = 1
 REMOVE, GENERALISE = 0.95, 0.75
-# Longest distance in characters at which a word still counts as beside an entity.
-REACH = 200
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -82,49 +84,75 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def beside(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int]]:
-    """(entity, word, start, end) of the words beside each span and in no span."""
+def entities_of(text: str, spans: list[tuple[int, int, int]]) -> list[str]:
+    """Entity of each span."""
     out = []
     for start, kind, end in spans:
         value = text[start:end].lower()
-        entity = f"{KINDS[kind]}:{value if kind == 0 else re.sub(r'[^0-9.]', '', value)}"
+        out.append(f"{KINDS[kind]}:{value if kind == 0 else re.sub(r'[^0-9.]', '', value)}")
+    return out
+
+
+def words_outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(word, start, end) of the words in no span; `spans` are ordered."""
+    i, done = 0, 0
+    for m in _TERM.finditer(text):
+        # `done` is the furthest end of the spans that begin before the word ends.
+        while i < len(spans) and spans[i][0] < m.end():
+            done = max(done, spans[i][2])
+            i += 1
+        if m.start() >= done:
+            yield m.group().lower(), m.start(), m.end()
+
+
+def beside(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int]]:
+    """(entity, word, start, end) of the words in no span, for each span.
+
+    The pairs that count, listed in full; the query never forms them all.
+    """
+    words, out = list(words_outside(text, spans)), []
+    for (start, _, _), entity in zip(spans, entities_of(text, spans), strict=True):
         # The entity itself, under the empty word, counts its documents.
         out.append((entity, "", start, start))
-        first, last = max(0, start - REACH), min(len(text), end + REACH)
-        # A word cut by the reach isn't one.
-        before = [m for m in _TERM.finditer(text, first, start) if m.start() > first or first == 0]
-        after = [m for m in _TERM.finditer(text, end, last) if m.end() < last or last == len(text)]
-        for m in before[-WINDOW:] + after[:WINDOW]:
-            if not any(a < m.end() and m.start() < b for a, _, b in spans):
-                out.append((entity, m.group().lower(), m.start(), m.end()))
+        out += [(entity, *word) for word in words]
     return out
 
 
 _SPANS = "array<struct<start:int,rank:int,end:int>>"
-_NEAR = "array<struct<entity:string,word:string,start:int,end:int>>"
+_SPANS_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("rank", pa.int32()), ("end", pa.int32())]))
+
+
+def _listed(spans: list[tuple[int, int, int]]) -> list[dict]:
+    return [{"start": a, "rank": k, "end": b} for a, k, b in spans]
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """[id, spans, near]: base spans of every row, and the words beside them."""
-    spans_type = pa.list_(pa.struct([("start", pa.int32()), ("rank", pa.int32()), ("end", pa.int32())]))
-    near_type = pa.list_(
-        pa.struct([("entity", pa.string()), ("word", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-    )
+    """[id, spans, entities, words, held]: base spans of every row; of rows with any, also the entities and words, each once, and the text."""
+    strings = pa.list_(pa.string())
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            spans, near = [], []
+            spans, entities, words, held = [], [], [], []
             for text in rows.column(1):
                 text = text.as_py() or ""
                 found = base_spans(text)
-                spans.append([{"start": a, "rank": k, "end": b} for a, k, b in found])
-                near.append([{"entity": e, "word": w, "start": a, "end": b} for e, w, a, b in beside(text, found)])
+                spans.append(_listed(found))
+                entities.append(sorted(set(entities_of(text, found))))
+                words.append(sorted({w for w, _, _ in words_outside(text, found)}) if found else [])
+                held.append(text if found else None)
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(spans, spans_type), pa.array(near, near_type)], names=["id", "spans", "near"]
+                [
+                    rows.column(0),
+                    pa.array(spans, _SPANS_TYPE),
+                    pa.array(entities, strings),
+                    pa.array(words, strings),
+                    pa.array(held, pa.string()),
+                ],
+                names=["id", "spans", "entities", "words", "held"],
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(find, f"id long, spans {_SPANS}, near {_NEAR}")
+    return rows.mapInArrow(find, f"id long, spans {_SPANS}, entities array<string>, words array<string>, held string")
 
 
 class _Terms(dict):
@@ -155,32 +183,55 @@ def document_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return per_batch.groupBy("word").agg(F.sum("n").alias("n_word"))
 
 
+def _disclosed(n_both: Column, n_word: Column, n_entity: Column, n_all: int) -> Column:
+    """Rank of a word for an entity by their counts, null for a word that isn't telling."""
+    content = F.log(F.lit(float(n_all)) / n_entity)
+    information = F.log(n_both * F.lit(float(n_all)) / (n_word * n_entity))
+    # An entity of every document has no content that a word could disclose.
+    share = F.when(content > 0, information / content)
+    return F.when(share >= REMOVE, KINDS.index("reveal")).when(share >= GENERALISE, KINDS.index("hint"))
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every occurrence of the telling words of each row, beside its base spans."""
+    for rows in batches:
+        ids, base, texts, telling = (rows.column(i).to_pylist() for i in range(4))
+        every = []
+        for spans, text, words in zip(base, texts, telling, strict=True):
+            if words:
+                ranks = {w["word"]: w["rank"] for w in words}
+                known = [(s["start"], s["rank"], s["end"]) for s in spans]
+                added = [(a, ranks[w], b) for w, a, b in words_outside(text, known) if w in ranks]
+                spans = _listed(sorted(known + added))
+            every.append(spans)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(every, _SPANS_TYPE)], names=["id", "spans"])
+
+
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """[id, spans]: base and added spans(start, rank, end), ordered; `rank` is the place in KINDS."""
     found = scan(docs, id_col, text_col).withColumn("uid", F.monotonically_increasing_id())
     found = materialise(found, "pii-spans")
     n_all = found.count()
-    near = found.where(F.size("near") > 0).select("uid", F.explode("near").alias("w")).select("uid", "w.*")
-    pairs = near.select("uid", "entity", "word").distinct().groupBy("entity", "word").agg(F.count("*").alias("n_both"))
-    pairs = materialise(pairs.where(F.col("n_both") >= MIN_DOCUMENTS), "pii-pairs")
-    entities = pairs.where("word = ''").select("entity", F.col("n_both").alias("n_entity"))
-    known = pairs.join(entities, "entity").join(document_counts(docs, text_col), "word")
-    content = F.log(F.lit(float(n_all)) / F.col("n_entity"))
-    information = F.log(F.col("n_both") * F.lit(float(n_all)) / (F.col("n_word") * F.col("n_entity")))
-    # An entity of every document has no content that a word could disclose.
-    disclosed = F.when(content > 0, information / content)
-    rank = F.when(disclosed >= REMOVE, KINDS.index("reveal")).when(disclosed >= GENERALISE, KINDS.index("hint"))
-    telling = known.select("entity", "word", rank.alias("rank")).where(F.col("rank").isNotNull())
-    # A word beside two entities takes the stronger of its two kinds.
-    added = (
-        near.join(telling, ["entity", "word"])
-        .groupBy("uid", "start", "end")
-        .agg(F.min("rank").alias("rank"))
-        .groupBy("uid")
-        .agg(F.collect_list(F.struct("start", "rank", "end")).alias("added"))
-    )
-    every = F.array_sort(F.concat("spans", F.coalesce("added", F.array().cast(_SPANS))))
-    return found.select("uid", "id", "spans").join(added, "uid", "left").select("id", every.alias("spans"))
+    holding = found.where(F.size("entities") > 0)
+    held = holding.select("uid", F.explode("entities").alias("entity"))
+    # Entities of the same documents have the same counts with every word.
+    same = [F.bit_xor(F.xxhash64("uid", F.lit(i))).alias(f"same{i}") for i in range(2)]
+    sets = held.groupBy("entity").agg(F.count("*").alias("n_entity"), *same)
+    group = ["n_entity", "same0", "same1"]
+    groups = held.join(sets, "entity").select("uid", *group).distinct()
+    words = holding.select("uid", F.explode("words").alias("word")).join(document_counts(docs, text_col), "word")
+    at_most = F.least("n_word", "n_entity")
+    pairs = groups.join(words, "uid").where(_disclosed(at_most, F.col("n_word"), F.col("n_entity"), n_all).isNotNull())
+    pairs = materialise(pairs, "pii-pairs")
+    counts = pairs.groupBy(*group, "word", "n_word").agg(F.count("*").alias("n_both"))
+    rank = _disclosed(F.col("n_both"), F.col("n_word"), F.col("n_entity"), n_all)
+    known = counts.where(F.col("n_both") >= MIN_DOCUMENTS).withColumn("rank", rank).where(F.col("rank").isNotNull())
+    # A word in the documents of two entities takes the stronger of its two kinds.
+    telling = pairs.join(known.select(*group, "word", "rank"), [*group, "word"]).groupBy("uid", "word").agg(F.min("rank").alias("rank"))
+    listed = telling.groupBy("uid").agg(F.collect_list(F.struct("word", "rank")).alias("telling"))
+    plain = found.where(F.size("entities") == 0).select("id", "spans")
+    marked = holding.select("uid", "id", "spans", "held").join(listed, "uid", "left").select("id", "spans", "held", "telling")
+    return plain.unionByName(marked.mapInArrow(_mark, f"id long, spans {_SPANS}"))
 
 
 def digest(spans: Column) -> Column:

@@ -56,3 +56,19 @@ def test_hard_pages(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert queries.op2_html_content(spark, str(tmp_path)).count() == 0
+
+
+def test_sections_of_unequal_length():
+    long, short = "Words, and more of them. " * 16, "A short part, of two clauses."
+    both = f"<h1>H</h1><div><p>{long}</p></div><div><p>{short}</p></div>"
+    want = f"H {long.strip()} {short}"
+    menu = "<div><ul><li>One<li>Two<li>Three<li>Four</ul></div>"
+    for page in (
+        f"<article>{both}</article>",
+        f"<main><section>{both}</section></main>",
+        f"<html><body>{both}</body></html>",
+        f"<html><body>{menu}<div>{both}</div></body></html>",
+    ):
+        assert html_content.main_text(page) == want
+    cells = f"<article><table><tr><td><p>{long}</p><td><p>{short}</p></table><div>End</div></article>"
+    assert html_content.main_text(cells) == f"{long.strip()} {short} End"

@@ -3,8 +3,9 @@
 A page becomes a list of text nodes, each with its path of tags from the root. For every path,
 text length and punctuation are summed over its nodes and divided by their number; the two ratios
 are smoothed along the page, fused into one score, and paths with a score above the threshold
-are content. The sections that hold them are the article: their headings and short blocks
-belong to it although their own paths score low. Parts that a page itself marks as menu,
+are content. Every section with a text of such a path is in the article, however short. An <article> or
+<main> around content, and a section with a fair part of the content, belong to it whole: headings and short blocks
+too, although their own paths score low. Between the sections, from the innermost one around all content, headings belong to it. Parts that a page itself marks as menu,
 header, footer, sidebar, notice, advert, form or comments are left out before.
 
 Defined results: a null or empty page, or one without text outside such parts, has an empty
@@ -59,6 +60,7 @@ ENDS_PARAGRAPH = set(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr main menu nav ol p pre section table ul".split()
 )
+HEADING = re.compile(r"/h[1-6](/|$)")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 KERNEL = (0.25, 0.5, 0.25)
 
@@ -102,10 +104,10 @@ def _is_left_out(tag: str, rest: str, in_article: bool) -> bool:
     return not words.isdisjoint(MARKED) or (not in_article and not words.isdisjoint(MARKED_OUTSIDE))
 
 
-def text_nodes(page: str) -> tuple[list[Node], list[int]]:
-    """Text nodes outside the parts left out, in page order; for each section the one around it."""
+def text_nodes(page: str) -> tuple[list[Node], list[int], set[int]]:
+    """Text nodes outside the parts left out, in page order; for each section the one around it; those that are articles."""
     root = _Open("", "", 0, False, False)
-    stack, around, nodes = [root], [0], []
+    stack, around, nodes, articles = [root], [0], [], set()
     at = block = 0
 
     def text(raw: str) -> None:
@@ -125,7 +127,7 @@ def text_nodes(page: str) -> tuple[list[Node], list[int]]:
         found = _MARKUP.search(page, at)
         text(page[at : found.start() if found else len(page)])
         if not found:
-            return nodes, around
+            return nodes, around, articles
         at = found.end()
         if found["tag"] is None:
             continue
@@ -150,6 +152,8 @@ def text_nodes(page: str) -> tuple[list[Node], list[int]]:
         if tag in SECTION:
             around.append(section)
             section = len(around) - 1
+            if tag in ("article", "main"):
+                articles.add(section)
         in_article = top.in_article or tag in ("article", "main")
         left_out = top.left_out or _is_left_out(tag, rest, top.in_article)
         stack.append(_Open(tag, f"{top.path}/{tag}", section, left_out, in_article))
@@ -185,7 +189,7 @@ def content_paths(nodes: list[Node]) -> set[str]:
 
 
 def main_text(page: str | None) -> str:
-    nodes, around = text_nodes(page or "")
+    nodes, around, articles = text_nodes(page or "")
     filled = [n for n in nodes if n.text.strip()]
     if not filled:
         return ""
@@ -194,15 +198,27 @@ def main_text(page: str | None) -> str:
     for node in filled:
         if node.path in paths:
             weight[node.section] += len(node.text)
-    # A section counts when it holds a fair part of the content; what lies in it belongs to it.
+    # Content in each section and those inside it; a section comes after the one around it.
+    held = [weight.get(section, 0) for section in range(len(around))]
+    for section in range(len(around) - 1, 0, -1):
+        held[around[section]] += held[section]
+    innermost = max(section for section, w in enumerate(held) if w == held[0])
+    # What lies in an article with content, or in a section with a fair part of it, belongs to it.
     most = max(weight.values())
-    chosen = {s for s, w in weight.items() if 4 * w >= most}
-    inside: dict[int, bool] = {}
+    whole, within = [], []
     for section, parent in enumerate(around):
-        inside[section] = section in chosen or (section > 0 and inside[parent])
+        fair = 4 * weight.get(section, 0) >= most or (section in articles and held[section] > 0)
+        whole.append(fair or (section > 0 and whole[parent]))
+        within.append(section == innermost or (section > 0 and within[parent]))
+
+    def belongs(node: Node) -> bool:
+        if whole[node.section] or weight.get(node.section):
+            return True
+        return within[node.section] and held[node.section] > 0 and HEADING.search(node.path) is not None
+
     out, block = [], None
     for node in nodes:
-        if inside[node.section]:
+        if belongs(node):
             if node.block != block:
                 out.append([])
                 block = node.block

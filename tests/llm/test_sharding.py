@@ -46,3 +46,7 @@ def test_pack_balances_every_dimension():
     loads = np.array([vectors[placed == s].sum(axis=0) for s in range(24)])
     assert (loads.max(axis=0) < 1.03 * loads.min(axis=0)).all()
     assert len(sharding.pack(np.zeros((0, 3)), 4)) == 0
+
+
+def test_slots_are_long(spark):
+    assert dict(queries.op9_vector_packing(spark, "/root/testdata/sf0.001").dtypes)["slot"] == "bigint"

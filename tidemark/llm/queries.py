@@ -113,7 +113,7 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text_crc32",
         F.lit("bytes").alias("law"),
         "shard",
-        F.col("slot").cast("int").alias("slot"),
+        "slot",
         F.lit(None).cast("int").alias("grown_shard"),
         "tokens",
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     html_content,
+    language_bayes,
     latent_decontam,
     partenum,
     pii,
@@ -124,6 +125,13 @@ def op10_latent_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op11_hashed_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_bayes.train(docs.where(~language_bayes.is_held_out(F.col("doc_id"))))
+    found = language_bayes.predict(docs, model).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", language_bayes.is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_html_content": op2_html_content,
@@ -135,6 +143,7 @@ QUERIES = {
     "op8_disclosure": op8_disclosure,
     "op9_vector_packing": op9_vector_packing,
     "op10_latent_retrieval": op10_latent_retrieval,
+    "op11_hashed_bayes": op11_hashed_bayes,
 }
 
 # Shingles as strings, links by brute force over the sets that share one.
@@ -194,7 +203,73 @@ SELECT v.vec_id, coalesce(counts.n, 0)::BIGINT AS n_links, least.component_id,
 FROM v LEFT JOIN counts USING (row_id) LEFT JOIN least ON least.id = v.vec_id
 """
 
+# Counts and whole-step logarithms per language and bucket, summed over the n-grams of each text.
+_OP11_SQL = """
+WITH docs AS (
+    SELECT row_number() OVER () AS row_id, doc_id, lang,
+           coalesce(regexp_matches(text, '\\p{L}'), false) AS known,
+           coalesce(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+               lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+               lambda crc, e: CASE WHEN e >= 0 THEN xor(crc, e)
+                   ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END), 0) AS crc,
+           ' ' || trim(regexp_replace(lower(text), '[^\\p{L}\\p{M}]+', ' ', 'g'), ' ') || ' ' AS plain
+    FROM documents
+),
+marked AS (SELECT *, xor(crc, 4294967295) % 4 = 2 AS held_out, NOT (xor(crc, 4294967295) % 4 = 2) AND known AND lang IS NOT NULL AS learn FROM docs),
+codes AS (
+    SELECT row_id, unnest(list_transform(string_split(plain, ''), lambda c: ord(c)::BIGINT)) AS c,
+           generate_subscripts(string_split(plain, ''), 1) AS place
+    FROM marked WHERE known
+),
+near AS (
+    SELECT row_id, c, lead(c, 1) OVER w AS c2, lead(c, 2) OVER w AS c3
+    FROM codes WINDOW w AS (PARTITION BY row_id ORDER BY place)
+),
+grams AS (
+    SELECT row_id, (((k & 4294967295) * 1540483477) & 4294967295) >> 16 AS bucket
+    FROM (
+        SELECT row_id, c + 1 AS k FROM near
+        UNION ALL
+        SELECT row_id, c * 1000003 + c2 + 2 FROM near WHERE c2 IS NOT NULL
+        UNION ALL
+        SELECT row_id, ((c * 1000003 + c2) & 4294967295) * 1000003 + c3 + 3 FROM near WHERE c3 IS NOT NULL
+    )
+),
+bags AS (SELECT row_id, bucket, count(*) AS n FROM grams GROUP BY row_id, bucket),
+counts AS (
+    SELECT lang, bucket, sum(n) AS n FROM bags JOIN marked USING (row_id) WHERE learn GROUP BY lang, bucket
+),
+langs AS (
+    SELECT lang, floor(ln(count(*) / sum(count(*)) OVER ()) * 65536 + 0.5)::BIGINT AS prior
+    FROM marked WHERE learn GROUP BY lang
+),
+totals AS (SELECT lang, sum(n) + 65536 AS total FROM counts GROUP BY lang),
+shares AS (
+    SELECT lang, bucket, floor(ln((n + 1) / total) * 65536 + 0.5)::BIGINT
+        - floor(ln(1 / total) * 65536 + 0.5)::BIGINT AS gain
+    FROM counts JOIN totals USING (lang)
+),
+sizes AS (SELECT row_id, sum(n) AS n FROM bags GROUP BY row_id),
+gains AS (
+    SELECT row_id, lang, sum(n * gain) AS gain FROM bags JOIN shares USING (bucket) GROUP BY row_id, lang
+),
+sums AS (
+    SELECT sizes.row_id, lang,
+        (prior + sizes.n * floor(ln(1 / total) * 65536 + 0.5)::BIGINT + coalesce(gain, 0))::BIGINT AS s
+    FROM sizes CROSS JOIN langs JOIN totals USING (lang) LEFT JOIN gains USING (row_id, lang)
+),
+best AS (
+    SELECT row_id, arg_min(lang, (-s, lang)) AS lang_pred, max(s) AS top FROM sums GROUP BY row_id
+),
+masses AS (
+    SELECT row_id, sum(exp((s - top) / 65536)) AS mass FROM sums JOIN best USING (row_id) GROUP BY row_id
+)
+SELECT doc_id, held_out, coalesce(lang_pred, 'und') AS lang_pred, coalesce(round(1 / mass, 6), 0.0) AS score
+FROM marked LEFT JOIN best USING (row_id) LEFT JOIN masses USING (row_id)
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_hashed_bayes": _OP11_SQL,
     "op3_partenum": _OP3_SQL,
     "op6_rotation_codes": _OP6_SQL,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    hadamard_clusters,
     html_content,
     language_bayes,
     latent_decontam,
@@ -17,6 +18,7 @@ from tidemark.llm import (
     sharding,
     token_files,
     vector_neardup,
+    whitening,
 )
 
 
@@ -132,6 +134,17 @@ def op11_hashed_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_bayes.is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op12_hadamard_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hadamard_clusters.cluster_vectors(_table(spark, sf_dir, "embeddings"))
+    return found.drop("centroid").withColumnRenamed("id", "vec_id")
+
+
+def op13_refined_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    # Null where the exact sum has more digits than a long.
+    return found.withColumn("deviation", F.col("deviation").try_cast("long")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_html_content": op2_html_content,
@@ -144,6 +157,8 @@ QUERIES = {
     "op9_vector_packing": op9_vector_packing,
     "op10_latent_retrieval": op10_latent_retrieval,
     "op11_hashed_bayes": op11_hashed_bayes,
+    "op12_hadamard_search": op12_hadamard_search,
+    "op13_refined_whitening": op13_refined_whitening,
 }
 
 # Shingles as strings, links by brute force over the sets that share one.
@@ -268,7 +283,49 @@ SELECT doc_id, held_out, coalesce(lang_pred, 'und') AS lang_pred, coalesce(round
 FROM marked LEFT JOIN best USING (row_id) LEFT JOIN masses USING (row_id)
 """
 
+
+
+def _op12_sql() -> str:
+    """Every distance in every round."""
+    distance = "list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    parts = [
+        """kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_id, vec_id,
+           list_transform(embedding, lambda x: CASE WHEN isfinite(x) THEN floor(256 * x::DOUBLE)::BIGINT END) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        """centres0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), vec_id, v) - 1 AS c, v AS m
+    FROM kept WHERE vec_id IS NOT NULL QUALIFY c < 40
+)""",
+    ]
+    for i in range(6):
+        parts.append(f"""placed{i} AS MATERIALIZED (
+    SELECT row_id, vec_id, v, arg_min(c, (d, c)) AS c, min(d) AS d
+    FROM (SELECT row_id, vec_id, v, c, {distance} AS d FROM kept CROSS JOIN centres{i})
+    GROUP BY row_id, vec_id, v
+)""")
+        parts.append(f"""centres{i + 1} AS MATERIALIZED (
+    SELECT c, coalesce(moved.m, centres{i}.m) AS m
+    FROM centres{i} LEFT JOIN (
+        SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY place) AS m
+        FROM (
+            SELECT c, place, sum(x) AS s, count(*) AS n
+            FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM placed{i}) GROUP BY c, place
+        ) GROUP BY c
+    ) moved USING (c)
+)""")
+    return "WITH " + ",\n".join(parts[:-1]) + """
+SELECT vec_id, c::INTEGER AS cluster, d AS distance,
+       (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM placed5 JOIN centres5 USING (c)
+"""
+
+
 ORACLE: dict[str, str] = {
+    "op12_hadamard_search": _op12_sql(),
     "op11_hashed_bayes": _OP11_SQL,
     "op3_partenum": _OP3_SQL,
     "op6_rotation_codes": _OP6_SQL,

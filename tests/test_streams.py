@@ -1,12 +1,15 @@
 import random
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import bloom_bits
 from tidemark.operators import bloom, reservoir, skew
-from tidemark.streaming import jobs
-from tidemark.streaming.state import BatchState
+from tidemark.sources.readers import read_messages_stream
+from tidemark.sources.sinks import write_arrivals
+from tidemark.streaming import jobs, state
 
 
 def tag_rows(seed, n=300, hot=True):
@@ -164,6 +167,75 @@ def test_stream_bloom_for_any_split(spark, tmp_path, files):
     assert found == sorted(tuple(r) for r in bloom.really_seen(df).select("seq", "tag", "seen").collect())
 
 
+def test_stream_flags_of_odd_rows(spark, tmp_path):
+    """Repeated rows, null tags, a tag twice in its first message; as the table operators answer."""
+    rows = [(1, "a"), (1, "a"), (1, None), (2, "b"), (2, "a"), (3, None), (3, "b"), (3, "c"), (3, "c")]
+    df = spark.createDataFrame(rows, "seq bigint, tag string")
+    write_files(df, tmp_path / "in", 3)
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    state = str(tmp_path / "state")
+    jobs.last_batch(jobs.bloom_stream(stream, state, f"{state}/offsets", 5000, 4, "xxhash"))
+    key = lambda r: (r[0], r[1] or "", r[2:])
+    found = sorted(map(tuple, jobs.stream_flags(spark, state).select("seq", "tag", "maybe", "seen").collect()), key=key)
+    assert found == sorted(map(tuple, bloom.bloom_replay(df, 5000, 4, "xxhash").collect()), key=key)
+
+
+def test_memory_is_spark_state_alone(spark, tmp_path):
+    """A later batch needs nothing of what earlier ones wrote."""
+    df = spark.createDataFrame(tag_rows(9), "seq bigint, tag string")
+    source, offsets, found = tmp_path / "in", str(tmp_path / "offsets"), []
+    for part in range(3):
+        df.where(f"seq > {part * 100} and seq <= {part * 100 + 100}").coalesce(1).write.mode("append").parquet(str(source))
+        stream = spark.readStream.schema(df.schema).parquet(str(source))
+        out = str(tmp_path / f"out{part}")
+        jobs.last_batch(jobs.bloom_stream(stream, out, offsets))
+        found += map(tuple, jobs.stream_flags(spark, out).select("seq", "tag", "maybe", "seen").collect())
+    assert sorted(found) == sorted(map(tuple, bloom.bloom_replay(df).collect()))
+
+
+def test_a_hot_tag_asks_once_per_arrow_batch():
+    rows = [(seq, "hot" if seq % 3 else f"t{seq}") for seq in range(1000, 0, -1)]
+    seqs, tags = zip(*rows, strict=True)
+    batch = pa.RecordBatch.from_arrays([pa.array(tags), pa.array(seqs)], names=["tag", "seq"])
+    firsts = pa.Table.from_batches(list(state._with_firsts([batch])))
+    assert firsts.num_rows == 1000
+    asking = firsts.filter(pc.field("first")).to_pylist()
+    assert [r["seq"] for r in asking if r["tag"] == "hot"] == [1]
+    probes = pa.RecordBatch.from_pylist(
+        [{"tag": r["tag"], "seq": r["seq"], "n": 1, "name": "maybe", "key": "word 0", "place": r["seq"] % 4} for r in asking]
+    )
+    kept = pa.Table.from_batches(list(state._open_questions([probes]))).to_pylist()
+    assert sorted(r["seq"] for r in kept) == [1, 3, 6, 12]
+
+
+@pytest.mark.parametrize("rows, file_bytes", [(0, 1 << 20), (1, 1 << 20), (5, 1 << 20), (403, 1 << 20), (4000, 3000)])
+def test_arrivals_come_range_by_range(spark, tmp_path, rows, file_bytes):
+    df = spark.range(rows).select((F.col("id") * 7919 % 4001).alias("seq"), F.col("id").cast("string").alias("tag"))
+    path = str(tmp_path / "in")
+    files = write_arrivals(df, path, "seq", file_bytes=file_bytes)
+    assert files >= min(rows // 4, 2)
+    stream = read_messages_stream(spark, path, df.schema, max_files=files)
+    batches = {}
+
+    def step(batch, batch_id):
+        batches[batch_id] = [r.seq for r in batch.collect()]
+
+    jobs.last_batch(jobs.start(stream, step, str(tmp_path / "offsets")))
+    got = [sorted(batches[i]) for i in sorted(batches) if batches[i]]
+    assert [s for part in got for s in part] == sorted(r.seq for r in df.collect())
+    assert len(got) >= (4 if rows > 100 else -(-rows // 2))
+    if file_bytes < 5000:
+        assert files > 2
+
+
+def test_triggers_by_bytes(spark, tmp_path):
+    path, sizes = str(tmp_path / "in"), []
+    spark.range(4000).repartition(8).write.parquet(path)
+    stream = read_messages_stream(spark, path, "id bigint", max_bytes="6k")
+    jobs.last_batch(jobs.start(stream, lambda batch, _: sizes.append(batch.count()), str(tmp_path / "offsets")))
+    assert sum(sizes) == 4000 and len([n for n in sizes if n]) > 1
+
+
 def test_streams_go_on_after_a_restart(spark, tmp_path):
     df = messages(spark, 600)
     tags = df.select("seq", F.explode("tags").alias("tag"))
@@ -191,16 +263,6 @@ def test_streams_go_on_after_a_restart(spark, tmp_path):
         assert (row.n, row.top_tags, row.avg_len) == expected_report(max(slots), slots)
 
 
-def test_state_survives_a_repeated_batch_and_merges_old_ones(spark, tmp_path):
-    state = BatchState(str(tmp_path / "s"), "tag string, first bigint", compact_every=3)
-    for batch in range(8):
-        for _ in range(2):  # the second run of a batch replaces the first
-            known = {r.tag for r in state.before(spark, batch).collect()}
-            assert known == {f"t{i}" for i in range(batch)}
-            state.put(spark.createDataFrame([(f"t{batch}", batch)], state.schema), batch)
-    assert (tmp_path / "s" / "base=6").exists()
-
-
 def test_number_rows(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("x"), (F.col("id") % 3).alias("g")).repartition(5)
     found = sorted((r.x, r.n) for r in skew.number_rows(df, "x").collect())

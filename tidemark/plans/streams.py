@@ -12,6 +12,7 @@ from tidemark.plans.oracle_views import MESSAGES, TAGS, java_hash_sql
 from tidemark.session import scratch_dir
 from tidemark.sources import adapters
 from tidemark.sources.readers import read_messages_stream
+from tidemark.sources.sinks import write_arrivals
 from tidemark.streaming import jobs
 
 K = reservoir.CAPACITY
@@ -161,24 +162,11 @@ def top_tags(spark, sf_dir):
     return reservoir.top_tags(reservoir.tag_counts(tags))
 
 
-# Micro-batches that the events are dealt out to.
-BATCHES = 4
-
-
 def _event_stream(spark, sf_dir):
-    """The events as a stream of several micro-batches, in their order.
-
-    They are first written as one folder of files per range of ids, one range after the other, as
-    messages would arrive.
-    """
+    """The events as a stream of several micro-batches, in their order, as messages would arrive."""
     events = adapters.table(spark, sf_dir, "events")
-    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
-    path, width = scratch_dir(spark, "events"), (high - low) // BATCHES + 1
-    for i in range(BATCHES):
-        first = low + i * width
-        part = events.where(F.col("event_id").between(first, first + width - 1))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return read_messages_stream(spark, path, events.schema)
+    path = scratch_dir(spark, "events")
+    return read_messages_stream(spark, path, events.schema, max_files=write_arrivals(events, path, "event_id"))
 
 
 def stream_reservoir(spark, sf_dir):

@@ -69,9 +69,15 @@ def read_messages_stream(
     schema: T.StructType | str,
     max_files: int = 1,
     pattern: str | None = None,
+    max_bytes: str | int | None = None,
 ) -> DataFrame:
-    """Message files as a stream, `max_files` new files per micro-batch."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    """Message files as a stream: `max_files` new files per micro-batch, or as many as `max_bytes` hold.
+
+    Files come in the order in which they were written. With `max_bytes` the end of a micro-batch may lie
+    anywhere between two files, so messages whose order matters shouldn't be written in parallel.
+    """
+    bound = ("maxFilesPerTrigger", max_files) if max_bytes is None else ("maxBytesPerTrigger", max_bytes)
+    reader = spark.readStream.schema(schema).option(*bound)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     return reader.parquet(path)

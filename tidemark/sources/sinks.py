@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.skew import number_rows
+from tidemark.session import materialise
 
 
 def write_csv_sorted(df: DataFrame, path: str, *order: str) -> None:
@@ -44,3 +45,37 @@ def write_itemsets(itemsets: DataFrame, path: str) -> None:
 def write_cluster_report(report: DataFrame, path: str) -> None:
     """One JSON object per algorithm: algorithm, wsse and the list of clusters."""
     report.write.mode("overwrite").json(path)
+
+
+# Least number of micro-batches of written arrivals, and the bytes of a batch and of a file.
+LEAST_BATCHES = 4
+BATCH_BYTES = 16 << 30
+FILE_BYTES = 128 << 20
+
+
+def write_arrivals(
+    df: DataFrame,
+    path: str,
+    *order: str,
+    least: int = LEAST_BATCHES,
+    batch_bytes: int = BATCH_BYTES,
+    file_bytes: int = FILE_BYTES,
+) -> int:
+    """Write rows to one folder as they would arrive, one range of the order after the other.
+
+    The number of ranges follows the size of the rows. Each range is written in parallel, as the same number of
+    files, which is returned: with it as `max_files` every micro-batch of `read_messages_stream` is one
+    range. The last range may have fewer files.
+    """
+    numbered = materialise(number_rows(df, *order, name="_arrival"), "arrivals")
+    sizes = numbered.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size"))
+    total, size = numbered.agg(F.max("_arrival")).first()[0] or 0, sizes.first()[0] or 0
+    batches = max(least, -(-size // batch_bytes))
+    width = max(1, -(-total // batches))
+    # At least two files where there are two rows; numbers without gaps fill each of them.
+    files = min(width, max(2, -(-size // batches // file_bytes)))
+    at = ((F.col("_arrival") - 1) % width % files).cast("int")
+    for first in range(1, max(total, 1) + 1, width):
+        part = numbered.where(F.col("_arrival").between(first, first + width - 1))
+        part.repartitionById(files, at).drop("_arrival").write.mode("append").parquet(path)
+    return files

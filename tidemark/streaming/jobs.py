@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.hashing import bloom_bits
 from tidemark.operators import bloom, reservoir
-from tidemark.streaming.state import BatchState, LatestState
+from tidemark.streaming.state import LatestState, answers, met_before, question
 
 
 def start(
@@ -83,22 +85,26 @@ def write_stream_report(
     return start(stream, step, checkpoint, trigger)
 
 
-FIRSTS = "tag string, first bigint"
-BITS = "bit bigint, first bigint"
+def _tag(name: str) -> Column:
+    return question(name, F.concat(F.lit("tag "), "tag"), F.lit(0))
 
 
-def exact_seen_stream(
-    stream: DataFrame, state_dir: str, checkpoint: str, trigger: dict | None = None
+def _flag_stream(
+    tags: DataFrame, questions: Column, names: tuple[str, ...], out_dir: str, checkpoint: str, trigger: dict | None
 ) -> StreamingQuery:
-    """Flag every [seq, tag] with `seen`; the state is the first message of each tag."""
-    known, out = BatchState(f"{state_dir}/tags", FIRSTS), LatestState(f"{state_dir}/seen")
+    out = LatestState(out_dir)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = known.put(_new_tags(batch, known.before(spark, batch_id)), batch_id)
-        out.put(bloom.mark(batch, fresh, "seen").select("seq", "tag", "seen"), batch_id)
+        out.put(answers(batch, *names), batch_id)
 
-    return start(stream, step, checkpoint, trigger)
+    return start(met_before(tags, questions), step, checkpoint, trigger)
+
+
+def exact_seen_stream(
+    stream: DataFrame, state_dir: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Flag every [seq, tag] with `seen`; the state, kept by Spark, is the first message of each tag."""
+    return _flag_stream(stream, F.array(_tag("seen")), ("seen",), f"{state_dir}/seen", checkpoint, trigger)
 
 
 def bloom_stream(
@@ -112,28 +118,17 @@ def bloom_stream(
 ) -> StreamingQuery:
     """Flag every [seq, tag] with `maybe` and `seen`; read them with `stream_flags`.
 
-    The state holds the first message of each tag and of each set bit. A batch adds only
-    the tags and bits that are new to it.
+    The state, kept by Spark, holds the first message of each tag and, by word of the filter, of
+    each set bit. A tag may have been met if earlier messages have set all its bits.
     """
-    tags_state = BatchState(f"{state_dir}/tags", FIRSTS)
-    bits_state = BatchState(f"{state_dir}/bits", BITS)
-    out = LatestState(f"{state_dir}/flags")
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new_tags = tags_state.put(_new_tags(batch, tags_state.before(spark, batch_id)), batch_id)
-        bits = bloom.tag_bits(new_tags, m, k, family)
-        unset = bloom.first_set(bits).join(bits_state.before(spark, batch_id).select("bit"), "bit", "left_anti")
-        new_bits = bits_state.put(unset.select("bit", "first"), batch_id)
-        flags = bloom.mark(batch, bloom.fresh_tags(bits, new_bits), "maybe")
-        flags = bloom.mark(flags, new_tags, "seen")
-        out.put(flags.select("seq", "tag", "maybe", "seen"), batch_id)
-
-    return start(stream, step, checkpoint, trigger)
-
-
-def _new_tags(tags: DataFrame, known: DataFrame) -> DataFrame:
-    return bloom.first_seen(tags).join(known.select("tag"), "tag", "left_anti").select("tag", "first")
+    bits = F.transform(
+        F.array_distinct(bloom_bits(F.col("tag"), m, k, family)),
+        lambda bit: question(
+            "maybe", F.concat(F.lit("word "), F.floor(bit / bloom.WORD).cast("string")), bit % bloom.WORD
+        ),
+    )
+    questions = F.concat(F.array(_tag("seen")), bits)
+    return _flag_stream(stream, questions, ("maybe", "seen"), f"{state_dir}/flags", checkpoint, trigger)
 
 
 def stream_flags(spark, state_dir: str, table: str = "flags") -> DataFrame:

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -118,6 +119,57 @@ def test_pair_stats_with_heavy_items(spark, heavy):
     assert found == expected
 
 
+@pytest.mark.parametrize("least", [1, 2])
+@pytest.mark.parametrize("mode", ["pearson", "literal"])
+def test_two_items_that_all_users_share(spark, mode, least):
+    """Every pair of users has to be listed; cells of two blocks keep it off one task."""
+    rng = random.Random(5)
+    train = {(f"u{u:03}", i): float(rng.randint(1, 5)) for u in range(150) for i in ("hot1", "hot2", f"own{u % 40}")}
+    ratings = frame(spark, train)
+    heavy = ops.heavy_items(ratings, 20)
+    assert {r.item for r in heavy.collect()} == {"hot1", "hot2"}
+    cells = ops.rater_cells(ratings, heavy, 20)
+    sizes = cells.groupBy("item", "low", "high").count().collect()
+    assert max(r["count"] for r in sizes) <= 4 * 20
+    pairs, _ = brute_pairs(train)
+    found = {(r.u, r.v): (r.n, r.sum_uv) for r in ops.pair_stats(ratings, heavy=heavy, block=20, least=least).collect()}
+    assert found == {(u, v): (len(c), sum(a * b for a, b in c)) for (u, v), c in pairs.items() if u < v and len(c) >= least}
+    test = {("u001", "hot1"): 3.0, ("u002", "own7"): 1.0, ("u003", "hot2"): 2.0}
+    got = {(r.user, r.item): r.prediction for r in ops.user_cf(ratings, frame(spark, test), mode, 20).collect()}
+    assert got == {k: pytest.approx(v, abs=1e-9) for k, v in brute_cf(train, test, mode).items()}
+
+
+def test_a_pair_of_raters_meets_once_per_item(spark):
+    train, _ = fixture(11)
+    ratings = frame(spark, train)
+    listed = ops.corated_pairs(ratings, heavy=ops.heavy_items(ratings, 5), block=5).select("u", "v", "item").collect()
+    plain = ops.corated_pairs(ratings).select("u", "v", "item").collect()
+    assert sorted(map(tuple, listed)) == sorted(map(tuple, plain))
+
+
+@pytest.mark.parametrize("chunk", [4096, 3])
+def test_neighbour_lookup_starts_from_the_weights(spark, monkeypatch, chunk):
+    """A tested item that all users rated makes no more rows than there are weights and chunks."""
+    monkeypatch.setattr(ops, "CHUNK", chunk)
+    ratings = {(f"u{u}", i): float(u % 5 + 1) for u in range(200) for i in ("hot", *(f"i{u // 50}-{k}" for k in range(8)))}
+    test = {(f"u{u}", i): 1.0 for u in range(0, 200, 2) for i in ("hot", f"i{u // 50}-0", "none")}
+    weights = [(f"u{u}", f"u{v}", 0.5, 2.0) for u in range(0, 200, 20) for v in range(u, u + 6)]
+    w = spark.createDataFrame(weights, "user string, v string, w double, mean_v double")
+    tests, rated = frame(spark, test), frame(spark, ratings)
+    found = ops.neighbour_ratings(tests, rated, w)
+    want = sorted(
+        (u, i, v, ratings[v, i]) for u, v, _, _ in weights for x, i in test if x == u and u != v and (v, i) in ratings
+    )
+    assert sorted(map(tuple, found.select("user", "item", "v", "r_v").collect())) == want
+    wanted, lists = ops.candidate_neighbours(tests, rated, 1 if chunk > 10 else 3)
+    met = w.join(wanted, "user").join(lists, ["v", "chunk"])
+    assert met.count() <= len(weights) * (1 if chunk > 10 else 3)
+    # Nothing joins tested items with raters.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and re.search(r"\(item#\d+ = item#\d+\)", line)]
+    assert joins and all("LeftSemi" in line for line in joins)
+
+
 def test_a_heavy_item_lists_no_pairs(spark):
     """One item rated by everybody: the self-join must not multiply its raters."""
     rows = [(f"u{i}", "hot", 3.0) for i in range(400)] + [(f"u{i}", f"own{i}", 4.0) for i in range(400)]

@@ -231,7 +231,7 @@ def test_arrivals_come_range_by_range(spark, tmp_path, rows, file_bytes):
 def test_triggers_by_bytes(spark, tmp_path):
     path, sizes = str(tmp_path / "in"), []
     spark.range(4000).repartition(8).write.parquet(path)
-    stream = read_messages_stream(spark, path, "id bigint", max_bytes="6k")
+    stream = read_messages_stream(spark, path, "id bigint", max_bytes=6000)
     jobs.last_batch(jobs.start(stream, lambda batch, _: sizes.append(batch.count()), str(tmp_path / "offsets")))
     assert sum(sizes) == 4000 and len([n for n in sizes if n]) > 1
 

@@ -14,8 +14,11 @@ from tidemark.operators.relational import anti_by_key, union_all
 from tidemark.operators.skew import HOT_KEYS, HOT_ROWS, hot_keys, number_rows, salted_join
 from tidemark.session import materialise, scratch_dir
 
-# An item with at least this many raters is kept out of the pair listing where possible.
-HEAVY_RATERS = 10_000
+# An item with at least this many raters is kept out of the pair listing where possible, and listed in cells of two
+# blocks of about so many raters where not.
+HEAVY_RATERS = 4096
+# Tested items of a user, or of a rater, that meet in one row.
+CHUNK = 4096
 # A user with at least this many ratings is matched by user instead of by item.
 HEAVY_RATINGS = 10_000
 
@@ -63,14 +66,38 @@ def item_degrees(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("item").agg(F.count("*").alias("raters"))
 
 
-def corated_pairs(ratings: DataFrame, flag: str | None = None) -> DataFrame:
+def rater_cells(ratings: DataFrame, heavy: DataFrame, block: int) -> DataFrame:
+    """The ratings with [low, high, own]: two blocks of an item's raters whose pairs meet, and the rater's own.
+
+    A rater of a heavy item is in one cell for each of the item's blocks, so each two blocks
+    meet once and a cell holds about two blocks, whatever the item.
+    """
+    blocks = heavy.select("item", F.ceil(F.col("raters") / block).cast("int").alias("_blocks"))
+    marked = salted_join(ratings, blocks, "item", "left", _heaviest(heavy))
+    marked = marked.withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    own = F.pmod(F.xxhash64("user"), F.col("_blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    dealt = marked.withColumn("own", own).withColumn("_other", other)
+    return dealt.withColumn("low", F.least("own", "_other")).withColumn("high", F.greatest("own", "_other")).drop(
+        "_blocks", "_other"
+    )
+
+
+def corated_pairs(
+    ratings: DataFrame, flag: str | None = None, heavy: DataFrame | None = None, block: int = HEAVY_RATERS
+) -> DataFrame:
     """[u, v, item, r_u, r_v] with u < v, from one self-join on the item.
 
-    With `flag`, a boolean column, at least one user of the pair must carry it. Callers
-    take the heavy items out first, see `pair_stats`.
+    With `flag`, a boolean column, at least one user of the pair must carry it. `heavy` are the items of
+    `heavy_items`; their raters meet in cells of two blocks.
     """
-    a, b = ratings.alias("a"), ratings.alias("b")
+    cells = ratings if heavy is None else rater_cells(ratings, heavy, block)
+    a, b = cells.alias("a"), cells.alias("b")
     same = (F.col("a.item") == F.col("b.item")) & (F.col("a.user") < F.col("b.user"))
+    if heavy is not None:
+        same = same & (F.col("a.low") == F.col("b.low")) & (F.col("a.high") == F.col("b.high"))
+        # In a cell of two blocks only pairs across them, as those within one have a cell of their own.
+        same = same & ((F.col("a.low") == F.col("a.high")) | (F.col("a.own") != F.col("b.own")))
     if flag:
         same = same & (F.col(f"a.{flag}") | F.col(f"b.{flag}"))
     return a.join(b, same).select(
@@ -113,15 +140,20 @@ def _add_shared(stats: DataFrame, shared: Column, r_u: Column, r_v: Column) -> D
 
 
 def pair_stats(
-    ratings: DataFrame, users: DataFrame | None = None, heavy: DataFrame | None = None
+    ratings: DataFrame,
+    users: DataFrame | None = None,
+    heavy: DataFrame | None = None,
+    block: int = HEAVY_RATERS,
+    least: int = 2,
 ) -> DataFrame:
     """[u, v, n, sum_u, sum_v, sum_uv, sum_u2, sum_v2, mean_u, mean_v] for every pair
-    u < v that co-rated at least two items; with `users`, at least one of them is there.
+    u < v that co-rated at least `least` items; with `users`, at least one of them is there.
 
-    `heavy` are the items of `heavy_items`. A pair with two common items still meets on the rarer one when each user's most
-    common item is left out of the self-join. So a heavy item never lists all pairs of
-    its raters: a user whose most common item is heavy drops that one item, and it is
-    added back to the pairs found, by key.
+    `heavy` are the items of `heavy_items`. A pair with two common items still meets on the rarer one when each
+    user's most common item is left out of the self-join: a user whose most common item is heavy drops
+    that one item, and it is added back to the pairs found, by key. A user's further heavy
+    items are listed, because pairs may have no other two items, in cells of bounded size. With `least=1`
+    nothing can be left out, and the pairs of all raters of an item are the result.
     """
     base = ratings.select("user", "item", "rating")
     flag = None
@@ -129,8 +161,8 @@ def pair_stats(
         flag = "wanted"
         marks = users.select("user").distinct().withColumn(flag, F.lit(True))
         base = salted_join(base, marks, "user", "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
-    if heavy is None:
-        stats = _pair_sums(corated_pairs(base, flag))
+    if heavy is None or least < 2:
+        stats = _pair_sums(corated_pairs(base, flag, heavy, block))
     else:
         dropped = materialise(
             salted_join(ratings, heavy, "item", hot=_heaviest(heavy))
@@ -140,7 +172,7 @@ def pair_stats(
             "dropped",
         )
         listed = base.join(dropped, ["user", "item"], "left_anti")
-        stats = _pair_sums(corated_pairs(listed, flag))
+        stats = _pair_sums(corated_pairs(listed, flag, heavy, block))
         of_u = dropped.select(
             F.col("user").alias("u"), F.col("item").alias("item_u"), F.col("rating").alias("top_u")
         )
@@ -162,7 +194,7 @@ def pair_stats(
         stats = _add_shared(stats, F.col("other_v").isNotNull(), F.col("top_u"), F.col("other_v"))
         second = F.col("other_u").isNotNull() & ~F.coalesce(F.col("item_u") == F.col("item_v"), F.lit(False))
         stats = _add_shared(stats, second, F.col("other_u"), F.col("top_v"))
-    return stats.where(F.col("n") >= 2).select(
+    return stats.where(F.col("n") >= least).select(
         "u",
         "v",
         *PAIR_SUMS,
@@ -199,35 +231,44 @@ def directed_weights(weights: DataFrame) -> DataFrame:
 # --- neighbourhood prediction --------------------------------------------------------
 
 
-def candidate_neighbours(test: DataFrame, ratings: DataFrame) -> DataFrame:
-    """[user, item, v, r_v]: who else rated the item of a test pair."""
-    others = ratings.select("item", F.col("user").alias("v"), F.col("rating").alias("r_v"))
-    return test.select("user", "item").join(others, "item").where(not_self_pair(F.col("user"), F.col("v")))
+def _chunks(*sizes: DataFrame) -> int:
+    """Parts that the items are cut into so that lists of [.., n] hold about CHUNK of them."""
+    most = [s.agg(F.max("n")).first()[0] or 0 for s in sizes]
+    return max(1, -(-max(most) // CHUNK))
 
 
-def attach_pair_stats(neighbours: DataFrame, weights: DataFrame) -> DataFrame:
-    """[user, item, v, r_v, w, mean_v]"""
-    return neighbours.join(weights, ["user", "v"])
+def candidate_neighbours(test: DataFrame, ratings: DataFrame, chunks: int = 1) -> tuple[DataFrame, DataFrame]:
+    """([user, chunk, wanted], [v, chunk, rated]): a user's tested items, and what a rater gave to tested items."""
+    chunk = F.pmod(F.xxhash64("item"), F.lit(chunks)).cast("int").alias("chunk")
+    wanted = test.select("user", "item").groupBy("user", chunk).agg(F.collect_set("item").alias("wanted"))
+    given = ratings.join(test.select("item").distinct(), "item", "left_semi").select(
+        F.col("user").alias("v"), chunk, F.struct("item", F.col("rating").alias("r_v")).alias("given")
+    )
+    return wanted, given.groupBy("v", "chunk").agg(F.collect_list("given").alias("rated"))
 
 
-def neighbour_ratings(
-    test: DataFrame, ratings: DataFrame, weights: DataFrame, heavy: DataFrame | None = None
-) -> DataFrame:
+def attach_pair_stats(wanted: DataFrame, rated: DataFrame, weights: DataFrame) -> DataFrame:
+    """[user, item, v, r_v, w, mean_v]: per weight, the tested items of the user that the neighbour rated.
+
+    A weight meets one list of each side, and the lists are cut to their common items before
+    they become rows.
+    """
+    met = weights.join(wanted, "user").join(rated, ["v", "chunk"]).where(not_self_pair(F.col("user"), F.col("v")))
+    common = F.array_intersect(F.transform("rated", lambda g: g["item"]), F.col("wanted"))
+    met = met.withColumn("common", common).where(F.size("common") > 0)
+    hits = F.filter("rated", lambda g: F.array_contains("common", g["item"]))
+    return met.select("user", "v", "w", "mean_v", F.inline(hits)).select("user", "item", "v", "r_v", "w", "mean_v")
+
+
+def neighbour_ratings(test: DataFrame, ratings: DataFrame, weights: DataFrame) -> DataFrame:
     """[user, item, v, r_v, w, mean_v]: the weighted neighbours of every test pair.
 
-    Ordinary items look up their raters. For heavy items the weighted neighbours of the
-    user are looked up among the raters instead, so test pairs and raters of one item
-    are never multiplied.
+    Starts from the weights, not from the raters of the tested items, so neither a popular item nor
+    a user with many tests multiplies rows: a weight makes one row per chunk of the user's tests.
     """
-    if heavy is None:
-        return attach_pair_stats(candidate_neighbours(test, ratings), weights)
-    marks = heavy.select("item", F.lit(True).alias("_heavy"))
-    marked = salted_join(test.select("user", "item"), marks, "item", "left", _heaviest(heavy))
-    light_test, heavy_test = marked.where(F.col("_heavy").isNull()), marked.where("_heavy")
-    by_item = attach_pair_stats(candidate_neighbours(light_test, ratings), weights)
-    raters = ratings.select("item", F.col("user").alias("v"), F.col("rating").alias("r_v"))
-    by_user = heavy_test.select("user", "item").join(weights, "user").join(raters, ["v", "item"])
-    return by_item.unionByName(by_user)
+    tests = test.select("user", "item").distinct()
+    sizes = [df.groupBy("user").agg(F.count("*").alias("n")) for df in (tests, ratings)]
+    return attach_pair_stats(*candidate_neighbours(tests, ratings, _chunks(*sizes)), weights)
 
 
 def weighted_prediction(neighbours: DataFrame) -> DataFrame:
@@ -241,9 +282,10 @@ def weighted_prediction(neighbours: DataFrame) -> DataFrame:
 def has_neighbour(test: DataFrame, ratings: DataFrame, heavy_ratings: int = HEAVY_RATINGS) -> DataFrame:
     """[user, item]: test pairs whose item was rated by someone who shares an item with the user.
 
-    Only pairs outside the ratings need a search. It goes through the other items of the
-    item's raters; a rater with very many ratings is matched with the users it shares an
-    item with instead, so its items are never multiplied.
+    Only pairs outside the ratings need a search. Their items, the targets, are numbered, and sets of targets
+    go as words of 64 bits from raters to the items they rated and on to the users of these
+    items; sets meet in an aggregation, so raters of one item never meet each other. A rater with very many
+    ratings is matched with the users it shares an item with instead.
     """
     pairs = test.select("user", "item").distinct()
     rated = ratings.select("user", "item")
@@ -266,18 +308,21 @@ def has_neighbour(test: DataFrame, ratings: DataFrame, heavy_ratings: int = HEAV
             .join(linked_to, ["user", "v"], "left_semi")
             .select("user", "item")
         )
-    together = (
-        light.join(open_pairs.select("item").distinct(), "item", "left_semi")
-        .withColumnRenamed("item", "target")
-        .join(light, "user")
-        .select("target", "item")
-        .distinct()
-    )
+    targets = number_rows(open_pairs.select("item").distinct(), "item", name="_n")
+    bit = F.expr("shiftleft(1L, cast(_n % 64 as int))")
+    targets = materialise(targets.select("item", F.floor(F.col("_n") / 64).alias("word"), bit.alias("bit")), "targets")
+    open_words = materialise(open_pairs.join(targets, "item"), "open-pairs")
+    # Words of targets by rater, by item, and, where the user asks for them, by user.
+    by_rater = light.join(targets, "item").groupBy("user", "word").agg(F.bit_or("bit").alias("bits"))
+    by_item = light.join(by_rater, "user").groupBy("item", "word").agg(F.bit_or("bits").alias("bits"))
+    asked = open_words.groupBy("user", "word").agg(F.bit_or("bit").alias("mask"))
+    met = rated.join(asked, "user").join(by_item, ["item", "word"])
+    hits = F.col("bits").bitwiseAND(F.col("mask"))
+    by_user = met.where(hits != 0).groupBy("user", "word").agg(F.bit_or(hits).alias("bits"))
     linked = (
-        open_pairs.withColumnRenamed("item", "target")
-        .join(together, "target")
-        .join(rated, ["user", "item"], "left_semi")
-        .select("user", F.col("target").alias("item"))
+        open_words.join(by_user, ["user", "word"])
+        .where(F.col("bits").bitwiseAND(F.col("bit")) != 0)
+        .select("user", "item")
     )
     if by_heavy is not None:
         linked = linked.unionByName(by_heavy)
@@ -321,9 +366,9 @@ def user_cf(
     hot_users = hot_keys(pairs, "user")
     ratings = every if mode == "literal" else known
     heavy = heavy_items(ratings, heavy_raters)
-    stats = pair_stats(ratings, pairs, heavy)
+    stats = pair_stats(ratings, pairs, heavy, heavy_raters)
     weights = directed_weights(pearson_weight(stats, mode))
-    scored = weighted_prediction(neighbour_ratings(pairs, ratings, weights, heavy))
+    scored = weighted_prediction(neighbour_ratings(pairs, ratings, weights))
     share = F.col("num") / F.col("den")
     if mode == "literal":
         met = has_neighbour(pairs, ratings).join(scored, ["user", "item"], "left")

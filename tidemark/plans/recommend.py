@@ -65,7 +65,7 @@ def item_mean(spark, sf_dir):
 
 def _stats(spark, sf_dir, heavy_raters=ops.HEAVY_RATERS):
     known = materialise(_known(spark, sf_dir)[0], "known")
-    return ops.pair_stats(known, heavy=ops.heavy_items(known, heavy_raters))
+    return ops.pair_stats(known, heavy=ops.heavy_items(known, heavy_raters), block=heavy_raters)
 
 
 def _pair_columns(stats):
@@ -83,6 +83,15 @@ def corated_pairs_heavy(spark, sf_dir):
     return _pair_columns(_stats(spark, sf_dir, FEW_RATERS))
 
 
+def corated_partners(spark, sf_dir):
+    """Per user, the users who rated one of its items at least, and the sums over all these pairs."""
+    known = materialise(_known(spark, sf_dir)[0], "known")
+    stats = ops.pair_stats(known, heavy=ops.heavy_items(known, FEW_RATERS), block=FEW_RATERS, least=1)
+    return stats.groupBy("u").agg(
+        F.count("*").alias("partners"), F.sum("n").alias("n"), F.sum("sum_uv").alias("sum_uv"), F.sum("sum_v2").alias("sum_v2")
+    )
+
+
 def pearson_weight(spark, sf_dir):
     return ops.pearson_weight(_stats(spark, sf_dir)).select("u", "v", F.round("w", 6).alias("w"))
 
@@ -176,7 +185,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         ratings_csv_roundtrip, ratings_lines, ratings_dedup, train_minus_test, user_mean, item_mean, corated_pairs,
-        corated_pairs_heavy, pearson_weight, user_cf_predict, user_cf_heavy, user_cf_literal,
+        corated_pairs_heavy, corated_partners, pearson_weight, user_cf_predict, user_cf_heavy, user_cf_literal,
         fallback_predict, mean_error_histogram, mean_rmse, cf_error_histogram, cf_rmse,
         prediction_lines, id_encode, als_predict, als_metrics, als_checks,
     )
@@ -250,6 +259,10 @@ FROM ratings""",
     "item_mean": f"WITH {RATINGS} SELECT item, round(avg(rating), 6) AS mean FROM train GROUP BY item",
     "corated_pairs": _PAIRS,
     "corated_pairs_heavy": _PAIRS,
+    "corated_partners": f"""WITH {RATINGS}
+SELECT a."user" AS u, count(DISTINCT b."user") AS partners, count(*) AS n, sum(a.rating * b.rating) AS sum_uv,
+       sum(b.rating * b.rating) AS sum_v2
+FROM train a JOIN train b ON a.item = b.item AND a."user" < b."user" GROUP BY 1""",
     "pearson_weight": f"{_WEIGHTS} SELECT u, v, round(w, 6) AS w FROM weights WHERE u < v",
     "user_cf_predict": _PREDICTED,
     "user_cf_heavy": _PREDICTED,

@@ -69,7 +69,7 @@ def read_messages_stream(
     schema: T.StructType | str,
     max_files: int = 1,
     pattern: str | None = None,
-    max_bytes: str | int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Message files as a stream: `max_files` new files per micro-batch, or as many as `max_bytes` hold.
 

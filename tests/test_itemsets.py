@@ -1,9 +1,12 @@
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import itemsets as ops
+from tidemark.operators import prefix_tree
 from tidemark.operators.relational import candidate_intersect, candidate_union, sort_itemsets
 from tidemark.sources.sinks import format_itemsets
 
@@ -76,12 +79,15 @@ def test_no_frequent_items(spark):
     assert as_dict(ops.fpgrowth_itemsets(empty, 1)) == {}
 
 
-@pytest.mark.parametrize("wide", [2, 64])
-def test_support_of_mixed_candidates(spark, wide):
+@pytest.mark.parametrize("nodes, slab", [(1_000_000, 1 << 20), (8, 5)])
+def test_support_of_mixed_candidates(spark, monkeypatch, nodes, slab):
+    """In one tree and in several."""
+    monkeypatch.setattr(ops, "MAX_NODES", nodes)
+    monkeypatch.setattr(prefix_tree, "SLAB", slab)
     baskets = random_baskets(5)
     sets = [("i1",), ("i1", "i2"), ("i3", "i4", "i5"), ("i0", "i1", "i2", "i3"), ("i1", "absent")]
     candidates = spark.createDataFrame([(list(s),) for s in sets], "items array<string>")
-    hits = ops.baskets_containing(frame(spark, baskets), candidates, wide).collect()
+    hits = ops.baskets_containing(frame(spark, baskets), candidates).collect()
     got = {(tuple(r["items"]), r.key) for r in hits}
     expected = {(s, k) for s in sets for k, items in baskets.items() if set(s) <= set(items)}
     assert got == expected and len(hits) == len(expected)
@@ -90,6 +96,40 @@ def test_support_of_mixed_candidates(spark, wide):
     assert exact == {s: n for s, n in counts.items() if n >= 4}
 
 
+@pytest.mark.parametrize("slab", [1, 7, 1 << 20])
+def test_walk_against_brute_force(monkeypatch, slab):
+    """Nodes with few and with many children, baskets of all sizes, an item in all of them."""
+    monkeypatch.setattr(prefix_tree, "SLAB", slab)
+    rng = random.Random(slab)
+    sets = sorted({tuple(sorted(rng.sample(range(40), rng.randint(1, 5)))) for _ in range(400)} | {(0, i) for i in range(1, 40)})
+    baskets = [sorted({0, *rng.sample(range(40), rng.randint(0, 30))}) for _ in range(60)] + [[], list(range(40))]
+    flat = np.array([i for s in sets for i in s])
+    tree = prefix_tree.build(flat, np.array([len(s) for s in sets]), np.arange(len(sets)), 40)
+    offsets = np.cumsum([0, *map(len, baskets)])
+    found = [(b, n) for bs, ns in prefix_tree.walk(tree, offsets, np.array(sum(baskets, []))) for b, n in zip(bs.tolist(), ns.tolist(), strict=True)]
+    want = [(b, n) for b, items in enumerate(baskets) for n, s in enumerate(sets) if set(s) <= set(items)]
+    assert sorted(found) == want
+    empty = prefix_tree.build(np.zeros(0, int), np.zeros(0, int), np.zeros(0, int), 1)
+    assert list(prefix_tree.walk(empty, np.array([0, 1]), np.array([0]))) == []
+
+
+def test_one_item_in_all_baskets(spark):
+    """Every candidate and every basket holds it; nothing is joined on it."""
+    baskets = {f"k{j}": ["all", f"i{j % 50}", f"i{j % 7}"] for j in range(500)}
+    sets = [("all",), *(("all", f"i{j}") for j in range(50)), ("all", "i1", "i8"), ("i3", "all"), ("all", "none")]
+    candidates = spark.createDataFrame([(list(s),) for s in sets], "items array<string>")
+    counts = {tuple(sorted(s)): sum(set(s) <= set(items) for items in baskets.values()) for s in sets}
+    found = ops.candidate_counts(frame(spark, baskets), candidates)
+    assert {tuple(r["items"]): r.n for r in found.collect()} == {s: n for s, n in counts.items() if n}
+    joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert joins and all("number#" in line and "item" not in line for line in joins)
+    halves = ops.candidate_counts(frame(spark, baskets), candidates, F.substring("key", 2, 9).cast("int") % 2).collect()
+    assert {r.part for r in halves} == {0, 1}
+    assert sum(r.n for r in halves if r["items"] == ["all"]) == 500
+    none = spark.createDataFrame([([],)], "items array<string>")
+    assert ops.candidate_counts(frame(spark, baskets), none).count() == 0
+
+
 def test_local_candidates_never_lose_a_frequent_set(spark):
     baskets = random_baskets(8)
     rows = frame(spark, baskets)

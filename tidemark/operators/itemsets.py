@@ -1,22 +1,34 @@
 """Frequent itemsets over baskets given as [key, item] rows.
 
-Baskets stay in long form; an array never holds more than a bounded number of items,
-so one heavy basket doesn't end up in one row or one task.
+Baskets stay in long form where their sets are listed, so one heavy basket doesn't end up in one
+row; where candidates are counted, a basket is a row of whole numbers, one for each of its items that is in a candidate.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.prefix_tree import PrefixTree, build, walk
 from tidemark.operators.relational import local_threshold, min_support, union_all
-from tidemark.operators.skew import HOT_KEYS, HOT_ROWS, salted_join
+from tidemark.operators.skew import HOT_KEYS, HOT_ROWS, number_rows, salted_join
 from tidemark.session import materialise
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Baskets up to this many frequent items have their subsets listed directly.
 WIDE_BASKET = 64
 MAX_BROADCAST_ROWS = 1_000_000
+# Nodes of a prefix tree: 16 MB.
+MAX_NODES = 1_000_000
 
 
 def basket_items(rows: DataFrame) -> DataFrame:
@@ -57,83 +69,101 @@ def local_frequent_items(
     return local.select(F.array("item").alias("items")).distinct()
 
 
-def _wide_keys(pairs: DataFrame, wide: int) -> DataFrame | None:
-    """[key] of the baskets with more than `wide` items, None if there is none."""
-    sizes = pairs.groupBy("key").agg(F.count("*").alias("_n"))
-    keys = sizes.where(F.col("_n") > wide).select("key")
-    return keys if keys.limit(1).count() else None
+@dataclass
+class _Numbered:
+    """Candidates and baskets with items as whole numbers."""
+
+    sets: DataFrame  # [number, items, ids], written
+    baskets: DataFrame  # [key, ids], of the items that are in candidates, written
+    n_sets: int
+    n_items: int
+    per_tree: int
+
+
+def _numbered(rows: DataFrame, candidates: DataFrame) -> _Numbered | None:
+    wanted = candidates.select(F.array_sort(F.array_distinct("items")).alias("items")).where(F.size("items") > 0)
+    sets = number_rows(wanted.distinct(), "items", name="number")
+    sets = materialise(sets.select("items", (F.col("number") - 1).alias("number")), "candidates")
+    n_sets, longest = sets.agg(F.count("*"), F.max(F.size("items"))).first()
+    if not n_sets:
+        return None
+    long = sets.select("number", F.explode("items").alias("item"))
+    ids = number_rows(long.select("item").distinct(), "item", name="id")
+    ids = materialise(ids.select("item", (F.col("id") - 1).alias("id")), "items")
+    sets = sets.join(
+        salted_join(long, ids, "item").groupBy("number").agg(F.array_sort(F.collect_list("id")).alias("ids")), "number"
+    )
+    matching = salted_join(basket_items(rows), ids, "item")
+    baskets = matching.groupBy("key").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    return _Numbered(
+        materialise(sets, "numbered"), materialise(baskets, "matching"), n_sets, ids.count(), max(1, MAX_NODES // longest)
+    )
 
 
-def _walk_narrow(pairs: DataFrame, levels: dict[int, DataFrame]) -> list[DataFrame]:
-    """Follow the candidates' prefixes through the sorted items of each basket."""
-    found = []
-    state = (
-        pairs.groupBy("key")
-        .agg(F.array_sort(F.collect_list("item")).alias("rest"))
-        .select("key", F.array().cast("array<string>").alias("items"), "rest")
-    )
-    for prefixes in levels.values():
-        step = (
-            state.select("key", "items", "rest", F.posexplode("rest").alias("_at", "_item"))
-            .select(
-                "key",
-                F.concat("items", F.array("_item")).alias("items"),
-                F.expr("slice(rest, _at + 2, size(rest))").alias("rest"),
-            )
-            .join(prefixes, "items")
-        )
-        found.append(step.where("whole").select("items", "key"))
-        state = step.where("open").select("key", "items", "rest")
-    return found
-
-
-def _walk_wide(pairs: DataFrame, levels: dict[int, DataFrame]) -> list[DataFrame]:
-    """Follow the candidates item by item with lookups on (key, item), so that no basket
-    meets in one task."""
-    found = []
-    state = pairs.select("key", F.array().cast("array<string>").alias("_head")).distinct()
-    for size, prefixes in levels.items():
-        if size == 1:
-            step = pairs.select("key", F.array("item").alias("items")).join(prefixes, "items")
-        else:
-            children = prefixes.select(
-                F.slice("items", 1, size - 1).alias("_head"), "items", "whole", "open",
-                F.element_at("items", -1).alias("item"),
-            )
-            step = state.join(children, "_head").join(pairs, ["key", "item"], "left_semi")
-        found.append(step.where("whole").select("items", "key"))
-        state = step.where("open").select("key", F.col("items").alias("_head"))
-    return found
+def _trees(numbered: _Numbered) -> Iterator[PrefixTree]:
+    """Prefix trees of at most MAX_NODES nodes, which is what the driver reads and the tasks get at once."""
+    for first in range(0, numbered.n_sets, numbered.per_tree):
+        part = numbered.sets.where(F.col("number").between(first, first + numbered.per_tree - 1)).select("number", "ids").toArrow()
+        ids = part.column("ids").combine_chunks()
+        sizes = np.diff(ids.offsets.to_numpy()).astype(np.int64)
+        yield build(ids.flatten().to_numpy(), sizes, part.column("number").to_numpy(), numbered.n_items)
+
+
+def _walk_baskets(baskets: DataFrame, tree: PrefixTree, tag: str) -> DataFrame:
+    """[tag, number]: per set of the tree the baskets that hold it, by their column `tag`."""
+    kind = baskets.schema[tag].dataType.simpleString()
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("ids")
+            first = ids.offsets[0].as_py()
+            for basket, number in walk(tree, ids.offsets.to_numpy() - first, ids.flatten().to_numpy()):
+                yield pa.RecordBatch.from_arrays([batch.column(tag).take(pa.array(basket)), pa.array(number)], names=[tag, "number"])
 
+    return baskets.select(tag, "ids").mapInArrow(hits, f"{tag} {kind}, number bigint")
 
-def baskets_containing(rows: DataFrame, candidates: DataFrame, wide: int = WIDE_BASKET) -> DataFrame:
+
+def _count_hits(baskets: DataFrame, tree: PrefixTree) -> DataFrame:
+    """[part, number, n]: how many baskets of each part hold each set, counted per batch."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, part = batch.column("ids"), batch.column("part").to_numpy()
+            first = ids.offsets[0].as_py()
+            for basket, number in walk(tree, ids.offsets.to_numpy() - first, ids.flatten().to_numpy()):
+                (both, n) = np.unique(np.stack([part[basket], number]), axis=1, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), pa.array(n)], names=["part", "number", "n"])
+
+    return baskets.select("part", "ids").mapInArrow(count, "part bigint, number bigint, n bigint")
+
+
+def baskets_containing(rows: DataFrame, candidates: DataFrame) -> DataFrame:
     """[items, key]: the baskets that hold every item of a candidate.
 
-    Candidates are followed prefix by prefix: inside the basket where it has at most
-    `wide` items that matter, and by key lookups where it has more.
+    The candidates are a prefix tree, or several of bounded size, that every task walks over
+    its baskets: nothing is joined on items, however many baskets share one. A basket is the row
+    of those of its items that are in candidates.
     """
-    wanted = candidates.select(F.array_sort("items").alias("items")).distinct()
-    sizes = sorted(row[0] for row in wanted.select(F.size("items")).distinct().collect())
-    levels = {}
-    for size in range(1, sizes[-1] + 1 if sizes else 1):
-        reaching = wanted.where(F.size("items") >= size)
-        levels[size] = reaching.groupBy(F.slice("items", 1, size).alias("items")).agg(
-            F.bool_or(F.size("items") == size).alias("whole"), F.bool_or(F.size("items") > size).alias("open")
-        )
-    items = wanted.select(F.explode("items").alias("item")).distinct()
-    pairs = materialise(basket_items(rows).join(items, "item", "left_semi"), "matching")
-    keys = _wide_keys(pairs, wide)
-    if keys is None:
-        walks = [_walk_narrow(pairs, levels)]
-    else:
-        walks = [
-            _walk_narrow(pairs.join(keys, "key", "left_anti"), levels),
-            _walk_wide(pairs.join(keys, "key", "left_semi"), levels),
-        ]
-    hits = [found[size - 1] for found in walks for size in sizes]
-    if not hits:
-        return pairs.select(F.array("item").alias("items"), "key").limit(0)
-    return union_all(*hits)
+    numbered = _numbered(rows, candidates)
+    if numbered is None:
+        return rows.select(F.array("item").alias("items"), "key").limit(0)
+    found = union_all(*[_walk_baskets(numbered.baskets, tree, "key") for tree in _trees(numbered)])
+    return found.join(numbered.sets.select("number", "items"), "number").select("items", "key")
+
+
+def candidate_counts(rows: DataFrame, candidates: DataFrame, part: Column | None = None) -> DataFrame:
+    """[part, items, n]: in how many baskets of each part, a function of the key, each candidate is, if in any.
+
+    Counted as `baskets_containing`, without listing the baskets.
+    """
+    numbered = _numbered(rows, candidates)
+    if numbered is None:
+        return rows.select(F.lit(0).cast("bigint").alias("part"), F.array("item").alias("items"), F.lit(0).cast("bigint").alias("n")).limit(0)
+    part = F.lit(0) if part is None else part
+    baskets = numbered.baskets.withColumn("part", part.cast("bigint"))
+    counts = union_all(*[_count_hits(baskets, tree) for tree in _trees(numbered)])
+    counts = counts.groupBy("part", "number").agg(F.sum("n").alias("n"))
+    return counts.join(numbered.sets.select("number", "items"), "number").select("part", "items", "n")
 
 
 def local_frequent_sets(
@@ -141,17 +171,13 @@ def local_frequent_sets(
 ) -> DataFrame:
     """[items]: candidates that reach the local threshold in at least one chunk."""
     chunk = chunk_of(chunks) if chunk is None else chunk
-    counts = (
-        baskets_containing(rows, candidates)
-        .groupBy(chunk.alias("chunk"), "items")
-        .agg(F.count("*").alias("support"))
-    )
+    counts = candidate_counts(rows, candidates, chunk).withColumnRenamed("n", "support")
     return min_support(counts, local_threshold(support, chunks)).select("items").distinct()
 
 
 def global_support(rows: DataFrame, candidates: DataFrame, support: int) -> DataFrame:
     """[items, size, support]: candidates whose exact support reaches the threshold."""
-    counts = baskets_containing(rows, candidates).groupBy("items").agg(F.count("*").alias("support"))
+    counts = candidate_counts(rows, candidates).withColumnRenamed("n", "support")
     return min_support(counts, support).select("items", F.size("items").alias("size"), "support")
 
 
@@ -295,8 +321,7 @@ def son_frequent_itemsets(
         )
         if wide_rows is not None:
             found = materialise(_as_items(min_support(found, support - n_wide)), "candidates")
-            in_wide = baskets_containing(wide_rows, found.select("items"))
-            in_wide = in_wide.groupBy("items").agg(F.count("*").alias("_wide"))
+            in_wide = candidate_counts(wide_rows, found.select("items")).select("items", F.col("n").alias("_wide"))
             found = (
                 found.join(in_wide, "items", "left")
                 .withColumn("support", F.col("support") + F.coalesce("_wide", F.lit(0)))

@@ -2,11 +2,13 @@ import json
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import SparseVector, Vectors
 from pyspark.sql import functions as F
 
 from tidemark.operators import clustering as ops
+from tidemark.operators import sparse_kmeans as sparse
 from tidemark.operators import text
 from tidemark.sources.sinks import write_cluster_report
 
@@ -99,23 +101,104 @@ def test_term_weights(spark):
     assert "Exchange" not in plan and "Aggregate" not in plan
 
 
-def test_long_form_k_means_against_a_dense_one(spark):
-    rng = np.random.default_rng(12)
-    matrix = rng.poisson(0.7, size=(60, 25)).astype(float)
+def count_matrix(seed=12, rows=60, width=25):
+    matrix = np.random.default_rng(seed).poisson(0.7, size=(rows, width)).astype(float)
     matrix[7] = 0
-    rows = [(i, f"t{j}", x) for i, row in enumerate(matrix.tolist()) for j, x in enumerate(row) if x]
-    ids = spark.range(60).withColumnRenamed("id", "doc_id")
-    assigned, centres = ops.lloyd_terms(ids, spark.createDataFrame(rows, "doc_id bigint, term string, x double"), 4, 3)
-    dense = matrix[:4].copy()
-    for _ in range(3):
-        d2 = ((matrix[:, None] - dense) ** 2).sum(axis=2).round(6)
-        best = d2.argmin(axis=1)
-        dense = np.array([matrix[best == c].mean(axis=0) if (best == c).any() else dense[c] for c in range(4)])
-    d2 = ((matrix[:, None] - dense) ** 2).sum(axis=2).round(6)
+    return matrix
+
+
+def sparse_rows(spark, matrix):
+    rows = [(i, 10 * j, x) for i, row in enumerate(matrix.tolist()) for j, x in enumerate(row) if x]
+    ids = spark.range(len(matrix)).withColumnRenamed("id", "doc_id")
+    return sparse.documents_rows(ids, spark.createDataFrame(rows, "doc_id bigint, term_id bigint, x double"))
+
+
+def distances(matrix, centres):
+    return ((matrix[:, None] - centres[None]) ** 2).sum(axis=2).round(6)
+
+
+def dense_rounds(matrix, centres, rounds):
+    for _ in range(rounds):
+        best = distances(matrix, centres).argmin(axis=1)
+        centres = np.array([matrix[best == c].mean(axis=0) if (best == c).any() else centres[c] for c in range(len(centres))])
+    return centres
+
+
+def as_matrix(centres, k, width=25):
+    dense = np.zeros((k, width))
+    for r in centres.collect():
+        dense[r.cluster, r.id // 10] = r.x
+    return dense
+
+
+@pytest.mark.parametrize("held", [1 << 24, 0])
+def test_sparse_k_means_against_a_dense_one(spark, monkeypatch, held):
+    """With the centres in the tasks, and by joins."""
+    monkeypatch.setattr(sparse, "MAX_VALUES", held)
+    matrix = count_matrix()
+    assigned, centres = sparse.kmeans(sparse_rows(spark, matrix), 4, 3)
+    dense = dense_rounds(matrix, matrix[:4].copy(), 3)
+    d2 = distances(matrix, dense)
     got = {r.doc_id: (r.cluster, r.d2) for r in assigned.collect()}
     assert {i: c for i, (c, _) in got.items()} == dict(enumerate(d2.argmin(axis=1).tolist()))
     assert all(abs(got[i][1] - d2[i].min()) < 2e-6 for i in got)
-    assert centres.select("cluster").distinct().count() == 4
+    assert np.allclose(as_matrix(centres, 4), dense)
+
+
+@pytest.mark.parametrize("held", [1 << 24, 0])
+@pytest.mark.parametrize("k", [1, 2, 3, 6])
+def test_splits_against_a_dense_tree(spark, monkeypatch, held, k):
+    monkeypatch.setattr(sparse, "MAX_VALUES", held)
+    matrix = count_matrix(k)
+    label, d2, centres = np.zeros(60, dtype=int), None, [dense_rounds(matrix, matrix[:1], 1)[0]]
+    d2 = distances(matrix, np.array(centres))[:, 0]
+    while len(centres) < k:
+        sizes = {g: int((label == g).sum()) for g in range(len(centres))}
+        chosen = sorted((g for g in sizes if sizes[g] >= 2), key=lambda g: (-sizes[g], g))[: k - len(centres)]
+        for g in chosen:
+            own = np.nonzero(label == g)[0]
+            pair = dense_rounds(matrix[own], matrix[own[:2]], 2)
+            both = distances(matrix[own], pair)
+            label[own[both.argmin(axis=1) == 1]] = len(centres)
+            d2[own] = both.min(axis=1)
+            centres[g] = pair[0]
+            centres.append(pair[1])
+    assigned, found = sparse.bisecting(sparse_rows(spark, matrix), k, 2)
+    got = {r.doc_id: (r.cluster, r.d2) for r in assigned.collect()}
+    assert {i: c for i, (c, _) in got.items()} == dict(enumerate(label.tolist()))
+    assert all(abs(got[i][1] - d2[i]) < 2e-6 for i in got)
+    assert np.allclose(as_matrix(found, k), np.array(centres))
+
+
+def test_splits_of_equal_and_of_few_documents(spark):
+    same = sparse_rows(spark, np.ones((5, 25)))
+    assert {r.cluster for r in sparse.bisecting(same, 3, 2)[0].collect()} == {0}
+    two = sparse_rows(spark, np.eye(2, 25))
+    assert sorted(r.cluster for r in sparse.bisecting(two, 8, 3)[0].collect()) == [0, 1]
+    none = sparse.documents_rows(spark.range(0).withColumnRenamed("id", "doc_id"), spark.createDataFrame([], "doc_id bigint, term_id bigint, x double"))
+    assert sparse.bisecting(none, 3, 2)[0].count() == 0 == sparse.kmeans(none, 3, 2)[0].count()
+
+
+def test_a_wrong_fit_shows_in_the_check(spark):
+    docs = sparse_rows(spark, count_matrix())
+    assigned, centres = sparse.kmeans(docs, 4, 3)
+    wrong = F.abs(F.col("own") - F.col("d2")) > 1e-4
+    farther = F.col("own") - F.col("least") > 1e-4
+    counts = lambda a, c: tuple(ops.recomputed(docs, a, c).agg(F.count_if(wrong), F.count_if(farther), F.count("*")).first())
+    assert counts(assigned, centres) == (0, 0, 60)
+    assert counts(assigned, centres.withColumn("x", F.col("x") * 1.1))[0] > 50
+    moved = assigned.withColumn("cluster", (F.col("cluster") + 1) % 4)
+    assert counts(moved, centres)[1] > 50
+
+
+@pytest.mark.parametrize("words", [1, 3, 1 << 20])
+def test_term_counts_in_slices(spark, monkeypatch, words):
+    monkeypatch.setattr(text, "SLICE_WORDS", words)
+    rows = [["a", "a", "", "b"], None, [], ["é", None, "é", "a"], [""], ["a"] * 7]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(rows, pa.list_(pa.string()))], names=["doc_id", "words"])
+    found = sorted(tuple(r.values()) for out in text._count_words([batch]) for r in out.to_pylist())
+    want = Counter((i, w) for i, ws in enumerate(rows) for w in ws or [] if w)
+    assert found == sorted((i, w, n) for (i, w), n in want.items())
 
 
 def test_top_terms_and_their_literal_form(spark):
@@ -131,8 +214,8 @@ def test_top_terms_and_their_literal_form(spark):
 def test_report(spark, tmp_path, cluster):
     texts = ["apple pear apple", "apple pear", "dog cat", "cat dog dog", "", "sun"]
     docs = text.tfidf(documents(spark, texts), 1 << 10)
-    assigned, centres = cluster(docs, 3)
-    assigned = assigned.cache()
+    assigned, _ = cluster(ops.sparse_features(docs), 3)
+    assigned = docs.select("doc_id", "words").join(assigned.select("doc_id", "cluster", "d2"), "doc_id").cache()
     report = ops.cluster_report(assigned, ops.words_by_cluster(assigned), "K-Means")
     write_cluster_report(report, str(tmp_path / "out"))
     line = next((tmp_path / "out").glob("part-*.json")).read_text()

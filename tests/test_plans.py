@@ -11,7 +11,7 @@ from tidemark.sources import adapters
 DATA = "/root/testdata/sf0.001"
 ENTRY = oracle.load_entry()
 # These fit models; the other tests cover their operators.
-SLOW = {"als_predict", "als_metrics", "ml_report_checks", "kmeans_report_16", "bisecting_report_8", "bisecting_report_16"}
+SLOW = {"als_predict", "als_metrics", "kmeans_checks", "kmeans_report_16", "bisecting_report_8", "bisecting_report_16"}
 
 
 @pytest.fixture(scope="module")

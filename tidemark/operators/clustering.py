@@ -11,13 +11,13 @@ import sys
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators import sparse_kmeans
 from tidemark.session import materialise, spread
 
 # The functions that run in Python workers travel whole: these need no installed package.
@@ -189,89 +189,51 @@ def lloyd_kmeans(
     return assign_nearest(points, matrix, vec), centres_frame(spark, matrix)
 
 
-# --- k-means on terms -----------------------------------------------------------------
+# --- clusters of documents ------------------------------------------------------------
 
 
-def _centre_table(centres: DataFrame, k: int) -> DataFrame:
-    """[term, x0 .. x(k-1)] of centres [cluster, term, x]: the k values of a term in one row."""
-    values = [F.sum(F.when(F.col("cluster") == c, F.col("x"))).alias(f"x{c}") for c in range(k)]
-    return centres.groupBy("term").agg(*values)
+def sparse_features(features: DataFrame, vec: str = "features") -> DataFrame:
+    """[doc_id, grp, ids, xs] of `sparse_kmeans` from sparse ML vectors, written once."""
+    raw = F.unwrap_udt(vec)
+    ids = raw["indices"].cast("array<bigint>")
+    return materialise(features.select("doc_id", F.lit(0).alias("grp"), ids.alias("ids"), raw["values"].alias("xs")), "sparse-documents")
 
 
-def _assign_terms(norms: DataFrame, terms: DataFrame, centres: DataFrame, k: int) -> DataFrame:
-    """[doc_id, cluster, d2] of every document, the lowest cluster on ties (to six decimals)."""
-    table = materialise(_centre_table(centres, k), "centres")
-    squares = [F.coalesce(F.sum(F.col(f"x{c}") * F.col(f"x{c}")), F.lit(0.0)).alias(f"c{c}") for c in range(k)]
-    sizes = table.agg(*squares).first()
-    dots = terms.join(table, "term").groupBy("doc_id").agg(
-        *[F.sum(F.col("x") * F.col(f"x{c}")).alias(f"dot{c}") for c in range(k)]
-    )
-    met = norms.join(dots, "doc_id", "left")
-    each = [
-        F.greatest(F.round(F.col("p2") + sizes[c] - 2 * F.coalesce(f"dot{c}", F.lit(0.0)), 6), F.lit(0.0)) for c in range(k)
-    ]
-    best = F.array_min(F.array(*[F.struct(d.alias("d2"), F.lit(c).alias("cluster")) for c, d in enumerate(each)]))
-    return met.select("doc_id", best.alias("b")).select("doc_id", "b.cluster", "b.d2")
+def drawn_start(docs: DataFrame, k: int, seed: int = 42) -> DataFrame:
+    """[doc_id, cluster]: k documents drawn by a seeded hash of their ids."""
+    draw = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    first = docs.select("doc_id", draw.alias("_draw")).orderBy("_draw", "doc_id").limit(k)
+    order = F.row_number().over(Window.orderBy("_draw", "doc_id"))
+    return first.select("doc_id", (order - 1).cast("int").alias("cluster"))
 
 
-def lloyd_terms(ids: DataFrame, terms: DataFrame, k: int, rounds: int) -> tuple[DataFrame, DataFrame]:
-    """([doc_id, cluster, d2], centres [cluster, term, x]) of documents in long form.
+def kmeans(docs: DataFrame, k: int, iters: int = 20, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(documents with cluster and d2, centres [cluster, id, x]) of sparse documents, from random centres."""
+    return sparse_kmeans.kmeans(docs, k, iters, drawn_start(docs, k, seed))
+
+
+def bisecting_kmeans(docs: DataFrame, k: int, iters: int = 20) -> tuple[DataFrame, DataFrame]:
+    """(documents with cluster and d2, centres [cluster, id, x]) of sparse documents, by repeated two-way splits."""
+    return sparse_kmeans.bisecting(docs, k, iters)
 
-    `ids` are all documents, `terms` is [doc_id, term, x]. Centres begin at the documents with the
-    smallest ids and are a table as long as their terms, which only meets the
-    documents by a join on the term: the vocabulary has no limit and never reaches the
-    driver. An empty cluster keeps its centre.
-    """
-    terms = materialise(terms, "weighted-terms")
-    squares = terms.groupBy("doc_id").agg(F.sum(F.col("x") * F.col("x")).alias("p2"))
-    norms = ids.join(squares, "doc_id", "left").select("doc_id", F.coalesce("p2", F.lit(0.0)).alias("p2"))
-    norms = materialise(norms, "norms")
-    start = norms.select("doc_id").orderBy("doc_id").limit(k)
-    start = start.withColumn("cluster", (F.row_number().over(Window.orderBy("doc_id")) - 1).cast("int"))
-    start = materialise(start, "start")
-    # Fewer documents than clusters make as many clusters as documents.
-    k = max(1, start.count())
-    centres = materialise(terms.join(start, "doc_id").select("cluster", "term", "x"), "centres")
-    for _ in range(rounds):
-        assigned = materialise(_assign_terms(norms, terms, centres, k), "assigned")
-        # At most k rows.
-        members = {row[0]: row[1] for row in assigned.groupBy("cluster").count().collect()}
-        if not members:
-            break
-        count = F.element_at(F.create_map(*[F.lit(v) for pair in members.items() for v in pair]), F.col("cluster"))
-        sums = terms.join(assigned.select("doc_id", "cluster"), "doc_id").groupBy("cluster", "term")
-        moved = sums.agg(F.sum("x").alias("x")).select("cluster", "term", (F.col("x") / count).alias("x"))
-        kept = centres.where(~F.col("cluster").isin(list(members)))
-        centres = materialise(moved.unionByName(kept), "centres")
-    return materialise(_assign_terms(norms, terms, centres, k), "assigned"), centres
-
-
-# --- ML clustering -------------------------------------------------------------------
-
-
-def _fit(estimator, points: DataFrame, vec: str) -> tuple[DataFrame, np.ndarray]:
-    first = points.select(vec).first()
-    if first is not None and estimator.getK() * first[0].size > MAX_MODEL_VALUES:
-        raise ValueError("the centres exceed the model limit; hash to fewer features")
-    kept = spread(points.select(vec))
-    model = estimator.setFeaturesCol(vec).setPredictionCol("cluster").fit(kept)
-    kept.unpersist()
-    matrix = np.array([np.asarray(c) for c in model.clusterCenters()])
-    return assign_nearest(points, matrix, vec), matrix
-
-
-def kmeans(
-    points: DataFrame, k: int, iters: int = 20, seed: int = 42, vec: str = "features"
-) -> tuple[DataFrame, np.ndarray]:
-    """(points with cluster and d2, centres) of the built-in k-means from random centres."""
-    return _fit(KMeans(k=k, maxIter=iters, initMode="random", seed=seed), points, vec)
-
-
-def bisecting_kmeans(
-    points: DataFrame, k: int, iters: int = 20, seed: int = 42, vec: str = "features"
-) -> tuple[DataFrame, np.ndarray]:
-    """(points with cluster and d2, centres): each point goes to the nearest final centre."""
-    return _fit(BisectingKMeans(k=k, maxIter=iters, seed=seed), points, vec)
+
+def recomputed(docs: DataFrame, assigned: DataFrame, centres: DataFrame) -> DataFrame:
+    """[doc_id, cluster, d2, own, least]: the recorded distance, that to the recorded centre and to the nearest one,
+    both worked out again from the documents and the table of centres by joins."""
+    terms = sparse_kmeans.long_form(docs)
+    dots = terms.join(centres.select("cluster", "id", F.col("x").alias("c")), "id").groupBy("doc_id", "cluster")
+    dots = dots.agg(F.sum(F.col("x") * F.col("c")).alias("dot"))
+    norms = terms.groupBy("doc_id").agg(F.sum(F.col("x") * F.col("x")).alias("p2"))
+    squares = centres.groupBy("cluster").agg(F.sum(F.col("x") * F.col("x")).alias("c2"))
+    every = assigned.select(F.col("cluster").alias("c")).distinct().join(squares.withColumnRenamed("cluster", "c"), "c", "left")
+    # One entry per cluster that has documents.
+    listed = every.agg(F.collect_list(F.struct(F.col("c").alias("cluster"), F.coalesce("c2", F.lit(0.0)).alias("c2")))).scalar()
+    pairs = assigned.select("doc_id", F.col("cluster").alias("at"), "d2", F.inline(listed))
+    pairs = pairs.join(norms, "doc_id", "left").join(dots, ["doc_id", "cluster"], "left")
+    gap = F.coalesce("p2", F.lit(0.0)) + F.col("c2") - 2 * F.coalesce("dot", F.lit(0.0))
+    return pairs.groupBy("doc_id", F.col("at").alias("cluster"), "d2").agg(
+        F.max(F.when(F.col("cluster") == F.col("at"), gap)).alias("own"), F.min(gap).alias("least")
+    )
 
 
 # --- reports -------------------------------------------------------------------------
@@ -287,6 +249,12 @@ def cluster_sse(assigned: DataFrame) -> DataFrame:
     return total.select(label.cast("int").alias("cluster"), "size", "sse")
 
 
+def named_terms(top: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """The top terms of `top_terms` by number, with their words from [term_id, term]; at most k rows a cluster."""
+    words = vocabulary.select(F.col("term_id").alias("term"), F.col("term").alias("_word"))
+    return words.join(F.broadcast(top), "term").drop("term").withColumnRenamed("_word", "term").select("cluster", "rank", "term", "n")
+
+
 def cluster_terms(assigned: DataFrame, terms: DataFrame) -> DataFrame:
     """[cluster, doc_id, term, tf]: the term counts of each cluster's documents."""
     return terms.join(assigned.select("doc_id", "cluster"), "doc_id").select("cluster", "doc_id", "term", "tf")
@@ -310,14 +278,22 @@ def top_terms(terms: DataFrame, k: int = TOP_TERMS, mode: str = "summed") -> Dat
 
 
 def cluster_report(
-    assigned: DataFrame, terms: DataFrame, algorithm: str, k: int = TOP_TERMS, mode: str = "summed"
+    assigned: DataFrame,
+    terms: DataFrame,
+    algorithm: str,
+    k: int = TOP_TERMS,
+    mode: str = "summed",
+    vocabulary: DataFrame | None = None,
 ) -> DataFrame:
     """[algorithm, wsse, clusters]: id, size, error and top terms of every cluster.
 
-    `terms` is [cluster, doc_id, term, tf], or [cluster, term, tf] for summed counts.
+    `terms` is [cluster, doc_id, term, tf], or [cluster, term, tf] for summed counts; terms that are numbers
+    in the order of their words get these from `vocabulary`.
     """
     listed = F.array_sort(F.collect_list(F.struct("rank", "term")))
-    best = top_terms(terms, k, mode).groupBy("cluster").agg(listed["term"].alias("terms"))
+    best = top_terms(terms, k, mode)
+    best = best if vocabulary is None else named_terms(best, vocabulary)
+    best = best.groupBy("cluster").agg(listed["term"].alias("terms"))
     by = assigned.groupBy("cluster").agg(F.count("*").alias("size"), F.sum("d2").alias("error"))
     entry = F.struct(
         (F.col("cluster") + 1).alias("id"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import clustering as ops
-from tidemark.operators import text
+from tidemark.operators import sparse_kmeans, text
 from tidemark.plans.oracle_views import POINTS, WORDS
 from tidemark.session import materialise, scratch_dir
 from tidemark.sources import adapters
@@ -14,6 +14,9 @@ from tidemark.sources.sinks import write_cluster_report
 
 K = 5
 ROUNDS = 3
+# Clusters and rounds of the splits that SQL repeats.
+SPLITS = 4
+SPLIT_ROUNDS = 2
 
 
 def documents_words(spark, sf_dir):
@@ -90,40 +93,43 @@ def cluster_sse(spark, sf_dir):
     return ops.cluster_sse(assigned).withColumn("sse", F.round("sse", 5))
 
 
-def _clustered(spark, sf_dir, weigh):
-    """(assigned, term counts by cluster) of all documents, by their own terms."""
+def _sparse(spark, sf_dir, x="tfidf"):
+    """(documents by their own terms, weighted by `x`, [doc_id, term, tf] with terms as numbers, vocabulary)."""
     docs = adapters.documents(spark, sf_dir)
-    assigned, _ = ops.lloyd_terms(docs.select("doc_id"), weigh(docs), K, ROUNDS)
-    return assigned, ops.cluster_terms(assigned, text.term_counts(docs))
+    rows, vocabulary = text.weighted_terms(docs)
+    return sparse_kmeans.documents_rows(docs, rows, x_col=x), rows.withColumnRenamed("term_id", "term"), vocabulary
 
 
-def _by_tfidf(docs):
-    return text.tfidf_long(docs).withColumnRenamed("tfidf", "x")
-
-
-def _by_count(docs):
-    return text.term_counts(docs).select("doc_id", "term", F.col("tf").cast("double").alias("x"))
-
-
-def _clustered_terms(spark, sf_dir):
-    return _clustered(spark, sf_dir, _by_tfidf)
+def _clustered(spark, sf_dir, x="tfidf"):
+    """(assigned, term counts by cluster with terms as numbers, vocabulary) of all documents."""
+    docs, terms, vocabulary = _sparse(spark, sf_dir, x)
+    assigned, _ = sparse_kmeans.kmeans(docs, K, ROUNDS)
+    assigned = materialise(assigned.select("doc_id", "cluster", "d2"), "assigned")
+    return assigned, ops.cluster_terms(assigned, terms), vocabulary
 
 
 def cluster_documents(spark, sf_dir):
-    assigned, _ = _clustered_terms(spark, sf_dir)
+    assigned, _, _ = _clustered(spark, sf_dir)
     return assigned.select("doc_id", "cluster", F.round("d2", 2).alias("d2"))
 
 
 def cluster_terms(spark, sf_dir):
-    return _clustered_terms(spark, sf_dir)[1]
+    _, terms, vocabulary = _clustered(spark, sf_dir)
+    words = vocabulary.select(F.col("term_id").alias("term"), F.col("term").alias("word"))
+    return terms.join(words, "term").select("cluster", "doc_id", F.col("word").alias("term"), "tf")
+
+
+def _top_terms(spark, sf_dir, mode):
+    _, terms, vocabulary = _clustered(spark, sf_dir)
+    return ops.named_terms(ops.top_terms(terms, mode=mode), vocabulary)
 
 
 def cluster_top_terms(spark, sf_dir):
-    return ops.top_terms(_clustered_terms(spark, sf_dir)[1])
+    return _top_terms(spark, sf_dir, "summed")
 
 
 def cluster_top_terms_literal(spark, sf_dir):
-    return ops.top_terms(_clustered_terms(spark, sf_dir)[1], mode="literal")
+    return _top_terms(spark, sf_dir, "literal")
 
 
 def _flat(report):
@@ -141,26 +147,54 @@ def _flat(report):
 
 def cluster_report(spark, sf_dir):
     """The report, written as JSON and read back."""
-    assigned, terms = _clustered_terms(spark, sf_dir)
-    report = ops.cluster_report(assigned, terms, "K-Means")
+    assigned, terms, vocabulary = _clustered(spark, sf_dir)
+    report = ops.cluster_report(assigned, terms, "K-Means", vocabulary=vocabulary)
     path = scratch_dir(spark, "report")
     write_cluster_report(report, path)
     return _flat(spark.read.schema(report.schema).json(path))
 
 
+def _lloyd_report(spark, sf_dir, x, algorithm):
+    assigned, terms, vocabulary = _clustered(spark, sf_dir, x)
+    return _flat(ops.cluster_report(assigned, terms, algorithm, vocabulary=vocabulary))
+
+
 def lloyd_report_tfidf(spark, sf_dir):
-    return _flat(ops.cluster_report(*_clustered(spark, sf_dir, _by_tfidf), "K-Means T"))
+    return _lloyd_report(spark, sf_dir, "tfidf", "K-Means T")
 
 
 def lloyd_report_words(spark, sf_dir):
-    return _flat(ops.cluster_report(*_clustered(spark, sf_dir, _by_count), "K-Means W"))
+    return _lloyd_report(spark, sf_dir, "tf", "K-Means W")
 
 
-def _ml_report(spark, sf_dir, cluster, k, algorithm):
+def _bisected(spark, sf_dir):
+    docs, terms, vocabulary = _sparse(spark, sf_dir)
+    assigned, _ = sparse_kmeans.bisecting(docs, SPLITS, SPLIT_ROUNDS)
+    return materialise(assigned.select("doc_id", "cluster", "d2"), "assigned"), terms, vocabulary
+
+
+def bisecting_documents(spark, sf_dir):
+    """Repeated two-way splits of all documents by their own terms."""
+    assigned, _, _ = _bisected(spark, sf_dir)
+    return assigned.select("doc_id", "cluster", F.round("d2", 2).alias("d2"))
+
+
+def bisecting_report_terms(spark, sf_dir):
+    assigned, terms, vocabulary = _bisected(spark, sf_dir)
+    report = ops.cluster_report(assigned, ops.cluster_terms(assigned, terms), "Bisecting K-Means T", vocabulary=vocabulary)
+    return _flat(report)
+
+
+def _hashed(spark, sf_dir):
+    """(documents with words, sparse documents) by hashed TF-IDF."""
     features = materialise(text.tfidf(adapters.documents(spark, sf_dir)), "features")
-    assigned, _ = cluster(features, k)
-    assigned = materialise(assigned.select("doc_id", "words", "cluster", "d2"), "assigned")
-    return _flat(ops.cluster_report(assigned, ops.words_by_cluster(assigned), algorithm))
+    return features.select("doc_id", "words"), ops.sparse_features(features)
+
+
+def _ml_report(spark, sf_dir, cluster, k, algorithm):
+    words, docs = _hashed(spark, sf_dir)
+    assigned = materialise(cluster(docs, k)[0].select("doc_id", "cluster", "d2"), "assigned")
+    return _flat(ops.cluster_report(assigned, ops.words_by_cluster(words.join(assigned, "doc_id")), algorithm))
 
 
 def kmeans_report_8(spark, sf_dir):
@@ -179,13 +213,29 @@ def bisecting_report_16(spark, sf_dir):
     return _ml_report(spark, sf_dir, ops.bisecting_kmeans, 16, "Bisecting K-Means")
 
 
-def ml_report_checks(spark, sf_dir):
-    """What holds for any start: every document is in one cluster, and the errors add up."""
-    both = kmeans_report_8(spark, sf_dir).unionByName(bisecting_report_8(spark, sf_dir))
-    add_up = F.abs(F.sum("error") - F.max("wsse")) <= 0.01 * F.count("*")
-    return both.groupBy("algorithm").agg(
-        F.sum("size").alias("documents"), add_up.alias("errors_add_up"), (F.count("*") <= 8).alias("at_most_k")
-    )
+def kmeans_checks(spark, sf_dir):
+    """Distances of the fits on hashed features, worked out again from the documents and the centres.
+
+    Documents with a recorded distance that isn't the one to their centre, documents for which k-means has
+    a nearer centre, and whether the error is below that of one cluster less.
+    """
+    _, docs = _hashed(spark, sf_dir)
+    found = []
+    for name, cluster in (("K-Means", ops.kmeans), ("Bisecting K-Means", ops.bisecting_kmeans)):
+        assigned, centres = cluster(docs, 8)
+        assigned = materialise(assigned.select("doc_id", "cluster", "d2"), "assigned")
+        one = cluster(docs, 1)[0].agg(F.sum("d2")).first()[0]
+        nearer = F.col("own") - F.col("least") > 1e-3 if name == "K-Means" else F.lit(False)
+        found.append(
+            ops.recomputed(docs, assigned, centres).agg(
+                F.lit(name).alias("algorithm"),
+                F.count("*").alias("documents"),
+                F.count_if(F.abs(F.greatest("own", F.lit(0.0)) - F.col("d2")) > 1e-3).alias("wrong_distances"),
+                F.count_if(nearer).alias("not_nearest"),
+                (F.sum("own") < one).alias("better_than_one"),
+            )
+        )
+    return found[0].unionByName(found[1])
 
 
 QUERIES = {
@@ -194,7 +244,8 @@ QUERIES = {
         documents_words, documents_text, term_counts, idf, tfidf, bag_of_words, hashing_tfidf, cluster_documents,
         assign_nearest, lloyd_kmeans, lloyd_centres, cluster_sse, cluster_terms, cluster_top_terms,
         cluster_top_terms_literal, cluster_report, lloyd_report_tfidf, lloyd_report_words,
-        kmeans_report_8, kmeans_report_16, bisecting_report_8, bisecting_report_16, hashed_counts, ml_report_checks,
+        kmeans_report_8, kmeans_report_16, bisecting_report_8, bisecting_report_16, hashed_counts, kmeans_checks,
+        bisecting_documents, bisecting_report_terms,
     )
 }
 
@@ -253,6 +304,46 @@ best AS (SELECT cluster, string_agg(term, ' ' ORDER BY rank) AS terms FROM ranke
 _MEMBERS = _lloyd_terms_sql("tf * idf")
 
 
+def _split_sql() -> str:
+    """Two levels of two-way splits, from one cluster to four."""
+    sql = f"""WITH {WORDS},
+weights AS MATERIALIZED (SELECT term, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) AS idf FROM terms GROUP BY term),
+w AS MATERIALIZED (SELECT doc_id, term, tf * idf AS x FROM terms JOIN weights USING (term)),
+norms AS MATERIALIZED (SELECT d.doc_id, coalesce(sum(x * x), 0) AS p2 FROM documents d LEFT JOIN w USING (doc_id) GROUP BY d.doc_id),
+g0 AS (SELECT doc_id, 0 AS grp FROM documents)"""
+    for level, leaves in enumerate((1, 2)):
+        sql += f""",
+chosen{level} AS MATERIALIZED (SELECT grp, row_number() OVER (ORDER BY count(*) DESC, grp) - 1 AS i FROM g{level} GROUP BY grp),
+sides{level} AS (SELECT grp, side FROM chosen{level} CROSS JOIN (VALUES (0), (1)) s(side)),
+c{level}_0 AS MATERIALIZED (
+  SELECT s.grp, s.side, w.term, w.x FROM w JOIN
+    (SELECT doc_id, grp, row_number() OVER (PARTITION BY grp ORDER BY doc_id) - 1 AS side FROM g{level} QUALIFY side < 2) s USING (doc_id))"""
+        for i in range(SPLIT_ROUNDS + 1):
+            sql += f""",
+n{level}_{i} AS (SELECT s.grp, s.side, coalesce(sum(c.x * c.x), 0) AS c2
+  FROM sides{level} s LEFT JOIN c{level}_{i} c ON c.grp = s.grp AND c.side = s.side GROUP BY 1, 2),
+t{level}_{i} AS (SELECT g.doc_id, c.side, sum(w.x * c.x) AS dot
+  FROM g{level} g JOIN w USING (doc_id) JOIN c{level}_{i} c ON c.term = w.term AND c.grp = g.grp GROUP BY 1, 2),
+d{level}_{i} AS (SELECT g.doc_id, g.grp, n.side, greatest(round(p2 + c2 - 2 * coalesce(dot, 0), 6), 0) AS d2
+  FROM g{level} g JOIN norms USING (doc_id) JOIN n{level}_{i} n ON n.grp = g.grp
+       LEFT JOIN t{level}_{i} t ON t.doc_id = g.doc_id AND t.side = n.side),
+a{level}_{i} AS MATERIALIZED (SELECT doc_id, grp, arg_min(side, (d2, side)) AS side, min(d2) AS d2 FROM d{level}_{i} GROUP BY 1, 2)"""
+            if i < SPLIT_ROUNDS:
+                sql += f""",
+m{level}_{i} AS (SELECT grp, side, count(*) AS n FROM a{level}_{i} GROUP BY 1, 2),
+c{level}_{i + 1} AS MATERIALIZED (
+  SELECT a.grp, a.side, w.term, sum(w.x) / any_value(m.n) AS x
+  FROM a{level}_{i} a JOIN w USING (doc_id) JOIN m{level}_{i} m ON m.grp = a.grp AND m.side = a.side GROUP BY 1, 2, 3
+  UNION ALL SELECT grp, side, term, x FROM c{level}_{i} WHERE (grp, side) NOT IN (SELECT (grp, side) FROM m{level}_{i}))"""
+        sql += f""",
+g{level + 1} AS MATERIALIZED (SELECT doc_id, CASE WHEN side = 0 THEN grp ELSE {leaves} + i END AS grp, d2
+  FROM a{level}_{SPLIT_ROUNDS} JOIN chosen{level} USING (grp))"""
+    return sql
+
+
+_SPLIT = _split_sql()
+
+
 def _report_sql(sql: str, algorithm: str) -> str:
     return f"""{sql}
 SELECT '{algorithm}' AS algorithm, (SELECT round(sum(d2), 2) FROM a{ROUNDS}) AS wsse,
@@ -283,8 +374,19 @@ SELECT doc_id, term, position, tf FROM terms JOIN vocabulary USING (term)""",
     "hashed_counts": f"""WITH {WORDS}
 SELECT d.doc_id, CAST(coalesce(sum(tf), 0) AS DOUBLE) AS tokens
 FROM documents d LEFT JOIN terms t ON t.doc_id = d.doc_id GROUP BY d.doc_id""",
-    "ml_report_checks": """SELECT algorithm, count(*) AS documents, true AS errors_add_up, true AS at_most_k
+    "kmeans_checks": """SELECT algorithm, count(*) AS documents, CAST(0 AS BIGINT) AS wrong_distances,
+       CAST(0 AS BIGINT) AS not_nearest, true AS better_than_one
 FROM documents CROSS JOIN (VALUES ('K-Means'), ('Bisecting K-Means')) t(algorithm) GROUP BY algorithm""",
+    "bisecting_documents": f"{_SPLIT} SELECT doc_id, CAST(grp AS INTEGER) AS cluster, round(d2, 2) AS d2 FROM g2",
+    "bisecting_report_terms": f"""{_SPLIT},
+members AS (SELECT g.grp AS cluster, t.term, t.tf FROM g2 g JOIN terms t USING (doc_id)),
+summed AS (SELECT cluster, term, sum(tf) AS n FROM members GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, term) AS rank FROM summed),
+best AS (SELECT cluster, string_agg(term, ' ' ORDER BY rank) AS terms FROM ranked WHERE rank <= 10 GROUP BY cluster)
+SELECT 'Bisecting K-Means T' AS algorithm, (SELECT round(sum(d2), 2) FROM g2) AS wsse,
+       CAST(g.grp + 1 AS INTEGER) AS id, count(*) AS size, round(sum(g.d2), 2) AS error,
+       coalesce(any_value(best.terms), '') AS terms
+FROM g2 g LEFT JOIN best ON best.cluster = g.grp GROUP BY g.grp""",
     "assign_nearest": f"{_lloyd_sql(0)} SELECT id, cluster, round(d2, 6) AS d2 FROM a0",
     "lloyd_kmeans": f"{_LLOYD} SELECT id, cluster, round(d2, 6) AS d2 FROM a{ROUNDS}",
     "lloyd_centres": f"{_LLOYD} SELECT cluster, pos, round(x, 6) AS x FROM c{ROUNDS}",

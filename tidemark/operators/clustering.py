@@ -196,7 +196,7 @@ def sparse_features(features: DataFrame, vec: str = "features") -> DataFrame:
     """[doc_id, grp, ids, xs] of `sparse_kmeans` from sparse ML vectors, written once."""
     raw = F.unwrap_udt(vec)
     ids = raw["indices"].cast("array<bigint>")
-    return materialise(features.select("doc_id", F.lit(0).alias("grp"), ids.alias("ids"), raw["values"].alias("xs")), "sparse-documents")
+    return sparse_kmeans.written(features.select("doc_id", F.lit(0).alias("grp"), ids.alias("ids"), raw["values"].alias("xs")))
 
 
 def drawn_start(docs: DataFrame, k: int, seed: int = 42) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.sql import functions as F
 
 from tidemark.operators import recommend as ops
 
@@ -219,6 +220,20 @@ def test_als_covers_every_pair(spark):
     assert "model" in source.values()
 
 
+def test_residuals_show_a_wrong_fit(spark):
+    train, _ = fixture(3)
+    ratings = frame(spark, train)
+    residuals = ops.als_residuals(ratings, iters=3).collect()
+    assert len(residuals) == len({u for u, _ in train}) and all(r.residual < 1e-4 for r in residuals)
+    assert sum(r.n for r in residuals) == len(train)
+    model, encoded, _ = ops._als(ratings, ratings.limit(0), 2, 3, 0.25, 42, None)
+    shifted = model.userFactors.withColumn("features", F.transform("features", lambda x: x * 1.05))
+    wrong = ops.normal_residuals(shifted, model.itemFactors, encoded, 2, 0.25).collect()
+    assert all(r.residual > 1e-3 for r in wrong)
+    other = ops.normal_residuals(model.userFactors, model.itemFactors, encoded, 2, 0.5).collect()
+    assert sum(r.residual > 1e-3 for r in other) > len(other) / 2
+
+
 def test_evaluation(spark):
     train, test = fixture(5)
     predictions = ops.user_cf(frame(spark, train), frame(spark, test))

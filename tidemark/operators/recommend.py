@@ -5,7 +5,7 @@ Ratings are [user, item, rating] rows.
 
 from __future__ import annotations
 
-from pyspark.ml.recommendation import ALS
+from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -401,16 +401,10 @@ def id_encode(df: DataFrame, column: str, name: str) -> DataFrame:
     return numbered.select(column, (F.col("_n") - 1).cast("int").alias(name))
 
 
-def als_fit_predict(
-    train: DataFrame,
-    test: DataFrame,
-    rank: int = 2,
-    iters: int = 15,
-    reg: float = 0.25,
-    seed: int = 42,
-    blocks: int | None = None,
-) -> DataFrame:
-    """[user, item, prediction] for the test pairs whose user and item were trained."""
+def _als(
+    train: DataFrame, test: DataFrame, rank: int, iters: int, reg: float, seed: int, blocks: int | None
+) -> tuple[ALSModel, DataFrame, DataFrame]:
+    """(model, training ratings with ids, test pairs with ids)"""
     # The factors are checkpointed every few iterations in the shared folder.
     scratch_dir(train.sparkSession, "als")
     both = materialise(train.select("user", "item").unionByName(test.select("user", "item")), "ids")
@@ -427,11 +421,56 @@ def als_fit_predict(
     )
     if blocks:
         als = als.setNumBlocks(blocks)
-    model = als.fit(materialise(encode(train.select("user", "item", "rating")), "ratings"))
-    scored = model.transform(encode(test.select("user", "item").distinct()))
+    ratings = materialise(encode(train.select("user", "item", "rating")), "ratings")
+    return als.fit(ratings), ratings, encode(test.select("user", "item").distinct())
+
+
+def als_fit_predict(
+    train: DataFrame,
+    test: DataFrame,
+    rank: int = 2,
+    iters: int = 15,
+    reg: float = 0.25,
+    seed: int = 42,
+    blocks: int | None = None,
+) -> DataFrame:
+    """[user, item, prediction] for the test pairs whose user and item were trained."""
+    model, _, pairs = _als(train, test, rank, iters, reg, seed, blocks)
+    scored = model.transform(pairs)
     return scored.select("user", "item", F.col("prediction").cast("double").alias("prediction"))
 
 
+def als_residuals(train: DataFrame, rank: int = 2, iters: int = 15, reg: float = 0.25, seed: int = 42) -> DataFrame:
+    """[user_id, n, residual] of a fit, for every user of the ratings.
+
+    The last half step of the fit solves, with the items' factors y fixed, (sum of y y' + reg n I) x = sum of r y
+    for each user; the residual is the largest difference of the two sides, as a share of the right one.
+    """
+    model, ratings, _ = _als(train, train.limit(0), rank, iters, reg, seed, None)
+    return normal_residuals(model.userFactors, model.itemFactors, ratings, rank, reg)
+
+
+def normal_residuals(
+    user_factors: DataFrame, item_factors: DataFrame, ratings: DataFrame, rank: int, reg: float
+) -> DataFrame:
+    y = [F.col("y")[i].cast("double") for i in range(rank)]
+    x = [F.col("x")[i].cast("double") for i in range(rank)]
+    factors = item_factors.select(F.col("id").alias("item_id"), F.col("features").alias("y"))
+    sums = ratings.join(factors, "item_id", "left").groupBy("user_id").agg(
+        F.count("*").alias("n"),
+        *[F.sum(y[i] * y[j]).alias(f"a{i}_{j}") for i in range(rank) for j in range(i + 1)],
+        *[F.sum(F.col("rating") * y[i]).alias(f"b{i}") for i in range(rank)],
+    )
+    sums = sums.join(user_factors.select(F.col("id").alias("user_id"), F.col("features").alias("x")), "user_id", "left")
+    gaps = []
+    for i in range(rank):
+        left = sum((F.col(f"a{max(i, j)}_{min(i, j)}") * x[j] for j in range(rank)), F.lit(0.0))
+        gaps.append(F.abs(left + reg * F.col("n") * x[i] - F.col(f"b{i}")))
+    scale = F.greatest(F.lit(1e-6), *[F.abs(f"b{i}") for i in range(rank)]) if rank > 1 else F.greatest(F.lit(1e-6), F.abs("b0"))
+    largest = F.greatest(*gaps) if rank > 1 else gaps[0]
+    return sums.select("user_id", "n", (largest / scale).alias("residual"))
+
+
 def recommend_with_fallback(train: DataFrame, test: DataFrame, **als) -> DataFrame:
     """[user, item, prediction, source]: ALS where it can, else the user's or the global mean."""
     pairs = materialise(test.select("user", "item").distinct(), "pairs")

@@ -166,18 +166,25 @@ def als_metrics(spark, sf_dir):
 
 
 def als_checks(spark, sf_dir):
-    """What holds for any factors: each test pair once and in range, and an error within its bounds."""
+    """What holds for any fit: each test pair has one prediction, in range."""
     train, test = adapters.train_test(spark, sf_dir)
     predictions = materialise(ops.recommend_with_fallback(train, test), "predictions")
-    measured = ops.evaluation(ops.join_actual(test, predictions)).select("n", "rmse")
-    checks = predictions.agg(
+    rated = ops.join_actual(test, predictions).count()
+    return predictions.agg(
         F.count("*").alias("pairs"),
         (F.count("*") - F.countDistinct("user", "item")).alias("repeated"),
         F.count_if(~F.col("prediction").between(0, 5) | F.col("prediction").isNull()).alias("out_of_range"),
+        F.lit(rated).cast("bigint").alias("rated"),
     )
-    # One row each.
-    return checks.withColumn("one", F.lit(1)).join(measured.withColumn("one", F.lit(1)), "one").select(
-        "pairs", "repeated", "out_of_range", F.col("n").alias("rated"), F.col("rmse").between(0, 2).alias("rmse_below_2")
+
+
+def als_residuals(spark, sf_dir):
+    """Users and ratings of the fit, and users whose factors don't solve their normal equations."""
+    known = materialise(_known(spark, sf_dir)[0], "known")
+    found = ops.als_residuals(known)
+    return found.agg(
+        F.count("*").alias("users"), F.sum("n").alias("ratings"),
+        F.count_if(F.coalesce(F.col("residual") > 1e-3, F.lit(True))).alias("unsolved"),
     )
 
 
@@ -187,7 +194,7 @@ QUERIES = {
         ratings_csv_roundtrip, ratings_lines, ratings_dedup, train_minus_test, user_mean, item_mean, corated_pairs,
         corated_pairs_heavy, corated_partners, pearson_weight, user_cf_predict, user_cf_heavy, user_cf_literal,
         fallback_predict, mean_error_histogram, mean_rmse, cf_error_histogram, cf_rmse,
-        prediction_lines, id_encode, als_predict, als_metrics, als_checks,
+        prediction_lines, id_encode, als_predict, als_metrics, als_checks, als_residuals,
     )
 }
 
@@ -292,8 +299,10 @@ WHERE NOT EXISTS (SELECT 1 FROM scored s WHERE s."user" = t."user" AND s.item =
 SELECT CAST("user" AS VARCHAR) || ',' || CAST(item AS VARCHAR) || ','
        || CAST(CAST(round(prediction * 1000) AS BIGINT) AS VARCHAR) AS value FROM predicted""",
     "als_checks": f"""WITH {RATINGS}
-SELECT count(*) AS pairs, CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS out_of_range, count(*) AS rated,
-       true AS rmse_below_2 FROM (SELECT DISTINCT "user", item FROM test)""",
+SELECT count(*) AS pairs, CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS out_of_range, count(*) AS rated
+FROM (SELECT DISTINCT "user", item FROM test)""",
+    "als_residuals": f"""WITH {RATINGS}
+SELECT count(DISTINCT "user") AS users, count(*) AS ratings, CAST(0 AS BIGINT) AS unsolved FROM train""",
     "id_encode": """SELECT "user", CAST(row_number() OVER (ORDER BY "user") - 1 AS INTEGER) AS user_id
 FROM (SELECT DISTINCT o_custkey AS "user" FROM orders JOIN lineitem ON l_orderkey = o_orderkey)""",
 }

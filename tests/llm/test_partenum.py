@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from tidemark.llm import partenum, queries
 
@@ -124,3 +125,34 @@ def test_adversarial_differences_share_a_signature():
             y = np.delete(spread, gone)
             if 100 * len(y) >= 80 * n:
                 assert _shared(spread, y, edges)
+
+
+@pytest.mark.parametrize("block, most", [(partenum.BLOCK, 3), (30_000, 12)])
+def test_a_group_just_below_the_threshold_is_sent_once(spark, monkeypatch, block, most):
+    """800 texts that share signatures with each other and hardly link; in one block, and in several."""
+    monkeypatch.setattr(partenum, "BLOCK", block)
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(800):
+        words = list(base)
+        for at in rng.sample(range(150), 4):
+            words[at] = f"x{i}-{at}"
+        texts.append(" ".join(words))
+    filled = []
+    plain = partenum._cells
+    monkeypatch.setattr(partenum, "_cells", lambda *a: filled.append(plain(*a)) or filled[-1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.component for r in partenum.join_sets(docs).collect()}
+    assert got == dict(enumerate(_components(list(range(800)), _sets(texts))))
+    rows = filled[0].count()
+    assert rows <= most * 800
+    cells = filled[0].groupBy("cell").count().collect()
+    assert max(r["count"] for r in cells) * 150 <= 3 * block
+
+
+def test_keep_one_with_a_map_column(spark):
+    rows = [(1, "a b c d e f", {"k": 2}), (1, "a b c d e f", {"k": 1}), (2, "a b c d e f", None), (None, "a b c d e f", {"z": 0})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more map<string,int>")
+    kept = sorted(((r.doc_id, r.more) for r in partenum.keep_one(docs).collect()), key=str)
+    assert kept == sorted([(1, {"k": 1}), (None, {"z": 0})], key=str)

@@ -373,19 +373,42 @@ def _forests(table: pa.Table) -> pa.Table:
     return pa.table({"a": keys[moved], "b": keys[root[moved]]})
 
 
-def _open_pairs(open_sigs: DataFrame, nearest: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links [a, b] among the sets of the signatures that several components hold.
+def _packs(open_sigs: DataFrame, member: DataFrame) -> DataFrame:
+    """[family, pack]: families that share open signatures, put together.
 
-    Sets belong to the family of the set they share most signatures with, and families are
-    cut into blocks of about BLOCK features, a large component into blocks of its own. A cell is a pair of blocks
-    of two families that share an open signature, unless one component fills both. So every pair of
+    Families linked by open signatures, directly or over others, are one pack if they make no more than a block.
+    Where they make more, each family goes with the others of its most common open signature, so
+    packs stay among sets that have something in common and are cut into blocks later.
+    """
+    seen = open_sigs.select("sig", "key").join(member.select("key", "family"), "key").select("sig", "family").distinct()
+    common = seen.groupBy("sig").agg(F.min("family").alias("b"), F.count("*").alias("f")).where("f > 1")
+    seen = materialise(seen.join(common, "sig"), "family-signatures")
+    tree = components(seen.select(F.col("family").alias("a"), "b"))
+    named = member.groupBy("family").agg(F.sum(F.greatest("n", F.lit(BLOCK // 1000))).alias("w"))
+    named = named.join(tree.withColumnRenamed("id", "family"), "family", "left")
+    named = materialise(named.select("family", "w", F.coalesce("component", "family").alias("linked")), "linked-families")
+    sizes = named.groupBy("linked").agg(F.sum("w").alias("all"))
+    most = seen.groupBy("family").agg(F.max_by("sig", F.struct("f", "sig")).alias("most"))
+    packs = named.join(sizes, "linked").join(most, "family", "left")
+    pack = F.when(F.col("all") <= BLOCK, F.col("linked")).otherwise(F.coalesce("most", "family"))
+    return materialise(packs.select("family", pack.alias("pack")), "packs")
+
+
+def _cells(open_sigs: DataFrame, nearest: DataFrame, classes: DataFrame) -> DataFrame:
+    """[cell, key]: the sets of the signatures that several components hold, in cells that are compared as a whole.
+
+    Sets belong to the family of the set they share most signatures with, families are put together into
+    packs, and packs are cut into blocks of about BLOCK features, a large component into blocks of its own. A cell is
+    a pair of blocks of two packs that share an open signature, unless one component fills both. So every pair of
     different components that shares a signature lies in a cell, no pair is a row, and no cell
-    grows with its family.
+    grows with its pack. A group that fits a block is sent once, not once for each of its families.
     """
     member = open_sigs.select("key", "component").distinct().join(nearest.withColumnRenamed("rep", "family"), "key", "left")
     member = member.join(classes.select("key", "n"), "key")
     member = member.select("key", "component", "n", F.coalesce("family", "key").alias("family"))
     member = materialise(member, "open-sets")
+    member = member.join(_packs(open_sigs, member), "family").select("key", "component", "n", F.col("pack").alias("family"))
+    member = materialise(member, "packed-sets")
     # A small set weighs as much as a thousandth of a block, which bounds the number of sets in a block.
     weight = member.groupBy("family", "component").agg(F.sum(F.greatest("n", F.lit(BLOCK // 1000))).alias("w"))
     weight = materialise(weight, "family-weights")
@@ -413,7 +436,12 @@ def _open_pairs(open_sigs: DataFrame, nearest: DataFrame, classes: DataFrame, se
         cells.select("cell", F.col("f2").alias("family"), F.col("w2").alias("whole"), F.col("p2").alias("part"))
     )
     filled = sides.distinct().join(placed.select("key", "family", "whole", "part"), ["family", "whole", "part"])
-    filled = filled.select("cell", "key").join(sets, "key")
+    return filled.select("cell", "key")
+
+
+def _open_links(open_sigs: DataFrame, nearest: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links [a, b] among the sets of the signatures that several components hold."""
+    filled = _cells(open_sigs, nearest, classes).join(sets, "key")
     links = filled.groupBy("cell").applyInArrow(_forests, "a long, b long")
     return materialise(links.distinct(), "cell-links")
 
@@ -449,7 +477,7 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     tried = _verify(nearest.select(F.col("rep").alias("a"), F.col("key").alias("b")), sets)
     tree = components(tried.where("similar").select("a", "b"))
 
-    rest = _open_pairs(_unresolved(shared, tree), nearest, classes, sets)
+    rest = _open_links(_unresolved(shared, tree), nearest, classes, sets)
     tree = components(tried.where("similar").select("a", "b").unionByName(rest))
 
     # From keys back to ids: the smallest id of each component, then of each row.
@@ -474,6 +502,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     own = docs.join(kept, id_col, "left_semi")
     # Of rows with one id, which are one vertex, the first in the order of their columns stays.
     others = F.struct(*[c for c in docs.columns if c != id_col])
-    one = own.groupBy(id_col).agg(F.min(others).alias("_row"))
+    # Maps have no order; rows with one are taken in the order of their JSON text.
+    plain = "map<" not in docs.schema.simpleString()
+    one = own.groupBy(id_col).agg((F.min(others) if plain else F.min_by(others, F.to_json(others))).alias("_row"))
     one = one.select(*[c if c == id_col else F.col("_row").getField(c).alias(c) for c in docs.columns])
     return one.unionByName(docs.where(F.col(id_col).isNull()))

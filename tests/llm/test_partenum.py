@@ -151,6 +151,16 @@ def test_a_group_just_below_the_threshold_is_sent_once(spark, monkeypatch, block
     assert max(r["count"] for r in cells) * 150 <= 3 * block
 
 
+@pytest.mark.parametrize("bits", [1 << 25, 64])
+def test_the_filter_lets_every_wanted_id_through(spark, monkeypatch, bits):
+    monkeypatch.setattr(partenum, "FILTER_BITS", bits)
+    rows = spark.range(2000).withColumnRenamed("id", "x").selectExpr("if(x = 7, null, x) as id", "'t' as text")
+    wanted = spark.range(0, 2000, 20).selectExpr("id", "id as key")
+    kept = [r.id for r in partenum._maybe_wanted(rows, wanted).collect()]
+    assert set(range(0, 2000, 20)) <= set(kept) and None not in kept
+    assert len(kept) < (400 if bits > 64 else 2001)
+
+
 def test_keep_one_with_a_map_column(spark):
     rows = [(1, "a b c d e f", {"k": 2}), (1, "a b c d e f", {"k": 1}), (2, "a b c d e f", None), (None, "a b c d e f", {"z": 0})]
     docs = spark.createDataFrame(rows, "doc_id long, text string, more map<string,int>")

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.chunk_encoder import text_slices
 from tidemark.llm.components import components
+from tidemark.operators.bloom import bloom_build, bloom_probe
 from tidemark.session import materialise
 
 WORDS = 5
@@ -54,6 +55,8 @@ BUCKET = 1_000_000
 # Features of a block of sets that are compared in one go, and columns of a slice of them.
 BLOCK = 300_000
 FEATURES = 8192
+# Bits of the filter of wanted ids: 8 MB as an array of words.
+FILTER_BITS = 1 << 25
 # Signatures that a task holds at once before it packs them.
 HELD = 1_000_000
 
@@ -446,6 +449,16 @@ def _open_links(open_sigs: DataFrame, nearest: DataFrame, classes: DataFrame, se
     return materialise(links.distinct(), "cell-links")
 
 
+def _maybe_wanted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose id has its bit in a filter of the wanted ids, so that few other texts are exchanged.
+
+    The filter has about 16 bits for an id and FILTER_BITS at most; what it lets through in vain, the join drops.
+    """
+    bits = min(FILTER_BITS, 1 << max(10, (16 * wanted.count()).bit_length()))
+    words = bloom_build(wanted, "id", bits, 1, "xxhash")
+    return bloom_probe(rows, "id", words, bits, 1, "xxhash").where("maybe").drop("maybe")
+
+
 def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """[id, n_shingles, component] of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -469,7 +482,7 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     shared = met.select("sig", "key")
     wanted = materialise(shared.select("key").distinct().join(classes, "key").select("key", F.col("rep_id").alias("id")), "wanted")
     # An id may stand for several texts, so the key of each text decides.
-    sets = rows.join(wanted, "id").select("key", "text").mapInArrow(_whole_sets, "key long, features binary")
+    sets = _maybe_wanted(rows, wanted).join(wanted, "id").select("key", "text").mapInArrow(_whole_sets, "key long, features binary")
     sets = materialise(sets.dropDuplicates(["key"]), "features")
 
     often = met.where("rep <> key").groupBy("key", "rep").agg(F.count("*").alias("n"))

@@ -20,11 +20,6 @@ def java_hash(s: Column) -> Column:
     )
 
 
-def java_partition(s: Column, n: int) -> Column:
-    """The partition a hash partitioner with `n` partitions gives a string key."""
-    return F.pmod(java_hash(s), F.lit(n)).cast("int")
-
-
 def bloom_bits(tag: Column, m: int = 100, k: int = 3, family: str = "mod") -> Column:
     """Bit positions of a tag in a filter of `m` bits.
 

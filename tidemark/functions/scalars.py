@@ -86,11 +86,6 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, " "), lambda w: w != "")
 
 
-def bracketed(sizes: Column) -> Column:
-    """`[a,b,c]` from an array."""
-    return F.concat(F.lit("["), F.concat_ws(",", sizes.cast("array<string>")), F.lit("]"))
-
-
 def squared_distance(a: Column, b: Column) -> Column:
     """Sum of squared differences of two array<double> columns."""
     squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import recommend as ops
+from tidemark.operators.relational import peek
 from tidemark.plans.oracle_views import RATINGS
 from tidemark.session import materialise, scratch_dir
 from tidemark.sources import adapters
@@ -40,6 +41,11 @@ def ratings_lines(spark, sf_dir):
     return drop_header(spark.read.text(path))
 
 
+def ratings_peek(spark, sf_dir):
+    """The first ratings, to look at the input."""
+    return peek(adapters.ratings(spark, sf_dir).select("user", "item", "rating").orderBy("user", "item"), 5)
+
+
 def ratings_dedup(spark, sf_dir):
     lines = adapters.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = adapters.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -191,7 +197,7 @@ def als_residuals(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        ratings_csv_roundtrip, ratings_lines, ratings_dedup, train_minus_test, user_mean, item_mean, corated_pairs,
+        ratings_csv_roundtrip, ratings_lines, ratings_peek, ratings_dedup, train_minus_test, user_mean, item_mean, corated_pairs,
         corated_pairs_heavy, corated_partners, pearson_weight, user_cf_predict, user_cf_heavy, user_cf_literal,
         fallback_predict, mean_error_histogram, mean_rmse, cf_error_histogram, cf_rmse,
         prediction_lines, id_encode, als_predict, als_metrics, als_checks, als_residuals,
@@ -260,6 +266,7 @@ SELECT CAST("user" AS VARCHAR) AS "user", CAST(item AS VARCHAR) AS item, rating
     "ratings_lines": f"""WITH {RATINGS}
 SELECT CAST("user" AS VARCHAR) || ',' || CAST(item AS VARCHAR) || ',' || CAST(CAST(rating AS BIGINT) AS VARCHAR) AS value
 FROM ratings""",
+    "ratings_peek": f'WITH {RATINGS} SELECT "user", item, rating FROM ratings ORDER BY "user", item LIMIT 5',
     "ratings_dedup": f'WITH {RATINGS} SELECT "user", item, rating FROM ratings',
     "train_minus_test": f'WITH {RATINGS} SELECT "user", item, rating FROM train',
     "user_mean": f'WITH {RATINGS} SELECT "user", round(avg(rating), 6) AS mean FROM train GROUP BY "user"',

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pyarrow as pa
@@ -76,6 +77,30 @@ def test_probe_has_no_false_negatives(spark, limit, hot, m, k, family):
     assert sorted((r.v or "", r.maybe) for r in kept) == [("", None), ("", None), ("k1", True)]
 
 
+@pytest.mark.parametrize("hot", [None, [0, 3]])
+def test_block_filter_against_plain_sets(spark, hot):
+    """A value may be there exactly if the values of its block have set its bit in every word."""
+    m = 5 * bloom.BLOCK_BITS
+    probe = spark.range(1500).select(F.concat(F.lit("k"), "id").alias("v"), "id", F.lit(1).alias("block_no"))
+    probe = probe.unionByName(probe.where("id = 3"))
+    inside = probe.where("id < 400")
+    places = probe.select("id", "v", bloom._block_of(F.col("v"), 5).alias("b"), F.array(*bloom._lane_masks(F.col("v"))).alias("m")).distinct()
+    bits = {r.v: {(r.b, i, mask) for i, mask in enumerate(r.m)} for r in places.collect()}
+    assert all(len({b for b, _, _ in own}) == 1 and all(bin(mask & (2**64 - 1)).count("1") == 1 for _, _, mask in own) for own in bits.values())
+    full = set().union(*(bits[f"k{i}"] for i in range(400)))
+    found = bloom.block_probe(probe, "v", bloom.block_build(inside, "v", m), m, hot).collect()
+    assert len(found) == 1501 and all(r.maybe == (bits[r.v] <= full) for r in found)
+    assert all(r.maybe for r in found if r.id < 400)
+    alarms = sum(r.maybe for r in found if r.id >= 400)
+    rate = (1 - math.exp(-8 * 400 / m)) ** 8
+    assert alarms <= 1.5 * rate * 1100 + 3 * math.sqrt(rate * 1100)
+    holes = spark.createDataFrame([("k1",), (None,)], "v string")
+    kept = bloom.block_probe(holes, "v", bloom.block_build(inside, "v", m), m).collect()
+    assert sorted((r.v or "", r.maybe) for r in kept) == [("", None), ("k1", True)]
+    none = bloom.block_probe(holes, "v", bloom.block_build(inside.limit(0), "v", m), m).collect()
+    assert sorted((r.v or "", r.maybe) for r in none) == [("", None), ("k1", False)]
+
+
 def draw():
     return (F.col("seq") * 2654435761 + 42) % 4294967296
 

@@ -143,3 +143,50 @@ def bloom_probe(
         rows = materialise(df, "probed").withColumn("_row", F.monotonically_increasing_id())
     back = salted_join(rows, answers.withColumnRenamed("_value", col), col, "left", hot=hot)
     return back.select(*df.columns, "maybe")
+
+
+# --- filters in blocks ---------------------------------------------------------------
+
+# A block is so many words of 64 bits, and a value sets one bit in each word of its block.
+LANES = 8
+BLOCK_BITS = LANES * 64
+
+
+def _block_of(value: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(blocks))
+
+
+def _lane_masks(value: Column) -> list[Column]:
+    """Per word the value's bit: six bits of a second hash each."""
+    draw = F.xxhash64(value, F.lit(1))
+    one = F.lit(1).cast("bigint")
+    return [F.call_function("shiftleft", one, F.shiftrightunsigned(draw, 6 * i).bitwiseAND(F.lit(63)).cast("int")) for i in range(LANES)]
+
+
+def _blocks(m: int) -> int:
+    return max(1, -(-m // BLOCK_BITS))
+
+
+def block_build(df: DataFrame, col: str, m: int) -> DataFrame:
+    """[block, w0 .. w7]: a filter of about m bits in blocks, for filters too large to travel to the tasks."""
+    values = df.select(F.col(col).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct()
+    words = [F.bit_or(mask).alias(f"w{i}") for i, mask in enumerate(_lane_masks(F.col("v")))]
+    return values.groupBy(_block_of(F.col("v"), _blocks(m)).alias("block")).agg(*words)
+
+
+def block_probe(df: DataFrame, col: str, blocks: DataFrame, m: int, hot: list | None = None) -> DataFrame:
+    """The rows with `maybe`; false means the value isn't in the filter, null that there is none.
+
+    All bits of a value lie in one block, so a row meets one row of the filter, in one join. Blocks of very common
+    values are salted; for that, the rows are numbered, so that equal ones are spread as well.
+    """
+    value = F.col(col).cast("string")
+    rows = df.withColumn("block", _block_of(value, _blocks(m)))
+    hot = hot_keys(rows, "block") if hot is None else hot
+    if hot:
+        rows = materialise(rows, "probed").withColumn("_row", F.monotonically_increasing_id())
+    met = salted_join(rows, blocks, "block", "left", hot=hot)
+    is_set = F.lit(True)
+    for i, mask in enumerate(_lane_masks(value)):
+        is_set = is_set & (F.coalesce(f"w{i}", F.lit(0).cast("bigint")).bitwiseAND(mask) != 0)
+    return met.withColumn("maybe", F.when(F.col(col).isNotNull(), is_set)).select(*df.columns, "maybe")

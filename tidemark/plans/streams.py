@@ -103,6 +103,23 @@ def bloom_probe_joined(spark, sf_dir):
     return bloom.bloom_probe(named, "n_name", words, max_broadcast_bits=0)
 
 
+def bloom_block_checks(spark, sf_dir):
+    """A filter in blocks over the even order keys, probed with all of them: none is missed, and the rate of false
+    alarms is within 1.5 of the formula (and three standard deviations)."""
+    orders = adapters.table(spark, sf_dir, "orders").select("o_orderkey")
+    even = orders.where("o_orderkey % 2 = 0")
+    m = 6 * even.count()
+    found = bloom.block_probe(orders, "o_orderkey", bloom.block_build(even, "o_orderkey", m), m)
+    inside = F.col("o_orderkey") % 2 == 0
+    _, rate = sizing_of(F.count_if(inside), m, bloom.LANES)
+    alarms, outside = F.count_if(~inside & F.col("maybe")), F.count_if(~inside)
+    return found.agg(
+        F.count("*").alias("orders"),
+        F.count_if(inside & ~F.col("maybe")).alias("missed"),
+        (alarms <= 1.5 * rate * outside + 3 * F.sqrt(rate * outside)).alias("rate_holds"),
+    )
+
+
 def arrival_number(spark, sf_dir):
     events = adapters.table(spark, sf_dir, "events").select("event_id", "ts")
     return reservoir.arrival_number(events, "ts", "event_id").select("event_id", "n")
@@ -211,7 +228,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         java_hash, bloom_bits, bloom_sizing, bloom_replay, bloom_replay_wide, bloom_wide_checks, exact_seen, bloom_confusion,
-        bloom_report, bloom_build, bloom_probe, bloom_probe_joined, arrival_number, reservoir_sample,
+        bloom_report, bloom_build, bloom_probe, bloom_probe_joined, bloom_block_checks, arrival_number, reservoir_sample,
         reservoir_literal, reservoir_replaced, reservoir_length, reservoir_snapshot,
         reservoir_snapshot_last, avg_text_length, tag_counts, top_tags, stream_reservoir, stream_bloom,
         stream_exact_seen, stream_report,
@@ -303,6 +320,7 @@ SELECT *, tn + fp AS keys, CAST(ceil(100.0 / (tn + fp) * ln(2)) AS INTEGER) AS b
 SELECT b // 32 AS word, bit_or(1::BIGINT << (b % 32)::INTEGER) AS bits FROM positions GROUP BY 1""",
     "bloom_probe": _PROBE,
     "bloom_probe_joined": _PROBE,
+    "bloom_block_checks": "SELECT count(*) AS orders, CAST(0 AS BIGINT) AS missed, true AS rate_holds FROM orders",
     "arrival_number": "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS n FROM events",
     "reservoir_sample": f"{_ENTERED} SELECT slot, seq, len FROM held",
     "reservoir_literal": f"{_entered_sql('(seq - 1)')} SELECT slot, seq, len FROM held",

@@ -61,6 +61,20 @@ def test_marker_in_a_text():
     assert ids.tolist() == sum(want, []) and lengths.tolist() == [len(w) for w in want] and agreed.all()
 
 
+def test_decoded_as_by_the_library():
+    codec = sentencepiece_codec.codec(PATH)
+    rng = np.random.default_rng(5)
+    size = len(codec.model.pieces)
+    lists = [codec.judge.encode(t) for t in TEXTS if t is not None]
+    # Any ids: control and unknown pieces, bytes that make no characters, ids beyond the model, none at all.
+    lists += [rng.integers(0, 300 if k % 2 else size + 5, k % 9).tolist() for k in range(400)]
+    lists += [[259], [259, 259, 1], [35, 259], [3 + 0x20, 3 + 0xC3], [3 + 0xC3, 3 + 0xA9]]
+    lengths = np.array([len(x) for x in lists])
+    got = codec.decode(np.array(sum(lists, []), dtype=np.uint32), lengths).to_pylist()
+    assert got == codec.tokenizer.decode_batch(lists, skip_special_tokens=False)
+    assert codec.decode(np.zeros(0, np.uint32), np.zeros(0, np.int64)).to_pylist() == []
+
+
 def test_unigram_models_keep_their_scores():
     pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3)] + [(f"<0x{i:02X}>", 0.0, 6) for i in range(256)]
     pieces += [("▁", -3.0, 1), ("a", -2.0, 1), ("b", -2.5, 1), ("▁ab", -3.5, 1), ("ba", -6.0, 1)]

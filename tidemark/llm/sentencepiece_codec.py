@@ -4,7 +4,7 @@ The model file is read here, field by field; normaliser, white-space marker, sco
 merges and byte fallback are rebuilt from it, and batches are encoded by the library's threads.
 Parity is verified against the sentencepiece library on every distinct chunk of the
 texts, not on a sample: no piece joins a marker to what stands before it, so equal chunks make
-equal texts. Where the libraries differ the ids are those of sentencepiece, and the
+equal texts. Pieces are decoded by their bytes all at once, the rest by the library. Where the libraries differ the ids are those of sentencepiece, and the
 row says so.
 
 Both kinds of model are covered: unigram models keep their scores; byte-pair models, which
@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunk_encoder import ChunkEncoder, Ids, in_calls, in_slices, per_text, text_slices
+from tidemark.llm.chunk_encoder import ChunkEncoder, Ids, in_calls, per_text, text_slices
 
 # Fixed values of the model format: the marker, types of pieces, types of models.
 MARKER = "▁"
@@ -162,6 +162,13 @@ class Codec:
             and self.model.add_dummy_prefix
         )
         self.encoder = ChunkEncoder(self._encode_many)
+        # What each piece gives wherever it stands, then what it gives as the first of a text.
+        inside = [_bytes_of(piece, kind) for piece, _, kind in self.model.pieces]
+        first = [b.removeprefix(b" ") if self.model.add_dummy_prefix else b for b in inside]
+        self.parts = pa.array(inside + first, pa.large_binary())
+        kinds = np.array([kind for *_, kind in self.model.pieces])
+        self.is_byte = kinds == BYTE
+        self.is_plain = self.is_byte | np.isin(kinds, (NORMAL, USER_DEFINED))
 
     def chunks(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """Parts of the texts that are encoded alone, each without its first marker; parts of each text."""
@@ -206,15 +213,39 @@ class Codec:
         ids = self.encoder.encode(parts)
         return ids.flat, per_text(ids.lengths, counts), per_text(ids.marks, counts) == 0
 
-    def decode(self, ids: np.ndarray, lengths: np.ndarray) -> list[str]:
-        """Texts of ids laid one after the other."""
-        ends = np.cumsum(lengths).tolist()
-        out = []
-        # A slice at a time, so that few ids are Python numbers at once.
-        for first, last in in_slices(lengths.tolist(), 500_000):
-            lists = [ids[e - n : e].tolist() for e, n in zip(ends[first:last], lengths[first:last].tolist(), strict=True)]
-            out += self.tokenizer.decode_batch(lists, skip_special_tokens=False)
-        return out
+    def decode(self, ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
+        """Texts of ids laid one after the other.
+
+        The bytes of the pieces are put together at once. Texts with pieces that stand for no text, and those
+        whose byte pieces make no characters, go through the library's decoder.
+        """
+        ids = ids.astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        size = len(self.is_plain)
+        known = np.clip(ids, 0, size - 1)
+        odd = per_text((ids != known) | ~self.is_plain[known], lengths) > 0
+        known[ends[:-1][lengths > 0]] += size
+        taken = self.parts.take(pa.array(known))
+        borders = np.frombuffer(taken.buffers()[1], dtype=np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        # The pieces lie one after the other already: a text is what lies between two borders.
+        joined = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(lengths), [None, pa.py_buffer(borders[ends]), taken.buffers()[2]]
+        )
+        try:
+            texts = joined.cast(pa.large_string())
+        except pa.ArrowInvalid:
+            odd |= per_text(self.is_byte[np.clip(ids, 0, size - 1)], lengths) > 0
+            texts = pc.if_else(pa.array(odd), pa.scalar(None, joined.type), joined).cast(pa.large_string())
+        if odd.any():
+            lists = [ids[ends[i] : ends[i + 1]].tolist() for i in np.nonzero(odd)[0]]
+            decoded = self.tokenizer.decode_batch(lists, skip_special_tokens=False)
+            texts = pc.replace_with_mask(texts, pa.array(odd), pa.array(decoded, pa.large_string()))
+        return texts
+
+
+def _bytes_of(piece: str, kind: int) -> bytes:
+    """What a piece gives in a decoded text; byte pieces are named <0x00> to <0xFF>."""
+    return bytes([int(piece[1:-1], 16)]) if kind == BYTE else piece.replace(MARKER, " ").encode()
 
 
 def codec(path: str) -> Codec:
@@ -256,7 +287,7 @@ def decode_pieces(encoded: DataFrame, model: str, id_col: str = "id", ids_col: s
             lists = rows.column(1)
             lengths = pc.list_value_length(lists).fill_null(0).to_numpy().astype(np.int64)
             texts = pieces.decode(lists.flatten().to_numpy(), lengths)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(texts, pa.string())], names=["id", "text"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), texts.cast(pa.string())], names=["id", "text"])
 
     rows = encoded.select(F.col(id_col).cast("long").alias("id"), F.col(ids_col).alias("ids"))
     return rows.mapInArrow(decode, "id long, text string")
@@ -274,7 +305,7 @@ def round_trips(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: s
         for rows in batches:
             for first, texts in text_slices(rows.column(1)):
                 ids, lengths, agreed = pieces.encode(texts)
-                decoded = pa.array(pieces.decode(ids, lengths), pa.large_string())
+                decoded = pieces.decode(ids, lengths)
                 ends = np.cumsum(lengths).tolist()
                 little = ids.astype("<u4")
                 checks = [zlib.crc32(little[e - n : e]) for e, n in zip(ends, lengths.tolist(), strict=True)]

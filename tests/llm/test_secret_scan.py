@@ -1,6 +1,7 @@
 """Secret scans against a plain scan with Python's own patterns."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -69,6 +70,76 @@ def test_base_spans_and_the_model(spark, tmp_path):
     assert by_id[None].spans == by_id[2].spans
 
 
+def plain_with_model(texts):
+    """Base spans and those of the two models, counted and scored one string at a time."""
+    alphabet, start = secret_scan.ALPHABET, len(secret_scan.ALPHABET)
+    samples, runs, out = {True: set(), False: set()}, [], []
+    for text in texts:
+        base = []
+        for rank, (kind, pattern) in enumerate(PATTERNS):
+            for m in pattern.finditer(text):
+                value = m.group(2) if kind == "assign" else m.group()
+                if len(value) < {"assign": 6, "access": 20, "hex": 24}[kind]:
+                    continue
+                base.append((m.start(), rank, m.end(), kind))
+                if len(value) >= 12:
+                    samples[True].add(value)
+        own = [(m.start(), m.end(), m.group()) for m in re.finditer(r"[A-Za-z0-9+/_=-]{12,}", text)]
+        own = [r for r in own if not any(b[0] < r[1] and r[0] < b[2] for b in base)]
+        for _, _, value in own:
+            pieces = re.split(r"[+/_=-]+", value.strip("/_-="))
+            if value[0] not in "+=" and value[-1] != "+" and all(re.fullmatch("[A-Za-z]+|[0-9]+", p) for p in pieces):
+                samples[False].add(value)
+        runs.append(own)
+        out.append(base)
+    counts = {kind: [[0.0] * (start + 1) for _ in range(start + 1)] for kind in samples}
+    steps = lambda v: list(zip([start, *(alphabet.find(c) % (start + 1) for c in v)], [alphabet.find(c) % (start + 1) for c in v]))  # noqa: E731, B905
+    for kind, values in samples.items():
+        for value in values:
+            for a, b in set(steps(value)):
+                counts[kind][a][b] += 1
+    # A transition of one ordinary sample only counts as not seen.
+    counts[False] = [[max(0.0, x - 1) for x in row] for row in counts[False]]
+    log = {}
+    for kind, table in counts.items():
+        seen = [1 + sum(row[b] for row in table) for b in range(start + 1)]
+        log[kind] = [
+            [math.log((x + 4 * seen[b] / sum(seen)) / (sum(row) + 4)) for b, x in enumerate(row)] for row in table
+        ]
+    for base, own in zip(out, runs, strict=True):
+        for begin, end, value in own:
+            taken = set(steps(value))
+            ratio = sum(log[True][a][b] - log[False][a][b] for a, b in taken)
+            if len(value) >= 16 and len(taken) >= 8 and ratio >= max(12.0, 0.5 * len(taken)):
+                base.append((begin, 3, end, "markov"))
+    return [",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(spans)) for spans in out]
+
+
+def test_every_long_run_is_scored(spark, tmp_path):
+    rng = random.Random(8)
+    syllables = ["con", "nec", "tion", "in", "for", "ma", "ter", "na", "al", "un", "der", "stand", "ing", "re", "pre"]
+    word = lambda n: "".join(rng.choice(syllables) for _ in range(n))
+    letters = ["".join(rng.choice(secret_scan.ALPHABET[:52]) for _ in range(40)) for _ in range(20)]
+    mixed = ["".join(rng.choice(secret_scan.ALPHABET[:62]) for _ in range(40)) for _ in range(20)]
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    texts = [" ".join(word(rng.randint(4, 8)) for _ in range(30)) for _ in range(40)]
+    texts += [f"at {key} end" for key in letters + mixed]
+    texts += [f"token = {''.join(rng.choice(secret_scan.ALPHABET[:62]) for _ in range(40))}" for _ in range(400)]
+    texts += [f"{number(16)} and {'-'.join(number(4) for _ in range(4))}" for _ in range(60)]
+    texts += ["=" * 300, "z" * 5000, "/".join(["", *(word(3) for _ in range(5))]), "_".join(word(2) for _ in range(6)), "=" * 20 + "x" * 20]
+    rows = [(i, t, "x", 1, "y") for i, t in enumerate(texts)]
+    got = {r.doc_id: r.spans for r in queries.op7_secret_scan(spark, write(spark, tmp_path, rows)).collect()}
+    assert [got[i] for i in range(len(texts))] == plain_with_model(texts)
+    assert all(got[i] == "markov:3:43" for i in range(40, 80))
+    assert all(got[i] == "" for i in [*range(40), *range(480, len(texts))])
+
+
+def test_without_random_samples_no_ratio(spark, tmp_path):
+    rows = [(1, "understanding information international connections", "x", 1, "y"), (2, "qZ" * 12 + "Xw" * 9, "x", 1, "y")]
+    got = queries.op7_secret_scan(spark, write(spark, tmp_path, rows)).collect()
+    assert all(r.spans == "" for r in got)
+
+
 def test_without_samples_nothing_is_added(spark, tmp_path):
     rows = [(1, "Zx9" * 10, "x", 1, "y")]
     assert queries.op7_secret_scan(spark, write(spark, tmp_path / "a", rows)).first().spans == ""

@@ -1,15 +1,18 @@
 """Secret scans in DataFrame functions only: fixed patterns plus two Markov models of characters.
 
 Base kinds (`assign`, `access`, `hex`) come from patterns. The kind `markov` is added by the
-method: every other long run of key characters is scored under a first-order Markov model of
-random strings and under one of ordinary identifiers, and counts as a secret when the
-log-likelihood ratio passes a threshold. Both models are trained from labelled samples: the
-values that the base patterns found are the random class, runs of letters outside them the
-ordinary class, each distinct string once.
+method: every other long run of key characters, of whatever characters, is scored under a first-order
+Markov model of random strings and under one of ordinary identifiers, and counts as a secret when the
+log-likelihood ratio passes a threshold that grows with the run's different transitions. Each of these
+counts once, in training and scoring, so that a line of one sign or a repeated word isn't a long string; runs with
+fewer than `MIN_STEPS` are none. Both models are trained from labelled samples: the values that the base patterns found are the random class, runs outside them
+made of words and numbers the ordinary class, each distinct string once. A key of letters only is such a
+run too: what is found in one sample only doesn't count, so it can't make itself ordinary. What the
+values of a corpus never hold (letters beyond f, if all are hexadecimal) counts against a key.
 
 Defined results: a null or empty text has no spans. Repeated rows and repeated ids are
-scanned row by row. An empty table gives an empty result. Without any random sample the two
-models say the same of every string, so no `markov` span is added. Extra columns of the input,
+scanned row by row. An empty table gives an empty result. Without any random sample the ratio
+is zero for every string, so no `markov` span is added. Extra columns of the input,
 whatever their names, are not read.
 """
 
@@ -37,7 +40,15 @@ STATES = len(ALPHABET) + 1
 MIN_SAMPLE = 12
 MIN_RUN = 16
 RUN = rf"[A-Za-z0-9+/_=-]{{{MIN_SAMPLE},}}"
+# Words, or numbers, with signs between them.
+ORDINARY = r"^[/_-]*([A-Za-z]+|[0-9]+)([+/_=-]+([A-Za-z]+|[0-9]+))*[/=_-]*$"
+# Least ratio of a run, whole and by transition: the small misfit of a long plain run adds up with its length.
 MIN_LLR = 12.0
+MIN_STEP_LLR = 0.5
+# Different transitions that a secret has at least: a line of one sign or of a short pattern has fewer.
+MIN_STEPS = 8
+# Weight of the characters' frequencies against a state's own counts.
+LEAN = 4.0
 
 GROUP = 256
 
@@ -116,7 +127,7 @@ def _samples(scanned: DataFrame) -> DataFrame:
         F.lit(True).alias("random"),
     )
     runs = scanned.select(F.explode("runs").alias("s")).select("s.value", F.lit(False).alias("random"))
-    runs = runs.where(F.col("value").rlike(r"^[A-Za-z]+([_-][A-Za-z]+)*$"))
+    runs = runs.where(F.col("value").rlike(ORDINARY))
     return values.where(F.length("value") >= MIN_SAMPLE).unionByName(runs).distinct()
 
 
@@ -126,66 +137,66 @@ def _state(character: Column) -> Column:
     return F.when(place > 0, place - 1).otherwise(F.lit(STATES - 1))
 
 
+def _transitions(characters: Column) -> Column:
+    """Each step (a, b) from one state to the next that a string takes, once."""
+
+    def step(c: Column, i: Column) -> Column:
+        before = F.when(i == 0, F.lit(STATES - 1)).otherwise(_state(F.get(characters, i - 1)))
+        return F.struct(before.alias("a"), _state(c).alias("b"))
+
+    return F.array_distinct(F.transform(characters, step))
+
+
 def train(scanned: DataFrame) -> list[float]:
     """Log-ratio of the transition probabilities random / ordinary, by state * STATES + next state.
 
     The counts are summed on the executors; STATES * STATES values at most reach the driver.
-    A transition counts once per sample, so that one long sample doesn't outweigh the others,
-    and transitions are smoothed by one.
+    A transition counts once per sample, so that one long sample doesn't outweigh the others. Ordinary samples are runs that are scored themselves, so their
+    counts are those of the other samples: a transition of a single one counts as not seen.
     """
     characters = _samples(scanned).select("random", F.split("value", "").alias("c"))
-    steps = characters.select(
-        "random",
-        F.explode(
-            F.array_distinct(
-                F.transform(
-                    "c",
-                    lambda c, i: F.struct(
-                        F.when(i == 0, F.lit(STATES - 1)).otherwise(_state(F.get("c", i - 1))).alias("a"),
-                        _state(c).alias("b"),
-                    ),
-                )
-            )
-        ).alias("t"),
-    )
+    steps = characters.select("random", F.explode(_transitions(F.col("c"))).alias("t"))
     counts = steps.groupBy("random", "t.a", "t.b").agg(F.count("*").alias("n"))
-    table = {True: [1.0] * STATES**2, False: [1.0] * STATES**2}
-    for row in counts.collect():
-        table[row.random][row.a * STATES + row.b] += row.n
-    ratio = []
+    found = counts.collect()
+    if not any(row.random for row in found):
+        return [0.0] * STATES**2
+    table = {True: [0.0] * STATES**2, False: [0.0] * STATES**2}
+    for row in found:
+        table[row.random][row.a * STATES + row.b] = row.n if row.random else row.n - 1
+    random, ordinary = (_log_probabilities(table[kind]) for kind in (True, False))
+    return [r - o for r, o in zip(random, ordinary, strict=True)]
+
+
+def _log_probabilities(counts: list[float]) -> list[float]:
+    """Of all transitions; a state with few counts leans on the frequencies of the characters."""
+    characters = [1 + sum(counts[b::STATES]) for b in range(STATES)]
+    out = []
     for a in range(STATES):
-        here = slice(a * STATES, (a + 1) * STATES)
-        totals = {kind: sum(table[kind][here]) for kind in table}
-        ratio += [
-            math.log(r / totals[True]) - math.log(o / totals[False])
-            for r, o in zip(table[True][here], table[False][here], strict=True)
+        here = counts[a * STATES : (a + 1) * STATES]
+        out += [
+            math.log((n + LEAN * c / sum(characters)) / (sum(here) + LEAN)) for n, c in zip(here, characters, strict=True)
         ]
-    return ratio
+    return out
 
 
-def log_likelihood_ratio(value: Column, ratio: list[float]) -> Column:
-    """Sum over the characters of `value` of the log-ratio of their transitions."""
+def log_likelihood_ratio(steps: Column, ratio: list[float]) -> Column:
+    """Sum of the log-ratios of a string's transitions, each once, as the models count them."""
     table = F.array(*[F.lit(x) for x in ratio])
-    start = F.struct(F.lit(STATES - 1).alias("a"), F.lit(0.0).alias("sum"))
-
-    def step(state: Column, character: Column) -> Column:
-        b = _state(character)
-        return F.struct(b.alias("a"), (state["sum"] + F.get(table, state["a"] * STATES + b)).alias("sum"))
-
-    return F.aggregate(F.split(value, ""), start, step, lambda state: state["sum"])
+    return F.aggregate(steps, F.lit(0.0), lambda total, t: total + F.get(table, t["a"] * STATES + t["b"]))
 
 
 def _spans(scanned: DataFrame, ratio: list[float], min_llr: float) -> DataFrame:
     """`scanned` with `spans` in place of `base` and `runs`."""
-    long_runs = F.filter(
-        "runs",
-        lambda r: (F.length(r["value"]) >= MIN_RUN) & r["value"].rlike("[0-9]") & r["value"].rlike("[A-Za-z]"),
-    )
-    likely = scanned.withColumn("runs", long_runs).withColumn(
-        "runs", F.filter("runs", lambda r: log_likelihood_ratio(r["value"], ratio) >= min_llr)
-    )
+    def likely(run: Column) -> Column:
+        # A loop over one element, so that the transitions are made once.
+        own = F.array(_transitions(F.split(run["value"], "")))
+        needed = lambda t: F.greatest(F.lit(min_llr), MIN_STEP_LLR * F.size(t))
+        return F.exists(own, lambda t: (F.size(t) >= MIN_STEPS) & (log_likelihood_ratio(t, ratio) >= needed(t)))
+
+    long_runs = F.filter("runs", lambda r: F.length(r["value"]) >= MIN_RUN)
+    scored = scanned.withColumn("runs", long_runs).withColumn("runs", F.filter("runs", likely))
     every = F.array_sort(F.concat("base", "runs"))
-    return likely.withColumn("spans", F.transform(every, lambda s: s.dropFields("value"))).drop("base", "runs")
+    return scored.withColumn("spans", F.transform(every, lambda s: s.dropFields("value"))).drop("base", "runs")
 
 
 def find_secrets(

@@ -59,6 +59,8 @@ VERBATIM, LOOSE, ANSWER = 0.7, 0.5, 0.8
 # One, but for rounding.
 ENOUGH = 1 - 1e-4
 MAX_QUERY_BYTES = 64 << 20
+# Bytes of text whose words a task holds at a time.
+SLICE = 1_000_000
 
 _SENTENCE = re.compile(r"[.!?\n]+")
 
@@ -90,7 +92,7 @@ def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(FEATURES, dtype=np.int64), 0
         for batch in batches:
-            for _, texts in text_slices(batch.column(0)):
+            for _, texts in text_slices(batch.column(0), SLICE):
                 ids, counts = words_of(texts)
                 owner = np.repeat(np.arange(len(counts)), counts)
                 held = np.unique(owner * FEATURES + _feature(ids))
@@ -392,7 +394,7 @@ def find_leaks(
 
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for first, texts in text_slices(batch.column(1)):
+                for first, texts in text_slices(batch.column(1), SLICE):
                     leaks = search(texts, known.value)
                     ids = batch.column(0).take(pa.array([first + t for t, *_ in leaks], pa.int64()))
                     columns = [pa.array([x[i] for x in leaks], t) for i, t in ((1, pa.int64()), *((j, pa.float64()) for j in (2, 3, 4)))]
@@ -416,7 +418,7 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_c
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 clean = np.ones(batch.num_rows, dtype=bool)
-                for first, texts in text_slices(batch.column(place)):
+                for first, texts in text_slices(batch.column(place), SLICE):
                     clean[[first + t for t, *_ in search(texts, known.value)]] = False
                 yield batch.filter(pa.array(clean))
 

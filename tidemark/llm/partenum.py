@@ -54,7 +54,11 @@ SPARE = 1.1
 BUCKET = 1_000_000
 # Features of a block of sets that are compared in one go, and columns of a slice of them.
 BLOCK = 300_000
-FEATURES = 8192
+FEATURES = 2048
+# Sets whose unions with all others of a cell are worked out at a time.
+ROWS = 256
+# Bytes of text that become words and sets at a time.
+SLICE = 1_000_000
 # Bits of the filter of wanted ids: 8 MB as an array of words.
 FILTER_BITS = 1 << 25
 # Signatures that a task holds at once before it packs them.
@@ -161,7 +165,7 @@ def signatures(features: np.ndarray, edges: list[tuple[int, int]], percent: int
 
 def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
     """(first, last, sets) of slices of a batch."""
-    for first, texts in text_slices(batch.column(column)):
+    for first, texts in text_slices(batch.column(column), SLICE):
         yield first, first + len(texts), shingle_sets(texts.to_pylist())
 
 
@@ -362,8 +366,13 @@ def _forests(table: pa.Table) -> pa.Table:
         part = np.zeros((len(held), FEATURES), dtype=np.float32)
         part[row[first:last], column[first:last] - low] = 1
         both += part @ part.T
-    union = sizes[:, None] + sizes[None, :] - both
-    x, y = np.nonzero(np.triu(100 * both >= PERCENT * union, 1))
+    pairs = []
+    for low in range(0, len(held), ROWS):
+        own = both[low : low + ROWS]
+        union = sizes[low : low + ROWS, None] + sizes[None, :] - own
+        first, second = np.nonzero(np.triu(100 * own >= PERCENT * union, 1 + low))
+        pairs.append((first + low, second))
+    x, y = (np.concatenate(side) for side in zip(*pairs, strict=True))
     root = np.arange(len(held))
     while True:
         before = root.copy()

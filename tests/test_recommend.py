@@ -140,6 +140,28 @@ def test_two_items_that_all_users_share(spark, mode, least):
     assert got == {k: pytest.approx(v, abs=1e-9) for k, v in brute_cf(train, test, mode).items()}
 
 
+@pytest.mark.parametrize("heavy", [None, 12])
+def test_tasks_grow_with_the_pairs(spark, monkeypatch, heavy):
+    """No task lists or sums up more than its share of the pairs, and a pair leaves its cell only as a result."""
+    monkeypatch.setattr(ops, "TASK_PAIRS", 50)
+    train, _ = fixture(17)
+    ratings = frame(spark, train)
+    pairs, _ = brute_pairs(train)
+    listed = sum(len(c) for (u, v), c in pairs.items() if u < v)
+    assert ops.pair_tasks(ratings) == -(-listed // 50) > 8
+    stats = ops.pair_stats(ratings, heavy=heavy and ops.heavy_items(ratings, heavy), block=12)
+    assert stats.rdd.getNumPartitions() >= ops.pair_tasks(ratings)
+    found = {(r.u, r.v): (r.n, r.sum_u, r.sum_v2, r.mean_v) for r in stats.collect()}
+    assert found == {
+        (u, v): (len(c), sum(a for a, _ in c), sum(b * b for _, b in c), pytest.approx(sum(b for _, b in c) / len(c)))
+        for (u, v), c in pairs.items()
+        if u < v and len(c) >= 2
+    }
+    plan = stats._jdf.queryExecution().optimizedPlan().toString()
+    top = plan[: plan.index("RepartitionByExpression")]
+    assert "Join" not in top
+
+
 def test_a_pair_of_raters_meets_once_per_item(spark):
     train, _ = fixture(11)
     ratings = frame(spark, train)

@@ -8,6 +8,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from tidemark.operators import recommend as ops
+from tidemark.plans import recommend as plans
 
 SCHEMA = "user string, item string, rating double"
 
@@ -242,6 +243,17 @@ def test_als_covers_every_pair(spark):
     assert "model" in source.values()
 
 
+def test_als_checks_look_at_the_error(spark, monkeypatch):
+    """Predictions far from the ratings must show."""
+    train, test = (frame(spark, r) for r in fixture(3))
+    monkeypatch.setattr(plans.adapters, "train_test", lambda spark, sf_dir: (train, test))
+    right = test.withColumn("prediction", F.col("rating") / 2).drop("rating")
+    for found, below in ((right, True), (right.withColumn("prediction", F.lit(50.0)), False)):
+        monkeypatch.setattr(ops, "recommend_with_fallback", lambda train, test: found)
+        row = plans.als_checks(spark, "").first()
+        assert (row.pairs, row.repeated, row.rated, row.rmse_below_2) == (40, 0, 40, below)
+
+
 def test_residuals_show_a_wrong_fit(spark):
     train, _ = fixture(3)
     ratings = frame(spark, train)

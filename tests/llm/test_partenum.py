@@ -151,6 +151,29 @@ def test_a_group_just_below_the_threshold_is_sent_once(spark, monkeypatch, block
     assert max(r["count"] for r in cells) * 150 <= 3 * block
 
 
+def test_a_large_pack_is_not_sent_to_each_of_many_small_ones(spark, monkeypatch):
+    """400 sets of one family, which shares a signature of its own with each of 300 families of two sets."""
+    monkeypatch.setattr(partenum, "BLOCK", 30_000)
+    hub, small = list(range(400)), [(1000 + 2 * i, 1001 + 2 * i) for i in range(300)]
+    sigs = [(i, key) for i, pair in enumerate(small) for key in (*pair, hub[i], hub[i + 100])]
+    frames = {
+        "open_sigs": spark.createDataFrame([(s, k, k) for s, k in sigs], "sig long, key long, component long"),
+        "nearest": spark.createDataFrame([(k, hub[0]) for k in hub] + [(b, a) for a, b in small], "key long, rep long"),
+        "classes": spark.createDataFrame([(k, 100) for k in [*hub, *sum(small, ())]], "key long, n long"),
+    }
+    filled = partenum._cells(**frames).collect()
+    assert len(filled) <= 8 * 1000
+    cells, keys = {}, {}
+    for r in filled:
+        cells.setdefault(r.key, set()).add(r.cell)
+        keys[r.cell] = keys.get(r.cell, 0) + 100
+    # Blocks are dealt by hash, so one may hold somewhat more than its share.
+    assert max(keys.values()) <= 3 * 30_000
+    for i, (a, b) in enumerate(small):
+        for x in (a, b, hub[i], hub[i + 100]):
+            assert cells[x] & cells[a] and cells[x] & cells[hub[i]]
+
+
 @pytest.mark.parametrize("bits", [1 << 25, 64])
 def test_the_filter_lets_every_wanted_id_through(spark, monkeypatch, bits):
     monkeypatch.setattr(partenum, "FILTER_BITS", bits)

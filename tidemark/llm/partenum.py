@@ -390,7 +390,9 @@ def _packs(open_sigs: DataFrame, member: DataFrame) -> DataFrame:
 
     Families linked by open signatures, directly or over others, are one pack if they make no more than a block.
     Where they make more, each family goes with the others of its most common open signature, so
-    packs stay among sets that have something in common and are cut into blocks later.
+    packs stay among sets that have something in common and are cut into blocks later. If the cells of such
+    packs weigh more than those of all blocks of the linked families, as where a large pack meets many small
+    ones, the linked families are one pack again.
     """
     seen = open_sigs.select("sig", "key").join(member.select("key", "family"), "key").select("sig", "family").distinct()
     common = seen.groupBy("sig").agg(F.min("family").alias("b"), F.count("*").alias("f")).where("f > 1")
@@ -401,9 +403,26 @@ def _packs(open_sigs: DataFrame, member: DataFrame) -> DataFrame:
     named = materialise(named.select("family", "w", F.coalesce("component", "family").alias("linked")), "linked-families")
     sizes = named.groupBy("linked").agg(F.sum("w").alias("all"))
     most = seen.groupBy("family").agg(F.max_by("sig", F.struct("f", "sig")).alias("most"))
-    packs = named.join(sizes, "linked").join(most, "family", "left")
-    pack = F.when(F.col("all") <= BLOCK, F.col("linked")).otherwise(F.coalesce("most", "family"))
-    return materialise(packs.select("family", pack.alias("pack")), "packs")
+    apart = named.join(sizes.where(F.col("all") > BLOCK), "linked").join(most, "family", "left")
+    apart = materialise(apart.select("family", "linked", "w", "all", F.coalesce("most", "family").alias("own")), "families-apart")
+    cost = _cost_apart(seen.select("sig", "family"), apart)
+    apart = apart.join(cost, "linked").select(
+        "family", F.when(F.ceil(F.col("all") / BLOCK) * F.col("all") > F.col("cost"), F.col("own")).alias("own")
+    )
+    packs = named.join(apart, "family", "left")
+    return materialise(packs.select("family", F.coalesce("own", "linked").alias("pack")), "packs")
+
+
+def _cost_apart(seen: DataFrame, apart: DataFrame) -> DataFrame:
+    """[linked, cost]: what the cells weigh if the families stay in packs of their own signatures."""
+    packs = materialise(apart.groupBy("linked", "own").agg(F.sum("w").alias("w")), "own-packs")
+    held = materialise(seen.join(apart, "family").select("sig", "linked", "own").distinct(), "pack-signatures")
+    second = held.select("sig", F.col("own").alias("own2"))
+    near = held.join(second, "sig").where("own < own2").select("linked", "own", "own2").distinct()
+    near = near.join(packs, ["linked", "own"]).join(packs.select("linked", F.col("own").alias("own2"), F.col("w").alias("w2")), ["linked", "own2"])
+    pairs = near.select("linked", (F.ceil(F.col("w") / BLOCK) * F.col("w2") + F.ceil(F.col("w2") / BLOCK) * F.col("w")).alias("c"))
+    every = packs.select("linked", (F.ceil(F.col("w") / BLOCK) * F.col("w")).alias("c")).unionByName(pairs)
+    return materialise(every.groupBy("linked").agg(F.sum("c").alias("cost")), "costs-apart")
 
 
 def _cells(open_sigs: DataFrame, nearest: DataFrame, classes: DataFrame) -> DataFrame:

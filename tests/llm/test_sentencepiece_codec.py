@@ -83,3 +83,21 @@ def test_unigram_models_keep_their_scores():
     assert tokenizer.encode(" ab  aba <s>é", add_special_tokens=False).tokens[:4] == ["▁ab", "▁ab", "a", "▁"]
     ids = tokenizer.encode("ab é", add_special_tokens=False).ids
     assert tokenizer.decode(ids) == "ab é"
+
+
+def test_large_batches_are_encoded_in_small_slices(spark, monkeypatch):
+    class Frame:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, function, schema):
+            return function
+
+    sizes = []
+    plain = sentencepiece_codec.Codec.encode
+    monkeypatch.setattr(sentencepiece_codec.Codec, "encode", lambda self, texts: sizes.append(sum(map(len, texts.to_pylist()))) or plain(self, texts))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3000)), pa.array([f"some words {i} " * 60 for i in range(3000)])], names=["id", "text"])
+    for function in (sentencepiece_codec.round_trips(Frame(), PATH), sentencepiece_codec.encode_pieces(Frame(), PATH)):
+        sizes.clear()
+        assert sum(b.num_rows for b in function(iter([batch]))) == 3000
+        assert sum(sizes) > 2_500_000 and max(sizes) <= 1_000_000

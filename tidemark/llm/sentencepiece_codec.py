@@ -37,6 +37,10 @@ MARKER = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
+# Bytes of text that are encoded at a time, and chunks whose ids a worker keeps.
+SLICE = 1_000_000
+CHUNKS = 200_000
+
 _CODECS: dict[str, Codec] = {}
 
 
@@ -161,7 +165,7 @@ class Codec:
             and not self.model.remove_extra_whitespaces
             and self.model.add_dummy_prefix
         )
-        self.encoder = ChunkEncoder(self._encode_many)
+        self.encoder = ChunkEncoder(self._encode_many, CHUNKS)
         # What each piece gives wherever it stands, then what it gives as the first of a text.
         inside = [_bytes_of(piece, kind) for piece, _, kind in self.model.pieces]
         first = [b.removeprefix(b" ") if self.model.add_dummy_prefix else b for b in inside]
@@ -261,7 +265,7 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = codec(model)
         for rows in batches:
-            for first, texts in text_slices(rows.column(1)):
+            for first, texts in text_slices(rows.column(1), SLICE):
                 ids, lengths, agreed = pieces.encode(texts)
                 offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -273,6 +277,7 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
                     names=["id", "ids", "parity"],
                 )
         pieces.encoder.forget()
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(encode, "id long, ids array<int>, parity boolean")
@@ -303,7 +308,7 @@ def round_trips(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: s
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = codec(model)
         for rows in batches:
-            for first, texts in text_slices(rows.column(1)):
+            for first, texts in text_slices(rows.column(1), SLICE):
                 ids, lengths, agreed = pieces.encode(texts)
                 decoded = pieces.decode(ids, lengths)
                 ends = np.cumsum(lengths).tolist()
@@ -321,6 +326,7 @@ def round_trips(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: s
                     names=["id", "n_tokens", "ids_crc32", "decoded_crc32", "round_trip", "parity"],
                 )
         pieces.encoder.forget()
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     schema = "id long, n_tokens long, ids_crc32 long, decoded_crc32 long, round_trip boolean, parity boolean"

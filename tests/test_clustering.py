@@ -170,6 +170,32 @@ def test_splits_against_a_dense_tree(spark, monkeypatch, held, k):
     assert np.allclose(as_matrix(found, k), np.array(centres))
 
 
+@pytest.mark.parametrize("values", [7, 1 << 18])
+@pytest.mark.parametrize("step", [1, 1 << 40])
+def test_a_task_sends_its_sums_once_and_packed(monkeypatch, values, step):
+    """Documents of two groups in four batches, each with two centres; ids looked up in a table, and searched."""
+    monkeypatch.setattr(sparse, "SLICE", values)
+    matrix = np.random.default_rng(5).poisson(0.2, size=(40, 2500)).astype(float)
+    known, grp = np.arange(2500) * step, np.arange(40) % 3
+    model = sparse.Centres(known, np.ascontiguousarray(matrix[:4].T), np.array([0, 0, 1, 1]))
+    lists = [(known[row > 0].tolist(), row[row > 0].tolist()) for row in matrix]
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array(grp), pa.array([i for i, _ in lists], pa.list_(pa.int64())), pa.array([x for _, x in lists], pa.list_(pa.float64()))],
+        names=["grp", "ids", "xs"],
+    )
+    sent = [r for b in sparse._sums(model)(whole.slice(i, 10) for i in range(0, 40, 10)) for r in b.to_pylist()]
+    assert sorted(r["block"] for r in sent) == [-1, 0, 1, 2]
+    d2 = distances(matrix, matrix[:4])
+    d2[grp[:, None] != model.groups[None]] = np.inf
+    best = np.where(grp < 2, d2.argmin(axis=1), -1)
+    total, members = np.zeros(3 * sparse.BLOCK * 4), np.zeros(4)
+    for r in sent:
+        at = r["block"] * sparse.BLOCK * 4
+        sparse._unpack(r["places"], r["sums"], members if at < 0 else total[at : at + sparse.BLOCK * 4])
+    assert members.tolist() == [int((best == c).sum()) for c in range(4)]
+    assert np.allclose(total.reshape(-1, 4)[:2500].T, [matrix[best == c].sum(axis=0) for c in range(4)])
+
+
 def test_splits_of_equal_and_of_few_documents(spark):
     same = sparse_rows(spark, np.ones((5, 25)))
     assert {r.cluster for r in sparse.bisecting(same, 3, 2)[0].collect()} == {0}

@@ -196,6 +196,35 @@ def test_a_task_sends_its_sums_once_and_packed(monkeypatch, values, step):
     assert np.allclose(total.reshape(-1, 4)[:2500].T, [matrix[best == c].sum(axis=0) for c in range(4)])
 
 
+@pytest.mark.parametrize("cluster", [sparse.kmeans, sparse.bisecting])
+def test_terms_beyond_the_held_ones_give_the_same(spark, monkeypatch, cluster):
+    """Ids twice and null, terms of few documents, and only rows of terms that aren't held are exchanged."""
+    rng = np.random.default_rng(8)
+    matrix = rng.poisson(np.linspace(0.02, 1.2, 25), size=(60, 25)).astype(float)
+    rows = [(i, j, x) for i, row in enumerate(matrix.tolist()) for j, x in enumerate(row) if x]
+    ids = spark.createDataFrame([(i,) for i in [*range(60), 7, 7, 20, None, None]], "doc_id bigint")
+    docs = sparse.documents_rows(ids, spark.createDataFrame(rows, "doc_id bigint, term_id bigint, x double"))
+    results = []
+    for values in (1 << 24, 40):
+        monkeypatch.setattr(sparse, "MAX_VALUES", values)
+        placed, centres = cluster(docs, 4, 3)
+        found = sorted(((r.doc_id is None, r.doc_id or 0, r.cluster), r.d2) for r in placed.collect())
+        results.append((found, as_matrix(centres.withColumn("id", F.col("id") * 10), 4)))
+    for found, centres in results[1:]:
+        assert [r for r, _ in found] == [r for r, _ in results[0][0]]
+        assert [d2 for _, d2 in found] == pytest.approx([d2 for _, d2 in results[0][0]], abs=2e-6)
+        assert np.allclose(centres, results[0][1])
+    monkeypatch.setattr(sparse, "MAX_VALUES", 40)
+    terms = sparse.known_terms(docs, 4)
+    often = np.array([(matrix[:, j] > 0).sum() for j in range(25)])
+    assert 0 < len(terms.held) <= 10 and often[terms.held].min() > np.delete(often, terms.held).max()
+    rest = {(r.doc_id, r.id): r.x for r in terms.rest.collect()}
+    assert rest == {(i, j): x for i, j, x in rows if j not in terms.held}
+    start = sparse.smallest_ids(docs, 4).select("doc_id", (F.col("r") - 1).cast("int").alias("cluster"))
+    plan = sparse.place(docs, sparse.lloyd(docs, start, [0] * 4, 1, terms))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+
+
 def test_splits_of_equal_and_of_few_documents(spark):
     same = sparse_rows(spark, np.ones((5, 25)))
     assert {r.cluster for r in sparse.bisecting(same, 3, 2)[0].collect()} == {0}

@@ -223,6 +223,12 @@ def test_terms_beyond_the_held_ones_give_the_same(spark, monkeypatch, cluster):
     start = sparse.smallest_ids(docs, 4).select("doc_id", (F.col("r") - 1).cast("int").alias("cluster"))
     plan = sparse.place(docs, sparse.lloyd(docs, start, [0] * 4, 1, terms))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+    spark.conf.set("spark.sql.shuffle.partitions", 9)
+    try:
+        labelled = sparse._split(docs.withColumn("d2", F.lit(0.0)), docs, terms)[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert labelled.count("Exchange") == 1 and "Bucketed: true" in labelled
 
 
 def test_splits_of_equal_and_of_few_documents(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import recommend as ops
 from tidemark.plans import recommend as plans
+from tidemark.sources import adapters
 
 SCHEMA = "user string, item string, rating double"
 
@@ -295,3 +296,25 @@ def test_neighbours_of_open_pairs(spark, heavy):
     expected = {(u, i) for u, i in test if any(v != u and (u, v) in pairs for v in by_item.get(i, {}))}
     found = ops.has_neighbour(frame(spark, test), frame(spark, train), heavy).collect()
     assert len(found) == len(expected) and {(r.user, r.item) for r in found} == expected
+
+
+def test_tasks_of_ratings_grow_with_the_lines(spark, tmp_path, monkeypatch):
+    """And what follows by user and item keeps them; each pair has its highest rating."""
+    lines = [(i % 40, i % 7, float(i % 9)) for i in range(200)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    orders = spark.range(40).selectExpr("id AS o_orderkey", "id % 5 AS o_custkey")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    want = {}
+    for order, item, quantity in lines:
+        want[order % 5, item] = max(want.get((order % 5, item), 0), quantity % 5 + 1)
+    monkeypatch.setattr(adapters, "TASK_RATINGS", 10)
+    found = adapters.ratings(spark, str(tmp_path)).drop("is_test")
+    assert {(r.user, r.item): r.rating for r in found.collect()} == want
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        known = ops.subtract_pairs(ops.dedupe_ratings(found), found.where("item = 1"))
+        assert found.rdd.getNumPartitions() == known.rdd.getNumPartitions() == 20
+        assert known.count() == len([1 for _, item in want if item != 1])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)

@@ -8,6 +8,7 @@ of chunks; when it is full it starts anew, which changes the time and never the
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -27,11 +28,13 @@ class Ids:
     marks: np.ndarray
 
 
-def in_calls(encode: Callable[[list[str]], list[list[int]]], chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def in_calls(
+    encode: Callable[[list[str]], list[list[int]]], chunks: list[str], call: int = CALL
+) -> tuple[np.ndarray, np.ndarray]:
     """Ids and lengths from a library that returns lists, a bounded number of chunks at a time."""
     flat, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-    for at in range(0, len(chunks), CALL):
-        lists = encode(chunks[at : at + CALL])
+    for at in range(0, len(chunks), call):
+        lists = encode(chunks[at : at + call])
         lengths.append(np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)))
         flat.append(np.fromiter((i for ids in lists for i in ids), dtype=np.uint32, count=int(lengths[-1].sum())))
     return np.concatenate(flat), np.concatenate(lengths)
@@ -118,3 +121,28 @@ def text_slices(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, p
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     for first, last in in_slices(np.diff(offsets).tolist(), most):
         yield first, texts.slice(first, last - first)
+
+
+def give_back() -> None:
+    """Return what Arrow and the C library keep of freed memory to the system, where the library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def giving_back(
+    work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`work` for mapInArrow, whose worker stays no larger behind a task than what it still holds.
+
+    Workers outlive tasks and stages, and share an executor's memory with the JVM.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run

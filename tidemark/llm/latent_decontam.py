@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunk_encoder import per_text, text_slices
+from tidemark.llm.chunk_encoder import giving_back, per_text, text_slices
 from tidemark.operators.skew import number_rows
 from tidemark.session import materialise
 
@@ -104,7 +104,7 @@ def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> np.ndarray:
             [pa.array(np.append(found, -1)), pa.array(np.append(total[found], n))], names=["feature", "n"]
         )
 
-    per_task = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "feature long, n long")
+    per_task = docs.select(F.col(text_col).alias("text")).mapInArrow(giving_back(count), "feature long, n long")
     rows = per_task.groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
     n_all = int(rows.loc[rows["feature"] == -1, "n"].sum())
     counts = np.zeros(FEATURES)
@@ -417,12 +417,13 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_c
 
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                clean = np.ones(batch.num_rows, dtype=bool)
+                # Rows go back slice by slice: they lie whole in the worker's memory and in that of the JVM.
                 for first, texts in text_slices(batch.column(place), SLICE):
-                    clean[[first + t for t, *_ in search(texts, known.value)]] = False
-                yield batch.filter(pa.array(clean))
+                    clean = np.ones(len(texts), dtype=bool)
+                    clean[[t for t, *_ in search(texts, known.value)]] = False
+                    yield batch.slice(first, len(texts)).filter(pa.array(clean))
 
-        return rows.mapInArrow(keep, docs.schema)
+        return rows.mapInArrow(giving_back(keep), docs.schema)
 
     left = None
     for indexes in build_index(docs, items, text_col, item_col):

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunk_encoder import text_slices
+from tidemark.llm.chunk_encoder import giving_back, text_slices
 from tidemark.llm.components import components
 from tidemark.operators.bloom import bloom_build, bloom_probe
 from tidemark.session import materialise
@@ -490,14 +490,14 @@ def _maybe_wanted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """[id, n_shingles, component] of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    described = materialise(rows.mapInArrow(_describe, "id long, n long, key long"), "sets")
+    described = materialise(rows.mapInArrow(giving_back(_describe), "id long, n long, key long"), "sets")
     total = described.agg(F.sum("n").alias("n"), F.max("n").alias("largest")).first()
     if not total["largest"]:
         return described.select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component"))
     edges = bands(total["largest"])
     # About two in five shingles make a signature.
     buckets = max(64, 2 * total["n"] // (5 * BUCKET))
-    packed = rows.where("id IS NOT NULL").select("text").mapInArrow(_emit(buckets, edges), _PACKED)
+    packed = rows.where("id IS NOT NULL").select("text").mapInArrow(giving_back(_emit(buckets, edges)), _PACKED)
     met = packed.groupBy("bucket").applyInArrow(_meet, "sig long, rep long, key long")
     met = materialise(met, "shared-signatures")
     shared = materialise(
@@ -510,7 +510,7 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     shared = met.select("sig", "key")
     wanted = materialise(shared.select("key").distinct().join(classes, "key").select("key", F.col("rep_id").alias("id")), "wanted")
     # An id may stand for several texts, so the key of each text decides.
-    sets = _maybe_wanted(rows, wanted).join(wanted, "id").select("key", "text").mapInArrow(_whole_sets, "key long, features binary")
+    sets = _maybe_wanted(rows, wanted).join(wanted, "id").select("key", "text").mapInArrow(giving_back(_whole_sets), "key long, features binary")
     sets = materialise(sets.dropDuplicates(["key"]), "features")
 
     often = met.where("rep <> key").groupBy("key", "rep").agg(F.count("*").alias("n"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunk_encoder import text_slices
+from tidemark.llm.chunk_encoder import giving_back, text_slices
 
 BLOCK = 8
 CHUNK = 2 * BLOCK
@@ -249,6 +249,8 @@ def keep_good(docs: DataFrame, model: Network | Prior, least: float, text_col: s
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            yield rows.filter(pa.array(_scores(rows.column(place), model) >= least))
+            # Rows go back slice by slice: they lie whole in the worker's memory and in that of the JVM.
+            for first, texts in text_slices(rows.column(place)):
+                yield rows.slice(first, len(texts)).filter(pa.array(_scores(texts, model) >= least))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(giving_back(keep), docs.schema)

@@ -30,15 +30,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunk_encoder import ChunkEncoder, Ids, in_calls, per_text, text_slices
+from tidemark.llm.chunk_encoder import ChunkEncoder, Ids, giving_back, in_calls, per_text, text_slices
 
 # Fixed values of the model format: the marker, types of pieces, types of models.
 MARKER = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
-# Bytes of text that are encoded at a time, and chunks whose ids a worker keeps.
-SLICE = 1_000_000
+# Bytes of text that are encoded at a time, chunks that go to the libraries in one call, and chunks whose ids a worker keeps.
+SLICE = 200_000
+CALL = 2_000
 CHUNKS = 200_000
 
 _CODECS: dict[str, Codec] = {}
@@ -208,7 +209,7 @@ class Codec:
                     out[i] = wanted
             return out
 
-        flat, lengths = in_calls(encode, chunks)
+        flat, lengths = in_calls(encode, chunks, CALL)
         return chunks, Ids(flat, lengths, ~np.array(agreed, dtype=bool))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -277,10 +278,9 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
                     names=["id", "ids", "parity"],
                 )
         pieces.encoder.forget()
-        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(encode, "id long, ids array<int>, parity boolean")
+    return rows.mapInArrow(giving_back(encode), "id long, ids array<int>, parity boolean")
 
 
 def decode_pieces(encoded: DataFrame, model: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
@@ -326,8 +326,7 @@ def round_trips(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: s
                     names=["id", "n_tokens", "ids_crc32", "decoded_crc32", "round_trip", "parity"],
                 )
         pieces.encoder.forget()
-        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     schema = "id long, n_tokens long, ids_crc32 long, decoded_crc32 long, round_trip boolean, parity boolean"
-    return rows.mapInArrow(check, schema)
+    return rows.mapInArrow(giving_back(check), schema)

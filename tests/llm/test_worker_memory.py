@@ -59,7 +59,7 @@ def test_codec_takes_small_slices_and_calls(spark, monkeypatch):
     monkeypatch.setitem(sentencepiece_codec._CODECS, PATH, codec)
     sizes, calls, plain, judge = [], [], codec.encode, codec.judge
     codec.encode = lambda texts: sizes.append(sum(map(len, texts.to_pylist()))) or plain(texts)
-    codec.judge = SimpleNamespace(encode=lambda some: calls.append(len(some)) or judge.encode(some))
+    codec.judge = SimpleNamespace(encode=lambda some, **how: calls.append(len(some)) or judge.encode(some, **how))
     many = " ".join(f"w{i}x{i * 7}" for i in range(12_000))
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(["a b", many, "c"])], names=["id", "text"])
     out = pa.Table.from_batches(sentencepiece_codec.round_trips(Frame(), PATH)(iter([BATCH, batch])))

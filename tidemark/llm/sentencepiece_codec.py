@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding on the tokenizers library.
 
 The model file is read here, field by field; normaliser, white-space marker, scores or
-merges and byte fallback are rebuilt from it, and batches are encoded by the library's threads.
+merges and byte fallback are rebuilt from it, and batches are encoded by the library, in one thread: Spark's tasks take the cores.
 Parity is verified against the sentencepiece library on every distinct chunk of the
 texts, not on a sample: no piece joins a marker to what stands before it, so equal chunks make
 equal texts. Pieces are decoded by their bytes all at once, the rest by the library. Where the libraries differ the ids are those of sentencepiece, and the
@@ -18,6 +18,7 @@ empty one. Extra columns of the input are not read.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -155,6 +156,8 @@ class Codec:
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
+        # As many tasks as cores run beside this one; more threads would only cost time and hold memory.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         with open(path, "rb") as file:
             self.model = parse_model(file.read())
         self.tokenizer = build_tokenizer(self.model)
@@ -200,7 +203,7 @@ class Codec:
 
         def encode(some: list[str]) -> list[list[int]]:
             out = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            for i, wanted in enumerate(self.judge.encode(some)):
+            for i, wanted in enumerate(self.judge.encode(some, num_threads=1)):
                 lone = some[i] == "" and alone is not None
                 agreed.append(lone or out[i] == wanted)
                 if lone:

@@ -233,6 +233,22 @@ def test_fallback_and_set_helpers(spark):
     assert {r.item: r.mean for r in ops.item_mean(clean).collect()} == {"x": 2.5, "y": 5.0}
 
 
+def test_partners_of_a_user_have_smaller_and_larger_ids(spark, tmp_path):
+    """A pair of raters is a link of both, and the user with the largest id has its row."""
+    rng = random.Random(2)
+    lines = [(i % 40, rng.randrange(1, 12), float(rng.randrange(1, 50))) for i in range(160)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(40).selectExpr("id AS o_orderkey", "id % 13 + 1 AS o_custkey").write.parquet(str(tmp_path / "orders.parquet"))
+    known, _ = plans._known(spark, str(tmp_path))
+    pairs, _ = brute_pairs({(r.user, r.item): r.rating for r in known.collect()})
+    want = defaultdict(lambda: (0, 0, 0.0, 0.0))
+    for (u, _), c in pairs.items():
+        partners, n, uv, v2 = want[u]
+        want[u] = (partners + 1, n + len(c), uv + sum(a * b for a, b in c), v2 + sum(b * b for _, b in c))
+    found = plans.corated_partners(spark, str(tmp_path)).collect()
+    assert len(found) == len(want) and {r.u: (r.partners, r.n, r.sum_uv, r.sum_v2) for r in found} == want
+
+
 def test_als_covers_every_pair(spark):
     train, test = fixture(3)
     test = {**test, ("cold", "i0"): 3.0, ("u1", "none"): 2.0}

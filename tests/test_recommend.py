@@ -3,10 +3,12 @@ import random
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
+from tidemark.operators import rater_pairs
 from tidemark.operators import recommend as ops
 from tidemark.plans import recommend as plans
 from tidemark.sources import adapters
@@ -164,6 +166,56 @@ def test_tasks_grow_with_the_pairs(spark, monkeypatch, heavy):
     assert "Join" not in top
 
 
+@pytest.mark.parametrize("small", [False, True])
+@pytest.mark.parametrize("names", [False, True])
+@pytest.mark.parametrize("grid", [False, True])
+def test_pairs_travel_packed(monkeypatch, grid, names, small):
+    """A listed pair takes a few bytes, not a row; slices, parts and packets of any size give the same sums."""
+    if small:
+        for limit, size in (("SLICE", 40), ("PAIRS", 1000), ("PART", 5000)):
+            monkeypatch.setattr(rater_pairs, limit, size)
+    rng = random.Random(4)
+    user = (lambda u: f"u{u:05}") if names else (lambda u: 7 * u)
+    rows = sorted((f"i{i}", user(u), rng.choice([1.0, 2.5, None])) for i in range(60) for u in rng.sample(range(400), 40))
+    rows += [("i9z", user(3), 1.0), ("i9z", user(3), 2.0), ("i9z", user(5), 4.0)]
+    rows.sort(key=lambda r: r[:2])
+    columns = dict(zip(("item", "user", "rating"), map(pa.array, zip(*rows)), strict=True))
+    columns["block"] = pa.array([hash(u) % 3 for _, u, _ in rows], pa.int32())
+    table = pa.table(columns)
+    listing = rater_pairs.Listing(3, grid)
+    packets = pa.Table.from_batches([b for b in rater_pairs.listed(listing)(table.to_batches(max_chunksize=100)) if len(b)])
+    by_item = defaultdict(list)
+    for item, u, r in rows:
+        by_item[item].append((u, r))
+    want = defaultdict(list)
+    for raters in by_item.values():
+        for u, a in raters:
+            for v, b in raters:
+                if u < v:
+                    want[u, v].append((a, b))
+    assert sum(packets["entries"].to_pylist()) == sum(map(len, want.values()))
+    if not small and not names:
+        assert sum(map(len, packets["data"].to_pylist())) < (6 if grid else 3) * sum(map(len, want.values()))
+    kinds = [("n", pa.int64()), *((c, pa.float64()) for c in ops.PAIR_SUMS[1:])]
+    schema = pa.schema([("u", table["user"].type), ("v", table["user"].type), *kinds])
+    packets = packets.sort_by([("a", "ascending"), ("b", "ascending")])
+    assert (len(set(packets["b"].to_pylist())) > 1) == grid
+
+    def total(values):
+        known = [x for x in values if x is not None]
+        return sum(known) if known else None
+
+    for least in (1, 2):
+        found = [r for b in rater_pairs.summed(schema, least)(packets.to_batches(max_chunksize=4)) for r in b.to_pylist()]
+        expected = {
+            k: (len(c), total(a for a, _ in c), total(b for _, b in c), total(a * b if None not in (a, b) else None for a, b in c))
+            for k, c in want.items()
+            if len(c) >= least
+        }
+        assert len(found) == len(expected)
+        assert {(r["u"], r["v"]): (r["n"], r["sum_u"], r["sum_v"], r["sum_uv"]) for r in found} == expected
+
+
 def test_a_pair_of_raters_meets_once_per_item(spark):
     train, _ = fixture(11)
     ratings = frame(spark, train)

@@ -231,6 +231,30 @@ def test_terms_beyond_the_held_ones_give_the_same(spark, monkeypatch, cluster):
     assert labelled.count("Exchange") == 1 and "Bucketed: true" in labelled
 
 
+def test_rounds_read_packed_documents_of_groups_that_move(spark, monkeypatch):
+    """Twelve equal documents settle at once, the others go on; values are read as bytes, with empty documents and ids twice."""
+    matrix = count_matrix(3)
+    matrix[:12] = matrix[0]
+    matrix[30] = 0
+    docs = sparse_rows(spark, matrix).withColumn("grp", F.when(F.col("doc_id") < 12, 0).otherwise(1))
+    docs = docs.unionByName(docs.where("doc_id = 40"))
+    terms = sparse.known_terms(docs, 4)
+    packed = sparse.packed(docs, terms)
+    back = {r.doc_id: (r.p2, np.frombuffer(r.places, np.int32).tolist(), np.frombuffer(r.xs).tolist()) for r in packed.collect()}
+    for i, (p2, places, xs) in back.items():
+        own = dict(zip((terms.held[places] // 10).tolist(), xs, strict=True))
+        assert own == {j: x for j, x in enumerate(matrix[i]) if x} and p2 == pytest.approx((matrix[i] ** 2).sum())
+    seen, one = [], sparse._held_round
+    monkeypatch.setattr(sparse, "_held_round", lambda d, m: seen.append((d.columns, {r.grp for r in d.collect()})) or one(d, m))
+    start = spark.createDataFrame([(0, 0), (1, 1), (12, 2), (13, 3)], "doc_id bigint, cluster int")
+    found = sparse.lloyd(packed, start, [0, 0, 1, 1], 8, terms)
+    assert all("ids" not in columns for columns, _ in seen) and [g for _, g in seen][:2] == [{0, 1}, {1}]
+    rows = np.array([*range(60), 40])
+    mine, other = matrix[rows[rows < 12]], matrix[rows[rows >= 12]]
+    want = np.concatenate([dense_rounds(mine, mine[:2].copy(), 8), dense_rounds(other, other[:2].copy(), 8)])
+    assert np.allclose(as_matrix(sparse.table(found, packed), 4), want)
+
+
 def test_splits_of_equal_and_of_few_documents(spark):
     same = sparse_rows(spark, np.ones((5, 25)))
     assert {r.cluster for r in sparse.bisecting(same, 3, 2)[0].collect()} == {0}
